@@ -34,12 +34,29 @@ def after_last(text: Column, separator: str) -> Column:
     return F.substring_index(text, separator, -1)
 
 
-def text_array(values: Sequence[str]) -> Column:
-    return F.array(*[F.lit(value) for value in values]).cast("array<string>")
+def quoted(value: str) -> str:
+    """A text as a SQL literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
 
+def _array_literal(values: Sequence[str]) -> str:
+    return f"CAST(array({', '.join(map(quoted, values))}) AS array<string>)"
 
-def text_map(values: Mapping[str, str]) -> Column:
-    return F.create_map(*[F.lit(item) for pair in values.items() for item in pair])
+
+def text_array(values: Sequence[str]) -> Column:
+    return F.expr(_array_literal(values))
+
+
+def text_map(values: Mapping[str, str | Sequence[str]]) -> Column:
+    """A literal map; its values are texts or lists of texts."""
+    return F.expr(
+        "map("
+        + ", ".join(
+            f"{quoted(key)}, {quoted(value) if isinstance(value, str) else _array_literal(value)}"
+            for key, value in values.items()
+        )
+        + ")"
+    )
 
 
 def bind(value: Column, body: Callable[[Column], Column]) -> Column:

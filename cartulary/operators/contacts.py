@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from cartulary.functions.codes import map_role
 from cartulary.functions.names import author_name, labelled_name, person_name
-from cartulary.functions.text import text_array
+from cartulary.functions.text import bind, text_array
 
 # Every contact field but the roles, in output order. Contacts equal in all of them merge.
 IDENTITY = (
@@ -34,19 +34,26 @@ IDENTITY = (
 )
 
 
-def contact(
-    party: Column,
-    name: Column,
-    in_citation: bool,
-    roles: Column,
-    org_email: Column | None = None,
-) -> Column:
+# The sections of a record that give a contact, each with its fixed role.
+ISO_SECTIONS = (
+    ("point_of_contact", "pointOfContact"),
+    ("maintainer", "custodian"),
+    ("distributor", "distributor"),
+)
+FGDC_SECTIONS = (
+    ("points_of_contact", "pointOfContact"),
+    ("distributors", "owner"),
+    ("maintainers", "custodian"),
+)
+
+
+def _contact(party: Column, name: Column, in_citation: Column, roles: Column, org_email: Column) -> Column:
     """One contact from a party and its standardised name."""
     nothing = F.lit("")
     return F.struct(
         name["given"].alias("givenNames"),
         name["last"].alias("lastName"),
-        F.lit(in_citation).alias("inCitation"),
+        in_citation.alias("inCitation"),
         party["email"].alias("indEmail"),
         name["full"].alias("indName"),
         nothing.alias("indOrcid"),
@@ -54,7 +61,7 @@ def contact(
         party["address"].alias("orgAddress"),
         party["city"].alias("orgCity"),
         party["country"].alias("orgCountry"),
-        (party["email"] if org_email is None else org_email).alias("orgEmail"),
+        org_email.alias("orgEmail"),
         party["organisation"].alias("orgName"),
         nothing.alias("orgRor"),
         nothing.alias("orgURL"),
@@ -62,60 +69,70 @@ def contact(
     )
 
 
+def _entry(party: Column | str, role: Column) -> Column:
+    party = F.col(party) if isinstance(party, str) else party
+    return F.struct(party.alias("party"), role.alias("fixed"))
+
+
 def iso_contacts(house_names: Mapping[str, Sequence[str]]) -> Column:
     """All contacts in section order: point of contact, custodian, distributor, cited parties.
 
-    A missing section still gives its contact, with the fixed role and no other field.
+    A missing section still gives its contact, with the fixed role and no other field. Only
+    cited parties, which have no fixed role, count as part of the citation.
     """
+    entries = F.concat(
+        F.array(*[_entry(section, F.lit(role)) for section, role in ISO_SECTIONS]),
+        F.transform(F.col("cited"), lambda party: _entry(party, F.lit(None).cast("string"))),
+    )
 
-    def fixed(section: str, role: str) -> Column:
-        party = F.col(section)
-        return contact(party, person_name(party["name"], house_names), False, text_array([role]))
-
-    def cited(party: Column) -> Column:
-        return contact(
-            party, person_name(party["name"], house_names), True, F.array(map_role(party["role"]))
+    def contact(entry: Column) -> Column:
+        party, fixed = entry["party"], entry["fixed"]
+        return bind(
+            person_name(party["name"], house_names),
+            lambda name: _contact(
+                party,
+                name,
+                fixed.isNull(),
+                F.array(F.coalesce(fixed, map_role(party["role"]))),
+                party["email"],
+            ),
         )
 
-    return F.concat(
-        F.array(
-            fixed("point_of_contact", "pointOfContact"),
-            fixed("maintainer", "custodian"),
-            fixed("distributor", "distributor"),
-        ),
-        F.transform(F.col("cited"), cited),
-    )
+    return F.transform(entries, contact)
 
 
 def fgdc_contacts() -> Column:
     """The second dialect's contacts; authors carry a name only and nothing is merged."""
 
     def section(column: str, role: str) -> Column:
-        return F.transform(
-            F.col(column),
-            lambda party: contact(
-                party, labelled_name(party["name"]), False, text_array([role]), F.lit("")
-            ),
-        )
+        return F.transform(F.col(column), lambda party: _entry(party, F.lit(role)))
 
-    def author(origin: Column) -> Column:
-        name, unknown = author_name(origin), F.lit(None).cast("string")
-        known = {
-            "givenNames": name["given"],
-            "lastName": name["last"],
-            "inCitation": F.lit(True),
-        }
-        return F.struct(
-            *[known.get(field, unknown).alias(field) for field in IDENTITY],
-            text_array(["author"]).alias("role"),
+    entries = F.concat(*[section(column, role) for column, role in FGDC_SECTIONS])
+
+    def contact(entry: Column) -> Column:
+        party = entry["party"]
+        return bind(
+            labelled_name(party["name"]),
+            lambda name: _contact(party, name, F.lit(False), F.array(entry["fixed"]), F.lit("")),
         )
 
-    return F.concat(
-        section("points_of_contact", "pointOfContact"),
-        section("distributors", "owner"),
-        section("maintainers", "custodian"),
-        F.transform(F.col("origins"), author),
-    )
+    def author(origin: Column) -> Column:
+        unknown = F.lit(None).cast("string")
+
+        def fields(name: Column) -> Column:
+            known = {
+                "givenNames": name["given"],
+                "lastName": name["last"],
+                "inCitation": F.lit(True),
+            }
+            return F.struct(
+                *[known.get(field, unknown).alias(field) for field in IDENTITY],
+                text_array(["author"]).alias("role"),
+            )
+
+        return bind(author_name(origin), fields)
+
+    return F.concat(F.transform(entries, contact), F.transform(F.col("origins"), author))
 
 
 def merge_contacts(records: DataFrame, column: str = "contacts") -> DataFrame:

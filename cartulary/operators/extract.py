@@ -3,213 +3,189 @@
 One row per record. Texts are as written; an empty element counts as no text. Parties of
 both dialects become ``struct<name, organisation, position, address, city, country, email,
 role>`` so that everything after this step is shared.
+
+The paths are SQL text: one expression per column, parsed on the JVM, instead of thousands
+of calls from Python for every plan.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
+
+
+def _text(path: str) -> str:
+    return f"nullif({path}, '')"
+
 
-from cartulary.functions.text import blank_to_null, first_present, flatten_present
+def _present(items: str) -> str:
+    return f"filter({items}, item -> item IS NOT NULL)"
 
 
-def _text(element: Column) -> Column:
-    return blank_to_null(element["CharacterString"])
+def _first(items: str) -> str:
+    """The text of the first element that exists; an empty first element gives null."""
+    return _text(f"get({_present(items)}, 0)")
 
 
-def _gather(items: Column, child: str) -> Column:
+def _gather(items: str, child: str) -> str:
     """All children of a repeated element, in document order."""
-    return flatten_present(F.transform(items, lambda item: item[child]))
-
-
-def _party(element: Column) -> Column:
-    party = element["CI_ResponsibleParty"]
-    address = party["contactInfo"]["CI_Contact"]["address"]["CI_Address"]
-    return F.when(
-        party.isNotNull(),
-        F.struct(
-            _text(party["individualName"]).alias("name"),
-            _text(party["organisationName"]).alias("organisation"),
-            F.lit(None).cast("string").alias("position"),
-            first_present(address["deliveryPoint"]["CharacterString"]).alias("address"),
-            _text(address["city"]).alias("city"),
-            _text(address["country"]).alias("country"),
-            first_present(address["electronicMailAddress"]["CharacterString"]).alias("email"),
-            blank_to_null(party["role"]["CI_RoleCode"]).alias("role"),
-        ),
+    return f"coalesce(flatten({_present(f'{items}.{child}')}), array())"
+
+
+def _struct(**fields: str) -> str:
+    return "named_struct(" + ", ".join(f"'{name}', {sql}" for name, sql in fields.items()) + ")"
+
+
+def _party(element: str) -> str:
+    party = f"{element}.CI_ResponsibleParty"
+    address = f"{party}.contactInfo.CI_Contact.address.CI_Address"
+    fields = _struct(
+        name=_text(f"{party}.individualName.CharacterString"),
+        organisation=_text(f"{party}.organisationName.CharacterString"),
+        position="CAST(NULL AS STRING)",
+        address=_first(f"{address}.deliveryPoint.CharacterString"),
+        city=_text(f"{address}.city.CharacterString"),
+        country=_text(f"{address}.country.CharacterString"),
+        email=_first(f"{address}.electronicMailAddress.CharacterString"),
+        role=_text(f"{party}.role.CI_RoleCode"),
     )
+    return f"if({party} IS NULL, NULL, {fields})"
 
 
-_PARTY_FIELDS = (
-    "name", "organisation", "position", "address", "city", "country", "email", "role",
-)
+def _parties(elements: str) -> str:
+    return _present(f"transform({elements}, party -> {_party('party')})")
 
 
-def _section_party(elements: Column) -> Column:
+_PARTY_FIELDS = "name organisation position address city country email role".split()
+
+
+def _section_party(people: str) -> str:
     """One party for a section that may name several: each field from the first that has it."""
-    people = F.filter(F.transform(elements, _party), lambda party: party.isNotNull())
-    return F.when(
-        F.size(people) > 0,
-        F.struct(*[first_present(people[name]).alias(name) for name in _PARTY_FIELDS]),
+    fields = _struct(**{name: _first(f"{people}.{name}") for name in _PARTY_FIELDS})
+    return f"if(size({people}) > 0, {fields}, NULL)"
+
+
+def _fgdc_party(element: str) -> str:
+    info = f"{element}.cntinfo"
+    address = f"get({info}.cntaddr, 0)"
+    return _struct(
+        name=_text(f"coalesce({info}.cntorgp.cntper, {info}.cntperp.cntper)"),
+        organisation=_text(f"coalesce({info}.cntorgp.cntorg, {info}.cntperp.cntorg)"),
+        position=_text(f"{info}.cntpos"),
+        address=_first(f"{address}.address"),
+        city=_text(f"{address}.city"),
+        country=_text(f"{address}.country"),
+        email=_first(f"{info}.cntemail"),
+        role="CAST(NULL AS STRING)",
     )
 
 
-def _fgdc_party(element: Column) -> Column:
-    info = element["cntinfo"]
-    address = F.get(info["cntaddr"], F.lit(0))
-    return F.struct(
-        blank_to_null(F.coalesce(info["cntorgp"]["cntper"], info["cntperp"]["cntper"])).alias(
-            "name"
-        ),
-        blank_to_null(F.coalesce(info["cntorgp"]["cntorg"], info["cntperp"]["cntorg"])).alias(
-            "organisation"
-        ),
-        blank_to_null(info["cntpos"]).alias("position"),
-        first_present(address["address"]).alias("address"),
-        blank_to_null(address["city"]).alias("city"),
-        blank_to_null(address["country"]).alias("country"),
-        first_present(info["cntemail"]).alias("email"),
-        F.lit(None).cast("string").alias("role"),
+def _fgdc_parties(elements: str) -> str:
+    return f"transform(coalesce({elements}, array()), party -> {_fgdc_party('party')})"
+
+
+def _select(table: DataFrame, carry: Sequence[str], **columns: str) -> DataFrame:
+    return table.selectExpr(
+        "record_id", "file_name", *carry, *[f"{sql} AS {name}" for name, sql in columns.items()]
     )
 
 
-def _first(items: Column) -> Column:
-    return F.get(items, F.lit(0))
+# Intermediate columns of the first dialect: repeated elements gathered from all sections.
+_ISO_SECTIONS = {
+    "sections": "identificationInfo.MD_DataIdentification",
+    "cites": "identificationInfo.MD_DataIdentification.citation.CI_Citation",
+    "distribution": "distributionInfo.MD_Distribution",
+    "maintenance": _parties("metadataMaintenance.MD_MaintenanceInformation.contact"),
+    "language": "language.CharacterString",
+    "date_stamp": _text("dateStamp.Date"),
+    "uri": _text("dataSetURI.CharacterString"),
+}
+_ISO_GROUPS = {
+    "groups": f"{_gather('sections', 'descriptiveKeywords')}.MD_Keywords",
+    "extents": f"{_gather('sections', 'extent')}.EX_Extent",
+}
+_ISO_ELEMENTS = {
+    "boxes": f"{_gather('extents', 'geographicElement')}.EX_GeographicBoundingBox",
+    "periods": f"{_gather('extents', 'temporalElement')}.EX_TemporalExtent.extent.TimePeriod",
+    "thesauri": "groups.thesaurusName.CI_Citation",
+}
+_KEYWORD_GROUPS = (
+    f"transform({_present('groups')}, g -> "
+    + _struct(
+        type=_text("g.type.MD_KeywordTypeCode"),
+        keywords="transform(filter(coalesce(g.keyword.CharacterString, array()), "
+        "word -> word IS NOT NULL), word -> nullif(word, ''))",
+    )
+    + ")"
+)
+_ISO_COLUMNS = {
+    "title": _first(
+        "concat(coalesce(cites.title.CharacterString, array()), "
+        "coalesce(thesauri.title.CharacterString, array()))"
+    ),
+    "abstract": _first("sections.abstract.CharacterString"),
+    "purpose": _first("sections.purpose.CharacterString"),
+    "supplement": _first("sections.supplementalInformation.CharacterString"),
+    "language_code": _first(
+        f"concat(array(language), {_gather('sections', 'language')}.CharacterString)"
+    ),
+    "progress_code": _first(f"{_gather('sections', 'status')}.MD_ProgressCode"),
+    "date_stamp": "date_stamp",
+    "begin": _first("periods.beginPosition"),
+    "end": _first("periods.endPosition"),
+    "uri": "uri",
+    "north": _first("boxes.northBoundLatitude.Decimal"),
+    "south": _first("boxes.southBoundLatitude.Decimal"),
+    "east": _first("boxes.eastBoundLongitude.Decimal"),
+    "west": _first("boxes.westBoundLongitude.Decimal"),
+    "version": _first("distribution.distributionFormat.MD_Format.version.CharacterString"),
+    "citation": _first(f"{_gather('cites', 'otherCitationDetails')}.CharacterString"),
+    "keyword_groups": _KEYWORD_GROUPS,
+    "point_of_contact": f"get({_parties(_gather('sections', 'pointOfContact'))}, 0)",
+    "maintainer": _section_party("maintenance"),
+    "distributor": f"get({_parties('distribution.distributor.MD_Distributor.distributorContact')}, 0)",
+    "cited": _parties(
+        f"concat({_gather('cites', 'citedResponsibleParty')}, "
+        f"{_gather('thesauri', 'citedResponsibleParty')})"
+    ),
+}
 
 
 def extract_iso(documents: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
-    """Flat columns of the first dialect."""
-    staged = (
-        documents.withColumn("sections", F.col("identificationInfo")["MD_DataIdentification"])
-        .withColumn("cites", F.col("sections")["citation"]["CI_Citation"])
-        .withColumn(
-            "groups", _gather(F.col("sections"), "descriptiveKeywords")["MD_Keywords"]
-        )
-        .withColumn("extents", _gather(F.col("sections"), "extent")["EX_Extent"])
-        .withColumn(
-            "boxes", _gather(F.col("extents"), "geographicElement")["EX_GeographicBoundingBox"]
-        )
-        .withColumn(
-            "periods",
-            _gather(F.col("extents"), "temporalElement")["EX_TemporalExtent"]["extent"][
-                "TimePeriod"
-            ],
-        )
-        .withColumn("distribution", F.col("distributionInfo")["MD_Distribution"])
-    )
-    sections, cites, groups = F.col("sections"), F.col("cites"), F.col("groups")
-    boxes, periods, distribution = F.col("boxes"), F.col("periods"), F.col("distribution")
-    thesauri = groups["thesaurusName"]["CI_Citation"]
-
-    def section_text(name: str) -> Column:
-        return first_present(sections[name]["CharacterString"])
-
-    def bound(name: str) -> Column:
-        return first_present(boxes[name]["Decimal"])
-
-    return staged.select(
-        "record_id",
-        "file_name",
-        *carry,
-        first_present(
-            F.concat(
-                F.coalesce(cites["title"]["CharacterString"], F.array()),
-                F.coalesce(thesauri["title"]["CharacterString"], F.array()),
-            )
-        ).alias("title"),
-        section_text("abstract").alias("abstract"),
-        section_text("purpose").alias("purpose"),
-        section_text("supplementalInformation").alias("supplement"),
-        first_present(
-            F.concat(
-                F.array(F.col("language")["CharacterString"]),
-                _gather(sections, "language")["CharacterString"],
-            )
-        ).alias("language_code"),
-        first_present(_gather(sections, "status")["MD_ProgressCode"]).alias("progress_code"),
-        blank_to_null(F.col("dateStamp")["Date"]).alias("date_stamp"),
-        first_present(periods["beginPosition"]).alias("begin"),
-        first_present(periods["endPosition"]).alias("end"),
-        _text(F.col("dataSetURI")).alias("uri"),
-        bound("northBoundLatitude").alias("north"),
-        bound("southBoundLatitude").alias("south"),
-        bound("eastBoundLongitude").alias("east"),
-        bound("westBoundLongitude").alias("west"),
-        first_present(
-            distribution["distributionFormat"]["MD_Format"]["version"]["CharacterString"]
-        ).alias("version"),
-        first_present(_gather(cites, "otherCitationDetails")["CharacterString"]).alias("citation"),
-        F.transform(
-            F.filter(groups, lambda group: group.isNotNull()),
-            lambda group: F.struct(
-                blank_to_null(group["type"]["MD_KeywordTypeCode"]).alias("type"),
-                F.transform(
-                    F.filter(
-                        F.coalesce(group["keyword"]["CharacterString"], F.array()),
-                        lambda keyword: keyword.isNotNull(),
-                    ),
-                    blank_to_null,
-                ).alias("keywords"),
-            ),
-        ).alias("keyword_groups"),
-        _party(_first(_gather(sections, "pointOfContact"))).alias("point_of_contact"),
-        _section_party(F.col("metadataMaintenance")["MD_MaintenanceInformation"]["contact"]).alias(
-            "maintainer"
-        ),
-        _party(
-            _first(distribution["distributor"]["MD_Distributor"]["distributorContact"])
-        ).alias("distributor"),
-        F.filter(
-            F.transform(
-                F.concat(
-                    _gather(cites, "citedResponsibleParty"),
-                    _gather(thesauri, "citedResponsibleParty"),
-                ),
-                _party,
-            ),
-            lambda party: party.isNotNull(),
-        ).alias("cited"),
-    )
+    """Flat columns of the first dialect, and the columns to ``carry`` along."""
+    staged = _select(documents, carry, **_ISO_SECTIONS)
+    for stage in (_ISO_GROUPS, _ISO_ELEMENTS):
+        staged = staged.selectExpr("*", *[f"{sql} AS {name}" for name, sql in stage.items()])
+    return _select(staged, carry, **_ISO_COLUMNS)
+
+
+_FGDC_COLUMNS = {
+    "title": _text("idinfo.citation.citeinfo.title"),
+    "abstract": _text("idinfo.descript.abstract"),
+    "purpose": _text("idinfo.descript.purpose"),
+    "supplement": _text("idinfo.descript.supplinf"),
+    "published": _text("idinfo.citation.citeinfo.pubdate"),
+    "begin": _text("idinfo.timeperd.timeinfo.rngdates.begdate"),
+    "end": _text("idinfo.timeperd.timeinfo.rngdates.enddate"),
+    "north": _text("idinfo.spdom.bounding.northbc"),
+    "south": _text("idinfo.spdom.bounding.southbc"),
+    "east": _text("idinfo.spdom.bounding.eastbc"),
+    "west": _text("idinfo.spdom.bounding.westbc"),
+    "theme_keys": f"transform({_present(_gather('idinfo.keywords.theme', 'themekey'))}, "
+    "word -> nullif(word, ''))",
+    "places": _first("idinfo.keywords.place.placekt"),
+    "metadata_date": _text("metainfo.metd"),
+    "points_of_contact": _fgdc_parties("idinfo.ptcontac"),
+    "distributors": _fgdc_parties("distinfo.distrib"),
+    "maintainers": _fgdc_parties("metainfo.metc"),
+    "origins": "coalesce(idinfo.citation.citeinfo.origin, array())",
+}
 
 
 def extract_fgdc(documents: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
-    """Flat columns of the second dialect."""
-    info = F.col("idinfo")
-    cite, texts = info["citation"]["citeinfo"], info["descript"]
-    period = info["timeperd"]["timeinfo"]["rngdates"]
-    box, keywords = info["spdom"]["bounding"], info["keywords"]
-
-    def parties(elements: Column) -> Column:
-        return F.transform(F.coalesce(elements, F.array()), _fgdc_party)
-
-    return documents.select(
-        "record_id",
-        "file_name",
-        *carry,
-        blank_to_null(cite["title"]).alias("title"),
-        blank_to_null(texts["abstract"]).alias("abstract"),
-        blank_to_null(texts["purpose"]).alias("purpose"),
-        blank_to_null(texts["supplinf"]).alias("supplement"),
-        blank_to_null(cite["pubdate"]).alias("published"),
-        blank_to_null(period["begdate"]).alias("begin"),
-        blank_to_null(period["enddate"]).alias("end"),
-        blank_to_null(box["northbc"]).alias("north"),
-        blank_to_null(box["southbc"]).alias("south"),
-        blank_to_null(box["eastbc"]).alias("east"),
-        blank_to_null(box["westbc"]).alias("west"),
-        F.transform(
-            F.filter(_gather(keywords["theme"], "themekey"), lambda key: key.isNotNull()),
-            blank_to_null,
-        ).alias("theme_keys"),
-        first_present(keywords["place"]["placekt"]).alias("places"),
-        blank_to_null(F.col("metainfo")["metd"]).alias("metadata_date"),
-        parties(info["ptcontac"]).alias("points_of_contact"),
-        parties(F.col("distinfo")["distrib"]).alias("distributors"),
-        parties(F.col("metainfo")["metc"]).alias("maintainers"),
-        F.coalesce(cite["origin"], F.array()).alias("origins"),
-    )
+    """Flat columns of the second dialect, and the columns to ``carry`` along."""
+    return _select(documents, carry, **_FGDC_COLUMNS)
 
 
 EXTRACTORS = {"iso": extract_iso, "fgdc": extract_fgdc}

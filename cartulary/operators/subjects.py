@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartulary.functions.text import strip, text_array
+from cartulary.functions.text import strip, text_array, text_map
 from cartulary.operators.lookup import salted_lookup
 from cartulary.settings import DEFAULT_CATEGORY
 from cartulary.vocabulary import CATEGORIES, categories_by_term
@@ -76,9 +76,7 @@ def categories(
         return text_array([DEFAULT_CATEGORY])
     if len(inverse) > INLINE_TERMS:
         raise ValueError("vocabulary too large to inline; use classify_by_table")
-    lookup = F.create_map(
-        *[item for term, found in inverse.items() for item in (F.lit(term), text_array(found))]
-    )
+    lookup = text_map(inverse)
     found = F.filter(
         F.transform(F.array_distinct(keywords), lambda keyword: F.element_at(lookup, keyword)),
         lambda hit: hit.isNotNull(),

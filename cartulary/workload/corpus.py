@@ -10,6 +10,8 @@ sender never finished.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,331 +46,282 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.repartition(cores, "doc_id") if len(table.inputFiles()) < cores else table
 
 
-def _pick(values: list[str], index: Column) -> Column:
-    listed = F.array(*[F.lit(value) for value in values])
-    return F.get(listed, F.pmod(index, F.lit(len(values))).cast("int"))
-
-
-def _text(number: Column) -> Column:
-    return number.cast("string")
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'").replace("\n", "\\n") + "'"
+
+
+def _pick(values: list[str], index: str) -> str:
+    listed = ", ".join(_quoted(value) for value in values)
+    return f"get(array({listed}), CAST({index} AS INT) % {len(values)})"
+
+
+_PEOPLE = "'C' || person_1 || ', G., & C' || person_2 || ', G. '"
+_BASICS = {
+    "record_id": "CAST(doc_id AS STRING)",
+    "title": "'Record ' || doc_id || ' of ' || source",
+    "person_1": "doc_id % 997",
+    "person_2": "if(doc_id % 4 = 0, doc_id % 997, (doc_id * 3 + 1) % 997)",
+    "first_day": "date_add(DATE'1990-01-01', CAST(doc_id % 9000 AS INT))",
+}
+_SHAPE = {
+    "stub": f"n_chars < {STUB_CHARS}",
+    "language_code": "CASE lang WHEN 'en' THEN 'eng; CAN' WHEN 'fr' THEN 'fra; CAN' ELSE lang END",
+    "progress_code": _pick(PROGRESS, "doc_id"),
+    "date_stamp": "CASE WHEN doc_id % 11 = 0 THEN 'Undefined' WHEN doc_id % 13 = 0 THEN '2020' "
+    "WHEN doc_id % 17 = 0 THEN '2020-13-40' "
+    "ELSE CAST(date_add(DATE'2020-01-01', CAST(doc_id % 1500 AS INT)) AS STRING) END",
+    "begin": "CAST(first_day AS STRING)",
+    "end": "if(doc_id % 31 <> 0, "
+    "CAST(date_add(first_day, CAST(n_chars % 400 AS INT)) AS STRING), NULL)",
+    "uri": "if(doc_id % 37 <> 0, 'https://records.example.org/show?doi_id=' || doc_id, NULL)",
+    "north": "(doc_id % 90) || '.5'",
+    "south": "'-' || (doc_id % 90) || '.25'",
+    "east": "CAST(doc_id % 180 AS STRING)",
+    "west": "'-' || (n_chars % 180)",
+    "version": "if(doc_id % 8 <> 0, '2.' || (doc_id % 4), NULL)",
+    "purpose": "if(doc_id % 9 <> 0, 'Purpose of ' || title, NULL)",
+    "supplement": "'Held by ' || source",
+    "has_themes": "doc_id % 19 <> 0",
+    "theme_1": _pick(TERMS, "doc_id"),
+    "theme_2": _pick(TERMS, "(doc_id * 7 + 3)"),
+    "has_untyped": "doc_id % 6 = 0",
+    "place": "source || ', ' || lang",
+    "has_point_of_contact": "doc_id % 41 <> 0",
+    "has_curator": "doc_id % 3 = 0",
+    "role_1": _pick(ROLES, "doc_id"),
+    "role_2": _pick(ROLES, "(doc_id + 3)"),
+    "has_thesaurus": "doc_id % 10 = 0",
+    "citation": "CASE WHEN doc_id % 7 = 0 THEN 'Unpublished Data' "
+    "WHEN doc_id % 23 = 0 THEN 'C' || person_1 || ', G., et al. (2020). ' || title "
+    "WHEN doc_id % 29 = 0 THEN 'C' || person_1 || ' and others' "
+    f"WHEN doc_id % 12 = 5 THEN {_PEOPLE} || 'and Poe, B., Roe, D., Coe, E. 2020. ' || title "
+    f"ELSE {_PEOPLE} || '(2020). ' || title END",
+}
 
 
 def shape(documents: DataFrame) -> DataFrame:
     """The facts each record is rendered from."""
-    n, size = F.col("doc_id"), F.col("n_chars")
-    day = F.date_add(F.lit("2020-01-01").cast("date"), (n % 1500).cast("int"))
-    begin = F.date_add(F.lit("1990-01-01").cast("date"), (n % 9000).cast("int"))
-    end = F.date_add(begin, (size % 400).cast("int"))
-    first, second = n % 997, F.when(n % 4 == 0, n % 997).otherwise((n * 3 + 1) % 997)
-    code = F.when(F.col("lang") == "en", "eng; CAN").when(F.col("lang") == "fr", "fra; CAN")
-    title = F.format_string("Record %d of %s", n, "source")
-    people = F.format_string("C%d, G., & C%d, G. ", first, second)
-    return documents.select(
-        "doc_id",
-        _text(n).alias("record_id"),
-        "text",
-        "lang",
-        "source",
-        title.alias("title"),
-        (size < STUB_CHARS).alias("stub"),
-        F.coalesce(code, "lang").alias("language_code"),
-        _pick(PROGRESS, n).alias("progress_code"),
-        F.when(n % 11 == 0, "Undefined")
-        .when(n % 13 == 0, "2020")
-        .when(n % 17 == 0, "2020-13-40")
-        .otherwise(F.date_format(day, "yyyy-MM-dd"))
-        .alias("date_stamp"),
-        F.date_format(begin, "yyyy-MM-dd").alias("begin"),
-        F.when(n % 31 != 0, F.date_format(end, "yyyy-MM-dd")).alias("end"),
-        F.when(
-            n % 37 != 0, F.format_string("https://records.example.org/show?doi_id=%d", n)
-        ).alias("uri"),
-        F.format_string("%d.5", n % 90).alias("north"),
-        F.format_string("-%d.25", n % 90).alias("south"),
-        F.format_string("%d", n % 180).alias("east"),
-        F.format_string("-%d", size % 180).alias("west"),
-        F.when(n % 8 != 0, F.format_string("2.%d", n % 4)).alias("version"),
-        F.when(n % 9 != 0, F.concat(F.lit("Purpose of "), title)).alias("purpose"),
-        F.concat(F.lit("Held by "), "source").alias("supplement"),
-        (n % 19 != 0).alias("has_themes"),
-        _pick(TERMS, n).alias("theme_1"),
-        _pick(TERMS, n * 7 + 3).alias("theme_2"),
-        (n % 6 == 0).alias("has_untyped"),
-        F.concat("source", F.lit(", "), "lang").alias("place"),
-        (n % 41 != 0).alias("has_point_of_contact"),
-        (n % 3 == 0).alias("has_curator"),
-        first.alias("person_1"),
-        second.alias("person_2"),
-        _pick(ROLES, n).alias("role_1"),
-        _pick(ROLES, n + 3).alias("role_2"),
-        (n % 10 == 0).alias("has_thesaurus"),
-        F.when(n % 7 == 0, "Unpublished Data")
-        .when(n % 23 == 0, F.concat(F.format_string("C%d, G., et al. (2020). ", first), title))
-        .when(n % 29 == 0, F.format_string("C%d and others", first))
-        .when(n % 12 == 5, F.concat(people, F.lit("and Poe, B., Roe, D., Coe, E. 2020. "), title))
-        .otherwise(F.concat(people, F.lit("(2020). "), title))
-        .alias("citation"),
-    )
+    for stage in (_BASICS, _SHAPE):
+        documents = documents.selectExpr(
+            "*", *[f"{sql} AS {name}" for name, sql in stage.items()]
+        )
+    return documents
+
+
+# Templates: literal XML with ``${sql}`` in place of values.
 
 
-def escape(text: Column) -> Column:
-    for plain, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ("\r", "&#13;")):
-        text = F.replace(text, F.lit(plain), F.lit(entity))
-    return text
+def _concat(template: str) -> str:
+    """The SQL that fills a template."""
+    pieces = re.split(r"\$\{(.*?)\}", template)
+    parts = [
+        piece if i % 2 else _quoted(piece) for i, piece in enumerate(pieces) if piece
+    ]
+    return f"concat({', '.join(parts)})"
 
 
-def _join(*pieces: Column | str) -> Column:
-    return F.concat(*[F.lit(piece) if isinstance(piece, str) else piece for piece in pieces])
+def _fill(template: str) -> Column:
+    return F.expr(_concat(template))
 
 
-def _optional(condition: Column, rendered: Column) -> Column:
-    return F.when(condition, rendered).otherwise(F.lit(""))
+def _when(condition: str, template: str, otherwise: str = "") -> str:
+    other = _concat(otherwise) if otherwise else "''"
+    return "${if(" + f"{condition}, {_concat(template)}, {other}" + ")}"
 
 
-def _element(tag: str, *content: Column | str) -> Column:
-    return _join(f"<{tag}>", *content, f"</{tag}>")
+def _value(sql: str) -> str:
+    """A value as XML text."""
+    for plain, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ("\\r", "&#13;")):
+        sql = f"replace({sql}, '{plain}', '{entity}')"
+    return "${" + sql + "}"
 
 
-def _characters(tag: str, text: Column | str) -> Column:
-    return _element(tag, "<gco:CharacterString>", text, "</gco:CharacterString>")
+def _characters(tag: str, text: str) -> str:
+    return f"<gmd:{tag}><gco:CharacterString>{text}</gco:CharacterString></gmd:{tag}>"
 
 
-def _maybe(tag: str, text: Column) -> Column:
+def _maybe(tag: str, column: str) -> str:
     """An element that is left out when it has no text."""
-    return _optional(text.isNotNull(), _characters(tag, escape(text)))
-
-
-def _party(
-    name: Column | str | None,
-    organisation: Column | str,
-    city: str,
-    email: Column | str,
-    role: Column | str,
-) -> Column:
-    person = "" if name is None else _characters("gmd:individualName", name)
-    return _element(
-        "gmd:CI_ResponsibleParty",
-        person,
-        _characters("gmd:organisationName", organisation),
-        "<gmd:contactInfo><gmd:CI_Contact><gmd:address><gmd:CI_Address>",
-        _characters("gmd:deliveryPoint", "1 Archive Road"),
-        _characters("gmd:city", city),
-        _characters("gmd:country", "Canada"),
-        _characters("gmd:electronicMailAddress", email),
-        "</gmd:CI_Address></gmd:address></gmd:CI_Contact></gmd:contactInfo>",
-        '<gmd:role><gmd:CI_RoleCode codeList="roles">',
-        role,
-        "</gmd:CI_RoleCode></gmd:role>",
+    return _when(f"{column} IS NOT NULL", _characters(tag, _value(column)))
+
+
+def _party(name: str, organisation: str, city: str, email: str, role: str) -> str:
+    return (
+        "<gmd:CI_ResponsibleParty>"
+        + (_characters("individualName", name) if name else "")
+        + _characters("organisationName", organisation)
+        + "<gmd:contactInfo><gmd:CI_Contact><gmd:address><gmd:CI_Address>"
+        + _characters("deliveryPoint", "1 Archive Road")
+        + _characters("city", city)
+        + _characters("country", "Canada")
+        + _characters("electronicMailAddress", email)
+        + "</gmd:CI_Address></gmd:address></gmd:CI_Contact></gmd:contactInfo>"
+        f'<gmd:role><gmd:CI_RoleCode codeList="roles">{role}</gmd:CI_RoleCode></gmd:role>'
+        "</gmd:CI_ResponsibleParty>"
     )
 
 
-def _house() -> Column:
-    return _party(HOUSE, "Records Network", "Norwick", "desk@example.org", "pointOfContact")
+_HOUSE_PARTY = _party(HOUSE, "Records Network", "Norwick", "desk@example.org", "pointOfContact")
+_CURATOR_PARTY = _party(
+    "Curator: Smith, Ann", "Records Network", "Norwick", "ann@example.org", "custodian"
+)
+_THESAURUS = (
+    "<gmd:thesaurusName><gmd:CI_Citation>"
+    + _characters("title", "Keyword library")
+    + "<gmd:citedResponsibleParty>"
+    + _party("", "Records Network", "Norwick", "desk@example.org", "Originator")
+    + "</gmd:citedResponsibleParty></gmd:CI_Citation></gmd:thesaurusName>"
+)
 
 
-def _person(key: str, role: str) -> Column:
-    number = F.col(key)
-    return _party(
-        F.format_string("C%d, Given%d", number, number % 25),
-        F.concat(F.lit("Org "), "source"),
+def _cited(n: int) -> str:
+    party = _party(
+        f"C${{person_{n}}}, Given${{person_{n} % 25}}",
+        "Org ${source}",
         "Southwick",
-        F.format_string("c%d@example.org", number),
-        F.col(role),
+        f"c${{person_{n}}}@example.org",
+        f"${{role_{n}}}",
     )
+    return f"<gmd:citedResponsibleParty>{party}</gmd:citedResponsibleParty>"
 
 
-def _keywords(kind: str | None, words: list[Column], extra: Column | str = "") -> Column:
-    tail = (
-        ""
-        if kind is None
-        else f'<gmd:type><gmd:MD_KeywordTypeCode codeList="types">{kind}'
+def _keywords(kind: str, columns: list[str], extra: str = "") -> str:
+    typed = (
+        f'<gmd:type><gmd:MD_KeywordTypeCode codeList="types">{kind}'
         "</gmd:MD_KeywordTypeCode></gmd:type>"
     )
-    return _element(
-        "gmd:descriptiveKeywords",
-        "<gmd:MD_Keywords>",
-        *[_characters("gmd:keyword", escape(word)) for word in words],
-        tail,
-        extra,
-        "</gmd:MD_Keywords>",
+    return (
+        "<gmd:descriptiveKeywords><gmd:MD_Keywords>"
+        + "".join(_characters("keyword", _value(column)) for column in columns)
+        + (typed if kind else "")
+        + extra
+        + "</gmd:MD_Keywords></gmd:descriptiveKeywords>"
     )
 
 
-def render_iso(shaped: DataFrame) -> DataFrame:
-    """``(file_name, value)`` of the first dialect."""
-    thesaurus = _optional(
-        F.col("has_thesaurus"),
-        _element(
-            "gmd:thesaurusName",
-            "<gmd:CI_Citation>",
-            _characters("gmd:title", "Keyword library"),
-            "<gmd:citedResponsibleParty>",
-            _party(None, "Records Network", "Norwick", "desk@example.org", "Originator"),
-            "</gmd:citedResponsibleParty></gmd:CI_Citation>",
-        ),
+def _bound(tag: str, side: str) -> str:
+    return f"<gmd:{tag}><gco:Decimal>${{{side}}}</gco:Decimal></gmd:{tag}>"
+
+
+ISO_TEMPLATE = (
+    '<?xml version="1.0" encoding="UTF-8"?>\n'
+    '<gmd:MD_Metadata xmlns:gmd="http://www.isotc211.org/2005/gmd"'
+    ' xmlns:gco="http://www.isotc211.org/2005/gco" xmlns:gml="http://www.opengis.net/gml">'
+    + _characters("language", "${language_code}")
+    + f"<gmd:contact>{_HOUSE_PARTY}</gmd:contact>"
+    "<gmd:dateStamp><gco:Date>${date_stamp}</gco:Date></gmd:dateStamp>"
+    + _maybe("dataSetURI", "uri")
+    + "<gmd:identificationInfo><gmd:MD_DataIdentification><gmd:citation><gmd:CI_Citation>"
+    + _characters("title", _value("title"))
+    + _cited(1)
+    + _cited(2)
+    + _maybe("otherCitationDetails", "citation")
+    + "</gmd:CI_Citation></gmd:citation>"
+    + _characters("abstract", _value("text"))
+    + _maybe("purpose", "purpose")
+    + '<gmd:status><gmd:MD_ProgressCode codeList="progress">${progress_code}'
+    "</gmd:MD_ProgressCode></gmd:status>"
+    + _when("has_point_of_contact", f"<gmd:pointOfContact>{_HOUSE_PARTY}</gmd:pointOfContact>")
+    + _when(
+        "has_themes",
+        _keywords("theme", ["theme_1", "theme_2", "source"], _when("has_thesaurus", _THESAURUS)),
     )
-    curator = _party(
-        "Curator: Smith, Ann", "Records Network", "Norwick", "ann@example.org", "custodian"
-    )
-    value = _join(
-        '<?xml version="1.0" encoding="UTF-8"?>\n'
-        '<gmd:MD_Metadata xmlns:gmd="http://www.isotc211.org/2005/gmd"'
-        ' xmlns:gco="http://www.isotc211.org/2005/gco"'
-        ' xmlns:gml="http://www.opengis.net/gml">',
-        _characters("gmd:language", F.col("language_code")),
-        _element("gmd:contact", _house()),
-        _element("gmd:dateStamp", "<gco:Date>", F.col("date_stamp"), "</gco:Date>"),
-        _maybe("gmd:dataSetURI", F.col("uri")),
-        "<gmd:identificationInfo><gmd:MD_DataIdentification><gmd:citation><gmd:CI_Citation>",
-        _characters("gmd:title", escape(F.col("title"))),
-        _element("gmd:citedResponsibleParty", _person("person_1", "role_1")),
-        _element("gmd:citedResponsibleParty", _person("person_2", "role_2")),
-        _maybe("gmd:otherCitationDetails", F.col("citation")),
-        "</gmd:CI_Citation></gmd:citation>",
-        _characters("gmd:abstract", escape(F.col("text"))),
-        _maybe("gmd:purpose", F.col("purpose")),
-        '<gmd:status><gmd:MD_ProgressCode codeList="progress">',
-        F.col("progress_code"),
-        "</gmd:MD_ProgressCode></gmd:status>",
-        _optional(F.col("has_point_of_contact"), _element("gmd:pointOfContact", _house())),
-        _optional(
-            F.col("has_themes"),
-            _keywords(
-                "theme", [F.col("theme_1"), F.col("theme_2"), F.col("source")], thesaurus
-            ),
-        ),
-        _keywords("place", [F.col("place"), F.concat(F.lit("Second place, "), "source")]),
-        _optional(
-            F.col("has_untyped"), _keywords(None, [F.concat(F.lit("untyped "), "lang")])
-        ),
-        "<gmd:extent><gmd:EX_Extent><gmd:geographicElement><gmd:EX_GeographicBoundingBox>",
-        *[
-            _element(f"gmd:{tag}", "<gco:Decimal>", F.col(side), "</gco:Decimal>")
-            for tag, side in (
-                ("westBoundLongitude", "west"),
-                ("eastBoundLongitude", "east"),
-                ("southBoundLatitude", "south"),
-                ("northBoundLatitude", "north"),
-            )
-        ],
-        "</gmd:EX_GeographicBoundingBox></gmd:geographicElement>"
-        "<gmd:temporalElement><gmd:EX_TemporalExtent><gmd:extent><gml:TimePeriod>",
-        _element("gml:beginPosition", F.col("begin")),
-        _element("gml:endPosition", F.coalesce("end", F.lit(""))),
-        "</gml:TimePeriod></gmd:extent></gmd:EX_TemporalExtent></gmd:temporalElement>"
-        "</gmd:EX_Extent></gmd:extent>",
-        _maybe("gmd:supplementalInformation", F.col("supplement")),
-        "</gmd:MD_DataIdentification></gmd:identificationInfo>"
-        "<gmd:distributionInfo><gmd:MD_Distribution>"
-        "<gmd:distributionFormat><gmd:MD_Format>",
-        _characters("gmd:name", "Digital file"),
-        _maybe("gmd:version", F.col("version")),
-        "</gmd:MD_Format></gmd:distributionFormat>"
-        "<gmd:distributor><gmd:MD_Distributor><gmd:distributorContact>",
-        _house(),
-        "</gmd:distributorContact></gmd:MD_Distributor></gmd:distributor>"
-        "</gmd:MD_Distribution></gmd:distributionInfo>"
-        "<gmd:metadataMaintenance><gmd:MD_MaintenanceInformation><gmd:contact>",
-        F.when(F.col("has_curator"), curator).otherwise(_house()),
-        "</gmd:contact></gmd:MD_MaintenanceInformation></gmd:metadataMaintenance>",
-        F.when(F.col("stub"), "").otherwise("</gmd:MD_Metadata>"),
-    )
-    return shaped.select(F.concat("record_id", F.lit("_iso.xml")).alias("file_name"), value.alias("value"))
-
-
-def _cdata(tag: str, text: Column | str) -> Column:
-    return _element(tag, "<![CDATA[", text, "]]>")
-
-
-def _fgdc_party(
-    block: str, name: Column | str, organisation: Column | str, position: str, email: Column | str
-) -> Column:
-    return _element(
-        "cntinfo",
-        f"<{block}>",
-        _cdata("cntorg", organisation),
-        _cdata("cntper", name),
-        f"</{block}>",
-        _cdata("cntpos", position),
-        "<cntaddr>",
-        _cdata("address", "1 Archive Road"),
-        _cdata("city", "Norwick"),
-        _cdata("country", "Canada"),
-        "</cntaddr>",
-        _cdata("cntemail", email),
+    + _keywords("place", ["place", "'Second place, ' || source"])
+    + _when("has_untyped", _keywords("", ["'untyped ' || lang"]))
+    + "<gmd:extent><gmd:EX_Extent><gmd:geographicElement><gmd:EX_GeographicBoundingBox>"
+    + _bound("westBoundLongitude", "west")
+    + _bound("eastBoundLongitude", "east")
+    + _bound("southBoundLatitude", "south")
+    + _bound("northBoundLatitude", "north")
+    + "</gmd:EX_GeographicBoundingBox></gmd:geographicElement>"
+    "<gmd:temporalElement><gmd:EX_TemporalExtent><gmd:extent><gml:TimePeriod>"
+    "<gml:beginPosition>${begin}</gml:beginPosition>"
+    "<gml:endPosition>${coalesce(end, '')}</gml:endPosition>"
+    "</gml:TimePeriod></gmd:extent></gmd:EX_TemporalExtent></gmd:temporalElement>"
+    "</gmd:EX_Extent></gmd:extent>"
+    + _maybe("supplementalInformation", "supplement")
+    + "</gmd:MD_DataIdentification></gmd:identificationInfo>"
+    "<gmd:distributionInfo><gmd:MD_Distribution><gmd:distributionFormat><gmd:MD_Format>"
+    + _characters("name", "Digital file")
+    + _maybe("version", "version")
+    + "</gmd:MD_Format></gmd:distributionFormat>"
+    f"<gmd:distributor><gmd:MD_Distributor><gmd:distributorContact>{_HOUSE_PARTY}"
+    "</gmd:distributorContact></gmd:MD_Distributor></gmd:distributor>"
+    "</gmd:MD_Distribution></gmd:distributionInfo>"
+    "<gmd:metadataMaintenance><gmd:MD_MaintenanceInformation><gmd:contact>"
+    + _when("has_curator", _CURATOR_PARTY, _HOUSE_PARTY)
+    + "</gmd:contact></gmd:MD_MaintenanceInformation></gmd:metadataMaintenance>"
+    "${if(stub, '', '</gmd:MD_Metadata>')}"
+)
+
+
+def _cdata(tag: str, text: str) -> str:
+    return f"<{tag}><![CDATA[{text}]]></{tag}>"
+
+
+def _fgdc_party(block: str, name: str, organisation: str, position: str, email: str) -> str:
+    return (
+        f"<cntinfo><{block}>"
+        + _cdata("cntorg", organisation)
+        + _cdata("cntper", name)
+        + f"</{block}>"
+        + _cdata("cntpos", position)
+        + "<cntaddr>"
+        + _cdata("address", "1 Archive Road")
+        + _cdata("city", "Norwick")
+        + _cdata("country", "Canada")
+        + "</cntaddr>"
+        + _cdata("cntemail", email)
+        + "</cntinfo>"
     )
 
 
-def render_fgdc(shaped: DataFrame) -> DataFrame:
-    """``(file_name, value)`` of the second dialect."""
-
-    def person(key: str) -> Column:
-        return F.format_string("Given%d C%d", F.col(key) % 25, F.col(key))
-
-    compact_begin = F.replace(F.col("begin"), F.lit("-"), F.lit(""))
-    compact_end = F.replace(F.col("end"), F.lit("-"), F.lit(""))
-    value = _join(
-        "<metadata><idinfo><citation><citeinfo>",
-        _cdata("origin", F.format_string("C%d, Given%d", "person_1", F.col("person_1") % 25)),
-        _cdata("origin", F.format_string("C%d, Given%d", "person_2", F.col("person_2") % 25)),
-        _element("pubdate", F.col("date_stamp")),
-        _cdata("title", F.col("title")),
-        "</citeinfo></citation><descript>",
-        _element("abstract", escape(F.col("text"))),
-        _optional(F.col("purpose").isNotNull(), _cdata("purpose", F.col("purpose"))),
-        _cdata("supplinf", F.col("supplement")),
-        "</descript><timeperd><timeinfo><rngdates>",
-        _element("begdate", compact_begin),
-        _optional(F.col("end").isNotNull(), _element("enddate", compact_end)),
-        "</rngdates></timeinfo></timeperd><spdom><bounding>",
-        *[_element(f"{side}bc", F.col(side)) for side in ("west", "east", "north", "south")],
-        "</bounding></spdom><keywords>",
-        _optional(
-            F.col("has_themes"),
-            _element(
-                "theme",
-                "<themekt>NULL</themekt>",
-                *[_cdata("themekey", F.col(name)) for name in ("theme_1", "theme_2", "source")],
-            ),
-        ),
-        _element("place", _element("placekt", F.col("place"), "; ", F.col("source"))),
-        "</keywords>",
-        _element(
-            "ptcontac",
-            _fgdc_party(
-                "cntorgp",
-                _join("Contact: ", person("person_1")),
-                F.concat(F.lit("Org "), "source"),
-                "NULL",
-                F.format_string("c%d@example.org", "person_1"),
-            ),
-        ),
-        "</idinfo><distinfo>",
-        _element(
-            "distrib", _fgdc_party("cntperp", HOUSE, "Records Network", "Director", "desk@example.org")
-        ),
-        "</distinfo><metainfo><metd>20200403</metd>",
-        _element(
-            "metc",
-            _fgdc_party(
-                "cntperp",
-                person("person_2"),
-                F.concat(F.lit("Org "), "source"),
-                "Keeper",
-                F.format_string("c%d@example.org", "person_2"),
-            ),
-        ),
-        "</metainfo>",
-        F.when(F.col("stub"), "").otherwise("</metadata>"),
-    )
-    return shaped.select(
-        F.concat("record_id", F.lit("_fgdc.xml")).alias("file_name"), value.alias("value")
+def _fgdc_person(n: int, block: str, label: str, position: str) -> str:
+    return _fgdc_party(
+        block,
+        f"{label}Given${{person_{n} % 25}} C${{person_{n}}}",
+        "Org ${source}",
+        position,
+        f"c${{person_{n}}}@example.org",
     )
 
 
-RENDERERS = {"iso": render_iso, "fgdc": render_fgdc}
+FGDC_TEMPLATE = (
+    "<metadata><idinfo><citation><citeinfo>"
+    + _cdata("origin", "C${person_1}, Given${person_1 % 25}")
+    + _cdata("origin", "C${person_2}, Given${person_2 % 25}")
+    + "<pubdate>${date_stamp}</pubdate>"
+    + _cdata("title", "${title}")
+    + f"</citeinfo></citation><descript><abstract>{_value('text')}</abstract>"
+    + _when("purpose IS NOT NULL", _cdata("purpose", "${purpose}"))
+    + _cdata("supplinf", "${supplement}")
+    + "</descript><timeperd><timeinfo><rngdates>"
+    "<begdate>${replace(begin, '-', '')}</begdate>"
+    + _when("end IS NOT NULL", "<enddate>${replace(end, '-', '')}</enddate>")
+    + "</rngdates></timeinfo></timeperd><spdom><bounding>"
+    "<westbc>${west}</westbc><eastbc>${east}</eastbc>"
+    "<northbc>${north}</northbc><southbc>${south}</southbc></bounding></spdom><keywords>"
+    + _when(
+        "has_themes",
+        "<theme><themekt>NULL</themekt>"
+        + "".join(_cdata("themekey", f"${{{name}}}") for name in ("theme_1", "theme_2", "source"))
+        + "</theme>",
+    )
+    + "<place><placekt>${place}; ${source}</placekt></place></keywords>"
+    f"<ptcontac>{_fgdc_person(1, 'cntorgp', 'Contact: ', 'NULL')}</ptcontac></idinfo>"
+    "<distinfo><distrib>"
+    + _fgdc_party("cntperp", HOUSE, "Records Network", "Director", "desk@example.org")
+    + "</distrib></distinfo><metainfo><metd>20200403</metd>"
+    f"<metc>{_fgdc_person(2, 'cntperp', '', 'Keeper')}</metc></metainfo>"
+    "${if(stub, '', '</metadata>')}"
+)
+
+TEMPLATES = {"iso": ISO_TEMPLATE, "fgdc": FGDC_TEMPLATE}
 
 
 def corpus(spark: SparkSession, sf_dir: str, dialect: str) -> DataFrame:
     """``(file_name, value)`` for every document."""
-    return RENDERERS[dialect](shape(documents(spark, sf_dir)))
+    return shape(documents(spark, sf_dir)).select(
+        F.expr(f"record_id || '_{dialect}.xml'").alias("file_name"),
+        _fill(TEMPLATES[dialect]).alias("value"),
+    )
