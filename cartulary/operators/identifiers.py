@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartulary.operators.lookup import uniform_lookup
 from cartulary.settings import DOI_PREFIXES, DOI_RESOLVER
 
 
@@ -35,7 +34,11 @@ def best_dois(registry: DataFrame, prefixes: Sequence[str] = DOI_PREFIXES) -> Da
 def resolve_dois(
     records: DataFrame, registry: DataFrame, prefixes: Sequence[str] = DOI_PREFIXES
 ) -> DataFrame:
-    """Add ``doi_url`` to records with a ``local_id``; an empty text when none is registered."""
-    return uniform_lookup(
-        records, best_dois(registry, prefixes), "local_id", spread="record_id"
-    ).withColumn("doi_url", F.coalesce("doi_url", F.lit("")))
+    """Add ``doi_url`` to records with a ``local_id``; an empty text when none is registered.
+
+    The only shuffle of the records, and none when the registry is small enough for a
+    broadcast. Ids that many records share are left to adaptive execution, which splits
+    their partition: the registry side has one row per id.
+    """
+    found = records.join(best_dois(registry, prefixes), "local_id", "left")
+    return found.withColumn("doi_url", F.coalesce("doi_url", F.lit("")))

@@ -1,10 +1,12 @@
 """Key lookups that survive hot keys.
 
-A few keys can carry a large share of the rows: boilerplate text, a house organisation, a
-popular keyword. A plain shuffled join would send each of them to one task.
+A few keys can carry a large share of the rows: boilerplate text, a person who is given
+everything. Where the facts are a stored table, reading their key column twice is cheap, and
+the hot keys are found first and spread over many tasks. Where the facts are the result of
+heavy work, such as parsing, a plain join is used instead: adaptive execution splits its
+skewed partitions at run time without a second pass.
 
-Both lookups are left joins and leave the choice between a shuffle and a broadcast of the
-``dimension`` to the optimizer, which knows the sizes.
+Whether a side is broadcast is left to the optimizer, which checks its size.
 """
 
 from __future__ import annotations
@@ -20,70 +22,54 @@ HOT_ROWS = 500_000
 # like any other key, or in larger pieces; adaptive execution splits those partitions.
 MAX_HOT_KEYS = 10_000
 MAX_SALTS = 4_096
-# Copies of a narrow dimension in the uniform lookup.
-UNIFORM_SALTS = 32
 
 
-def hot_keys(facts: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """``(key, _salts)`` of the most frequent keys above the threshold.
+def hot_keys(facts: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``(keys, _salts)`` of the most frequent keys above the threshold.
 
     Counting is combined before the shuffle, so a hot key costs one row per input split.
     """
     salts = F.least(F.ceil(F.col("_rows") / hot_rows), F.lit(MAX_SALTS)).cast("int")
     return (
-        facts.where(F.col(key).isNotNull())
-        .groupBy(key)
+        facts.dropna(subset=list(keys))
+        .groupBy(*keys)
         .agg(F.count("*").alias("_rows"))
         .where(F.col("_rows") > hot_rows)
-        .orderBy(F.desc("_rows"), key)
+        .orderBy(F.desc("_rows"), *keys)
         .limit(MAX_HOT_KEYS)
-        .select(key, salts.alias("_salts"))
+        .select(*keys, salts.alias("_salts"))
     )
 
 
-def _bucket(spread: str, salts: Column) -> Column:
-    return F.pmod(F.xxhash64(spread), salts).cast("int")
-
-
 def salted_lookup(
-    facts: DataFrame, dimension: DataFrame, key: str, spread: str, hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """Lookup that salts hot keys only, for a dimension too wide to copy.
-
-    ``spread`` names a column that differs between rows of one key. Only the dimension rows
-    of hot keys are repeated. Rows without a key are spread as well and find nothing. The
-    facts are read twice, the first time for the key column alone.
-    """
-    hot = F.broadcast(hot_keys(facts, key, hot_rows))
-    salts = F.when(F.col(key).isNull(), F.lit(MAX_SALTS)).otherwise(
-        F.coalesce("_salts", F.lit(1))
-    )
-    salted_facts = (
-        facts.join(hot, key, "left").withColumn("_salt", _bucket(spread, salts)).drop("_salts")
-    )
-    salted_dimension = (
-        dimension.join(hot, key, "left")
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)))
-        .drop("_salts")
-    )
-    return salted_facts.join(salted_dimension, [key, "_salt"], "left").drop("_salt")
-
-
-def uniform_lookup(
     facts: DataFrame,
     dimension: DataFrame,
     key: str | Sequence[str],
     spread: str,
     how: str = "left",
-    salts: int = UNIFORM_SALTS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Lookup that salts every key, for wide facts and a narrow dimension.
+    """Join of ``facts`` with a ``dimension``: ``left``, ``left_semi`` or ``left_anti``.
 
-    Copying the dimension costs less than a second pass over the facts to find hot keys.
-    ``how`` may also be ``left_semi`` or ``left_anti``.
+    ``spread`` names a column that differs between rows of one key. Only the dimension rows
+    of hot keys are repeated, once per salt. Rows without a key are spread as well and find
+    nothing.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    every = F.lit(salts)
-    salted_facts = facts.withColumn("_salt", _bucket(spread, every))
-    salted_dimension = dimension.withColumn("_salt", F.explode(F.sequence(F.lit(0), every - 1)))
-    return salted_facts.join(salted_dimension, [*keys, "_salt"], how).drop("_salt")
+    hot = F.broadcast(hot_keys(facts, keys, hot_rows))
+    keyless = F.greatest(*[F.col(name).isNull() for name in [*keys, keys[0]]])
+
+    def salts(otherwise: Column) -> Column:
+        return F.coalesce("_salts", otherwise)
+
+    salt = F.pmod(
+        F.xxhash64(spread), salts(F.when(keyless, F.lit(MAX_SALTS)).otherwise(F.lit(1)))
+    )
+    copies = F.explode(F.sequence(F.lit(0), salts(F.lit(1)) - 1))
+    salted_facts = facts.join(hot, keys, "left").withColumn("_salt", salt.cast("int"))
+    salted_dimension = dimension.join(hot, keys, "left").withColumn("_salt", copies)
+    return (
+        salted_facts.drop("_salts")
+        .join(salted_dimension.drop("_salts"), [*keys, "_salt"], how)
+        .drop("_salt")
+    )

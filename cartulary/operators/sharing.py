@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartulary.functions.text import text_array
-from cartulary.operators.lookup import uniform_lookup
+from cartulary.operators.lookup import HOT_ROWS, salted_lookup
 
 GRANT = ("person", "user_id", "record_key", "shared")
 
@@ -36,7 +36,9 @@ def share_grants(records: DataFrame, persons: Sequence[str] | Column) -> DataFra
     )
 
 
-def append_shares(existing: DataFrame, new: DataFrame, mode: str = "replace") -> DataFrame:
+def append_shares(
+    existing: DataFrame, new: DataFrame, mode: str = "replace", hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Existing grants with new ones added.
 
     ``replace``: a person's grants from a user give way to the new ones for the same pair;
@@ -51,7 +53,7 @@ def append_shares(existing: DataFrame, new: DataFrame, mode: str = "replace") ->
     if mode != "replace":
         raise ValueError(f"unknown mode {mode!r}")
     pairs = new.select("person", "user_id").distinct()
-    kept = uniform_lookup(
-        existing, pairs, ["person", "user_id"], spread="record_key", how="left_anti"
+    kept = salted_lookup(
+        existing, pairs, ["person", "user_id"], "record_key", "left_anti", hot_rows
     )
     return kept.select(*GRANT).unionByName(new)

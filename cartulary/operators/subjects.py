@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartulary.functions.text import strip, text_array, text_map
-from cartulary.operators.lookup import salted_lookup
 from cartulary.settings import DEFAULT_CATEGORY
 from cartulary.vocabulary import CATEGORIES, categories_by_term
 
@@ -89,14 +88,14 @@ def classify_by_table(
 ) -> DataFrame:
     """Classification against a ``(category, term)`` table of any size.
 
-    Popular keywords are hot join keys, so the lookup salts them. The result has one row per
-    ``record_id``.
+    Popular keywords are hot join keys. The vocabulary side is distinct, and adaptive
+    execution splits their partitions. The result has one row per ``record_id``.
     """
     terms = vocabulary.where(F.col("term").isNotNull()).select("category", "term").distinct()
     mentions = records.select(
         "record_id", F.explode_outer(F.array_distinct(keywords)).alias("term")
     )
-    hits = salted_lookup(mentions, terms, "term", spread="record_id")
+    hits = mentions.join(terms, "term", "left")
     return hits.groupBy("record_id").agg(
         _or_default(F.collect_set("category")).alias("categories")
     )

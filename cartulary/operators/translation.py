@@ -30,7 +30,7 @@ def look_up(
 ) -> DataFrame:
     """Add ``translated`` from the memory, null where it has none."""
     return salted_lookup(
-        keyed, memory.select("cache_key", "translated"), "cache_key", spread, hot_rows
+        keyed, memory.select("cache_key", "translated"), "cache_key", spread, hot_rows=hot_rows
     )
 
 
@@ -78,6 +78,16 @@ def _notice() -> Column:
     )
 
 
+def field_texts(
+    records: DataFrame, fields: Sequence[str] = TRANSLATED_FIELDS, key: str = "recordKey"
+) -> DataFrame:
+    """``(key, field, text)``: the English text of each localised field."""
+    entries = [
+        F.struct(F.lit(name).alias("field"), F.col(name)["en"].alias("text")) for name in fields
+    ]
+    return records.select(key, F.inline(F.array(*entries)))
+
+
 def translate_records(
     records: DataFrame,
     memory: DataFrame,
@@ -90,19 +100,10 @@ def translate_records(
     Only keys travel to the lookup and only translations travel back; the records are
     shuffled once, when the translations of all fields join them. A field without English
     text, and one the memory lacks, stays as it is.
+
+    The records are read three times, so they should be a stored table.
     """
-    texts = records.select(
-        key,
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(name).alias("field"), F.col(name)["en"].alias("text"))
-                    for name in fields
-                ]
-            )
-        ).alias("entry"),
-    ).select(key, "entry.field", "entry.text")
-    keyed = with_keys(texts).where(F.col("cache_key").isNotNull()).select(key, "field", "cache_key")
+    keyed = with_keys(field_texts(records, fields, key)).select(key, "field", "cache_key")
     found = look_up(keyed, memory, key, hot_rows).where(F.col("translated").isNotNull())
     per_record = found.groupBy(key).agg(
         F.map_from_entries(F.collect_list(F.struct("field", "translated"))).alias("_french")

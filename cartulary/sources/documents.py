@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -89,3 +90,20 @@ def quarantine(documents: DataFrame, dialect: str) -> DataFrame:
     return documents.select("record_id", "file_name", F.inline(broken)).select(
         "record_id", "file_name", F.lit(dialect).alias("dialect"), "text"
     )
+
+
+def present_records(spark: SparkSession, path: str, dialect: str) -> DataFrame:
+    """Ids of the records that a folder already holds; file contents are not read."""
+    try:
+        files = (
+            spark.read.format("binaryFile")
+            .option("pathGlobFilter", f"*_{dialect}.xml")
+            .option("recursiveFileLookup", "true")
+            .load(path)
+        )
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "record_id string")
+    names = files.select(F.substring_index("path", "/", -1).alias("file_name"))
+    return identify(names, dialect).select("record_id")

@@ -27,6 +27,7 @@ from cartulary.settings import LANGUAGE_CODES, PROGRESS_CODES, JobSettings
 from cartulary.sinks.exports import record_lines
 from cartulary.sources import documents as sources
 from cartulary.sources.lists import tagged_union as stack_lists
+from cartulary.staging import stage
 from cartulary.vocabulary import vocabulary_table
 from cartulary.workload import corpus
 
@@ -580,7 +581,7 @@ def translate_memory_update(spark: SparkSession, sf_dir: str) -> DataFrame:
 def translate_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Abstracts that the memory knows get their French text; other fields stay."""
     records = plans.harmonise_iso(_iso(spark, sf_dir), SETTINGS)
-    narrow = records.select("recordKey", *translation.TRANSLATED_FIELDS)
+    narrow = stage(records.select("recordKey", *translation.TRANSLATED_FIELDS))
     translated = translation.translate_records(narrow, _memory(spark, sf_dir))
     return translated.select(
         F.col("recordKey").alias("record_key"),
