@@ -35,8 +35,10 @@ def after_last(text: Column, separator: str) -> Column:
 
 
 def quoted(value: str) -> str:
-    """A text as a SQL literal."""
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    """A text as a SQL literal; ``$`` would start a variable."""
+    for plain, escaped in (("\\", "\\\\"), ("'", "\\'"), ("\n", "\\n"), ("$", "\\u0024")):
+        value = value.replace(plain, escaped)
+    return f"'{value}'"
 
 
 def _array_literal(values: Sequence[str]) -> str:

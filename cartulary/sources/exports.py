@@ -41,9 +41,10 @@ def read_record_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def typed_records(lines: DataFrame, schema: StructType) -> DataFrame:
-    """Record texts as columns of the output schema."""
+    """Record texts as columns of the output schema, the key first."""
+    body = StructType([field for field in schema.fields if field.name != "recordKey"])
     return lines.select(
-        F.col("record_key").alias("recordKey"), F.from_json("record", schema).alias("record")
+        F.col("record_key").alias("recordKey"), F.from_json("record", body).alias("record")
     ).select("recordKey", "record.*")
 
 

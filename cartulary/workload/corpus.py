@@ -15,6 +15,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cartulary.functions.text import quoted
 from cartulary.vocabulary import categories_by_term
 
 STUB_CHARS = 100
@@ -46,12 +47,8 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.repartition(cores, "doc_id") if len(table.inputFiles()) < cores else table
 
 
-def _quoted(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'").replace("\n", "\\n") + "'"
-
-
 def _pick(values: list[str], index: str) -> str:
-    listed = ", ".join(_quoted(value) for value in values)
+    listed = ", ".join(quoted(value) for value in values)
     return f"get(array({listed}), CAST({index} AS INT) % {len(values)})"
 
 
@@ -115,7 +112,7 @@ def _concat(template: str) -> str:
     """The SQL that fills a template."""
     pieces = re.split(r"\$\{(.*?)\}", template)
     parts = [
-        piece if i % 2 else _quoted(piece) for i, piece in enumerate(pieces) if piece
+        piece if i % 2 else quoted(piece) for i, piece in enumerate(pieces) if piece
     ]
     return f"concat({', '.join(parts)})"
 
