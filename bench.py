@@ -11,8 +11,7 @@ import os
 import statistics
 import time
 
-from pyspark.sql import SparkSession
-
+from cartulary.session import builder
 from cartulary.workload.queries import QUERIES
 
 HEADLINE = (
@@ -46,11 +45,8 @@ def main() -> None:
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     only = [name for name in os.environ.get("BENCH_QUERIES", "").split(",") if name]
     spark = (
-        SparkSession.builder.master(f"local[{cpus}]")
-        .appName("bench")
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.session.timeZone", "UTC")
+        builder("bench")
+        .master(f"local[{cpus}]")
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.driver.memory", "16g")
         .getOrCreate()

@@ -167,10 +167,19 @@ def merge_contacts(records: DataFrame, column: str = "contacts") -> DataFrame:
 
 
 def contacts_long(records: DataFrame, column: str = "contacts") -> DataFrame:
-    """One row per contact with its position in the record."""
-    return records.select(
-        "record_id", F.posexplode(column).alias("position", "contact")
-    ).select("record_id", "position", "contact.*")
+    """One row per contact with its position in the record.
+
+    ``inline`` of an expression, because ``posexplode`` of a column adds a filter that is
+    pushed below the projection and builds all contacts a second time.
+    """
+    numbered = F.transform(
+        F.col(column),
+        lambda person, position: F.struct(
+            position.alias("position"),
+            *[person[field].alias(field) for field in (*IDENTITY, "role")],
+        ),
+    )
+    return records.select("record_id", F.inline(numbered))
 
 
 def merge_contacts_long(contacts: DataFrame) -> DataFrame:

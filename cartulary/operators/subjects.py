@@ -57,6 +57,29 @@ def fgdc_keywords() -> Column:
     return F.concat(F.col("theme_keys"), listed)
 
 
+def keywords_long(records: DataFrame) -> DataFrame:
+    """One row per keyword with its group, the group's type, and both positions.
+
+    ``inline`` of an expression keeps the optimizer from adding a filter on the array, which
+    would extract the keywords twice.
+    """
+    words = F.flatten(
+        F.transform(
+            F.col("keyword_groups"),
+            lambda group, group_position: F.transform(
+                group["keywords"],
+                lambda keyword, position: F.struct(
+                    group_position.alias("group_position"),
+                    group["type"].alias("keyword_type"),
+                    position.alias("position"),
+                    keyword.alias("keyword"),
+                ),
+            ),
+        )
+    )
+    return records.select("record_id", F.inline(words))
+
+
 def _or_default(categories: Column) -> Column:
     return F.when(F.size(categories) > 0, F.array_sort(categories)).otherwise(
         text_array([DEFAULT_CATEGORY])

@@ -152,15 +152,7 @@ def extract_core(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def extract_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
-    groups = _iso(spark, sf_dir).select(
-        "record_id", F.posexplode("keyword_groups").alias("group_position", "keyword_group")
-    )
-    return groups.select(
-        "record_id",
-        "group_position",
-        F.col("keyword_group.type").alias("keyword_type"),
-        F.posexplode("keyword_group.keywords").alias("position", "keyword"),
-    )
+    return subjects.keywords_long(_iso(spark, sf_dir))
 
 
 def bounding_box(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -556,7 +548,7 @@ def translation_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def translate_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    keyed = _texts(spark, sf_dir).select("doc_id", "cache_key")
+    keyed = stage(_texts(spark, sf_dir).select("doc_id", "cache_key"))
     return translation.look_up(keyed, _memory(spark, sf_dir), "doc_id").select(
         "doc_id", "cache_key", "translated"
     )
