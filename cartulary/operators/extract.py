@@ -176,6 +176,9 @@ _FGDC_COLUMNS = {
     "word -> nullif(word, ''))",
     "places": _first("idinfo.keywords.place.placekt"),
     "metadata_date": _text("metainfo.metd"),
+    "revised": "revdate",
+    "depth_max": "depthmax",
+    "depth_min": "depthmix",
     "points_of_contact": _fgdc_parties("idinfo.ptcontac"),
     "distributors": _fgdc_parties("distinfo.distrib"),
     "maintainers": _fgdc_parties("metainfo.metc"),

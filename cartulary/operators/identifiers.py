@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartulary.operators.lookup import adaptive_lookup
 from cartulary.settings import DOI_PREFIXES, DOI_RESOLVER
 
 
@@ -40,5 +41,5 @@ def resolve_dois(
     broadcast. Ids that many records share are left to adaptive execution, which splits
     their partition: the registry side has one row per id.
     """
-    found = records.join(best_dois(registry, prefixes), "local_id", "left")
+    found = adaptive_lookup(records, best_dois(registry, prefixes), "local_id", "record_id")
     return found.withColumn("doi_url", F.coalesce("doi_url", F.lit("")))

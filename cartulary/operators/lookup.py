@@ -3,8 +3,8 @@
 A few keys can carry a large share of the rows: boilerplate text, a person who is given
 everything. Where the facts are a stored table, reading their key column twice is cheap, and
 the hot keys are found first and spread over many tasks. Where the facts are the result of
-heavy work, such as parsing, a plain join is used instead: adaptive execution splits its
-skewed partitions at run time without a second pass.
+heavy work, such as parsing, the join is written so that adaptive execution can split its
+skewed partitions at run time, without a second pass.
 
 Whether a side is broadcast is left to the optimizer, which checks its size.
 """
@@ -73,3 +73,17 @@ def salted_lookup(
         .join(salted_dimension.drop("_salts"), [*keys, "_salt"], how)
         .drop("_salt")
     )
+
+
+def adaptive_lookup(
+    facts: DataFrame, dimension: DataFrame, key: str, spread: str
+) -> DataFrame:
+    """Left join that leaves hot keys to adaptive execution.
+
+    It splits a skewed partition only where the shuffle feeds the join directly. A dimension
+    that was just aggregated by the key would be joined without a shuffle of its own; the
+    second key calls for one. It also spreads the rows without a key.
+    """
+    bucketed_facts = facts.withColumn("_bucket", F.xxhash64(F.coalesce(key, spread)))
+    bucketed_dimension = dimension.withColumn("_bucket", F.xxhash64(key))
+    return bucketed_facts.join(bucketed_dimension, [key, "_bucket"], "left").drop("_bucket")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartulary.functions.text import strip, text_array, text_map
+from cartulary.operators.lookup import adaptive_lookup
 from cartulary.settings import DEFAULT_CATEGORY
 from cartulary.vocabulary import CATEGORIES, categories_by_term
 
@@ -118,7 +119,7 @@ def classify_by_table(
     mentions = records.select(
         "record_id", F.explode_outer(F.array_distinct(keywords)).alias("term")
     )
-    hits = mentions.join(terms, "term", "left")
+    hits = adaptive_lookup(mentions, terms, "term", "record_id")
     return hits.groupBy("record_id").agg(
         _or_default(F.collect_set("category")).alias("categories")
     )

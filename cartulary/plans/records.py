@@ -195,7 +195,7 @@ def harmonise_fgdc(records: DataFrame, settings: JobSettings) -> DataFrame:
         "dateStart": F.col("begin"),
         "dateEnd": F.col("end"),
         "datePublished": F.col("published"),
-        "dateRevised": F.lit(None).cast("string"),
+        "dateRevised": F.col("revised"),
         "distribution": _empty(DISTRIBUTION),
         "doiCreationStatus": F.lit(""),
         "edition": F.lit(""),
@@ -209,6 +209,8 @@ def harmonise_fgdc(records: DataFrame, settings: JobSettings) -> DataFrame:
         "progress": F.lit("onGoing"),
         "timeFirstPublished": F.col("metadata_date"),
         "noVerticalExtent": F.lit(False),
+        "verticalExtentMax": F.col("depth_max"),
+        "verticalExtentMin": F.col("depth_min"),
     }
     return _project(keyed, fields)
 

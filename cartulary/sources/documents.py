@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartulary.functions import keys
 from cartulary.operators.extract import EXTRACTORS
-from cartulary.sources.schemas import CORRUPT, SCHEMAS
+from cartulary.sources.schemas import CORRUPT, SCHEMAS, UNPLACED
 
 _OPTIONS = {
     "ignoreNamespace": "true",
@@ -33,12 +33,34 @@ def read_documents(spark: SparkSession, path: str, dialect: str) -> DataFrame:
     return identify(texts.select(F.col("_metadata.file_name").alias("file_name"), "value"), dialect)
 
 
+def _broken() -> Column:
+    return F.col("document").isNull() | F.col("document")[CORRUPT].isNotNull()
+
+
+def _anywhere(tag: str) -> Column:
+    """The first element of a name at any depth, for elements without a fixed place.
+
+    XPath reads the document again, so only texts that mention the element get there, and
+    never one that is malformed, which would fail the job.
+    """
+    mentioned = F.contains("value", F.lit(f"<{tag}")) & ~F.contains("value", F.lit("<!DOCTYPE"))
+    return F.when(
+        ~_broken() & mentioned, F.nullif(F.xpath_string("value", F.lit(f"//{tag}")), F.lit(""))
+    ).alias(tag)
+
+
 def parse(documents: DataFrame, dialect: str) -> DataFrame:
-    """Replace the text by the ``document`` struct; malformed texts stay, flagged."""
+    """Documents as the ``document`` struct; malformed ones stay, flagged, with their text."""
     document = F.from_xml("value", SCHEMAS[dialect], _OPTIONS)
-    return documents.select("record_id", "file_name", document.alias("document")).withColumn(
-        "malformed",
-        F.col("document").isNull() | F.col("document")[CORRUPT].isNotNull(),
+    parsed = documents.select("record_id", "file_name", "value", document.alias("document"))
+    broken = _broken()
+    return parsed.select(
+        "record_id",
+        "file_name",
+        "document",
+        broken.alias("malformed"),
+        F.when(broken, F.coalesce("value", F.lit(""))).alias("rejected"),
+        *[_anywhere(tag) for tag in UNPLACED[dialect]],
     )
 
 
@@ -52,7 +74,8 @@ def well_formed(parsed: DataFrame) -> DataFrame:
         F.array("document"),
         lambda document: document.isNotNull() & document[CORRUPT].isNull(),
     )
-    return parsed.select("record_id", "file_name", F.inline(intact)).drop(CORRUPT)
+    carried = [name for name in parsed.columns if name not in ("document", "malformed", "rejected")]
+    return parsed.select(*carried, F.inline(intact)).drop(CORRUPT)
 
 
 def land(documents: DataFrame, dialect: str) -> DataFrame:
@@ -62,16 +85,7 @@ def land(documents: DataFrame, dialect: str) -> DataFrame:
     ``rejected`` and no other column, so that one write holds both the corpus and its
     quarantine.
     """
-    document = F.from_xml("value", SCHEMAS[dialect], _OPTIONS)
-    parsed = documents.select("record_id", "file_name", "value", document.alias("document"))
-    broken = F.col("document").isNull() | F.col("document")[CORRUPT].isNotNull()
-    flagged = parsed.select(
-        "record_id",
-        "file_name",
-        broken.alias("malformed"),
-        F.when(broken, F.coalesce("value", F.lit(""))).alias("rejected"),
-        "document.*",
-    )
+    flagged = parse(documents, dialect).select("*", "document.*").drop("document", CORRUPT)
     return EXTRACTORS[dialect](flagged, carry=("malformed", "rejected"))
 
 

@@ -73,3 +73,6 @@ FGDC_SCHEMA = (
 )
 
 SCHEMAS = {"iso": ISO_SCHEMA, "fgdc": FGDC_SCHEMA}
+
+# Elements that are read wherever they occur.
+UNPLACED = {"iso": (), "fgdc": ("revdate", "depthmax", "depthmix")}

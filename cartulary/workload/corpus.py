@@ -37,14 +37,14 @@ PROGRESS = ["completed", "ongoing", "planned", "underDevelopment", "obsolete"]
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents, spread over all cores when they come in fewer files than there are cores.
+    """The documents, spread over all cores when they come in fewer splits than there are cores.
 
-    Parsing is bound by the processor, and a small table is a single split. A table of many
-    files is left as it is.
+    Parsing is bound by the processor, and a small table is one row group. A large table has
+    more splits than cores and is read as it is.
     """
     table = spark.read.parquet(f"{sf_dir}/documents.parquet")
     cores = spark.sparkContext.defaultParallelism
-    return table.repartition(cores, "doc_id") if len(table.inputFiles()) < cores else table
+    return table.repartition(cores, "doc_id") if table.rdd.getNumPartitions() < cores else table
 
 
 def _pick(values: list[str], index: str) -> str:
@@ -88,6 +88,7 @@ _SHAPE = {
     "role_1": _pick(ROLES, "doc_id"),
     "role_2": _pick(ROLES, "(doc_id + 3)"),
     "has_thesaurus": "doc_id % 10 = 0",
+    "has_depth": "doc_id % 5 = 0",
     "citation": "CASE WHEN doc_id % 7 = 0 THEN 'Unpublished Data' "
     "WHEN doc_id % 23 = 0 THEN 'C' || person_1 || ', G., et al. (2020). ' || title "
     "WHEN doc_id % 29 = 0 THEN 'C' || person_1 || ' and others' "
@@ -297,7 +298,9 @@ FGDC_TEMPLATE = (
     + _when("end IS NOT NULL", "<enddate>${replace(end, '-', '')}</enddate>")
     + "</rngdates></timeinfo></timeperd><spdom><bounding>"
     "<westbc>${west}</westbc><eastbc>${east}</eastbc>"
-    "<northbc>${north}</northbc><southbc>${south}</southbc></bounding></spdom><keywords>"
+    "<northbc>${north}</northbc><southbc>${south}</southbc></bounding>"
+    + _when("has_depth", "<depthmax>${n_chars % 500}</depthmax><depthmix>0</depthmix>")
+    + "</spdom><keywords>"
     + _when(
         "has_themes",
         "<theme><themekt>NULL</themekt>"
@@ -309,7 +312,8 @@ FGDC_TEMPLATE = (
     "<distinfo><distrib>"
     + _fgdc_party("cntperp", HOUSE, "Records Network", "Director", "desk@example.org")
     + "</distrib></distinfo><metainfo><metd>20200403</metd>"
-    f"<metc>{_fgdc_person(2, 'cntperp', '', 'Keeper')}</metc></metainfo>"
+    + _when("has_curator", "<revdate><![CDATA[${replace(begin, '-', '')}]]></revdate>")
+    + f"<metc>{_fgdc_person(2, 'cntperp', '', 'Keeper')}</metc></metainfo>"
     "${if(stub, '', '</metadata>')}"
 )
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartulary.functions import citation, dates, keys, names
+from cartulary.functions import citation, dates, keys
 from cartulary.functions.codes import map_code, map_role
 from cartulary.functions.localised import distribution
 from cartulary.operators import (
@@ -15,6 +15,7 @@ from cartulary.operators import (
     contacts,
     harvest,
     identifiers,
+    people,
     profile,
     quality,
     sharing,
@@ -288,8 +289,31 @@ def standardise_names(spark: SparkSession, sf_dir: str) -> DataFrame:
             )
         )
     )
-    name = names.person_name(F.col("written"), corpus.HOUSE_NAMES)
-    return written.select("kind", "id", "written", name.alias("name")).select(
+    return _flat_names(people.standardise_names(written, "written", corpus.HOUSE_NAMES))
+
+
+def standardise_names_by_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers and customers by name; suppliers in debt are listed as houses."""
+    suppliers = _table(spark, sf_dir, "supplier")
+    written = suppliers.select(
+        F.lit("supplier").alias("kind"),
+        F.col("s_suppkey").alias("id"),
+        F.concat(F.lit("Firm: "), "s_name").alias("written"),
+    ).unionByName(
+        _table(spark, sf_dir, "customer").select(
+            F.lit("customer").alias("kind"),
+            F.col("c_custkey").alias("id"),
+            F.col("c_name").alias("written"),
+        )
+    )
+    houses = suppliers.where("s_acctbal < 0").select(
+        F.col("s_name").alias("full"), F.array("s_name", F.lit("")).alias("parts")
+    )
+    return _flat_names(people.standardise_names_by_table(written, "written", houses, "id"))
+
+
+def _flat_names(named: DataFrame) -> DataFrame:
+    return named.select(
         "kind",
         "id",
         "written",
@@ -456,6 +480,8 @@ def _flat_records(records: DataFrame) -> DataFrame:
         _joined(F.array_sort(F.map_keys("sharedWith"))).alias("shared_with"),
         "status",
         F.col("timeFirstPublished").alias("time_first_published"),
+        F.col("verticalExtentMax").alias("vertical_extent_max"),
+        F.col("verticalExtentMin").alias("vertical_extent_min"),
         *[column for column in ("comments_en", "resource_code", "organization") if column in records.columns],
     )
 
@@ -735,6 +761,7 @@ QUERIES: dict[str, Query] = {
         map_codes,
         map_roles,
         standardise_names,
+        standardise_names_by_table,
         citation_authors,
         citation_mismatch,
         theme_keywords,

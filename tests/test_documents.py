@@ -286,3 +286,14 @@ def test_one_parser_per_document(spark):
     records = plans.harmonise_iso(extract.extract_iso(sources.well_formed(parsed)), SETTINGS)
     plan = records.where(F.col("title.en") != "")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_xml(") == 1
+
+
+def test_elements_without_a_fixed_place(harmonised):
+    text = made.fgdc().replace(
+        "<metd>", "<deep><revdate><![CDATA[2021]]></revdate></deep><depthmax>40</depthmax><depthmix/><metd>"
+    )
+    found = harmonised(text, made.fgdc(), text.replace("</metadata>", ""), dialect="fgdc")
+    assert sorted(found) == ["0", "1"]
+    first = found["0"]
+    assert (first.dateRevised, first.verticalExtentMax, first.verticalExtentMin) == ("2021", "40", None)
+    assert found["1"].dateRevised is None

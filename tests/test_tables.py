@@ -12,7 +12,9 @@ from cartulary.operators import (
     appending,
     contacts,
     harvest,
+    identifiers,
     lookup,
+    people,
     profile,
     sharing,
     subjects,
@@ -290,3 +292,45 @@ def test_tagged_union(spark):
     found = lists.tagged_union(one, two)
     assert found.columns == ["id", "x", "status", "y"]
     assert rows(found) == Counter([(1, "a", "confirmed", None), (2, None, "candidate", 5.0)])
+
+
+def test_house_names_by_table(spark):
+    names = ["Desk: The House", "Doe, Jane", *["The  House"] * 30, None]
+    table = spark.createDataFrame(list(enumerate(names)), "id int, written string")
+    houses = spark.createDataFrame([("The House", ["The House", ""])], "full string, parts array<string>")
+    literal = people.standardise_names(table, "written", {"The House": ["The House", ""]})
+    for hot_rows in (5, 10_000):
+        by_table = people.standardise_names_by_table(table, "written", houses, "id", hot_rows)
+        assert rows(by_table) == rows(literal)
+
+
+def test_adaptive_execution_splits_a_hot_id(spark):
+    """The record side of a lookup may hold one id in a third of its rows."""
+    lowered = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {key: spark.conf.get(key, None) for key in lowered}
+    for key, value in lowered.items():
+        spark.conf.set(key, value)
+    try:
+        records = spark.range(0, 30000, 1, 16).selectExpr(
+            "CAST(id AS STRING) AS record_id",
+            "CASE WHEN id % 3 = 0 THEN 'hot' ELSE CAST(id AS STRING) END AS local_id",
+        )
+        registry = spark.range(0, 30000, 7).selectExpr("'10.21963/' || id AS doi").union(
+            spark.createDataFrame([("10.21963/hot",)], "doi string")
+        )
+        found = identifiers.resolve_dois(records, registry)
+        assert found.where("doi_url <> ''").count() == 10000 + sum(
+            1 for i in range(0, 30000, 7) if i % 3
+        )
+        found.collect()
+        assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
