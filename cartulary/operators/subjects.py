@@ -13,7 +13,7 @@ from cartulary.settings import DEFAULT_CATEGORY
 from cartulary.vocabulary import CATEGORIES, categories_by_term
 
 # A vocabulary up to this many terms is inlined as a literal; a larger one is a table.
-INLINE_TERMS = 5_000
+INLINE_TERMS = 500
 
 
 def _of_type(kind: str) -> Column:
