@@ -88,6 +88,30 @@ def field_texts(
     return records.select(key, F.inline(F.array(*entries)))
 
 
+def with_field_keys(
+    records: DataFrame,
+    fields: Sequence[str] = TRANSLATED_FIELDS,
+    source: str = "en",
+    target: str = "fr",
+) -> DataFrame:
+    """Add ``translationKeys``, the ``(field, cache_key)`` of every field that has a text.
+
+    Stored with the records, the keys save later steps from reading the texts.
+    """
+    entries = [
+        F.struct(
+            F.lit(name).alias("field"),
+            F.when(
+                F.col(name)["en"] != "",
+                translation_key(F.col(name)["en"], F.lit(source), F.lit(target)),
+            ).alias("cache_key"),
+        )
+        for name in fields
+    ]
+    keyed = F.filter(F.array(*entries), lambda entry: entry["cache_key"].isNotNull())
+    return records.withColumn("translationKeys", keyed)
+
+
 def translate_records(
     records: DataFrame,
     memory: DataFrame,
@@ -101,9 +125,10 @@ def translate_records(
     shuffled once, when the translations of all fields join them. A field without English
     text, and one the memory lacks, stays as it is.
 
-    The records are read three times, so they should be a stored table.
+    The records come from ``with_field_keys``. Their keys are read twice and all else once,
+    so they should be a stored table.
     """
-    keyed = with_keys(field_texts(records, fields, key)).select(key, "field", "cache_key")
+    keyed = records.select(key, F.inline("translationKeys"))
     found = look_up(keyed, memory, key, hot_rows).where(F.col("translated").isNotNull())
     per_record = found.groupBy(key).agg(
         F.map_from_entries(F.collect_list(F.struct("field", "translated"))).alias("_french")
@@ -117,4 +142,4 @@ def translate_records(
             .otherwise(F.col(name))
             .cast(LOCALISED),
         )
-    return result.drop("_french")
+    return result.drop("_french", "translationKeys")

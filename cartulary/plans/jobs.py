@@ -80,8 +80,8 @@ def convert(
     landed = stage(land(read_documents(spark, source, dialect), dialect))
     records = harmonise(landed, dialect, settings, registry)
     if memory is not None:
-        records = stage(records)
         fields = [name for name in translation.TRANSLATED_FIELDS if name in records.columns]
+        records = stage(translation.with_field_keys(records, fields))
         texts = translation.field_texts(records, fields)
         pending = translation.pending(translation.with_keys(texts), memory)
         records = translation.translate_records(records, memory, fields=fields)

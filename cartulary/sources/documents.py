@@ -18,19 +18,42 @@ _OPTIONS = {
 }
 
 
+# Names that a document may give to Latin-1.
+_LATIN = ["iso-8859-1", "iso_8859-1", "latin1", "latin-1"]
+
+
 def identify(files: DataFrame, dialect: str) -> DataFrame:
     """Add the record id that a file name carries."""
     return files.withColumn("record_id", keys.record_id(F.col("file_name"), dialect))
 
 
-def read_documents(spark: SparkSession, path: str, dialect: str) -> DataFrame:
-    """All ``*_{dialect}.xml`` files below a folder as ``(file_name, record_id, value)``."""
-    texts = (
-        spark.read.option("pathGlobFilter", f"*_{dialect}.xml")
-        .option("recursiveFileLookup", "true")
-        .text(path, wholetext=True)
+def _decoded(content: Column) -> Column:
+    """The text of a file in UTF-8 or, when its first line says so, in Latin-1."""
+    head = F.substring(content, 1, 200).cast("string")
+    declared = F.regexp_extract(head, "encoding=[\"']([A-Za-z0-9._-]+)[\"']", 1)
+    return F.when(F.lower(declared).isin(_LATIN), F.decode(content, "ISO-8859-1")).otherwise(
+        content.cast("string")
     )
-    return identify(texts.select(F.col("_metadata.file_name").alias("file_name"), "value"), dialect)
+
+
+def file_options(dialect: str) -> dict[str, str]:
+    """Which files below a folder belong to a dialect."""
+    return {"pathGlobFilter": f"*_{dialect}.xml", "recursiveFileLookup": "true"}
+
+
+def as_documents(files: DataFrame, dialect: str) -> DataFrame:
+    """Files as ``(file_name, value, record_id)``, one whole document per row."""
+    texts = files.select(
+        F.substring_index("path", "/", -1).alias("file_name"),
+        _decoded(F.col("content")).alias("value"),
+    )
+    return identify(texts, dialect)
+
+
+def read_documents(spark: SparkSession, path: str, dialect: str) -> DataFrame:
+    """All ``*_{dialect}.xml`` files below a folder."""
+    files = spark.read.format("binaryFile").options(**file_options(dialect)).load(path)
+    return as_documents(files, dialect)
 
 
 def _broken() -> Column:
@@ -109,12 +132,7 @@ def quarantine(documents: DataFrame, dialect: str) -> DataFrame:
 def present_records(spark: SparkSession, path: str, dialect: str) -> DataFrame:
     """Ids of the records that a folder already holds; file contents are not read."""
     try:
-        files = (
-            spark.read.format("binaryFile")
-            .option("pathGlobFilter", f"*_{dialect}.xml")
-            .option("recursiveFileLookup", "true")
-            .load(path)
-        )
+        files = spark.read.format("binaryFile").options(**file_options(dialect)).load(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise

@@ -21,7 +21,7 @@ def staging_folder(spark: SparkSession) -> str:
 
     Only a session that runs on this machine alone may do without the setting.
     """
-    folder = spark.conf.get(_SETTING, None)
+    folder = spark.conf.get(_SETTING, None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
     if not spark.sparkContext.master.startswith("local"):

@@ -3,20 +3,20 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from cartulary.sources.documents import identify, land
+from cartulary.sources.documents import as_documents, file_options, land
 
 
 def stream_documents(spark: SparkSession, path: str, dialect: str) -> DataFrame:
     """New ``*_{dialect}.xml`` files below a folder as they appear."""
-    texts = (
-        spark.readStream.option("pathGlobFilter", f"*_{dialect}.xml")
-        .option("recursiveFileLookup", "true")
-        .text(path, wholetext=True)
+    files = (
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length long, content binary")
+        .options(**file_options(dialect))
+        .load(path)
     )
-    return identify(texts.select(F.col("_metadata.file_name").alias("file_name"), "value"), dialect)
+    return as_documents(files, dialect)
 
 
 def ingest_new(

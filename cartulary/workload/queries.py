@@ -599,8 +599,9 @@ def translate_memory_update(spark: SparkSession, sf_dir: str) -> DataFrame:
 def translate_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Abstracts that the memory knows get their French text; other fields stay."""
     records = plans.harmonise_iso(_iso(spark, sf_dir), SETTINGS)
-    narrow = stage(records.select("recordKey", *translation.TRANSLATED_FIELDS))
-    translated = translation.translate_records(narrow, _memory(spark, sf_dir))
+    narrow = records.select("recordKey", *translation.TRANSLATED_FIELDS)
+    keyed = stage(translation.with_field_keys(narrow))
+    translated = translation.translate_records(keyed, _memory(spark, sf_dir))
     return translated.select(
         F.col("recordKey").alias("record_key"),
         F.col("title.fr").alias("title_fr"),

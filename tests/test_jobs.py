@@ -40,6 +40,20 @@ def test_read_documents(spark, folder):
     assert present_records(spark, str(folder / "absent"), "iso").count() == 0
 
 
+def test_declared_encodings(spark, tmp_path):
+    def text(encoding):
+        return f"<?xml version='1.0' encoding='{encoding}'?>\n" + made.iso().replace("Why", "Été")
+
+    for i, (encoding, codec) in enumerate(
+        [("ISO-8859-1", "latin-1"), ("UTF-8", "utf-8"), ("utf-8", "utf-8-sig")]
+    ):
+        (tmp_path / f"{i}_iso.xml").write_bytes(text(encoding).encode(codec))
+    (tmp_path / "9_iso.xml").write_bytes(text("UTF-16").encode("utf-16"))
+    landed = land(read_documents(spark, str(tmp_path), "iso"), "iso")
+    found = {row.record_id: (row.purpose, row.malformed) for row in landed.collect()}
+    assert found == {**dict.fromkeys("012", ("Été", False)), "9": (None, True)}
+
+
 def test_convert_and_append(spark, folder, tmp_path):
     first = str(tmp_path / "first")
     jobs.convert(spark, str(folder), first, "iso", SETTINGS)

@@ -253,7 +253,9 @@ def test_translated_records(spark):
     found = {
         row.recordKey: row
         for row in translation.translate_records(
-            records, memory, fields=("title", "limitations")
+            translation.with_field_keys(records, ("title", "limitations")),
+            memory,
+            fields=("title", "limitations"),
         ).collect()
     }
     first, second = found["k1"], found["k2"]
