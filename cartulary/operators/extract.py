@@ -10,6 +10,7 @@ of calls from Python for every plan.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -85,33 +86,40 @@ def _fgdc_parties(elements: str) -> str:
     return f"transform(coalesce({elements}, array()), party -> {_fgdc_party('party')})"
 
 
-def _select(table: DataFrame, carry: Sequence[str], **columns: str) -> DataFrame:
-    return table.selectExpr(
-        "record_id", "file_name", *carry, *[f"{sql} AS {name}" for name, sql in columns.items()]
-    )
+def _aliased(columns: dict[str, str]) -> list[str]:
+    return [f"{sql} AS {name}" for name, sql in columns.items()]
+
+
+def _select(table: DataFrame, carry: Sequence[str], columns: dict[str, str]) -> DataFrame:
+    return table.selectExpr("record_id", "file_name", *carry, *_aliased(columns))
+
+
+def _chosen(columns: dict[str, str], names: Sequence[str] | None) -> dict[str, str]:
+    return columns if names is None else {name: columns[name] for name in names}
 
 
 # Intermediate columns of the first dialect: repeated elements gathered from all sections.
-_ISO_SECTIONS = {
-    "sections": "identificationInfo.MD_DataIdentification",
-    "cites": "identificationInfo.MD_DataIdentification.citation.CI_Citation",
-    "distribution": "distributionInfo.MD_Distribution",
-    "maintenance": _parties("metadataMaintenance.MD_MaintenanceInformation.contact"),
-    "language": "language.CharacterString",
-    "date_stamp": _text("dateStamp.Date"),
-    "uri": _text("dataSetURI.CharacterString"),
-}
-_ISO_GROUPS = {
-    "groups": f"{_gather('sections', 'descriptiveKeywords')}.MD_Keywords",
-    "extents": f"{_gather('sections', 'extent')}.EX_Extent",
-}
-_ISO_ELEMENTS = {
-    "boxes": f"{_gather('extents', 'geographicElement')}.EX_GeographicBoundingBox",
-    "periods": f"{_gather('extents', 'temporalElement')}.EX_TemporalExtent.extent.TimePeriod",
-    "thesauri": "groups.thesaurusName.CI_Citation",
-}
+# Their names start with an underscore so that they can be told from element names.
+_ISO_STAGES = (
+    {
+        "_sections": "identificationInfo.MD_DataIdentification",
+        "_cites": "identificationInfo.MD_DataIdentification.citation.CI_Citation",
+        "_distribution": "distributionInfo.MD_Distribution",
+        "_maintenance": _parties("metadataMaintenance.MD_MaintenanceInformation.contact"),
+    },
+    {
+        "_groups": f"{_gather('_sections', 'descriptiveKeywords')}.MD_Keywords",
+        "_extents": f"{_gather('_sections', 'extent')}.EX_Extent",
+    },
+    {
+        "_boxes": f"{_gather('_extents', 'geographicElement')}.EX_GeographicBoundingBox",
+        "_periods": f"{_gather('_extents', 'temporalElement')}"
+        ".EX_TemporalExtent.extent.TimePeriod",
+        "_thesauri": "_groups.thesaurusName.CI_Citation",
+    },
+)
 _KEYWORD_GROUPS = (
-    f"transform({_present('groups')}, g -> "
+    f"transform({_present('_groups')}, g -> "
     + _struct(
         type=_text("g.type.MD_KeywordTypeCode"),
         keywords="transform(filter(coalesce(g.keyword.CharacterString, array()), "
@@ -121,43 +129,59 @@ _KEYWORD_GROUPS = (
 )
 _ISO_COLUMNS = {
     "title": _first(
-        "concat(coalesce(cites.title.CharacterString, array()), "
-        "coalesce(thesauri.title.CharacterString, array()))"
+        "concat(coalesce(_cites.title.CharacterString, array()), "
+        "coalesce(_thesauri.title.CharacterString, array()))"
     ),
-    "abstract": _first("sections.abstract.CharacterString"),
-    "purpose": _first("sections.purpose.CharacterString"),
-    "supplement": _first("sections.supplementalInformation.CharacterString"),
+    "abstract": _first("_sections.abstract.CharacterString"),
+    "purpose": _first("_sections.purpose.CharacterString"),
+    "supplement": _first("_sections.supplementalInformation.CharacterString"),
     "language_code": _first(
-        f"concat(array(language), {_gather('sections', 'language')}.CharacterString)"
+        f"concat(array(language.CharacterString), {_gather('_sections', 'language')}.CharacterString)"
     ),
-    "progress_code": _first(f"{_gather('sections', 'status')}.MD_ProgressCode"),
-    "date_stamp": "date_stamp",
-    "begin": _first("periods.beginPosition"),
-    "end": _first("periods.endPosition"),
-    "uri": "uri",
-    "north": _first("boxes.northBoundLatitude.Decimal"),
-    "south": _first("boxes.southBoundLatitude.Decimal"),
-    "east": _first("boxes.eastBoundLongitude.Decimal"),
-    "west": _first("boxes.westBoundLongitude.Decimal"),
-    "version": _first("distribution.distributionFormat.MD_Format.version.CharacterString"),
-    "citation": _first(f"{_gather('cites', 'otherCitationDetails')}.CharacterString"),
+    "progress_code": _first(f"{_gather('_sections', 'status')}.MD_ProgressCode"),
+    "date_stamp": _text("dateStamp.Date"),
+    "begin": _first("_periods.beginPosition"),
+    "end": _first("_periods.endPosition"),
+    "uri": _text("dataSetURI.CharacterString"),
+    "north": _first("_boxes.northBoundLatitude.Decimal"),
+    "south": _first("_boxes.southBoundLatitude.Decimal"),
+    "east": _first("_boxes.eastBoundLongitude.Decimal"),
+    "west": _first("_boxes.westBoundLongitude.Decimal"),
+    "version": _first("_distribution.distributionFormat.MD_Format.version.CharacterString"),
+    "citation": _first(f"{_gather('_cites', 'otherCitationDetails')}.CharacterString"),
     "keyword_groups": _KEYWORD_GROUPS,
-    "point_of_contact": f"get({_parties(_gather('sections', 'pointOfContact'))}, 0)",
-    "maintainer": _section_party("maintenance"),
-    "distributor": f"get({_parties('distribution.distributor.MD_Distributor.distributorContact')}, 0)",
+    "point_of_contact": f"get({_parties(_gather('_sections', 'pointOfContact'))}, 0)",
+    "maintainer": _section_party("_maintenance"),
+    "distributor": f"get({_parties('_distribution.distributor.MD_Distributor.distributorContact')}, 0)",
     "cited": _parties(
-        f"concat({_gather('cites', 'citedResponsibleParty')}, "
-        f"{_gather('thesauri', 'citedResponsibleParty')})"
+        f"concat({_gather('_cites', 'citedResponsibleParty')}, "
+        f"{_gather('_thesauri', 'citedResponsibleParty')})"
     ),
 }
 
 
-def extract_iso(documents: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
-    """Flat columns of the first dialect, and the columns to ``carry`` along."""
-    staged = _select(documents, carry, **_ISO_SECTIONS)
-    for stage in (_ISO_GROUPS, _ISO_ELEMENTS):
-        staged = staged.selectExpr("*", *[f"{sql} AS {name}" for name, sql in stage.items()])
-    return _select(staged, carry, **_ISO_COLUMNS)
+def _stages(sql: Sequence[str]) -> list[dict[str, str]]:
+    """The intermediate columns that some expressions use, directly or through others."""
+    needed: list[dict[str, str]] = []
+    for stage in reversed(_ISO_STAGES):
+        used = {
+            name: text
+            for name, text in stage.items()
+            if any(re.search(rf"\b{name}\b", expression) for expression in sql)
+        }
+        sql = [*sql, *used.values()]
+        needed.insert(0, used)
+    return [stage for stage in needed if stage]
+
+
+def extract_iso(
+    documents: DataFrame, carry: Sequence[str] = (), columns: Sequence[str] | None = None
+) -> DataFrame:
+    """Flat columns of the first dialect, all or some, and the columns to ``carry`` along."""
+    chosen = _chosen(_ISO_COLUMNS, columns)
+    for stage in _stages(list(chosen.values())):
+        documents = documents.selectExpr("*", *_aliased(stage))
+    return _select(documents, carry, chosen)
 
 
 _FGDC_COLUMNS = {
@@ -176,9 +200,9 @@ _FGDC_COLUMNS = {
     "word -> nullif(word, ''))",
     "places": _first("idinfo.keywords.place.placekt"),
     "metadata_date": _text("metainfo.metd"),
-    "revised": "revdate",
-    "depth_max": "depthmax",
-    "depth_min": "depthmix",
+    "revised": "revised",
+    "depth_max": "depth_max",
+    "depth_min": "depth_min",
     "points_of_contact": _fgdc_parties("idinfo.ptcontac"),
     "distributors": _fgdc_parties("distinfo.distrib"),
     "maintainers": _fgdc_parties("metainfo.metc"),
@@ -186,9 +210,11 @@ _FGDC_COLUMNS = {
 }
 
 
-def extract_fgdc(documents: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
-    """Flat columns of the second dialect, and the columns to ``carry`` along."""
-    return _select(documents, carry, **_FGDC_COLUMNS)
+def extract_fgdc(
+    documents: DataFrame, carry: Sequence[str] = (), columns: Sequence[str] | None = None
+) -> DataFrame:
+    """Flat columns of the second dialect, all or some, and the columns to ``carry`` along."""
+    return _select(documents, carry, _chosen(_FGDC_COLUMNS, columns))
 
 
 EXTRACTORS = {"iso": extract_iso, "fgdc": extract_fgdc}

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartulary.functions import keys
 from cartulary.operators.extract import EXTRACTORS
-from cartulary.sources.schemas import CORRUPT, SCHEMAS, UNPLACED
+from cartulary.sources.schemas import CORRUPT, UNPLACED, document_schema
 
 _OPTIONS = {
     "ignoreNamespace": "true",
@@ -69,12 +71,17 @@ def _anywhere(tag: str) -> Column:
     mentioned = F.contains("value", F.lit(f"<{tag}")) & ~F.contains("value", F.lit("<!DOCTYPE"))
     return F.when(
         ~_broken() & mentioned, F.nullif(F.xpath_string("value", F.lit(f"//{tag}")), F.lit(""))
-    ).alias(tag)
+    )
+
 
+def parse(
+    documents: DataFrame, dialect: str, columns: Sequence[str] | None = None
+) -> DataFrame:
+    """Documents as the ``document`` struct; malformed ones stay, flagged, with their text.
 
-def parse(documents: DataFrame, dialect: str) -> DataFrame:
-    """Documents as the ``document`` struct; malformed ones stay, flagged, with their text."""
-    document = F.from_xml("value", SCHEMAS[dialect], _OPTIONS)
+    ``columns`` limits the schema to what those record columns need.
+    """
+    document = F.from_xml("value", document_schema(dialect, columns), _OPTIONS)
     parsed = documents.select("record_id", "file_name", "value", document.alias("document"))
     broken = _broken()
     return parsed.select(
@@ -83,7 +90,11 @@ def parse(documents: DataFrame, dialect: str) -> DataFrame:
         "document",
         broken.alias("malformed"),
         F.when(broken, F.coalesce("value", F.lit(""))).alias("rejected"),
-        *[_anywhere(tag) for tag in UNPLACED[dialect]],
+        *[
+            _anywhere(tag).alias(name)
+            for name, tag in UNPLACED[dialect].items()
+            if columns is None or name in columns
+        ],
     )
 
 
@@ -101,6 +112,13 @@ def well_formed(parsed: DataFrame) -> DataFrame:
     return parsed.select(*carried, F.inline(intact)).drop(CORRUPT)
 
 
+def extract(
+    documents: DataFrame, dialect: str, columns: Sequence[str] | None = None
+) -> DataFrame:
+    """Record columns of the well-formed documents, all or some."""
+    return EXTRACTORS[dialect](well_formed(parse(documents, dialect, columns)), columns=columns)
+
+
 def land(documents: DataFrame, dialect: str) -> DataFrame:
     """Extracted columns of every document, to be written once and read by all jobs.
 
@@ -119,7 +137,7 @@ def landed_records(landed: DataFrame) -> DataFrame:
 
 def quarantine(documents: DataFrame, dialect: str) -> DataFrame:
     """The malformed documents with their whole text."""
-    document = F.from_xml("value", f"{CORRUPT} string", _OPTIONS)
+    document = F.from_xml("value", document_schema(dialect, ()), _OPTIONS)
     broken = F.filter(
         F.array(F.struct(F.col("value").alias("text"), document.alias("document"))),
         lambda row: row["document"].isNull() | row["document"][CORRUPT].isNotNull(),

@@ -22,7 +22,6 @@ from cartulary.operators import (
     subjects,
     translation,
 )
-from cartulary.operators.extract import extract_fgdc, extract_iso
 from cartulary.plans import records as plans
 from cartulary.settings import LANGUAGE_CODES, PROGRESS_CODES, JobSettings
 from cartulary.sinks.exports import record_lines
@@ -58,16 +57,12 @@ def _documents(spark: SparkSession, sf_dir: str, dialect: str) -> DataFrame:
     return sources.identify(corpus.corpus(spark, sf_dir, dialect), dialect)
 
 
-def _parsed(spark: SparkSession, sf_dir: str, dialect: str) -> DataFrame:
-    return sources.parse(_documents(spark, sf_dir, dialect), dialect)
+def _iso(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    return sources.extract(_documents(spark, sf_dir, "iso"), "iso", columns or None)
 
 
-def _iso(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return extract_iso(sources.well_formed(_parsed(spark, sf_dir, "iso")))
-
-
-def _fgdc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return extract_fgdc(sources.well_formed(_parsed(spark, sf_dir, "fgdc")))
+def _fgdc(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    return sources.extract(_documents(spark, sf_dir, "fgdc"), "fgdc", columns or None)
 
 
 def _registry(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,7 +112,7 @@ def file_record_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vocabulary_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    themes = _iso(spark, sf_dir).select(subjects.theme_keywords().alias("keywords"))
+    themes = _iso(spark, sf_dir, "keyword_groups").select(subjects.theme_keywords().alias("keywords"))
     return subjects.term_usage(themes, vocabulary_table(spark))
 
 
@@ -134,38 +129,41 @@ def tagged_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Extraction
 
 
+CORE = (
+    "title",
+    "abstract",
+    "purpose",
+    "supplement",
+    "language_code",
+    "progress_code",
+    "date_stamp",
+    "begin",
+    "end",
+    "uri",
+    "version",
+    "citation",
+)
+
+
 def extract_core(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _iso(spark, sf_dir).select(
-        "record_id",
-        "title",
-        "abstract",
-        "purpose",
-        "supplement",
-        "language_code",
-        "progress_code",
-        "date_stamp",
-        F.col("begin").alias("date_begin"),
-        F.col("end").alias("date_end"),
-        "uri",
-        "version",
-        "citation",
-    )
+    core = _iso(spark, sf_dir, *CORE).select("record_id", *CORE)
+    return core.withColumnsRenamed({"begin": "date_begin", "end": "date_end"})
 
 
 def extract_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return subjects.keywords_long(_iso(spark, sf_dir))
+    return subjects.keywords_long(_iso(spark, sf_dir, "keyword_groups"))
 
 
 def bounding_box(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plans.box_numbers(_iso(spark, sf_dir))
+    return plans.box_numbers(_iso(spark, sf_dir, "north", "south", "east", "west"))
 
 
 def comments_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _iso(spark, sf_dir).select("record_id", plans.comments_text().alias("comments"))
+    return _iso(spark, sf_dir, "purpose", "supplement").select("record_id", plans.comments_text().alias("comments"))
 
 
 def associated_resource(spark: SparkSession, sf_dir: str) -> DataFrame:
-    linked = _iso(spark, sf_dir).select(
+    linked = _iso(spark, sf_dir, "uri").select(
         "record_id", plans.associated_resource(SETTINGS).alias("resource")
     )
     return linked.select(
@@ -180,7 +178,7 @@ def associated_resource(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def edition_default(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _iso(spark, sf_dir).select("record_id", plans.edition().alias("edition"))
+    return _iso(spark, sf_dir, "version").select("record_id", plans.edition().alias("edition"))
 
 
 def distribution_struct(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -214,13 +212,13 @@ def record_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def uri_local_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _iso(spark, sf_dir).select(
+    return _iso(spark, sf_dir, "uri").select(
         "record_id", "uri", keys.local_id(F.col("uri")).alias("local_id")
     )
 
 
 def normalise_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _iso(spark, sf_dir).select(
+    return _iso(spark, sf_dir, "date_stamp", "begin", "end").select(
         "record_id",
         dates.normalise_date(F.col("date_stamp")).alias("created"),
         dates.normalise_date(F.col("begin")).alias("date_start"),
@@ -249,7 +247,7 @@ def normalise_order_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def map_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _iso(spark, sf_dir).select(
+    return _iso(spark, sf_dir, "language_code", "progress_code").select(
         "record_id",
         map_code(F.col("language_code"), LANGUAGE_CODES).alias("language"),
         map_code(F.col("progress_code"), PROGRESS_CODES).alias("progress"),
@@ -325,7 +323,7 @@ def _flat_names(named: DataFrame) -> DataFrame:
 
 
 def citation_authors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    authors = _iso(spark, sf_dir).select(
+    authors = _iso(spark, sf_dir, "citation").select(
         "record_id",
         F.posexplode(citation.citation_authors(F.col("citation"))).alias("position", "author"),
     )
@@ -341,25 +339,25 @@ def citation_authors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def theme_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _iso(spark, sf_dir).select(
+    return _iso(spark, sf_dir, "keyword_groups").select(
         "record_id", _joined(subjects.theme_keywords()).alias("keywords")
     )
 
 
 def place_description(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _iso(spark, sf_dir).select(
+    return _iso(spark, sf_dir, "keyword_groups").select(
         "record_id", subjects.place_description().alias("description")
     )
 
 
 def keyword_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _iso(spark, sf_dir).select(
+    return _iso(spark, sf_dir, "keyword_groups").select(
         "record_id", _joined(subjects.keyword_tokens()).alias("tokens")
     )
 
 
 def classify_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _iso(spark, sf_dir).select(
+    return _iso(spark, sf_dir, "keyword_groups").select(
         "record_id", _joined(subjects.categories(subjects.theme_keywords())).alias("categories")
     )
 
@@ -372,7 +370,7 @@ def classify_by_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         .distinct()
     )
     vocabulary = vocabulary_table(spark).unionByName(by_source)
-    themes = _iso(spark, sf_dir).select("record_id", subjects.theme_keywords().alias("keywords"))
+    themes = _iso(spark, sf_dir, "keyword_groups").select("record_id", subjects.theme_keywords().alias("keywords"))
     return subjects.classify_by_table(themes, vocabulary).select(
         "record_id", _joined(F.col("categories")).alias("categories")
     )
@@ -401,7 +399,7 @@ def _flat_contacts(long: DataFrame) -> DataFrame:
 
 
 def _contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _iso(spark, sf_dir).select(
+    return _iso(spark, sf_dir, "point_of_contact", "maintainer", "distributor", "cited").select(
         "record_id", contacts.iso_contacts(corpus.HOUSE_NAMES).alias("contacts")
     )
 
@@ -421,7 +419,7 @@ def merge_contacts_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fgdc_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    people = _fgdc(spark, sf_dir).select("record_id", contacts.fgdc_contacts().alias("contacts"))
+    people = _fgdc(spark, sf_dir, "points_of_contact", "distributors", "maintainers", "origins").select("record_id", contacts.fgdc_contacts().alias("contacts"))
     return _flat_contacts(contacts.contacts_long(people))
 
 
@@ -500,7 +498,7 @@ def harmonise_fgdc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fgdc_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _fgdc(spark, sf_dir).select(
+    return _fgdc(spark, sf_dir, "theme_keys", "places").select(
         "record_id", _joined(subjects.fgdc_keywords()).alias("keywords")
     )
 
@@ -544,7 +542,7 @@ def export_json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def doi_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    located = _iso(spark, sf_dir).select("record_id", keys.local_id(F.col("uri")).alias("local_id"))
+    located = _iso(spark, sf_dir, "uri").select("record_id", keys.local_id(F.col("uri")).alias("local_id"))
     return identifiers.resolve_dois(
         located, _registry(spark, sf_dir), SETTINGS.doi_prefixes
     ).select("record_id", "local_id", "doi_url")
@@ -678,11 +676,11 @@ def append_shares_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def inspect_set(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.distinct_values(_iso(spark, sf_dir), subjects.theme_keywords())
+    return profile.distinct_values(_iso(spark, sf_dir, "keyword_groups"), subjects.theme_keywords())
 
 
 def inspect_by_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = profile.values_by_file(_iso(spark, sf_dir), subjects.theme_keywords())
+    found = profile.values_by_file(_iso(spark, sf_dir, "keyword_groups"), subjects.theme_keywords())
     return found.select("file_name", _joined(F.col("values")).alias("keywords"))
 
 
@@ -719,7 +717,7 @@ def harvest_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def citation_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.citation_mismatch(_iso(spark, sf_dir))
+    return quality.citation_mismatch(_iso(spark, sf_dir, "citation", "cited"))
 
 
 def dq_findings(spark: SparkSession, sf_dir: str) -> DataFrame:

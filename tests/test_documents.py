@@ -3,10 +3,11 @@
 import pytest
 from pyspark.sql import functions as F
 
-from cartulary.operators import extract, quality
+from cartulary.operators import quality
 from cartulary.plans import records as plans
 from cartulary.settings import JobSettings
 from cartulary.sources import documents as sources
+from cartulary.sources.schemas import PATHS
 import documents as made
 
 SETTINGS = JobSettings(
@@ -23,8 +24,7 @@ def harmonised(spark):
     def run(*texts, dialect="iso", settings=SETTINGS, registry=None):
         files = [(f"{i}_{dialect}.xml", text) for i, text in enumerate(texts)]
         table = spark.createDataFrame(files, "file_name string, value string")
-        parsed = sources.parse(sources.identify(table, dialect), dialect)
-        records = extract.EXTRACTORS[dialect](sources.well_formed(parsed))
+        records = sources.extract(sources.identify(table, dialect), dialect)
         if dialect == "iso":
             result = plans.harmonise_iso(records, settings, registry)
         else:
@@ -282,8 +282,8 @@ def test_bounding_numbers(spark):
 
 def test_one_parser_per_document(spark):
     files = spark.createDataFrame([("0_iso.xml", made.iso())], "file_name string, value string")
-    parsed = sources.parse(sources.identify(files, "iso"), "iso")
-    records = plans.harmonise_iso(extract.extract_iso(sources.well_formed(parsed)), SETTINGS)
+    extracted = sources.extract(sources.identify(files, "iso"), "iso")
+    records = plans.harmonise_iso(extracted, SETTINGS)
     plan = records.where(F.col("title.en") != "")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_xml(") == 1
 
@@ -297,3 +297,22 @@ def test_elements_without_a_fixed_place(harmonised):
     first = found["0"]
     assert (first.dateRevised, first.verticalExtentMax, first.verticalExtentMin) == ("2021", "40", None)
     assert found["1"].dateRevised is None
+
+
+@pytest.mark.parametrize("dialect", ["iso", "fgdc"])
+def test_each_column_alone_equals_all_together(spark, dialect):
+    texts = [getattr(made, dialect)(), "<broken>", "<other/>"]
+    if dialect == "fgdc":
+        texts.append(texts[0].replace("<metd>", "<revdate>2021</revdate><metd>"))
+    files = spark.createDataFrame(
+        [(f"{i}_{dialect}.xml", text) for i, text in enumerate(texts)],
+        "file_name string, value string",
+    )
+    files = sources.identify(files, dialect)
+    whole = {row.record_id: row.asDict() for row in sources.extract(files, dialect).collect()}
+    assert set(PATHS[dialect]) | {"record_id", "file_name"} == set(whole["0"])
+    for name in PATHS[dialect]:
+        alone = sources.extract(files, dialect, (name,)).collect()
+        assert {row.record_id: row[name] for row in alone} == {
+            record_id: row[name] for record_id, row in whole.items()
+        }
