@@ -135,33 +135,30 @@ def fgdc_contacts() -> Column:
     return F.concat(F.transform(entries, contact), F.transform(F.col("origins"), author))
 
 
+def _fields(of: str, names: Sequence[str] = IDENTITY) -> str:
+    return ", ".join(f"'{name}', {of}.{name}" for name in names)
+
+
 def merge_contacts(records: DataFrame, column: str = "contacts") -> DataFrame:
     """Merge equal contacts of each record; roles concatenate, first-seen order stays.
 
     A hash per contact makes the comparison inside the array cheap; the full comparison
     decides.
     """
-
-    def fingerprinted(entry: Column) -> Column:
-        who = F.struct(*[entry[field].alias(field) for field in IDENTITY])
-        return F.struct(F.xxhash64(who).alias("hash"), who.alias("who"), entry["role"].alias("role"))
-
-    def merged(person: Column) -> Column:
-        same = F.filter(
-            F.col("_entries"),
-            lambda entry: (entry["hash"] == person["hash"]) & entry["who"].eqNullSafe(person["who"]),
-        )
-        return F.struct(
-            *[person["who"][field].alias(field) for field in IDENTITY],
-            F.flatten(same["role"]).alias("role"),
-        )
-
-    people = F.array_distinct(
-        F.transform(F.col("_entries"), lambda entry: F.struct(entry["hash"], entry["who"]))
+    who = f"named_struct({_fields('person')})"
+    entries = (
+        f"transform({column}, person -> "
+        f"named_struct('hash', xxhash64({who}), 'who', {who}, 'role', person.role))"
+    )
+    people = "array_distinct(transform(_entries, e -> named_struct('hash', e.hash, 'who', e.who)))"
+    same = "filter(_entries, e -> e.hash = person.hash AND e.who <=> person.who)"
+    merged = (
+        f"transform({people}, person -> "
+        f"named_struct({_fields('person.who')}, 'role', flatten({same}.role)))"
     )
     return (
-        records.withColumn("_entries", F.transform(F.col(column), fingerprinted))
-        .withColumn(column, F.transform(people, merged))
+        records.withColumn("_entries", F.expr(entries))
+        .withColumn(column, F.expr(merged))
         .drop("_entries")
     )
 
@@ -172,14 +169,11 @@ def contacts_long(records: DataFrame, column: str = "contacts") -> DataFrame:
     ``inline`` of an expression, because ``posexplode`` of a column adds a filter that is
     pushed below the projection and builds all contacts a second time.
     """
-    numbered = F.transform(
-        F.col(column),
-        lambda person, position: F.struct(
-            position.alias("position"),
-            *[person[field].alias(field) for field in (*IDENTITY, "role")],
-        ),
+    fields = _fields("person", (*IDENTITY, "role"))
+    return records.selectExpr(
+        "record_id",
+        f"inline(transform({column}, (person, i) -> named_struct('position', i, {fields})))",
     )
-    return records.select("record_id", F.inline(numbered))
 
 
 def merge_contacts_long(contacts: DataFrame) -> DataFrame:

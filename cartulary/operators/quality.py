@@ -46,6 +46,7 @@ _REQUIRED = ("title", "abstract", "purpose", "supplement", "date_stamp", "begin"
 _SECTIONS = ("point_of_contact", "maintainer", "distributor")
 _FGDC_REQUIRED = ("title", "abstract", "purpose", "supplement", "published", "begin", "end")
 _FGDC_PEOPLE = ("points_of_contact", "distributors", "maintainers")
+_PARTY_TEXTS = ("name", "organisation", "position", "address", "city", "country", "email")
 
 
 def _finding(rule: str | Column, detail: Column | str, when: Column) -> Column:
@@ -79,6 +80,27 @@ def with_severity(findings: DataFrame) -> DataFrame:
     )
 
 
+def _absent(rule: str, columns: Sequence[str]) -> Column:
+    """One finding per column without a value."""
+    absent = ", ".join(f"if({name} IS NULL, '{name}', NULL)" for name in columns)
+    return F.expr(
+        f"transform(array_compact(array({absent})), "
+        f"name -> named_struct('rule', '{rule}', 'detail', name))"
+    )
+
+
+def _date_findings(columns: Sequence[str]) -> Column:
+    entries = ", ".join(f"named_struct('field', '{name}', 'text', {name})" for name in columns)
+    return F.transform(
+        F.expr(f"array({entries})"),
+        lambda entry: _finding(
+            date_finding(entry["text"]),
+            F.concat(entry["field"], F.lit("="), entry["text"]),
+            date_finding(entry["text"]).isNotNull(),
+        ),
+    )
+
+
 def _name_findings(names: Column) -> Column:
     """Missing and over-long names; ``names`` is an array of (section, raw text, standardised)."""
     return F.flatten(
@@ -140,18 +162,7 @@ def iso_findings(
             "unmapped_role", _labelled("role", party["role"]), map_role(party["role"]).isNull()
         )
 
-    def section_name(section: str) -> Column:
-        text = F.col(section)["name"]
-        return _named(section, text, person_name(text, house_names))
-
     singles = [
-        *[_finding("element_missing", name, F.col(name).isNull()) for name in _REQUIRED],
-        *[_finding("missing_section", name, F.col(name).isNull()) for name in _SECTIONS],
-        *[
-            _finding(rule, _labelled(name, F.col(name)), rule.isNotNull())
-            for name in ("date_stamp", "begin", "end")
-            for rule in [date_finding(F.col(name))]
-        ],
         *[
             _finding("unmapped_code", _labelled(name, F.col(name)), map_code(F.col(name), codes).isNull())
             for name, codes in (
@@ -171,15 +182,24 @@ def iso_findings(
         _finding("no_keywords", "theme", F.size(themes) == 0),
         _finding("no_category", F.array_join(themes, ","), matched),
     ]
+    sections = ", ".join(
+        f"named_struct('section', '{name}', 'text', {name}.name)" for name in _SECTIONS
+    )
+    everyone = F.expr(
+        f"concat(array({sections}), "
+        "transform(cited, party -> named_struct('section', 'cited', 'text', party.name)))"
+    )
+
+    def standardised(entry: Column) -> Column:
+        name = person_name(entry["text"], house_names)
+        return F.struct(entry["section"], entry["text"], name.alias("name"))
+
     lists = [
+        _absent("element_missing", _REQUIRED),
+        _absent("missing_section", _SECTIONS),
+        _date_findings(("date_stamp", "begin", "end")),
         F.transform(F.col("cited"), role_finding),
-        _name_findings(F.array(*[section_name(section) for section in _SECTIONS])),
-        _name_findings(
-            F.transform(
-                F.col("cited"),
-                lambda party: _named("cited", party["name"], person_name(party["name"], house_names)),
-            )
-        ),
+        _name_findings(F.transform(everyone, standardised)),
     ]
     return _explode(staged, singles, lists)
 
@@ -196,23 +216,17 @@ def fgdc_findings(records: DataFrame) -> DataFrame:
         )
 
     def literal_nulls(section: str) -> Column:
-        return F.flatten(
-            F.transform(
-                F.col(section),
-                lambda party: F.array(
-                    *[
-                        _finding("literal_null", f"{section}.{field}", party[field] == "NULL")
-                        for field in ("name", "organisation", "position", "address", "city", "country", "email")
-                    ]
-                ),
-            )
+        found = ", ".join(
+            f"if(party.{field} = 'NULL', '{section}.{field}', NULL)" for field in _PARTY_TEXTS
+        )
+        return F.expr(
+            f"transform(flatten(transform({section}, party -> array_compact(array({found})))), "
+            "place -> named_struct('rule', 'literal_null', 'detail', place))"
         )
 
-    singles = [
-        _finding("fgdc_incomplete", "fgdc", F.lit(True)),
-        *[_finding("element_missing", name, F.col(name).isNull()) for name in _FGDC_REQUIRED],
-    ]
+    singles = [_finding("fgdc_incomplete", "fgdc", F.lit(True))]
     lists = [
+        _absent("element_missing", _FGDC_REQUIRED),
         *[people(section) for section in _FGDC_PEOPLE],
         *[literal_nulls(section) for section in _FGDC_PEOPLE],
         _name_findings(
