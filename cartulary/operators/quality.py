@@ -207,13 +207,19 @@ def iso_findings(
 def fgdc_findings(records: DataFrame) -> DataFrame:
     """Findings of extracted records of the second dialect."""
 
-    def people(section: str) -> Column:
-        return _name_findings(
-            F.transform(
-                F.col(section),
-                lambda party: _named(section, party["name"], labelled_name(party["name"])),
-            )
+    people = F.expr(
+        "concat("
+        + ", ".join(
+            f"transform({section}, "
+            f"party -> named_struct('section', '{section}', 'text', party.name))"
+            for section in _FGDC_PEOPLE
         )
+        + ")"
+    )
+
+    def standardised(entry: Column) -> Column:
+        name = labelled_name(entry["text"])
+        return F.struct(entry["section"], entry["text"], name.alias("name"))
 
     def literal_nulls(section: str) -> Column:
         found = ", ".join(
@@ -227,7 +233,7 @@ def fgdc_findings(records: DataFrame) -> DataFrame:
     singles = [_finding("fgdc_incomplete", "fgdc", F.lit(True))]
     lists = [
         _absent("element_missing", _FGDC_REQUIRED),
-        *[people(section) for section in _FGDC_PEOPLE],
+        _name_findings(F.transform(people, standardised)),
         *[literal_nulls(section) for section in _FGDC_PEOPLE],
         _name_findings(
             F.transform(
