@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartulary.llm import packing
+from cartulary.llm import jaccard, language, packing, suffixes
 from cartulary.llm.common import package_on_workers
 
 
@@ -21,11 +21,26 @@ def _tokenizer(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op4_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.deduplicate(_read(spark, sf_dir, "documents"))
+
+
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(_read(spark, sf_dir, "documents")).drop("text")
+
+
+def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.links(spark, _read(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(spark, _read(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_suffixes": op4_suffixes,
+    "op6_language": op6_language,
+    "op8_jaccard": op8_jaccard,
     "op10_packing": op10_packing,
 }
 
