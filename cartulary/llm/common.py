@@ -10,7 +10,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _OWN_FOLDERS: dict[str, str] = {}
@@ -54,21 +54,18 @@ def is_empty(table: DataFrame) -> bool:
     return len(table.take(1)) == 0
 
 
-def documents_of(table: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def documents_of(table: DataFrame, id_column: str = "doc_id", text_column: str = "text", carry: bool = False) -> DataFrame:
     """Only ``doc_id``, ``text`` (null: empty) and ``_row``, a hash of both.
 
-    Other columns are left out, whatever their names. ``_row`` tells rows apart that share an
-    id; rows equal in id and text stay equal, and each gives its own, equal, result row.
+    Other columns are left out, whatever their names; with ``carry`` the whole row is kept as
+    ``_carried``. ``_row`` tells rows apart that share an id; rows equal in id and text stay equal,
+    and each gives its own, equal, result row.
     """
     text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
-    return table.select(
-        F.col(id_column).alias("doc_id"), text.alias("text")
-    ).withColumn("_row", F.xxhash64(F.col("doc_id"), F.col("text")))
-
-
-def same_document(left: DataFrame, right: DataFrame) -> Column:
-    """Join condition on ``doc_id`` (null is a value) and ``_row``."""
-    return (left["_row"] == right["_row"]) & left["doc_id"].eqNullSafe(right["doc_id"])
+    own = [F.col(id_column).alias("doc_id"), text.alias("text")]
+    if carry:
+        own.append(F.struct(*[F.col(f"`{name}`") for name in table.columns]).alias("_carried"))
+    return table.select(*own).withColumn("_row", F.xxhash64(F.col("doc_id"), F.col("text")))
 
 
 def slices(batch: pa.RecordBatch, column: str, most_bytes: int) -> Iterator[tuple[int, int]]:

@@ -302,7 +302,35 @@ def links(
     smallest id of a component is chosen. Other columns are ignored; an empty table gives no rows.
     N-grams and whole sets are compared by 64-bit hashes.
     """
-    documents = documents_of(table)
+    return _grouped(spark, documents_of(table), words, per_cent, block_ngrams).select("doc_id", "n_shingles", "component_id")
+
+
+def keep_one(
+    spark: SparkSession, table: DataFrame, words: int = WORDS, per_cent: int = PER_CENT, block_ngrams: int = BLOCK_NGRAMS
+) -> DataFrame:
+    """One row of each group of linked documents, with all its columns: that with the smallest id.
+
+    Rows without words are in no group and stay.
+    """
+    keyed = documents_of(table, carry=True)
+    rows = stored(_grouped(spark, keyed.select("doc_id", "text", "_row"), words, per_cent, block_ngrams).where("root is not null"), "grouped")
+    key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")
+    first = rows.groupBy("root").agg(F.min(key).alias("kept"), F.count("*").alias("n")).where("n > 1")
+    groups = stored(rows.join(stored(first, "first").withColumnRenamed("root", "_root"), F.col("root") == F.col("_root")), "larger")
+    leading = (F.col("_row") == F.col("kept._row")) & F.col("doc_id").eqNullSafe(F.col("kept.doc_id"))
+    marked = groups.groupBy(F.col("doc_id").alias("_doc"), F.col("_row").alias("_key")).agg(
+        F.count("*").alias("copies"), F.bool_or(leading).alias("leads")
+    )
+    marked = stored(marked.where("copies > 1 or not leads"), "marked")
+    if marked.count() <= BROADCAST_ROWS:
+        marked = F.broadcast(marked)
+    same = (F.col("_row") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_doc"))
+    single = keyed.join(marked, same, "left_anti").select("_carried.*")
+    copies = keyed.join(marked.where("leads"), same).dropDuplicates(["doc_id", "_row"]).select("_carried.*")
+    return single.unionByName(copies)
+
+
+def _grouped(spark: SparkSession, documents: DataFrame, words: int, per_cent: int, block_ngrams: int) -> DataFrame:
     nodes = stored(classes_of(documents, words), "nodes")
     classes = stored(
         nodes.where("class is not null").groupBy("class").agg(
@@ -330,10 +358,11 @@ def links(
             F.min("doc_id").alias("component_id"), F.count("*").alias("many")
         ), "smallest",
     )
-    by_class = stored(joined.join(smallest, "root").select(F.col("class").alias("_class"), "component_id"), "by-class")
+    by_class = stored(joined.join(smallest, "root").select(F.col("class").alias("_class"), "component_id", "root"), "by-class")
     # Both sides are written tables, so the class of a third of all documents can be split.
     return nodes.join(by_class, F.col("class") == F.col("_class"), "left").select(
-        "doc_id", "n_shingles", F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
+        "doc_id", "_row", "n_shingles", "root",
+        F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
     )
 
 

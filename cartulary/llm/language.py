@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from cartulary.llm.common import documents_of, slices
@@ -206,7 +207,7 @@ def fit(sample: list[tuple[str, bytes]], seed: int = 0) -> ByteNetwork:
 
 
 def identify(table: DataFrame) -> DataFrame:
-    """``doc_id, text, lang_pred, score, held_out`` for each row of ``table(doc_id, text, lang)``.
+    """``doc_id, text, _row, lang_pred, score, held_out`` for each row of ``table(doc_id, text, lang)``.
 
     Learns from rows with text and language that are not held out, at most the bounded sample.
     Null text, or one without a letter (empty too): ``und``, score 0, and so is everything if no
@@ -214,22 +215,30 @@ def identify(table: DataFrame) -> DataFrame:
     predicted each for itself. Other columns are ignored; an empty table gives no rows.
     """
     has_text = F.col("text").isNotNull()
-    documents = documents_of(table)
+    return _learned(table, documents_of(table)).withColumn("held_out", held_out(F.col("doc_id")))
+
+
+def keep_known(table: DataFrame, least_score: float = 0.5) -> DataFrame:
+    """The rows of ``table`` whose language is recognised with at least this score, all columns kept."""
+    found = _learned(table, documents_of(table, carry=True))
+    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score)).select("_carried.*")
+
+
+def _learned(table: DataFrame, documents: DataFrame) -> DataFrame:
+    has_text = F.col("text").isNotNull()
     sample = training_sample(
         table.where(has_text & F.col("text").rlike(r"\p{L}") & F.col("lang").isNotNull() & ~held_out(F.col("doc_id"))).select(
             F.xxhash64("doc_id", "text").alias("_row"), "text", F.col("lang").cast("string").alias("lang")
         )
     )
-    network = fit(sample)
-    return predict(documents.withColumn("_letters", F.col("text").rlike(r"\p{L}")), network).withColumn(
-        "held_out", held_out(F.col("doc_id"))
-    )
+    return predict(documents, fit(sample))
 
 
 def predict(documents: DataFrame, network: ByteNetwork) -> DataFrame:
-    """Adds ``lang_pred`` and ``score`` to ``documents(doc_id, text, _letters)``."""
-    kind = documents.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, text string, lang_pred string, score double"
+    """Adds ``lang_pred`` and ``score`` to ``documents`` with ``text``; other columns pass."""
+    documents = documents.withColumn("_letters", F.col("text").rlike(r"\p{L}"))
+    fields = documents.drop("_letters").schema
+    schema = T.StructType([*fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     names = np.array([*network.languages, UNKNOWN], object)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -247,9 +256,9 @@ def predict(documents: DataFrame, network: ByteNetwork) -> DataFrame:
                     else:
                         found = np.ones((int(letters.sum()), 1))
                     best[letters], score[letters] = found.argmax(1), np.clip(found.max(1), 0, 1)
+                columns = [part.column(name) for name in fields.names]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("text"), pa.array(names[best].tolist(), pa.string()), pa.array(score)],
-                    ["doc_id", "text", "lang_pred", "score"],
+                    [*columns, pa.array(names[best].tolist(), pa.string()), pa.array(score)], [*fields.names, "lang_pred", "score"]
                 )
 
-    return documents.select("doc_id", "text", "_letters").mapInArrow(run, schema)
+    return documents.mapInArrow(run, schema)

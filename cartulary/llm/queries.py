@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartulary.llm import jaccard, language, packing, suffixes
+from cartulary.llm import decontamination, jaccard, language, packing, suffixes
 from cartulary.llm.common import package_on_workers
 
 
@@ -26,13 +26,17 @@ def op4_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return language.identify(_read(spark, sf_dir, "documents")).drop("text")
+    return language.identify(_read(spark, sf_dir, "documents")).drop("text", "_row")
 
 
 def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.links(spark, _read(spark, sf_dir, "documents"))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(spark, _read(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"))
 
@@ -41,7 +45,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_suffixes": op4_suffixes,
     "op6_language": op6_language,
     "op8_jaccard": op8_jaccard,
+    "op9_decontamination": op9_decontamination,
     "op10_packing": op10_packing,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op9_decontamination": decontamination.ORACLE,
+}

@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cartulary.llm.common import RangeHash, byte_values, documents_of, is_empty, joined_bytes, mixed, signed, slices, stored
 
@@ -406,21 +407,32 @@ def _merged(split: DataFrame, window: int, kind: str) -> DataFrame:
     return wanted.repartition(parts, "one").mapInArrow(search, f"doc_id {kind}, _row long, first long, end long")
 
 
-def deduplicate(
-    table: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, shard_runs: int = SHARD_RUNS, with_text: bool = False
-) -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` and, if asked, the kept ``text``.
+def deduplicate(table: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, shard_runs: int = SHARD_RUNS) -> DataFrame:
+    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` for each row of ``table(doc_id, text)``.
 
     Texts are judged as UTF-8 bytes: every byte that a repeated window covers goes, the first
     occurrence too. Null text is empty; texts shorter than a window lose nothing. Rows equal in id
     and text are two documents that repeat each other; rows that share an id are judged each for
-    itself. Null ids are kept. Other columns are ignored; an empty table gives no rows. Kept text
-    leaves out the bytes of characters that a removed range cuts. Strings are compared by 128 bits
-    where they are not compared byte by byte.
+    itself. Null ids are kept. Other columns are ignored; an empty table gives no rows. Strings are
+    compared by 128 bits where they are not compared byte by byte.
     """
-    documents = documents_of(table)
-    kind = documents.schema["doc_id"].dataType.simpleString()
-    spans = find_spans(documents, window, anchor, shard_runs)
+    return _removed(documents_of(table), window, anchor, shard_runs).drop("kept")
+
+
+def without_repeats(table: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, shard_runs: int = SHARD_RUNS) -> DataFrame:
+    """The rows of ``table`` with all columns, ``text`` without its repeated bytes.
+
+    What is left of a character that a removed range cuts goes too. ``n_chars`` is counted anew if
+    it is there. Null text stays null.
+    """
+    found = _removed(documents_of(table, carry=True), window, anchor, shard_runs)
+    new = {"text": F.when(F.col("_carried.text").isNotNull(), F.col("kept"))}
+    new["n_chars"] = F.when(F.col("_carried.text").isNotNull(), F.length("kept").cast("long"))
+    return found.select(*[new[name].alias(name) if name in new else F.col(f"_carried.`{name}`") for name in table.columns])
+
+
+def _removed(documents: DataFrame, window: int, anchor: int, shard_runs: int) -> DataFrame:
+    spans = find_spans(documents.select("doc_id", "text", "_row"), window, anchor, shard_runs)
     by_document = stored(
         spans.groupBy("doc_id", "_row").agg(F.collect_set(F.struct("first", "end")).alias("spans")), "spans"
     ).select(F.col("doc_id").alias("_doc"), F.col("_row").alias("_key"), "spans")
@@ -428,8 +440,12 @@ def deduplicate(
         by_document = F.broadcast(by_document)
     joined = documents.join(
         by_document, (F.col("_row") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_doc")), "left"
-    ).select("doc_id", "text", "spans")
-    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["text"] * with_text
+    ).drop("_doc", "_key", "_row")
+    passing = joined.drop("text", "spans").schema
+    numbers = ["n_bytes", "n_removed", "n_spans"]
+    schema = T.StructType(
+        [*passing, *[T.StructField(x, T.LongType()) for x in numbers], *[T.StructField(x, T.StringType()) for x in ("kept_sha256", "kept")]]
+    )
 
     def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -445,11 +461,8 @@ def deduplicate(
                         removed, at = removed + end - at, end
                 kept = b"".join([*kept, raw[at:]])
                 rows.append((len(raw), removed, count, hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore")))
-            kinds = [pa.int64()] * 3 + [pa.string()] * (1 + with_text)
+            kinds = [pa.int64()] * 3 + [pa.string()] * 2
             columns = [pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names)
+            yield pa.RecordBatch.from_arrays([*[batch.column(x) for x in passing.names], *columns], schema.names)
 
-    return joined.mapInArrow(
-        keep,
-        f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", text string" * with_text,
-    )
+    return joined.mapInArrow(keep, schema)
