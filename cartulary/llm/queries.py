@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartulary.llm import decontamination, jaccard, language, packing, suffixes
+from cartulary.llm import decontamination, jaccard, language, packing, suffixes, warc
 from cartulary.llm.common import package_on_workers
 
 
@@ -29,6 +29,10 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(_read(spark, sf_dir, "documents")).drop("text", "_row")
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.captures(spark, _read(spark, sf_dir, "pages"))
+
+
 def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.links(spark, _read(spark, sf_dir, "documents"))
 
@@ -44,11 +48,13 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_suffixes": op4_suffixes,
     "op6_language": op6_language,
+    "op7_warc": op7_warc,
     "op8_jaccard": op8_jaccard,
     "op9_decontamination": op9_decontamination,
     "op10_packing": op10_packing,
 }
 
 ORACLES: dict[str, str] = {
+    "op7_warc": warc.ORACLE,
     "op9_decontamination": decontamination.ORACLE,
 }
