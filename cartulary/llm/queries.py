@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartulary.llm import decontamination, jaccard, language, packing, suffixes, warc
+from cartulary.llm import decontamination, extraction, jaccard, language, packing, suffixes, warc
 from cartulary.llm.common import package_on_workers
 
 
@@ -21,6 +21,10 @@ def _tokenizer(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract(_read(spark, sf_dir, "pages"))
+
+
 def op4_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.deduplicate(_read(spark, sf_dir, "documents"))
 
@@ -46,6 +50,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_extraction": op1_extraction,
     "op4_suffixes": op4_suffixes,
     "op6_language": op6_language,
     "op7_warc": op7_warc,
