@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartulary.llm import decontamination, extraction, jaccard, language, packing, suffixes, warc
+from cartulary.llm import decontamination, extraction, jaccard, language, neighbours, packing, suffixes, warc
 from cartulary.llm.common import package_on_workers
 
 
@@ -25,6 +25,12 @@ def op1_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extraction.extract(_read(spark, sf_dir, "pages"))
 
 
+def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _read(spark, sf_dir, "embeddings")
+    router = neighbours.fit(neighbours.usable(vectors))
+    return neighbours.search(spark, vectors, vectors.where("vec_id % 100 = 0"), router=router)
+
+
 def op4_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.deduplicate(_read(spark, sf_dir, "documents"))
 
@@ -51,6 +57,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_extraction": op1_extraction,
+    "op2_neighbours": op2_neighbours,
     "op4_suffixes": op4_suffixes,
     "op6_language": op6_language,
     "op7_warc": op7_warc,
