@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartulary.llm import decontamination, extraction, jaccard, language, neighbours, packing, suffixes, warc
+from cartulary.llm import counting, decontamination, extraction, jaccard, language, neighbours, packing, suffixes, toxicity, warc
 from cartulary.llm.common import package_on_workers
 
 
@@ -31,10 +31,21 @@ def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(spark, vectors, vectors.where("vec_id % 100 = 0"), router=router)
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def op4_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.deduplicate(_read(spark, sf_dir, "documents"))
 
 
+def op5_counting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    edited = counting.sample_edits(_read(spark, sf_dir, "documents"))
+    return counting.count(edited, _tokenizer("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(_read(spark, sf_dir, "documents")).drop("text", "_row")
 
@@ -58,7 +69,9 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_extraction": op1_extraction,
     "op2_neighbours": op2_neighbours,
+    "op3_toxicity": op3_toxicity,
     "op4_suffixes": op4_suffixes,
+    "op5_counting": op5_counting,
     "op6_language": op6_language,
     "op7_warc": op7_warc,
     "op8_jaccard": op8_jaccard,
