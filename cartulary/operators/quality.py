@@ -37,6 +37,8 @@ SEVERITY = {
     "no_keywords": "warning",
     "no_category": "warning",
     "fgdc_incomplete": "warning",
+    "wrong_dialect": "error",
+    "undecodable": "error",
     "literal_null": "info",
     "fetch_failed": "error",
 }
@@ -65,7 +67,7 @@ def _explode(records: DataFrame, singles: Sequence[Column], lists: Sequence[Colu
         lambda finding: finding.isNotNull(),
     )
     if "malformed" in records.columns:
-        broken = F.array(_finding("malformed_xml", F.col("file_name"), F.lit(True)))
+        broken = F.array(_finding(F.col("problem"), F.col("file_name"), F.lit(True)))
         found = F.when(F.col("malformed"), broken).otherwise(found)
     return with_severity(
         records.select("record_id", F.explode(found).alias("finding")).select(

@@ -94,7 +94,7 @@ def convert(
     written = spark.read.parquet(f"{target}/records")
     write_record_lines(written, f"{target}/record_lines")
     write_table(shares, f"{target}/shares")
-    rejected = landed.where("malformed").select("record_id", "file_name", "rejected")
+    rejected = landed.where("malformed").select("record_id", "file_name", "problem", "rejected")
     write_table(rejected, f"{target}/rejected")
     write_table(findings(landed, dialect, settings), f"{target}/findings")
     if memory is not None:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from cartulary.functions import keys
 from cartulary.operators.extract import EXTRACTORS
+from cartulary.sources.encodings import decoded
 from cartulary.sources.schemas import CORRUPT, UNPLACED, document_schema
 
 _OPTIONS = {
@@ -20,8 +21,14 @@ _OPTIONS = {
 }
 
 
-# Names that a document may give to Latin-1.
-_LATIN = ["iso-8859-1", "iso_8859-1", "latin1", "latin-1"]
+# The root elements of the dialects.
+ROOTS = {"iso": "MD_Metadata", "fgdc": "metadata"}
+
+#: What may stand around a root element.
+_MISC = r"(?:\s|<!--.*?-->|<\?.*?\?>)*"
+_ROOT_NAME = (
+    r"(?s)\A\s*(?:<\?.*?\?>\s*|<!--.*?-->\s*|<!DOCTYPE[^\[>]*(?:\[.*?\]\s*)?>\s*)*+<(?:[^\s<>/:]+:)?([^\s<>/:]+)"
+)
 
 
 def identify(files: DataFrame, dialect: str) -> DataFrame:
@@ -29,87 +36,128 @@ def identify(files: DataFrame, dialect: str) -> DataFrame:
     return files.withColumn("record_id", keys.record_id(F.col("file_name"), dialect))
 
 
-def _decoded(content: Column) -> Column:
-    """The text of a file in UTF-8 or, when its first line says so, in Latin-1."""
-    head = F.substring(content, 1, 200).cast("string")
-    declared = F.regexp_extract(head, "encoding=[\"']([A-Za-z0-9._-]+)[\"']", 1)
-    return F.when(F.lower(declared).isin(_LATIN), F.decode(content, "ISO-8859-1")).otherwise(
-        content.cast("string")
-    )
+def _is_pattern(path: str) -> bool:
+    return any(sign in path.rsplit("/", 1)[-1] for sign in "*?[{") or path.endswith(".xml")
 
 
-def file_options(dialect: str) -> dict[str, str]:
-    """Which files below a folder belong to a dialect."""
+def file_options(path: str, dialect: str) -> dict[str, str]:
+    """Which files a path means: what a pattern or a file name matches, or a dialect's below a folder."""
+    if _is_pattern(path):
+        return {}
     return {"pathGlobFilter": f"*_{dialect}.xml", "recursiveFileLookup": "true"}
 
 
-def as_documents(files: DataFrame, dialect: str) -> DataFrame:
-    """Files as ``(file_name, value, record_id)``, one whole document per row."""
+def _relative(file_path: Column, root: str) -> Column:
+    """A file's path below the input folder; files of the folder itself are just names.
+
+    For a pattern, the folder is what stands before the first part with a sign.
+    """
+    parts = root.rstrip("/").split("/")
+    fixed = next((n for n, part in enumerate(parts) if any(sign in part for sign in "*?[{")), len(parts))
+    if fixed == len(parts) and parts[-1].endswith(".xml"):
+        fixed -= 1
+    folder = "/".join(parts[:fixed]).split("://", 1)[-1].removeprefix("file:").strip("/") + "/"
+    return F.when(
+        F.contains(file_path, F.lit(folder)),
+        F.substring(file_path, F.instr(file_path, F.lit(folder)) + len(folder), F.length(file_path)),
+    ).otherwise(F.substring_index(file_path, "/", -1))
+
+
+def as_documents(files: DataFrame, dialect: str, root: str) -> DataFrame:
+    """Files as ``(file_name, value, record_id, decodable)``, one whole document per row.
+
+    ``file_name`` is the path below the input folder, so that equal names in different folders are
+    different records.
+    """
+    text, decodable = decoded(F.col("content"))
     texts = files.select(
-        F.substring_index("path", "/", -1).alias("file_name"),
-        _decoded(F.col("content")).alias("value"),
+        _relative(F.col("path"), root).alias("file_name"), text.alias("value"), decodable.alias("decodable")
     )
     return identify(texts, dialect)
 
 
 def read_documents(spark: SparkSession, path: str, dialect: str) -> DataFrame:
-    """All ``*_{dialect}.xml`` files below a folder."""
-    files = spark.read.format("binaryFile").options(**file_options(dialect)).load(path)
-    return as_documents(files, dialect)
+    """All ``*_{dialect}.xml`` files below a folder, or the files that a pattern matches."""
+    files = spark.read.format("binaryFile").options(**file_options(path, dialect)).load(path)
+    return as_documents(files, dialect, path)
 
 
-def _broken() -> Column:
-    return F.col("document").isNull() | F.col("document")[CORRUPT].isNotNull()
+def _outer(value: Column, dialect: str) -> Column:
+    """Why a text is no single document of the dialect: ``wrong_dialect``, ``malformed_xml``, or null."""
+    root = ROOTS[dialect]
+    closing = rf"</(?:[^\s<>/:]+:)?{root}\s*>"
+    whole = value.rlike(rf"(?s){closing}{_MISC}\z") | value.rlike(
+        rf"(?s)<(?:[^\s<>/:]+:)?{root}(?:\s[^<>]*)?/>{_MISC}\z"
+    )
+    # A second end tag is none if it stands in a comment or in character data.
+    bare = F.regexp_replace(value, r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>", "")
+    twice = F.when(F.regexp_count(value, F.lit(closing)) > 1, F.regexp_count(bare, F.lit(closing)) > 1).otherwise(F.lit(False))
+    name = F.regexp_extract(value, _ROOT_NAME, 1)
+    return F.when((name != "") & (name != root), F.lit("wrong_dialect")).when(
+        value.isNull() | (name == "") | ~whole | twice, F.lit("malformed_xml")
+    )
 
 
-def _anywhere(tag: str) -> Column:
-    """The first element of a name at any depth, for elements without a fixed place.
+def _inner(documents: DataFrame, dialect: str, document: Column) -> Column:
+    """Why a document is set aside, or null: undecodable, another dialect, or malformed."""
+    reason = _outer(F.col("value"), dialect)
+    if "decodable" in documents.columns:
+        reason = F.when(~F.col("decodable"), F.lit("undecodable")).otherwise(reason)
+    broken = document.isNull() | document[CORRUPT].isNotNull()
+    return F.coalesce(reason, F.when(broken, F.lit("malformed_xml")))
 
-    XPath reads the document again, so only texts that mention the element get there, and
-    never one that is malformed, which would fail the job.
-    """
-    mentioned = F.contains("value", F.lit(f"<{tag}")) & ~F.contains("value", F.lit("<!DOCTYPE"))
-    return F.when(
-        ~_broken() & mentioned, F.nullif(F.xpath_string("value", F.lit(f"//{tag}")), F.lit(""))
-    )
+
+def _anywhere(tag: str) -> Column:
+    """The first element of a name at any depth, for leaf elements without a fixed place."""
+    value = F.when(F.contains("value", F.lit("<!--")), F.regexp_replace("value", "(?s)<!--.*?-->", "")).otherwise(F.col("value"))
+    inner = F.regexp_extract(value, rf"(?s)<(?:[^\s<>/:]+:)?{tag}(?:\s[^<>]*)?(?<!/)>(.*?)</(?:[^\s<>/:]+:)?{tag}\s*>", 1)
+    plain = F.regexp_replace(inner, r"(?s)<!\[CDATA\[(.*?)\]\]>", "$1")
+    for entity, sign in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")):
+        inner = F.replace(inner, F.lit(entity), F.lit(sign))
+    text = F.when(F.contains(inner, F.lit("<![CDATA[")), plain).otherwise(inner)
+    return F.when(F.contains("value", F.lit(f"{tag}")), F.nullif(text, F.lit("")))
 
 
 def parse(
     documents: DataFrame, dialect: str, columns: Sequence[str] | None = None
 ) -> DataFrame:
-    """Documents as the ``document`` struct; malformed ones stay, flagged, with their text.
+    """Documents as the ``document`` struct; those set aside stay, with ``problem`` and their text.
 
     ``columns`` limits the schema to what those record columns need.
     """
     document = F.from_xml("value", document_schema(dialect, columns), _OPTIONS)
-    parsed = documents.select("record_id", "file_name", "value", document.alias("document"))
-    broken = _broken()
-    return parsed.select(
+    kept = [name for name in ("record_id", "file_name", "value", "decodable") if name in documents.columns]
+    parsed = documents.select(*kept, document.alias("document"))
+    problem = _inner(documents, dialect, F.col("document"))
+    return parsed.select("record_id", "file_name", "value", "document", problem.alias("problem")).select(
         "record_id",
         "file_name",
         "document",
-        broken.alias("malformed"),
-        F.when(broken, F.coalesce("value", F.lit(""))).alias("rejected"),
+        "problem",
+        F.col("problem").isNotNull().alias("malformed"),
+        F.when(F.col("problem").isNotNull(), F.coalesce("value", F.lit(""))).alias("rejected"),
         *[
-            _anywhere(tag).alias(name)
+            F.when(F.col("problem").isNull(), _anywhere(tag)).alias(name)
             for name, tag in UNPLACED[dialect].items()
             if columns is None or name in columns
         ],
     )
 
 
+_FLAGS = ("problem", "malformed", "rejected")
+
+
 def well_formed(parsed: DataFrame) -> DataFrame:
-    """The parsed documents, one column per root element, without the malformed ones.
+    """The parsed documents, one column per root element, without those set aside.
 
     The condition sits inside the generator. As a filter it would be pushed below the
     projection with a second copy of the parser.
     """
     intact = F.filter(
-        F.array("document"),
-        lambda document: document.isNotNull() & document[CORRUPT].isNull(),
+        F.array(F.struct("document", "problem")), lambda row: row["problem"].isNull()
     )
-    carried = [name for name in parsed.columns if name not in ("document", "malformed", "rejected")]
-    return parsed.select(*carried, F.inline(intact)).drop(CORRUPT)
+    carried = [name for name in parsed.columns if name not in ("document", *_FLAGS)]
+    return parsed.select(*carried, F.inline(intact)).select(*carried, "document.*").drop(CORRUPT)
 
 
 def extract(
@@ -119,38 +167,41 @@ def extract(
     return EXTRACTORS[dialect](well_formed(parse(documents, dialect, columns)), columns=columns)
 
 
-def land(documents: DataFrame, dialect: str) -> DataFrame:
+def land(documents: DataFrame, dialect: str, columns: Sequence[str] | None = None) -> DataFrame:
     """Extracted columns of every document, to be written once and read by all jobs.
 
-    Malformed documents stay as rows with ``malformed`` set, their whole text in
+    Documents set aside stay as rows with ``malformed``, the ``problem``, their whole text in
     ``rejected`` and no other column, so that one write holds both the corpus and its
-    quarantine.
+    quarantine. ``columns`` limits what is extracted.
     """
-    flagged = parse(documents, dialect).select("*", "document.*").drop("document", CORRUPT)
-    return EXTRACTORS[dialect](flagged, carry=("malformed", "rejected"))
+    flagged = parse(documents, dialect, columns).select(
+        "*", F.when(F.col("problem").isNull(), F.col("document")).alias("_usable")
+    ).select("*", "_usable.*").drop("document", "_usable", CORRUPT)
+    return EXTRACTORS[dialect](flagged, carry=_FLAGS, columns=columns)
 
 
 def landed_records(landed: DataFrame) -> DataFrame:
     """The usable rows of a landed table; the filter reaches the parquet scan."""
-    return landed.where(~F.col("malformed")).drop("malformed", "rejected")
+    return landed.where(~F.col("malformed")).drop(*_FLAGS)
 
 
 def quarantine(documents: DataFrame, dialect: str) -> DataFrame:
-    """The malformed documents with their whole text."""
+    """The documents set aside with their whole text."""
     document = F.from_xml("value", document_schema(dialect, ()), _OPTIONS)
-    broken = F.filter(
-        F.array(F.struct(F.col("value").alias("text"), document.alias("document"))),
-        lambda row: row["document"].isNull() | row["document"][CORRUPT].isNotNull(),
+    rows = documents.withColumn("document", document)
+    set_aside = F.filter(
+        F.array(F.struct(_inner(documents, dialect, F.col("document")).alias("problem"), F.coalesce("value", F.lit("")).alias("text"))),
+        lambda row: row["problem"].isNotNull(),
     )
-    return documents.select("record_id", "file_name", F.inline(broken)).select(
-        "record_id", "file_name", F.lit(dialect).alias("dialect"), "text"
+    return rows.select("record_id", "file_name", F.inline(set_aside)).select(
+        "record_id", "file_name", F.lit(dialect).alias("dialect"), "problem", "text"
     )
 
 
 def present_records(spark: SparkSession, path: str, dialect: str) -> DataFrame:
     """Ids of the records that a folder already holds; file contents are not read."""
     try:
-        files = spark.read.format("binaryFile").options(**file_options(dialect)).load(path)
+        files = spark.read.format("binaryFile").options(**file_options(path, dialect)).load(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise

@@ -13,10 +13,10 @@ def stream_documents(spark: SparkSession, path: str, dialect: str) -> DataFrame:
     files = (
         spark.readStream.format("binaryFile")
         .schema("path string, modificationTime timestamp, length long, content binary")
-        .options(**file_options(dialect))
+        .options(**file_options(path, dialect))
         .load(path)
     )
-    return as_documents(files, dialect)
+    return as_documents(files, dialect, path)
 
 
 def ingest_new(

@@ -4,8 +4,8 @@ Every document becomes one record whose fields vary with its id, language, sourc
 length, so that each rule meets every case. Rendering is row-local column arithmetic; the
 oracle SQL restates the same arithmetic on the table and never sees the XML.
 
-A document shorter than ``STUB_CHARS`` is cut off before its closing tag: a stub that the
-sender never finished.
+Some rows give faulty documents as well, beside their own: one that is cut off before its end,
+one with content behind its end, one of another kind.
 """
 
 from __future__ import annotations
@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from cartulary.functions.text import quoted
 from cartulary.vocabulary import categories_by_term
 
-STUB_CHARS = 100
 HOUSE = "Northern Records House"
 HOUSE_NAMES = {HOUSE: [HOUSE, ""]}
 TERMS = sorted(categories_by_term())
@@ -37,14 +36,8 @@ PROGRESS = ["completed", "ongoing", "planned", "underDevelopment", "obsolete"]
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents, spread over all cores when they come in fewer splits than there are cores.
-
-    Parsing is bound by the processor, and a small table is one row group. A large table has
-    more splits than cores and is read as it is.
-    """
-    table = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return table.repartition(cores, "doc_id") if table.rdd.getNumPartitions() < cores else table
+    """The documents, dealt over the tasks of a shuffle: rendering and parsing are bound by the processor."""
+    return spark.read.parquet(f"{sf_dir}/documents.parquet").repartition("doc_id")
 
 
 def _pick(values: list[str], index: str) -> str:
@@ -61,7 +54,6 @@ _BASICS = {
     "first_day": "date_add(DATE'1990-01-01', CAST(doc_id % 9000 AS INT))",
 }
 _SHAPE = {
-    "stub": f"n_chars < {STUB_CHARS}",
     "language_code": "CASE lang WHEN 'en' THEN 'eng; CAN' WHEN 'fr' THEN 'fra; CAN' ELSE lang END",
     "progress_code": _pick(PROGRESS, "doc_id"),
     "date_stamp": "CASE WHEN doc_id % 11 = 0 THEN 'Undefined' WHEN doc_id % 13 = 0 THEN '2020' "
@@ -249,7 +241,7 @@ ISO_TEMPLATE = (
     "<gmd:metadataMaintenance><gmd:MD_MaintenanceInformation><gmd:contact>"
     + _when("has_curator", _CURATOR_PARTY, _HOUSE_PARTY)
     + "</gmd:contact></gmd:MD_MaintenanceInformation></gmd:metadataMaintenance>"
-    "${if(stub, '', '</gmd:MD_Metadata>')}"
+    "</gmd:MD_Metadata>"
 )
 
 
@@ -314,15 +306,37 @@ FGDC_TEMPLATE = (
     + "</distrib></distinfo><metainfo><metd>20200403</metd>"
     + _when("has_curator", "<revdate><![CDATA[${replace(begin, '-', '')}]]></revdate>")
     + f"<metc>{_fgdc_person(2, 'cntperp', '', 'Keeper')}</metc></metainfo>"
-    "${if(stub, '', '</metadata>')}"
+    "</metadata>"
 )
 
 TEMPLATES = {"iso": ISO_TEMPLATE, "fgdc": FGDC_TEMPLATE}
 
 
+# Faulty documents: which rows have one (by remainder of their id by 20), and its text.
+FAULTY_EVERY = 20
+FAULTS = {
+    "cut": (0, "<${root}><title>${text}"),
+    "trailing": (7, "<${root}><title>${text}</title></${root}>\n<more/>"),
+    "foreign": (13, "<html><body>${text}</body></html>"),
+}
+ROOTS = {"iso": "MD_Metadata", "fgdc": "metadata"}
+
+
+def fault_template(kind: str, dialect: str) -> str:
+    return FAULTS[kind][1].replace("${root}", ROOTS[dialect])
+
+
 def corpus(spark: SparkSession, sf_dir: str, dialect: str) -> DataFrame:
-    """``(file_name, value)`` for every document."""
-    return shape(documents(spark, sf_dir)).select(
+    """``(file_name, value)`` for every document, and the faulty ones beside them."""
+    table = documents(spark, sf_dir)
+    found = shape(table).select(
         F.expr(f"record_id || '_{dialect}.xml'").alias("file_name"),
         _fill(TEMPLATES[dialect]).alias("value"),
     )
+    for kind, (remainder, _) in FAULTS.items():
+        faulty = table.where(F.col("doc_id") % FAULTY_EVERY == remainder).select(
+            F.expr(f"doc_id || '-{kind}_{dialect}.xml'").alias("file_name"),
+            _fill(fault_template(kind, dialect).replace("${text}", _value("text"))).alias("value"),
+        )
+        found = found.unionByName(faulty)
+    return found

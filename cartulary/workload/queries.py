@@ -85,20 +85,18 @@ def _joined(values: Column, separator: str = "|") -> Column:
 
 
 def ingest_iso(spark: SparkSession, sf_dir: str) -> DataFrame:
-    landed = sources.land(_documents(spark, sf_dir, "iso"), "iso")
-    return landed.select("record_id", "file_name", "malformed", "title", "abstract")
+    landed = sources.land(_documents(spark, sf_dir, "iso"), "iso", ("title", "abstract"))
+    return landed.select("record_id", "file_name", "malformed", "problem", "title", "abstract")
 
 
 def ingest_fgdc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    landed = sources.land(_documents(spark, sf_dir, "fgdc"), "fgdc")
-    return landed.select("record_id", "file_name", "malformed", "title", "abstract", "published")
+    landed = sources.land(_documents(spark, sf_dir, "fgdc"), "fgdc", ("title", "abstract", "published"))
+    return landed.select("record_id", "file_name", "malformed", "problem", "title", "abstract", "published")
 
 
 def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rejected = sources.quarantine(_documents(spark, sf_dir, "iso"), "iso")
-    return rejected.select(
-        "record_id", "file_name", "dialect", (F.length("text") > 0).alias("has_text")
-    )
+    found = [sources.quarantine(_documents(spark, sf_dir, dialect), dialect) for dialect in ("iso", "fgdc")]
+    return found[0].unionByName(found[1])
 
 
 def file_record_ids(spark: SparkSession, sf_dir: str) -> DataFrame:

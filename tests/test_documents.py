@@ -35,24 +35,24 @@ def harmonised(spark):
 
 
 def test_iso_document(harmonised, spark):
-    registry = spark.createDataFrame([("10.21963/13172",)], "doi string")
+    registry = spark.createDataFrame([("10.21963/4471",)], "doi string")
     record = harmonised(made.iso(), registry=registry)["0"]
-    assert record.title.en == "Gases, 2018-2019" and record.title.fr is None
+    assert record.title.en == "Orchard soils" and record.title.fr is None
     assert record.abstract.en == "First line & <more>\n\nSecond line "
     assert (record.language, record.progress) == ("en", "underDevelopment")
     assert record.created == record.datePublished == record.timeFirstPublished
-    assert record.created == "2024-07-18T00:00:00Z"
-    assert record.dateStart == "2018-07-24T00:00:00Z"
-    assert record.dateEnd == "2019-08-15T00:00:00Z"
+    assert record.created == "2021-03-09T00:00:00Z"
+    assert record.dateStart == "2016-05-02T00:00:00Z"
+    assert record.dateEnd == "2017-11-30T00:00:00Z"
     assert record.dateRevised == "2024-01-01T00:00:00Z"
     box = record.map
-    assert (box.north, box.south, box.east, box.west) == ("81.84", "50", "-48.4", "-105.48")
+    assert (box.north, box.south, box.east, box.west) == ("52.5", "44", "7.25", "-3.5")
     assert box.description.en == made.PLACE and box.polygon == ""
     tokens = set(made.THEMES) | {piece.strip() for piece in made.PLACE.split(",")}
     assert record.keywords.en == sorted(tokens) and record.keywords.fr == []
     assert record.eov == ["other"]
     assert record.edition == "1.0"
-    assert record.datasetIdentifier == "https://doi.org/10.21963/13172"
+    assert record.datasetIdentifier == "https://doi.org/10.21963/4471"
     assert record.comments.en == "## Purpose: Why\n\n## Supplemental Information: Details"
     assert record.sharedWith == {"ana": True, "ben": True}
     assert record.identifier.startswith("ccin-") and record.filename == "0_iso.xml"
@@ -60,7 +60,7 @@ def test_iso_document(harmonised, spark):
     assert record.resourceType == ["oceanographic"] and record.projects == []
     assert (record.noPlatform, record.noTaxa, record.noVerticalExtent) == (True, True, True)
     assert record.vertical == {} and record.history == [] and record.distribution == []
-    assert record.associated_resources[0].code.endswith("doi_id=13172")
+    assert record.associated_resources[0].code.endswith("doi_id=4471")
     assert record.doiCreationStatus == "findable"
 
 
@@ -68,20 +68,20 @@ def test_iso_contacts_merge(harmonised):
     contacts = harmonised(made.iso())["0"].contacts
     assert [(c.givenNames, c.lastName, c.indName, c.inCitation, c.role) for c in contacts] == [
         (made.HOUSE, "", f"{made.HOUSE} ", False, ["pointOfContact", "custodian", "distributor"]),
-        ("Petra", "Stone", "Petra Stone", True, ["principalInvestigator"]),
-        ("Rob", "River", "Rob River", True, ["originator"]),
+        ("Ingrid", "Hale", "Ingrid Hale", True, ["principalInvestigator"]),
+        ("Tomas", "Quist", "Tomas Quist", True, ["originator"]),
         ("", "", "", True, ["originator"]),
     ]
     assert contacts[0].indEmail == contacts[0].orgEmail == "desk@example.org"
-    assert contacts[1].indEmail is None and contacts[3].orgName == "Example Network"
+    assert contacts[1].indEmail is None and contacts[3].orgName == "Farm Circle"
 
 
 def test_same_party_twice_keeps_both_roles(harmonised):
     twice = [
-        made.party("Stone, Petra", "Org", "p@example.org", "Author"),
-        made.party("Stone, Petra", "Org", "p@example.org", "funder"),
-        made.party("Stone, Petra", "Org", None, "Author"),
-        made.party("Petra Stone", "Org", "p@example.org", "Author"),
+        made.party("Hale, Ingrid", "Org", "i@example.org", "Author"),
+        made.party("Hale, Ingrid", "Org", "i@example.org", "funder"),
+        made.party("Hale, Ingrid", "Org", None, "Author"),
+        made.party("Ingrid Hale", "Org", "i@example.org", "Author"),
     ]
     contacts = harmonised(made.iso(cited=twice, groups=[made.keywords("place", ["x"])]))["0"].contacts
     assert [c.role for c in contacts[1:]] == [["author", None, "author"], ["author"]]
@@ -139,14 +139,14 @@ def test_categories_parameter_wins(harmonised):
 
 
 def test_doi_prefix_priority(harmonised, spark):
-    dois = ["10.2/13172", "10.21963/13172", "10.2/7", "10.9/13172", "10.2/8/9"]
+    dois = ["10.2/4471", "10.21963/4471", "10.2/7", "10.9/4471", "10.2/8/9"]
     registry = spark.createDataFrame([(doi,) for doi in dois], "doi string")
     both = JobSettings(doi_prefixes=("10.2", "10.21963"), as_of="x")
     uri = "https://records.example.org/show?doi_id="
     found = harmonised(
         made.iso(), made.iso(uri=f"{uri}6"), made.iso(uri=f"{uri}8/9"), settings=both, registry=registry
     )
-    assert found["0"].datasetIdentifier == "https://doi.org/10.2/13172"
+    assert found["0"].datasetIdentifier == "https://doi.org/10.2/4471"
     assert found["1"].datasetIdentifier == ""
     assert found["2"].datasetIdentifier == "https://doi.org/10.2/8/9"
 
@@ -155,32 +155,32 @@ def test_no_namespace_and_declaration(harmonised):
     plain = made.iso().replace("gmd:", "").replace("gco:", "").replace("gml:", "")
     declared = '<?xml version="1.0" encoding="UTF-8"?>\n' + made.iso()
     found = harmonised(plain, declared)
-    assert found["0"].title.en == found["1"].title.en == "Gases, 2018-2019"
+    assert found["0"].title.en == found["1"].title.en == "Orchard soils"
     assert len(found["0"].contacts) == 4
 
 
 def test_fgdc_document(harmonised):
     record = harmonised(made.fgdc(), dialect="fgdc")["0"]
-    assert record.organization == "Example University"
-    assert record.title.en == "Gases, 2018-2019" and record.abstract.en == "Text & more"
+    assert record.organization == "Vale College"
+    assert record.title.en == "Orchard soils" and record.abstract.en == "Text & more"
     assert [(c.givenNames, c.lastName, c.role) for c in record.contacts] == [
-        ("Rob", "River", ["pointOfContact"]),
-        ("Example Records", "Desk", ["owner"]),
-        ("Rob", "River", ["custodian"]),
-        ("Petra", "Stone", ["author"]),
-        ("Rob", "River", ["author"]),
+        ("Tomas", "Quist", ["pointOfContact"]),
+        ("Farm Letters", "Desk", ["owner"]),
+        ("Tomas", "Quist", ["custodian"]),
+        ("Ingrid", "Hale", ["author"]),
+        ("Tomas", "Quist", ["author"]),
     ]
     first, second, third, author, _ = record.contacts
     assert (first.indPosition, second.indPosition, third.indPosition) == ("NULL", "Director", None)
     assert first.orgEmail == "" and first.indEmail == "one@example.org"
     assert first.orgAddress == "2 Mill Lane" and author.inCitation and author.orgName is None
-    assert len(record.keywords.en) == 13 and record.keywords.en[-1] == "Sound D"
-    assert (record.created, record.dateStart, record.dateEnd) == ("20240718", "20180724", "20190815")
-    assert record.dateRevised is None and record.timeFirstPublished == "20200403"
+    assert len(record.keywords.en) == 6 and record.keywords.en[-1] == "Low Pasture"
+    assert (record.created, record.dateStart, record.dateEnd) == ("20210309", "20160502", "20171130")
+    assert record.dateRevised is None and record.timeFirstPublished == "20190612"
     assert (record.language, record.progress) == ("en", "onGoing")
     assert record.limitations.en == "Why\n\nDetails" and record.edition == ""
     assert record.platforms[0].type == "ship" and record.noPlatform is False
-    assert (record.map.north, record.map.west) == ("81.84", "-105.48")
+    assert (record.map.north, record.map.west) == ("52.5", "-3.5")
 
 
 def _landed(spark, texts, dialect):
@@ -215,11 +215,11 @@ def test_findings(spark):
     worst = made.iso(
         point_of_contact=None,
         language=cs_language("deu"),
-        date_stamp="2024-13-40",
+        date_stamp="2021-13-40",
         status="obsolete",
         uri=None,
         citation="Doe, J., Roe, R., Poe, B., Coe, D. (2020)",
-        cited=[made.party("Anna Maria Stone", role="funder")],
+        cited=[made.party("Anna Maria Hale", role="funder")],
         groups=[made.keywords("theme", ["Unlisted"])],
     )
     found = _rules(quality.iso_findings(_landed(spark, [worst, "<a>"], "iso"), made.HOUSE_NAMES))
@@ -227,12 +227,12 @@ def test_findings(spark):
         [
             ("0", "element_missing", "uri"),
             ("0", "missing_section", "point_of_contact"),
-            ("0", "unparsable_date", "date_stamp=2024-13-40"),
+            ("0", "unparsable_date", "date_stamp=2021-13-40"),
             ("0", "unmapped_code", "language_code=deu"),
             ("0", "unmapped_code", "progress_code=obsolete"),
             ("0", "unmapped_role", "role=funder"),
             ("0", "missing_name", "point_of_contact"),
-            ("0", "name_more_than_two_parts", "cited=Anna Maria Stone"),
+            ("0", "name_more_than_two_parts", "cited=Anna Maria Hale"),
             ("0", "citation_party_mismatch", "4 > 1"),
             ("0", "no_category", "Unlisted"),
             ("1", "malformed_xml", "1_iso.xml"),
@@ -261,7 +261,7 @@ def test_fgdc_findings(spark):
     assert found == [
         ("0", "fgdc_incomplete", "fgdc"),
         ("0", "literal_null", "points_of_contact.position"),
-        ("0", "name_more_than_two_parts", "distributors=Example Records Desk"),
+        ("0", "name_more_than_two_parts", "distributors=Farm Letters Desk"),
     ]
 
 
@@ -274,10 +274,10 @@ def test_summary_counts_records_once(spark):
 
 def test_bounding_numbers(spark):
     table = spark.createDataFrame(
-        [("1", "81.84", "x", "", None)], "record_id string, north string, south string, east string, west string"
+        [("1", "52.5", "x", "", None)], "record_id string, north string, south string, east string, west string"
     )
     (row,) = plans.box_numbers(table).collect()
-    assert (row.north_value, row.south_value, row.east_value, row.west_value) == (81.84, None, None, None)
+    assert (row.north_value, row.south_value, row.east_value, row.west_value) == (52.5, None, None, None)
 
 
 def test_one_parser_per_document(spark):

@@ -82,7 +82,7 @@ def test_convert_and_append(spark, folder, tmp_path):
     jobs.convert(spark, str(folder), second, "fgdc", SETTINGS, append_to=earlier)
     both = spark.read.parquet(f"{second}/records")
     assert sorted(row.recordID for row in both.collect()) == ["1", "2", "4"]
-    assert [r.organization for r in both.where("recordID = '4'").collect()] == ["Example University"]
+    assert [r.organization for r in both.where("recordID = '4'").collect()] == ["Vale College"]
 
 
 def test_convert_with_translation(spark, folder, tmp_path):
@@ -90,13 +90,13 @@ def test_convert_with_translation(spark, folder, tmp_path):
     assert exports.read_memory(spark, str(memory_file)).count() == 0
     import hashlib
 
-    key = hashlib.md5(b"Gases, 2018-2019-en-fr").hexdigest()
-    memory_file.write_text(json.dumps({key: "Gaz"}, indent=2))
+    key = hashlib.md5(b"Orchard soils-en-fr").hexdigest()
+    memory_file.write_text(json.dumps({key: "Sols de verger"}, indent=2))
     target = str(tmp_path / "out")
     memory = exports.read_memory(spark, str(memory_file))
     jobs.convert(spark, str(folder), target, "iso", SETTINGS, memory=memory)
     titles = {row.title.fr for row in spark.read.parquet(f"{target}/records").collect()}
-    assert titles == {"Gaz"}
+    assert titles == {"Sols de verger"}
     pending = {row.text for row in spark.read.parquet(f"{target}/pending").collect()}
     assert pending == {
         "First line & <more>\n\nSecond line ",
@@ -129,7 +129,7 @@ def test_inspect(spark, folder):
     files = {row.file_name: row["values"] for row in jobs.inspect(landed, by_file=True).collect()}
     assert files == {"1_iso.xml": made.THEMES, "2_iso.xml": made.THEMES}
     stamps = {row.value: row.occurrences for row in jobs.inspect(landed, "date_stamp").collect()}
-    assert stamps == {"2024-07-18": 1, "Undefined": 1}
+    assert stamps == {"2021-03-09": 1, "Undefined": 1}
 
 
 def test_harvest(spark, folder, tmp_path):
