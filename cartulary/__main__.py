@@ -1,17 +1,18 @@
-"""Command line: ``python -m cartulary {harvest,convert,inspect} …``."""
+"""Command line: ``python -m cartulary {harvest,report,convert,inspect} …``."""
 
 from __future__ import annotations
 
 import argparse
+from dataclasses import replace
 
 from cartulary.plans import jobs
 from cartulary.session import builder
 from cartulary.settings import JobSettings
 from cartulary.sinks.exports import write_table
 from cartulary.sources.documents import land, read_documents
-from cartulary.sources.exports import read_memory
+from cartulary.sources.exports import read_export, read_memory
 from cartulary.sources.lists import ID_COLUMN, identifier_list, identifiers, read_table
-from cartulary.staging import stage
+from cartulary.staging import staging
 
 
 def _arguments() -> argparse.Namespace:
@@ -25,15 +26,20 @@ def _arguments() -> argparse.Namespace:
     harvest.add_argument("--base-url", required=True)
     harvest.add_argument("--overwrite", action="store_true")
 
-    convert = commands.add_parser("convert", help="convert a folder of XML files")
+    report = commands.add_parser("report", help="failures and totals of a finished harvest")
+    report.add_argument("--statuses", required=True, help="table of record_id, url, status")
+
+    convert = commands.add_parser("convert", help="convert a folder or a pattern of XML files")
     convert.add_argument("--files", required=True)
     convert.add_argument("--user", default="unknown")
     convert.add_argument("--region", default="")
     convert.add_argument("--shares", default="", help="comma-separated persons")
     convert.add_argument("--house-name", action="append", default=[])
     convert.add_argument("--registry", help="table with a doi column")
-    convert.add_argument("--memory", help="translation memory, one JSON object")
-    convert.add_argument("--append-to", help="folder of an earlier export")
+    convert.add_argument("--memory", help="translation memory: a table, JSON lines, or one JSON object")
+    convert.add_argument("--returned", help="table of cache_key, translated: new translations")
+    convert.add_argument("--vocabulary", help="table of category, term; else the built-in one")
+    convert.add_argument("--append-to", help="an earlier export: its folder, or a JSON envelope")
 
     inspect = commands.add_parser("inspect", help="profile an attribute")
     inspect.add_argument("--files", required=True)
@@ -42,6 +48,7 @@ def _arguments() -> argparse.Namespace:
 
     for command in (harvest, convert, inspect):
         command.add_argument("--dialect", choices=("iso", "fgdc"), default="iso")
+    for command in (harvest, report, convert, inspect):
         command.add_argument("--output", required=True)
     return parser.parse_args()
 
@@ -58,6 +65,8 @@ def main() -> None:
             spark, wanted, args.folder, args.base_url, args.dialect, args.overwrite
         )
         write_table(work, args.output, "json")
+    elif args.command == "report":
+        jobs.report_harvest(read_table(spark, args.statuses), args.output)
     elif args.command == "convert":
         settings = JobSettings(
             user=args.user,
@@ -65,12 +74,12 @@ def main() -> None:
             shares=args.shares.split(","),
             house_names={name: [name, ""] for name in args.house_name},
         )
-        earlier = None
-        if args.append_to:
-            earlier = (
-                spark.read.parquet(f"{args.append_to}/records"),
-                spark.read.parquet(f"{args.append_to}/shares"),
-            )
+        if args.vocabulary:
+            terms: dict[str, list[str]] = {}
+            for row in read_table(spark, args.vocabulary).select("category", "term").distinct().collect():
+                terms.setdefault(row.category, []).extend([row.term] if row.term is not None else [])
+            settings = replace(settings, vocabulary=terms)
+        earlier = read_export(spark, args.append_to, jobs.record_schema(spark, args.dialect)) if args.append_to else None
         jobs.convert(
             spark,
             args.files,
@@ -80,10 +89,12 @@ def main() -> None:
             registry=read_table(spark, args.registry) if args.registry else None,
             memory=read_memory(spark, args.memory) if args.memory else None,
             append_to=earlier,
+            returned=read_memory(spark, args.returned) if args.returned else None,
         )
     else:
-        landed = stage(land(read_documents(spark, args.files, args.dialect), args.dialect))
-        write_table(jobs.inspect(landed, args.attribute, args.by_file), args.output, "json")
+        with staging(spark) as keep:
+            landed = keep(land(read_documents(spark, args.files, args.dialect), args.dialect))
+            write_table(jobs.inspect(landed, args.attribute, args.by_file), args.output, "json")
 
 
 if __name__ == "__main__":

@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from cartulary.functions.text import after_last, bind, strip, text_array, words
+from cartulary.functions.text import after_last, bind, strip, text_map, words
 
 
 def _after_label(text: Column) -> Column:
@@ -35,11 +35,10 @@ def _from_parts(parts: Column, full: Column, count: Column) -> Column:
 
 
 def house_parts(whole: Column, house_names: Mapping[str, Sequence[str]]) -> Column:
-    """The replacement parts of a listed name, or null."""
-    result = F.lit(None).cast("array<string>")
-    for name, replacement in house_names.items():
-        result = F.when(whole == name, text_array(replacement)).otherwise(result)
-    return result
+    """The replacement parts of a listed name, or null: one look-up, however long the list."""
+    if not house_names:
+        return F.lit(None).cast("array<string>")
+    return F.element_at(text_map(house_names), whole)
 
 
 def person_name(

@@ -64,14 +64,3 @@ def text_map(values: Mapping[str, str | Sequence[str]]) -> Column:
 def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate ``value`` once per row and use it several times in ``body``."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
-def first_present(values: Column) -> Column:
-    """The text of the first element that exists; an empty first element gives null."""
-    return blank_to_null(F.get(F.filter(values, lambda value: value.isNotNull()), F.lit(0)))
-
-
-def flatten_present(arrays: Column) -> Column:
-    """Concatenate the arrays that exist; no array at all gives an empty one."""
-    present = F.filter(arrays, lambda inner: inner.isNotNull())
-    return F.coalesce(F.flatten(present), F.array())

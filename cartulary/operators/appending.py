@@ -16,6 +16,12 @@ def colliding_keys(existing: DataFrame, new: DataFrame, key: str = "record_key")
     )
 
 
+def refuse_repeated_keys(records: DataFrame, key: str = "record_key") -> None:
+    """Stops when two records of one batch have the same key."""
+    if not records.groupBy(key).count().where("count > 1").isEmpty():
+        raise KeyCollision("two records of the batch have the same key")
+
+
 def append_records(existing: DataFrame, new: DataFrame, key: str = "record_key") -> DataFrame:
     """The union of both, refused as a whole when any key is on both sides."""
     if not colliding_keys(existing, new, key).isEmpty():

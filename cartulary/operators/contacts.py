@@ -142,24 +142,30 @@ def _fields(of: str, names: Sequence[str] = IDENTITY) -> str:
 def merge_contacts(records: DataFrame, column: str = "contacts") -> DataFrame:
     """Merge equal contacts of each record; roles concatenate, first-seen order stays.
 
-    A hash per contact makes the comparison inside the array cheap; the full comparison
-    decides.
+    Contacts are sorted by a hash, so that equal ones stand together and one pass finds where
+    each group begins; a record with very many contacts costs a sort, not a comparison of pairs.
     """
     who = f"named_struct({_fields('person')})"
     entries = (
-        f"transform({column}, person -> "
-        f"named_struct('hash', xxhash64({who}), 'who', {who}, 'role', person.role))"
+        f"array_sort(transform({column}, (person, i) -> "
+        f"named_struct('hash', xxhash64({who}), 'who', {who}, 'position', i, 'role', person.role)))"
     )
-    people = "array_distinct(transform(_entries, e -> named_struct('hash', e.hash, 'who', e.who)))"
-    same = "filter(_entries, e -> e.hash = person.hash AND e.who <=> person.who)"
-    merged = (
-        f"transform({people}, person -> "
-        f"named_struct({_fields('person.who')}, 'role', flatten({same}.role)))"
+    starts = (
+        "filter(transform(_entries, (e, i) -> if(i > 0 AND e.hash = _entries[i - 1].hash "
+        "AND e.who <=> _entries[i - 1].who, NULL, i)), i -> i IS NOT NULL)"
     )
+    groups = (
+        "array_sort(transform(_starts, (start, i) -> named_struct("
+        "'position', _entries[start].position, 'who', _entries[start].who, 'role', flatten("
+        "slice(_entries, start + 1, coalesce(get(_starts, i + 1), size(_entries)) - start).role))))"
+    )
+    merged = f"transform(_groups, person -> named_struct({_fields('person.who')}, 'role', person.role))"
     return (
         records.withColumn("_entries", F.expr(entries))
+        .withColumn("_starts", F.expr(starts))
+        .withColumn("_groups", F.expr(groups))
         .withColumn(column, F.expr(merged))
-        .drop("_entries")
+        .drop("_entries", "_starts", "_groups")
     )
 
 

@@ -18,26 +18,29 @@ from pyspark.sql import functions as F
 
 # A key with more rows than this is hot and is split into pieces of about this size.
 HOT_ROWS = 500_000
-# Upper bounds that make the list of hot keys safe to broadcast. A key beyond them is joined
-# like any other key, or in larger pieces; adaptive execution splits those partitions.
-MAX_HOT_KEYS = 10_000
-MAX_SALTS = 4_096
+# At most this many keys can be hot: a hot key also holds more than this share of all rows, so
+# the list is short whatever the data, and safe to broadcast.
+HOT_KEYS = 10_000
+# Rows without a key are dealt over so many pieces.
+KEYLESS_PIECES = 4_096
 
 
 def hot_keys(facts: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """``(keys, _salts)`` of the most frequent keys above the threshold.
+    """``(keys, _salts)`` of the keys above the threshold, and how many pieces each needs.
 
-    Counting is combined before the shuffle, so a hot key costs one row per input split.
+    The threshold is the larger of ``hot_rows`` and the rows' ``HOT_KEYS``-th part; smaller keys
+    are at most that share of the rows and need no splitting. Counting is combined before the
+    shuffle, so a hot key costs one row per input split.
     """
-    salts = F.least(F.ceil(F.col("_rows") / hot_rows), F.lit(MAX_SALTS)).cast("int")
+    keyed = facts.dropna(subset=list(keys))
+    total = keyed.agg(F.count("*")).scalar()
+    threshold = F.greatest(F.lit(hot_rows).cast("long"), F.ceil(total / HOT_KEYS).cast("long"))
     return (
-        facts.dropna(subset=list(keys))
-        .groupBy(*keys)
+        keyed.groupBy(*keys)
         .agg(F.count("*").alias("_rows"))
-        .where(F.col("_rows") > hot_rows)
-        .orderBy(F.desc("_rows"), *keys)
-        .limit(MAX_HOT_KEYS)
-        .select(*keys, salts.alias("_salts"))
+        .withColumn("_most", threshold)
+        .where(F.col("_rows") > F.col("_most"))
+        .select(*keys, F.ceil(F.col("_rows") / F.col("_most")).cast("int").alias("_salts"))
     )
 
 
@@ -63,7 +66,7 @@ def salted_lookup(
         return F.coalesce("_salts", otherwise)
 
     salt = F.pmod(
-        F.xxhash64(spread), salts(F.when(keyless, F.lit(MAX_SALTS)).otherwise(F.lit(1)))
+        F.xxhash64(spread), salts(F.when(keyless, F.lit(KEYLESS_PIECES)).otherwise(F.lit(1)))
     )
     copies = F.explode(F.sequence(F.lit(0), salts(F.lit(1)) - 1))
     salted_facts = facts.join(hot, keys, "left").withColumn("_salt", salt.cast("int"))

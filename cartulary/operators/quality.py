@@ -155,9 +155,7 @@ def iso_findings(
     published = citations.is_published(citation)
     shortened = citations.abbreviates_authors(citation)
     unlisted = published & ~citations.lists_authors(citation)
-    matched = F.array_contains(
-        subjects.categories(themes, vocabulary), subjects.DEFAULT_CATEGORY
-    )
+    unmatched = F.size(subjects.matched_categories(themes, vocabulary)) == 0
 
     def role_finding(party: Column) -> Column:
         return _finding(
@@ -182,7 +180,7 @@ def iso_findings(
             (F.col("_authors") > F.size("cited")) & ~shortened,
         ),
         _finding("no_keywords", "theme", F.size(themes) == 0),
-        _finding("no_category", F.array_join(themes, ","), matched),
+        _finding("no_category", F.array_join(themes, ","), unmatched),
     ]
     sections = ", ".join(
         f"named_struct('section', '{name}', 'text', {name}.name)" for name in _SECTIONS

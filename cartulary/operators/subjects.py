@@ -12,9 +12,6 @@ from cartulary.operators.lookup import adaptive_lookup
 from cartulary.settings import DEFAULT_CATEGORY
 from cartulary.vocabulary import CATEGORIES, categories_by_term
 
-# A vocabulary up to this many terms is inlined as a literal; a larger one is a table.
-INLINE_TERMS = 500
-
 
 def _of_type(kind: str) -> Column:
     return F.filter(F.col("keyword_groups"), lambda group: group["type"] == kind)
@@ -87,24 +84,30 @@ def _or_default(categories: Column) -> Column:
     )
 
 
-def categories(
+def matched_categories(
     keywords: Column, vocabulary: Mapping[str, Sequence[str]] = CATEGORIES
 ) -> Column:
-    """Categories of a keyword array by exact match, sorted; ``["other"]`` for none.
+    """Categories of a keyword array by exact match, without order; none for none.
 
-    The vocabulary becomes a literal map, so classification needs neither join nor shuffle.
+    A vocabulary given as a mapping becomes a literal map, so classification needs neither join
+    nor shuffle; one kept as a table goes through ``classify_by_table``.
     """
     inverse = categories_by_term(vocabulary)
     if not inverse:
-        return text_array([DEFAULT_CATEGORY])
-    if len(inverse) > INLINE_TERMS:
-        raise ValueError("vocabulary too large to inline; use classify_by_table")
+        return F.array().cast("array<string>")
     lookup = text_map(inverse)
     found = F.filter(
         F.transform(F.array_distinct(keywords), lambda keyword: F.element_at(lookup, keyword)),
         lambda hit: hit.isNotNull(),
     )
-    return _or_default(F.array_distinct(F.flatten(found)))
+    return F.array_distinct(F.flatten(found))
+
+
+def categories(
+    keywords: Column, vocabulary: Mapping[str, Sequence[str]] = CATEGORIES
+) -> Column:
+    """Categories of a keyword array by exact match, sorted; ``["other"]`` for none."""
+    return _or_default(matched_categories(keywords, vocabulary))
 
 
 def classify_by_table(

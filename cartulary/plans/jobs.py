@@ -6,13 +6,14 @@ import logging
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from cartulary.operators import appending, harvest, profile, quality, sharing, subjects, translation
 from cartulary.plans import records as plans
 from cartulary.settings import JobSettings
 from cartulary.sinks.exports import write_record_lines, write_table
 from cartulary.sources.documents import land, landed_records, present_records, read_documents
-from cartulary.staging import stage
+from cartulary.staging import staging
 
 log = logging.getLogger(__name__)
 
@@ -50,6 +51,12 @@ def harmonise(
     return plans.harmonise_fgdc(usable, settings)
 
 
+def record_schema(spark: SparkSession, dialect: str) -> StructType:
+    """The columns of the dialect's output records."""
+    nothing = spark.createDataFrame([], "file_name string, value string, record_id string")
+    return harmonise(land(nothing, dialect), dialect, JobSettings()).schema
+
+
 def grants(records: DataFrame, settings: JobSettings) -> DataFrame:
     owned = records.select(
         F.col("userID").alias("user_id"), F.col("recordKey").alias("record_key")
@@ -67,44 +74,55 @@ def convert(
     memory: DataFrame | None = None,
     append_to: tuple[DataFrame, DataFrame] | None = None,
     share_mode: str = "replace",
+    returned: DataFrame | None = None,
 ) -> None:
     """Convert a folder of XML files into the tables of an export below ``target``.
 
     ``records`` (parquet), ``record_lines`` (JSON lines), ``shares``, ``findings`` and
-    ``rejected``; with a translation ``memory`` also ``pending``, the texts it lacks.
-    ``append_to`` holds the records and grants of an earlier export; when any key is on both
-    sides the job stops before it writes anything.
+    ``rejected``; with a translation ``memory`` also ``pending``, the texts it lacks, and with
+    ``returned`` translations ``memory``, the memory that has them too. ``append_to`` holds the
+    records and grants of an earlier export; when any key is on both sides, or twice among the new
+    records, the job stops before it writes anything.
 
-    The corpus is parsed once, into a staged table that every later step reads.
+    The corpus is parsed once, into a staged table that every later step reads. Staged tables are
+    removed at the end.
     """
-    landed = stage(land(read_documents(spark, source, dialect), dialect))
-    records = harmonise(landed, dialect, settings, registry)
-    if memory is not None:
+    with staging(spark) as keep:
+        landed = keep(land(read_documents(spark, source, dialect), dialect))
+        records = harmonise(landed, dialect, settings, registry)
         fields = [name for name in translation.TRANSLATED_FIELDS if name in records.columns]
-        records = stage(translation.with_field_keys(records, fields))
-        texts = translation.field_texts(records, fields)
-        pending = translation.pending(translation.with_keys(texts), memory)
-        records = translation.translate_records(records, memory, fields=fields)
-    shares = grants(records, settings)
-    if append_to is not None:
-        old_records, old_shares = append_to
-        records = appending.append_records(old_records, records, key="recordKey")
-        shares = sharing.append_shares(old_shares, shares, share_mode)
-    write_table(records, f"{target}/records")
-    written = spark.read.parquet(f"{target}/records")
-    write_record_lines(written, f"{target}/record_lines")
-    write_table(shares, f"{target}/shares")
-    rejected = landed.where("malformed").select("record_id", "file_name", "problem", "rejected")
-    write_table(rejected, f"{target}/rejected")
-    write_table(findings(landed, dialect, settings), f"{target}/findings")
-    if memory is not None:
-        write_table(pending, f"{target}/pending")
+        if memory is not None:
+            if returned is not None:
+                memory = keep(translation.update_memory(memory, returned))
+            records = translation.with_field_keys(records, fields)
+        records = keep(records)
+        appending.refuse_repeated_keys(records, "recordKey")
+        shares = grants(records, settings)
+        if memory is not None:
+            texts = translation.field_texts(records, fields)
+            pending = translation.pending(translation.with_keys(texts), memory)
+            records = translation.translate_records(records, memory, fields=fields)
+        if append_to is not None:
+            old_records, old_shares = append_to
+            records = appending.append_records(old_records, records, key="recordKey")
+            shares = sharing.append_shares(old_shares, shares, share_mode)
+        write_table(records, f"{target}/records")
+        written = spark.read.parquet(f"{target}/records")
+        write_record_lines(written, f"{target}/record_lines")
+        write_table(shares, f"{target}/shares")
+        rejected = landed.where("malformed").select("record_id", "file_name", "problem", "rejected")
+        write_table(rejected, f"{target}/rejected")
+        write_table(findings(landed, dialect, settings), f"{target}/findings")
+        if memory is not None:
+            write_table(pending, f"{target}/pending")
+            if returned is not None:
+                write_table(memory, f"{target}/memory")
 
 
 def findings(landed: DataFrame, dialect: str, settings: JobSettings) -> DataFrame:
     """Data-quality findings of a landed corpus, malformed documents included."""
     if dialect == "iso":
-        return quality.iso_findings(landed, settings.house_names)
+        return quality.iso_findings(landed, settings.house_names, settings.vocabulary)
     return quality.fgdc_findings(landed)
 
 

@@ -151,7 +151,7 @@ def harmonise_iso(
         "edition": edition(),
         "eov": text_array(settings.categories)
         if settings.categories
-        else subjects.categories(subjects.theme_keywords()),
+        else subjects.categories(subjects.theme_keywords(), settings.vocabulary),
         "identifier": keys.identifier(F.col("recordKey")),
         "keywords": F.struct(
             subjects.keyword_tokens().alias("en"), _empty("string").alias("fr")

@@ -11,6 +11,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Parsing is bound by the processor: splits smaller than the default spread it better.
     "spark.sql.files.maxPartitionBytes": "64m",
+    # Metadata files are small: many go into one split.
+    "spark.sql.files.openCostInBytes": "64k",
     # No stack inspection for every column expression built in Python.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.session.timeZone": "UTC",
@@ -19,8 +21,13 @@ SETTINGS = {
 }
 
 
-def builder(name: str) -> SparkSession.Builder:
+def builder(name: str, shuffle_partitions: int | None = None) -> SparkSession.Builder:
+    """``shuffle_partitions``: how many partitions a shuffle starts with before small ones are merged;
+    for large corpora about one for each 128 MB that it moves.
+    """
     made = SparkSession.builder.appName(name)
+    if shuffle_partitions:
+        made = made.config("spark.sql.adaptive.coalescePartitions.initialPartitionNum", shuffle_partitions)
     for key, value in SETTINGS.items():
         made = made.config(key, value)
     return made

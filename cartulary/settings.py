@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
+from cartulary.vocabulary import CATEGORIES
+
 # Code lists, formats and notices that the output must carry verbatim.
 LANGUAGE_CODES = {
     "eng; CAN": "en",
@@ -42,7 +44,8 @@ class JobSettings:
     """Parameters stamped on every record of one run.
 
     ``house_names`` maps a whole person name, as standardised, to the name parts that
-    replace it: organisations that appear where a person is expected. ``as_of`` fixes the
+    replace it: organisations that appear where a person is expected. ``vocabulary`` maps a category
+    to its terms. ``as_of`` fixes the
     revision time; when it is absent the query start time is used.
     """
 
@@ -57,6 +60,7 @@ class JobSettings:
     doi_status: str = "findable"
     doi_prefixes: Sequence[str] = DOI_PREFIXES
     house_names: Mapping[str, Sequence[str]] = field(default_factory=dict)
+    vocabulary: Mapping[str, Sequence[str]] = field(default_factory=lambda: CATEGORIES)
     equivalent_title_en: str = "Source catalogue equivalent record"
     equivalent_title_fr: str = "Enregistrement équivalent du catalogue source"
     as_of: str | None = None

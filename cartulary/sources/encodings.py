@@ -53,7 +53,7 @@ def decoded(content: Column) -> tuple[Column, Column]:
     text = (
         F.when(two_bytes[0] | two_bytes[1], F.decode(content, "UTF-16"))
         .when(name == "utf8", utf8)
-        .when(meaning.isNotNull(), F.translate(latin, _HIGH.decode("latin-1"), meaning))
+        .when(meaning.isNotNull(), F.call_function("translate", latin, F.lit(_HIGH.decode("latin-1")), meaning))
     )
     lossy = F.regexp_replace(F.coalesce(text, utf8), "^﻿", "")
     return lossy, text.isNotNull() & ~F.contains(lossy, F.lit(REPLACEMENT))

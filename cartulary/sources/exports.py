@@ -1,4 +1,8 @@
-"""Readers for the JSON forms: exports and translation memories."""
+"""Readers for the JSON forms: exports and translation memories.
+
+A text that is no such JSON, one that was cut off for example, fails the job: read as empty, it
+would pass for an export without records, or a memory without translations.
+"""
 
 from __future__ import annotations
 
@@ -13,10 +17,13 @@ _GRANTS = "map<string,map<string,map<string,struct<shared:boolean>>>>"
 _ENVELOPE = f"array<struct<records:map<string,string>,shares:{_GRANTS}>>"
 
 
+_STRICT = {"mode": "FAILFAST"}
+
+
 def _envelopes(spark: SparkSession, path: str) -> DataFrame:
     """The envelope of each file; a lone object reads like a list of one."""
     texts = spark.read.text(path, wholetext=True)
-    return texts.select(F.inline(F.from_json("value", _ENVELOPE)))
+    return texts.select(F.inline(F.from_json("value", _ENVELOPE, _STRICT)))
 
 
 def read_envelope_records(spark: SparkSession, path: str) -> DataFrame:
@@ -44,17 +51,30 @@ def typed_records(lines: DataFrame, schema: StructType) -> DataFrame:
     """Record texts as columns of the output schema, the key first."""
     body = StructType([field for field in schema.fields if field.name != "recordKey"])
     return lines.select(
-        F.col("record_key").alias("recordKey"), F.from_json("record", body).alias("record")
+        F.col("record_key").alias("recordKey"), F.from_json("record", body, _STRICT).alias("record")
     ).select("recordKey", "record.*")
 
 
+def read_export(spark: SparkSession, path: str, schema: StructType) -> tuple[DataFrame, DataFrame]:
+    """Records and grants of an earlier export: its folder of tables, or its JSON envelope."""
+    if not path.endswith(".json"):
+        return spark.read.parquet(f"{path}/records"), spark.read.parquet(f"{path}/shares")
+    return typed_records(read_envelope_records(spark, path), schema), read_envelope_shares(spark, path)
+
+
 def read_memory(spark: SparkSession, path: str) -> DataFrame:
-    """A translation memory kept as one JSON object; an absent file is an empty memory."""
+    """A translation memory: a table of ``cache_key`` and ``translated`` in parquet or JSON lines
+    (``.parquet``, ``.jsonl``, or a folder), or else one JSON object; an absent one is empty.
+    """
     try:
+        if path.endswith(".jsonl"):
+            return spark.read.schema(MEMORY_SCHEMA).option("mode", "FAILFAST").json(path)
+        if not path.endswith(".json"):
+            return spark.read.parquet(path).select("cache_key", "translated")
         texts = spark.read.text(path, wholetext=True)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], MEMORY_SCHEMA)
-    pairs = F.from_json("value", "map<string,string>")
+    pairs = F.from_json("value", "map<string,string>", _STRICT)
     return texts.select(F.explode(pairs).alias("cache_key", "translated"))

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,22 +11,25 @@ from pyspark.sql import DataFrame, SparkSession
 _SETTING = "spark.checkpoint.dir"
 
 
-@functools.cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="run-")
-
-
 def staging_folder(spark: SparkSession) -> str:
     """The shared folder that the cluster names.
 
-    Only a session that runs on this machine alone may do without the setting.
+    Only a session that runs on this machine alone may do without the setting; its tables then go
+    where its warehouse is.
     """
     folder = spark.conf.get(_SETTING, None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
         raise RuntimeError(f"set {_SETTING} to a folder on shared storage")
-    return _local_folder()
+    return f"{spark.conf.get('spark.sql.warehouse.dir')}/staged"
+
+
+def _write(table: DataFrame) -> tuple[str, DataFrame]:
+    spark = table.sparkSession
+    path = f"{staging_folder(spark)}/cartulary-{uuid4().hex}"
+    table.write.parquet(path)
+    return path, spark.read.schema(table.schema).parquet(path)
 
 
 def stage(table: DataFrame) -> DataFrame:
@@ -34,7 +37,22 @@ def stage(table: DataFrame) -> DataFrame:
 
     The copy outlives lost executors, and readers fetch only the columns they need.
     """
-    spark = table.sparkSession
-    path = f"{staging_folder(spark)}/cartulary-{uuid4().hex}"
-    table.write.parquet(path)
-    return spark.read.schema(table.schema).parquet(path)
+    return _write(table)[1]
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Stages tables for a job, and removes them when it ends."""
+    paths: list[str] = []
+
+    def keep(table: DataFrame) -> DataFrame:
+        path, copy = _write(table)
+        paths.append(path)
+        return copy
+
+    try:
+        yield keep
+    finally:
+        for name in paths:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

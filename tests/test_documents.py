@@ -194,17 +194,36 @@ def test_malformed_documents_are_set_aside(spark):
     texts = [made.iso(), broken, "", None, made.fgdc(), "no markup"]
     landed = _landed(spark, texts, "iso")
     rows = {row.record_id: row for row in landed.collect()}
-    assert [rows[str(i)].malformed for i in range(6)] == [False, True, True, True, False, True]
+    assert [rows[str(i)].malformed for i in range(6)] == [False, True, True, True, True, True]
+    assert [rows[str(i)].problem for i in range(6)] == [None, *["malformed_xml"] * 3, "wrong_dialect", "malformed_xml"]
     assert rows["1"].rejected == broken and rows["1"].title is None
     assert rows["0"].rejected is None and rows["4"].title is None
     table = spark.createDataFrame(
         [(f"{i}_iso.xml", text) for i, text in enumerate(texts)], "file_name string, value string"
     )
     rejected = sources.quarantine(sources.identify(table, "iso"), "iso").collect()
-    assert sorted(row.record_id for row in rejected) == ["1", "2", "3", "5"]
+    assert sorted(row.record_id for row in rejected) == ["1", "2", "3", "4", "5"]
     assert next(row.text for row in rejected if row.record_id == "1") == broken
     usable = sources.landed_records(landed)
-    assert sorted(row.record_id for row in usable.collect()) == ["0", "4"]
+    assert sorted(row.record_id for row in usable.collect()) == ["0"]
+
+
+def test_what_stands_around_a_document(spark):
+    whole = made.fgdc().replace("<metd>", "<revdate>2021</revdate><metd>")
+    texts = [
+        whole,
+        "<!DOCTYPE metadata [<!ENTITY x 'y'>]>\n" + whole,
+        "<?xml version='1.0'?><!-- metadata --><?pi x?>\n" + whole + "\n<!-- end -->\n",
+        whole + "<more/>",
+        whole + whole,
+        whole + "text",
+        "<html><body><metadata></metadata></body></html>",
+        whole.replace("<metd>", "<!-- </metadata> --><metd>"),
+    ]
+    rows = {row.record_id: row for row in _landed(spark, texts, "fgdc").collect()}
+    found = [rows[str(i)].problem for i in range(8)]
+    assert found == [None, None, None, *["malformed_xml"] * 3, "wrong_dialect", None]
+    assert [rows[str(i)].revised for i in range(8)] == ["2021"] * 3 + [None] * 4 + ["2021"]
 
 
 def _rules(findings):
@@ -235,7 +254,7 @@ def test_findings(spark):
             ("0", "name_more_than_two_parts", "cited=Anna Maria Hale"),
             ("0", "citation_party_mismatch", "4 > 1"),
             ("0", "no_category", "Unlisted"),
-            ("1", "malformed_xml", "1_iso.xml"),
+            ("1", "wrong_dialect", "1_iso.xml"),
         ]
     )
 
@@ -301,7 +320,7 @@ def test_elements_without_a_fixed_place(harmonised):
 
 @pytest.mark.parametrize("dialect", ["iso", "fgdc"])
 def test_each_column_alone_equals_all_together(spark, dialect):
-    texts = [getattr(made, dialect)(), "<broken>", "<other/>"]
+    texts = [getattr(made, dialect)(), "<broken>", "<other/>", "<MD_Metadata/>", "<metadata/>"]
     if dialect == "fgdc":
         texts.append(texts[0].replace("<metd>", "<revdate>2021</revdate><metd>"))
     files = spark.createDataFrame(

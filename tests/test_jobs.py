@@ -8,6 +8,7 @@ from pathlib import Path
 import documents as made
 import pytest
 
+from cartulary.operators import appending
 from cartulary.operators.appending import KeyCollision
 from cartulary.plans import jobs
 from cartulary.settings import JobSettings
@@ -34,7 +35,7 @@ def folder(tmp_path):
 
 def test_read_documents(spark, folder):
     found = {row.record_id: row for row in read_documents(spark, str(folder), "iso").collect()}
-    assert sorted(found) == ["1", "2", "3"] and found["1"].value == made.iso()
+    assert sorted(found) == ["1", "3", "deep/2"] and found["1"].value == made.iso()
     assert [r.record_id for r in read_documents(spark, str(folder), "fgdc").collect()] == ["4"]
     assert sorted(r.record_id for r in present_records(spark, str(folder), "iso").collect()) == ["1", "2", "3"]
     assert present_records(spark, str(folder / "absent"), "iso").count() == 0
@@ -45,20 +46,40 @@ def test_declared_encodings(spark, tmp_path):
         return f"<?xml version='1.0' encoding='{encoding}'?>\n" + made.iso().replace("Why", "Été")
 
     for i, (encoding, codec) in enumerate(
-        [("ISO-8859-1", "latin-1"), ("UTF-8", "utf-8"), ("utf-8", "utf-8-sig")]
+        [
+            ("ISO-8859-1", "latin-1"), ("UTF-8", "utf-8"), ("utf-8", "utf-8-sig"), ("windows-1252", "cp1252"),
+            ("ISO-8859-15", "iso-8859-15"), ("UTF-16", "utf-16"),
+        ]
     ):
         (tmp_path / f"{i}_iso.xml").write_bytes(text(encoding).encode(codec))
-    (tmp_path / "9_iso.xml").write_bytes(text("UTF-16").encode("utf-16"))
+    (tmp_path / "6_iso.xml").write_bytes(text("windows-1252").replace("Été", "5 €").encode("cp1252"))
+    (tmp_path / "7_iso.xml").write_bytes(text("unheard-of").encode())
+    (tmp_path / "8_iso.xml").write_bytes(text("UTF-8").encode("latin-1"))
+    (tmp_path / "9_iso.xml").write_bytes(made.iso().replace("Why", "encoding='latin1' Été").encode())
     landed = land(read_documents(spark, str(tmp_path), "iso"), "iso")
-    found = {row.record_id: (row.purpose, row.malformed) for row in landed.collect()}
-    assert found == {**dict.fromkeys("012", ("Été", False)), "9": (None, True)}
+    found = {row.record_id: (row.purpose, row.problem) for row in landed.collect()}
+    assert found == {
+        **dict.fromkeys("012345", ("Été", None)), "6": ("5 €", None), **dict.fromkeys("78", (None, "undecodable")),
+        "9": ("encoding='latin1' Été", None),
+    }
+
+
+def test_patterns_and_equal_names(spark, folder):
+    (folder / "deep" / "1_iso.xml").write_text(made.iso())
+    (folder / "plain.xml").write_text(made.iso())
+    found = [row.record_id for row in read_documents(spark, str(folder), "iso").collect()]
+    assert sorted(found) == ["1", "3", "deep/1", "deep/2"]
+    for pattern, ids in (("*.xml", ["1", "3", "4_fgdc.xml", "plain.xml"]), ("*/*.xml", ["deep/1", "deep/2"]), ("plain.xml", ["plain.xml"])):
+        rows = read_documents(spark, f"{folder}/{pattern}", "iso").collect()
+        assert sorted(row.record_id for row in rows) == ids
 
 
 def test_convert_and_append(spark, folder, tmp_path):
     first = str(tmp_path / "first")
     jobs.convert(spark, str(folder), first, "iso", SETTINGS)
     records = spark.read.parquet(f"{first}/records")
-    assert sorted(row.recordID for row in records.collect()) == ["1", "2"]
+    assert sorted(row.recordID for row in records.collect()) == ["1", "deep/2"]
+    assert not list(Path(spark.conf.get("spark.checkpoint.dir")).glob("cartulary-*"))
     assert spark.read.parquet(f"{first}/shares").count() == 2
     (rejected,) = spark.read.parquet(f"{first}/rejected").collect()
     assert rejected.record_id == "3" and rejected.rejected == made.iso()[:-10]
@@ -81,7 +102,7 @@ def test_convert_and_append(spark, folder, tmp_path):
     second = str(tmp_path / "second")
     jobs.convert(spark, str(folder), second, "fgdc", SETTINGS, append_to=earlier)
     both = spark.read.parquet(f"{second}/records")
-    assert sorted(row.recordID for row in both.collect()) == ["1", "2", "4"]
+    assert sorted(row.recordID for row in both.collect()) == ["1", "4", "deep/2"]
     assert [r.organization for r in both.where("recordID = '4'").collect()] == ["Vale College"]
 
 
@@ -122,12 +143,42 @@ def test_envelopes(spark, tmp_path):
     assert exports.read_envelope_shares(spark, str(bare)).count() == 0
 
 
+def test_cut_off_json_fails(spark, tmp_path):
+    (tmp_path / "cut.json").write_text('{"records": {"k1": {"title"')
+    for read in (exports.read_envelope_records, exports.read_envelope_shares, exports.read_memory):
+        with pytest.raises(Exception, match="(?i)malformed|parse"):
+            read(spark, str(tmp_path / "cut.json")).collect()
+
+
+def test_append_to_an_envelope(spark, folder, tmp_path):
+    earlier = tmp_path / "earlier.json"
+    body = {"records": {"k1": {"title": {"en": "T"}, "recordID": "old"}}, "shares": {"ana": {"u": {"k1": {"shared": True}}}}}
+    earlier.write_text(json.dumps(body))
+    export = exports.read_export(spark, str(earlier), jobs.record_schema(spark, "iso"))
+    target = str(tmp_path / "both")
+    returned = spark.createDataFrame([("k", "v")], exports.MEMORY_SCHEMA)
+    jobs.convert(
+        spark, str(folder), target, "iso", SETTINGS, append_to=export, memory=exports.read_memory(spark, str(tmp_path / "none.json")),
+        returned=returned,
+    )
+    assert sorted(row.recordID for row in spark.read.parquet(f"{target}/records").collect()) == ["1", "deep/2", "old"]
+    assert spark.read.parquet(f"{target}/shares").count() == 3
+    memory = exports.read_memory(spark, f"{target}/memory")
+    assert [tuple(row) for row in memory.collect()] == [("k", "v")]
+
+
+def test_repeated_keys_are_refused(spark):
+    records = spark.createDataFrame([("k",), ("k",)], "recordKey string")
+    with pytest.raises(KeyCollision):
+        appending.refuse_repeated_keys(records, "recordKey")
+
+
 def test_inspect(spark, folder):
     landed = land(read_documents(spark, str(folder), "iso"), "iso")
     found = {row.value: row.occurrences for row in jobs.inspect(landed).collect()}
     assert found == dict.fromkeys(made.THEMES, 2)
     files = {row.file_name: row["values"] for row in jobs.inspect(landed, by_file=True).collect()}
-    assert files == {"1_iso.xml": made.THEMES, "2_iso.xml": made.THEMES}
+    assert files == {"1_iso.xml": made.THEMES, "deep/2_iso.xml": made.THEMES}
     stamps = {row.value: row.occurrences for row in jobs.inspect(landed, "date_stamp").collect()}
     assert stamps == {"2021-03-09": 1, "Undefined": 1}
 
@@ -158,7 +209,7 @@ def test_incremental_ingest_takes_each_file_once(spark, folder, tmp_path):
     assert run().count() == 3
     (folder / "5_iso.xml").write_text(made.iso())
     landed = run()
-    assert sorted(row.record_id for row in landed.collect()) == ["1", "2", "3", "5"]
+    assert sorted(row.record_id for row in landed.collect()) == ["1", "3", "5", "deep/2"]
     assert landed.where("malformed").count() == 1
     assert jobs.harmonise(landed, "iso", SETTINGS).count() == 3
 

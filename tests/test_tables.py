@@ -59,8 +59,8 @@ def test_salted_lookup_equals_a_plain_one(spark, hot_rows):
 def test_hot_keys_are_found_and_bounded(spark, monkeypatch):
     _, _, left, _ = _skewed(spark)
     assert rows(lookup.hot_keys(left, ["key"], 100)) == Counter([("hot", 2)])
-    monkeypatch.setattr(lookup, "MAX_HOT_KEYS", 1)
-    assert rows(lookup.hot_keys(left, ["key"], 1)).keys() == {("hot", 200)}
+    monkeypatch.setattr(lookup, "HOT_KEYS", 4)  # none but keys with over a quarter of all rows
+    assert rows(lookup.hot_keys(left, ["key"], 1)).keys() == {("hot", 2)}
 
 
 def test_hot_key_is_spread_over_tasks(spark):
