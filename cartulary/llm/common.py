@@ -10,7 +10,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _OWN_FOLDERS: dict[str, str] = {}
@@ -116,7 +116,7 @@ class RangeHash:
     def _table(cls, salt: int, size: int) -> tuple[np.ndarray, np.ndarray]:
         if salt not in cls._powers or len(cls._powers[salt][0]) < size:
             base = (int(mixed(np.array([salt + 1], np.uint64))[0]) << 3 | 5) % 2**64
-            size = 1 << max(22, size.bit_length())
+            size = 1 << max(20, size.bit_length())
             tables = []
             for factor in (base, pow(base, -1, 2**64)):
                 powers = np.full(size, factor, np.uint64)
@@ -136,3 +136,31 @@ def byte_values(salt: int) -> np.ndarray:
 
 def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
+
+
+#: Bits of a key filter: 4 MB, whatever the number of keys.
+FILTER_BITS = 1 << 25
+
+
+class KeyFilter:
+    """A bitmap of keys' hashes, of fixed size: it tells most rows apart that can find no partner.
+
+    Rows that pass may still have none; with very many keys more and more of them pass.
+    """
+
+    def __init__(self, keys: DataFrame, key: str, name: str) -> None:
+        place, bit = self._place(F.col(key))
+        self.rows = stored(keys.groupBy(place.alias("_place")).agg(F.bitmap_construct_agg(bit).alias("_bits")), name)
+
+    @staticmethod
+    def _place(key: Column) -> tuple[Column, Column]:
+        at = F.pmod(F.xxhash64(key, F.lit(17)), F.lit(FILTER_BITS))
+        return F.floor(at / 32768), at % 32768
+
+    def mark(self, table: DataFrame, key: str) -> DataFrame:
+        """Adds ``_passes``."""
+        place, bit = self._place(F.col(key))
+        held = F.conv(F.hex(F.substring("_bits", (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+        passes = F.coalesce(F.getbit(held, (bit % 8).cast("int")) == 1, F.lit(False))
+        small = F.broadcast(self.rows.withColumnRenamed("_place", "_own"))
+        return table.join(small, place == F.col("_own"), "left").withColumn("_passes", passes).drop("_own", "_bits")

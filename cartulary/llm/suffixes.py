@@ -25,16 +25,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cartulary.llm.common import RangeHash, byte_values, documents_of, is_empty, joined_bytes, mixed, signed, slices, stored
+from cartulary.llm.common import KeyFilter, RangeHash, byte_values, documents_of, is_empty, joined_bytes, signed, slices, stored
 
 WINDOW = 400
 ANCHOR = 64
 #: Different runs of an anchor in one shard.
-SHARD_RUNS = 2048
+SHARD_RUNS = 1024
 #: Bytes over which a suffix array is built at once, a few large anchors apart.
-SHARD_BYTES = 2_000_000
-#: Rows that may be broadcast; longer lists are joined by shuffling.
-BROADCAST_ROWS = 300_000
+SHARD_BYTES = 600_000
 
 
 def sliding_argmin(keys: np.ndarray, width: int) -> np.ndarray:
@@ -214,7 +212,7 @@ def find_spans(documents: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b in slices(batch, "text", 1 << 20):
+            for a, b in slices(batch, "text", 1 << 19):
                 part = batch.slice(a, b - a)
                 found = runs_of(part.column("text").to_pylist(), window, anchor)
                 if found:
@@ -261,26 +259,33 @@ def find_spans(documents: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
         "anchor", F.when(F.col("shards") > 1, F.pmod(F.col("two"), F.col("shards"))).otherwise(F.lit(0)).alias("shard"),
         (F.col("shards") > 1).alias("split"), (F.col("n") > 1).alias("known"),
         F.col("run.doc_id").alias("_doc"), F.col("run._row").alias("_key"), "run.first", "run.many",
+        F.xxhash64("anchor", "one", "two").alias("run"),
     )
     chosen = stored(chosen, "chosen")
     if is_empty(chosen):
         return equal
     shards = stored(_sharded(documents, chosen, window, kind), "windows")
-    inside = shards.where("number is null").select("doc_id", "_row", "first", "end")
-    split = shards.where("number is not null")
+    inside = shards.where("bucket is null").select("doc_id", "_row", "first", "end")
+    split = shards.where("bucket is not null")
+    found = equal.unionByName(inside)
     if is_empty(split):
-        return equal.unionByName(inside)
-    return equal.unionByName(inside).unionByName(_merged(split, window, kind))
+        return found
+    places = chosen.where("split").select(
+        F.col("run").alias("_run"), F.col("_doc").alias("doc_id"), F.col("_key").alias("_row"), F.col("first").alias("_first")
+    )
+    across = stored(_merged(split), "across").join(places, F.col("run") == F.col("_run")).select(
+        "doc_id", "_row", (F.col("_first") + F.col("first")).alias("first"), (F.col("_first") + F.col("last") + window).alias("end")
+    )
+    return found.unionByName(across)
 
 
 def _run_texts(documents: DataFrame, chosen: DataFrame, window: int, kind: str) -> DataFrame:
     """Adds the text of each chosen run, from its document."""
     runs = chosen.groupBy("_doc", "_key").agg(
-        F.collect_list(F.struct("anchor", "shard", "split", "known", "first", "many")).alias("runs")  # of one document
+        F.collect_list(F.struct("anchor", "shard", "split", "known", "first", "many", "run")).alias("runs")  # of one document
     )
-    if chosen.count() <= BROADCAST_ROWS:
-        runs = F.broadcast(runs)
-    found = documents.join(runs, (F.col("_row") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_doc")))
+    wanted = KeyFilter(chosen, "_key", "run-keys").mark(documents, "_row").where("_passes")
+    found = wanted.join(runs, (F.col("_row") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_doc")))
     found = found.select("doc_id", "_row", "text", "runs")
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -292,72 +297,70 @@ def _run_texts(documents: DataFrame, chosen: DataFrame, window: int, kind: str)
                     [
                         batch.column("doc_id").take(pa.array([k] * len(rows))),
                         batch.column("_row").take(pa.array([k] * len(rows))),
-                        *[pa.array([r[x] for r in rows]) for x in ("anchor", "shard", "split", "known", "first")],
+                        *[pa.array([r[x] for r in rows]) for x in ("anchor", "shard", "split", "known", "first", "run")],
                         pa.array([raw[r["first"] : r["first"] + r["many"] - 1 + window] for r in rows], pa.binary()),
                     ],
-                    ["doc_id", "_row", "anchor", "shard", "split", "known", "first", "bytes"],
+                    ["doc_id", "_row", "anchor", "shard", "split", "known", "first", "run", "bytes"],
                 )
 
     return found.mapInArrow(
         cut,
-        f"doc_id {kind}, _row long, anchor long, shard long, split boolean, known boolean, first long, bytes binary",
+        f"doc_id {kind}, _row long, anchor long, shard long, split boolean, known boolean, first long, run long, bytes binary",
     )
 
 
 def _sharded(documents: DataFrame, chosen: DataFrame, window: int, kind: str) -> DataFrame:
-    """Spans of windows that occur twice in a shard; and, of anchors dealt over several shards,
-    every different window: its number in the shard, fingerprint, and whether it is settled."""
+    """Spans of windows that occur twice in a shard; and, of anchors dealt over several shards, every
+    different window once for the shard, packed by bucket of its fingerprint: fingerprints, run and
+    place in the run, and whether it is settled."""
     rows = _run_texts(documents, chosen, window, kind)
-    names = ["doc_id", "_row", "first", "end", "number", "one", "two", "shard", "settled"]
+    names = ["doc_id", "_row", "first", "end", "bucket", "packed"]
+    parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    batch_type = _arrow_type(documents)
 
     def solve(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in _held(batches):
             starts, again, number = repeated_windows(block["bytes"], window)
             text = np.frombuffer(b"".join(block["bytes"]), np.uint8)
             ends = np.append(starts[1:], len(text))
-            out: dict[str, list] = {name: [] for name in names}
-            split = np.array(block["split"], bool)
-            known = np.array(block["known"], bool)
+            out: list[tuple] = []
+            split, known = np.array(block["split"], bool), np.array(block["known"], bool)
             for k in np.flatnonzero(~known).tolist():
-                for a, b in _spans(again[starts[k] : ends[k]], window):
-                    _add(out, block, k, a, b)
+                first = block["first"][k]
+                out += [(block["doc_id"][k], block["_row"][k], first + a, first + b, None, None) for a, b in _spans(again[starts[k] : ends[k]], window)]
             if split.any():
                 owner = np.repeat(np.arange(len(starts)), ends - starts)
                 at = np.flatnonzero((number >= 0) & split[owner])
-                one_each = at[np.unique(number[at], return_index=True)[1]]
-                prints = [signed(RangeHash(byte_values(s)[text], s).of(one_each, one_each + window)) for s in (3, 4)]
-                for n, x in enumerate(one_each.tolist()):
-                    k = int(owner[x])
-                    a = x - int(starts[k])
-                    _add(out, block, k, a, a + window, (int(number[x]), int(prints[0][n]), int(prints[1][n]), bool(again[x] or known[k])))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out["doc_id"], batch_type), *[pa.array(out[x], pa.int64()) for x in names[1:-1]], pa.array(out["settled"], pa.bool_())],
-                names,
-            )
+                at = at[np.unique(number[at], return_index=True)[1]]
+                packed = np.zeros(len(at), _PACKED)
+                for name, salt in (("one", 3), ("two", 4)):
+                    packed[name] = RangeHash(byte_values(salt)[text], salt).of(at, at + window)
+                packed["run"] = np.array(block["run"], np.int64)[owner[at]]
+                packed["first"], packed["settled"] = at - starts[owner[at]], again[at] | known[owner[at]]
+                bucket = (packed["one"] % np.uint64(parts)).astype(np.int64)
+                order = np.argsort(bucket, kind="stable")
+                cut = np.searchsorted(bucket[order], np.arange(parts + 1))
+                out += [
+                    (None, None, None, None, k, packed[order[a:b]].tobytes())
+                    for k, (a, b) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)) if b > a
+                ]
+            kinds = [batch_type, *[pa.int64()] * 4, pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array([r[n] for r in out], t) for n, t in enumerate(kinds)], names)
 
-    batch_type = _arrow_type(documents)
-    parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return rows.repartition(parts, "anchor", "shard").sortWithinPartitions("anchor", "shard").mapInArrow(
-        solve, f"doc_id {kind}, _row long, first long, end long, number long, one long, two long, shard long, settled boolean"
+        solve, f"doc_id {kind}, _row long, first long, end long, bucket long, packed binary"
     )
 
 
+_PACKED = np.dtype([("one", "<u8"), ("two", "<u8"), ("run", "<i8"), ("first", "<i4"), ("settled", "?")])
+
+
 def _arrow_type(documents: DataFrame) -> pa.DataType:
     from pyspark.sql.pandas.types import to_arrow_type
 
     return to_arrow_type(documents.schema["doc_id"].dataType)
 
 
-def _add(
-    out: dict[str, list], block: dict[str, list], k: int, a: int, b: int, mark: tuple[int, int, int, bool] | None = None
-) -> None:
-    first = block["first"][k]
-    number, one, two, settled = mark or (None, None, None, None)
-    row = (block["doc_id"][k], block["_row"][k], first + a, first + b, number, one, two, block["shard"][k], settled)
-    for values, value in zip(out.values(), row, strict=True):
-        values.append(value)
-
-
 def _held(batches: Iterable[pa.RecordBatch]) -> Iterator[dict[str, list]]:
     """Rows of whole shards, as many as one suffix array takes, a shard dealt over several alone."""
     held: dict[str, list] = {}
@@ -378,33 +381,46 @@ def _held(batches: Iterable[pa.RecordBatch]) -> Iterator[dict[str, list]]:
         yield held
 
 
-def _merged(split: DataFrame, window: int, kind: str) -> DataFrame:
-    """Spans of windows that occur in two shards of an anchor: binary search in sorted fingerprints.
+def _merged(split: DataFrame) -> DataFrame:
+    """``run, first, last``: ranges of windows of a run that another shard has too, and theirs not.
 
-    A fingerprint has one row for each shard at most, so none is common.
+    Every packed part is sorted by fingerprint; binary search finds a fingerprint's neighbours in the
+    merged order. A fingerprint comes from each shard once at most, so none is common.
     """
 
     def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(list(batches), schema=arrow)
-        if not len(table):
-            return
-        one, two = (table.column(x).to_numpy() for x in ("one", "two"))
-        order = np.lexsort((two, one))
-        low, high = np.searchsorted(one[order], one, "left"), np.searchsorted(one[order], one, "right")
-        shared = np.zeros(len(one), bool)
-        for k in np.flatnonzero(high - low > 1).tolist():
-            shared[k] = np.count_nonzero(two[order[low[k] : high[k]]] == two[k]) > 1
-        keep = shared & ~table.column("settled").to_numpy()
-        for batch in table.filter(pa.array(keep)).select(["doc_id", "_row", "first", "end"]).to_batches():
-            yield batch
-
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    wanted = split.select("one", "two", "settled", "doc_id", "_row", "first", "end")
-    arrow = to_arrow_schema(wanted.schema)
-    # Fingerprints are dealt finely enough for a task's memory: a few hundred thousand rows each.
-    parts = max(int(split.sparkSession.conf.get("spark.sql.shuffle.partitions")), split.count() // 300_000)
-    return wanted.repartition(parts, "one").mapInArrow(search, f"doc_id {kind}, _row long, first long, end long")
+        held: dict[int, list[bytes]] = {}
+        for batch in batches:
+            for bucket, packed in zip(batch.column("bucket").to_pylist(), batch.column("packed").to_pylist(), strict=True):
+                if held and bucket not in held:
+                    yield _found(held.popitem()[1])
+                held.setdefault(bucket, []).append(packed)
+        if held:
+            yield _found(held.popitem()[1])
+
+    parts = int(split.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return split.select("bucket", "packed").repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(
+        search, "run long, first long, last long"
+    )
+
+
+def _found(packed: list[bytes]) -> pa.RecordBatch:
+    rows = np.frombuffer(b"".join(packed), _PACKED)
+    rows = rows[np.lexsort((rows["two"], rows["one"]))]
+    low, high = np.searchsorted(rows["one"], rows["one"], "left"), np.searchsorted(rows["one"], rows["one"], "right")
+    place = np.arange(len(rows))
+    before, after = np.maximum(place - 1, low), np.minimum(place + 1, high - 1)
+    shared = ((before < place) & (rows["two"][before] == rows["two"])) | ((after > place) & (rows["two"][after] == rows["two"]))
+    rows = rows[shared & ~rows["settled"]]
+    rows = rows[np.lexsort((rows["first"], rows["run"]))]
+    new = np.ones(len(rows), bool)
+    new[1:] = (rows["run"][1:] != rows["run"][:-1]) | (rows["first"][1:] != rows["first"][:-1] + 1)
+    at = np.flatnonzero(new)
+    last = np.append(at[1:], len(rows)) - 1 if len(at) else at
+    return pa.RecordBatch.from_arrays(
+        [pa.array(rows["run"][at]), pa.array(rows["first"][at].astype(np.int64)), pa.array(rows["first"][last].astype(np.int64))],
+        ["run", "first", "last"],
+    )
 
 
 def deduplicate(table: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, shard_runs: int = SHARD_RUNS) -> DataFrame:
@@ -436,11 +452,12 @@ def _removed(documents: DataFrame, window: int, anchor: int, shard_runs: int) ->
     by_document = stored(
         spans.groupBy("doc_id", "_row").agg(F.collect_set(F.struct("first", "end")).alias("spans")), "spans"
     ).select(F.col("doc_id").alias("_doc"), F.col("_row").alias("_key"), "spans")
-    if by_document.count() <= BROADCAST_ROWS:
-        by_document = F.broadcast(by_document)
-    joined = documents.join(
+    marked = KeyFilter(by_document, "_key", "span-keys").mark(documents, "_row")
+    joined = marked.where("_passes").join(
         by_document, (F.col("_row") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_doc")), "left"
-    ).drop("_doc", "_key", "_row")
+    ).drop("_doc", "_key").unionByName(
+        marked.where("not _passes").withColumn("spans", F.lit(None).cast(by_document.schema["spans"].dataType))
+    ).drop("_row", "_passes")
     passing = joined.drop("text", "spans").schema
     numbers = ["n_bytes", "n_removed", "n_spans"]
     schema = T.StructType(
@@ -448,21 +465,27 @@ def _removed(documents: DataFrame, window: int, anchor: int, shard_runs: int) ->
     )
 
     def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for text, spans in zip(batch.column("text"), batch.column("spans"), strict=True):
-                raw = text.as_py().encode("utf-8", "surrogatepass")
-                kept, removed, count, at = [], 0, 0, 0
-                for first, end in sorted((x["first"], x["end"]) for x in spans.as_py() or ()):
-                    if first > at or not count:
-                        kept.append(raw[at:first])
-                        count, removed, at = count + 1, removed + end - first, end
-                    elif end > at:
-                        removed, at = removed + end - at, end
-                kept = b"".join([*kept, raw[at:]])
-                rows.append((len(raw), removed, count, hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore")))
-            kinds = [pa.int64()] * 3 + [pa.string()] * 2
-            columns = [pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays([*[batch.column(x) for x in passing.names], *columns], schema.names)
+        for whole in batches:
+            for start, stop in slices(whole, "text", 1 << 20):
+                batch = whole.slice(start, stop - start)
+                rows = []
+                for text, spans in zip(batch.column("text"), batch.column("spans"), strict=True):
+                    rows.append(_kept(text.as_py().encode("utf-8", "surrogatepass"), [(x["first"], x["end"]) for x in spans.as_py() or ()]))
+                kinds = [pa.int64()] * 3 + [pa.string()] * 2
+                columns = [pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)]
+                yield pa.RecordBatch.from_arrays([*[batch.column(x) for x in passing.names], *columns], schema.names)
 
     return joined.mapInArrow(keep, schema)
+
+
+def _kept(raw: bytes, spans: list[tuple[int, int]]) -> tuple[int, int, int, str, str]:
+    """Bytes, removed bytes, removed ranges, and digest and text of what is left."""
+    kept, removed, count, at = [], 0, 0, 0
+    for first, end in sorted(spans):
+        if first > at or not count:
+            kept.append(raw[at:first])
+            count, removed, at = count + 1, removed + end - first, end
+        elif end > at:
+            removed, at = removed + end - at, end
+    left = b"".join([*kept, raw[at:]])
+    return len(raw), removed, count, hashlib.sha256(left).hexdigest(), left.decode("utf-8", "ignore")
