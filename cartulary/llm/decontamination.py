@@ -11,12 +11,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartulary.llm.common import documents_of, stored
+from cartulary.llm.common import KeyFilter, documents_of, stored
 
 WORDS = 5
 #: Containment in per cent of the item's shingles.
 PER_CENT = 80
-#: Rows of sketches, or of candidates, that may be broadcast; longer lists are joined by shuffling.
+#: Rows of sketches that may be broadcast; longer lists are joined by shuffling.
 BROADCAST_ROWS = 300_000
 
 
@@ -95,9 +95,8 @@ def _pairs(documents: DataFrame, benchmark: DataFrame, words: int, per_cent: int
         "item_id", F.col("_item").alias("_own"), F.array_distinct("shingles").alias("_wanted")
     )
     pairs = candidates.join(exact, F.col("_item") == F.col("_own"))
-    if candidates.count() <= BROADCAST_ROWS:
-        pairs = F.broadcast(pairs)
-    joined = texts.join(pairs, (F.col("_row") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_doc")))
+    likely = KeyFilter(candidates, "_key", "candidate-keys").mark(texts, "_row").where("_passes")
+    joined = likely.join(pairs, (F.col("_row") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_doc")))
     verified = _shingles(joined, words, hashed=False).select(
         "doc_id", "_row", "item_id", F.size("_wanted").alias("n_item"),
         F.size(F.array_intersect("_wanted", "shingles")).alias("n_shared"),
@@ -113,12 +112,11 @@ def without_contaminated(documents: DataFrame, benchmark: DataFrame, words: int
         _pairs(documents, benchmark, words, per_cent).select(F.col("doc_id").alias("_doc"), F.col("_row").alias("_key")).distinct(),
         "contaminated",
     )
-    if found.count() <= BROADCAST_ROWS:
-        found = F.broadcast(found)
-    keyed = documents_of(documents, carry=True)
-    return keyed.join(
+    told = KeyFilter(found, "_key", "contaminated-keys").mark(documents_of(documents, carry=True), "_row")
+    clean = told.where("_passes").join(
         found, (F.col("_row") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_doc")), "left_anti"
-    ).select("_carried.*")
+    )
+    return told.where("not _passes").select("_carried").unionByName(clean.select("_carried")).select("_carried.*")
 
 
 #: Exact containment by joining all shingles.
