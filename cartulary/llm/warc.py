@@ -88,9 +88,10 @@ def write_archives(pages: DataFrame, path: str, date: str = "1970-01-01T00:00:00
 def read_records(spark: SparkSession, path: str, with_payload: bool = False) -> DataFrame:
     """A row per record of the archives at ``path``, whatever tool wrote them.
 
-    Files are streamed: cut where a new record seems to begin, and a record that is shorter than
-    its declared length, because its content holds such a place, is put together again. A record
-    that its file ends within is an error.
+    Files are streamed, cut where a new record seems to begin. The declared lengths decide: a record
+    that was cut within, because its content holds such a place, is put together again, and a piece
+    that holds several (the reader may miss a place at the edge of its buffer) gives them all. A
+    record that its file ends within is an error.
     """
     schema = (
         "type string, record_id string, concurrent_to string, uri string, declared_digest string, "
@@ -109,10 +110,15 @@ def read_records(spark: SparkSession, path: str, with_payload: bool = False) ->
                 if not pending and piece.startswith(start):  # a file's first record
                     piece = piece[len(start) :]
                 pending = pending + mark + piece if pending else piece
-                record = _parsed(pending)
-                if record:
+                while pending:
+                    record, rest = _parsed(pending)
+                    if record is None:
+                        break  # it goes on in the next piece
                     rows.append(record)
-                    pending = b""
+                    rest = rest.lstrip(b"\r\n")
+                    if rest and not rest.startswith(start):
+                        raise ValueError(f"a record is longer than it declares: {pending[:200]!r}")
+                    pending = rest[len(start) :]
             if rows:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r.get(n) for r in rows], pa.int64() if n == "payload_bytes" else pa.binary() if n == "payload" else pa.string()) for n in names],
@@ -126,21 +132,19 @@ def read_records(spark: SparkSession, path: str, with_payload: bool = False) ->
     return lines.mapInArrow(run, schema)
 
 
-def _parsed(raw: bytes) -> dict | None:
-    """The record, or nothing if it isn't all there."""
+def _parsed(raw: bytes) -> tuple[dict | None, bytes]:
+    """The record, if it is all there, and what follows it."""
     header, found, block = raw.partition(b"\r\n\r\n")
     if not found:
-        return None
+        return None, raw
     fields = {}
     for line in header.decode("utf-8", "replace").split("\r\n"):
         name, _, value = line.partition(":")
         fields[name.strip().lower()] = value.strip()
     length = int(fields.get("content-length", 0))
     if len(block) < length:
-        return None
-    if block[length:].strip(b"\r\n"):
-        raise ValueError(f"a record is longer than it declares: {header[:200]!r}")
-    block = block[:length]
+        return None, raw
+    rest, block = block[length:], block[:length]
     kind = fields.get("warc-type")
     record = {
         "type": kind,
@@ -161,7 +165,7 @@ def _parsed(raw: bytes) -> dict | None:
             name, _, value = line.partition(":")
             if name.strip() == "page_id":
                 record["page_id"] = value.strip() or None
-    return record
+    return record, rest
 
 
 def assemble(records: DataFrame) -> DataFrame:
