@@ -232,8 +232,14 @@ def main_text(source: str, weights: Weights) -> str:
 
 
 def labelled_sample(pages: DataFrame, most: int = SAMPLE_PAGES) -> list[str]:
-    """At most ``most`` pages that mark their content, by the order of a hash."""
-    marked = pages.where(F.col("html").rlike(r"(?i)<(article|main)\b"))
+    """At most ``most`` pages that mark their content, from a share of all pages that a hash picks.
+
+    The share is for eight times as many pages, whatever the table's size, so that what tasks send is
+    bounded too.
+    """
+    share = min(1.0, 8 * most / max(1, pages.count()))
+    drawn = pages.where(F.pmod(F.xxhash64("page_id", "html"), F.lit(1 << 20)) < share * (1 << 20))
+    marked = drawn.where(F.col("html").rlike(r"(?i)<(article|main)\b"))
     return [r["html"] for r in marked.orderBy(F.xxhash64("page_id", "html"), "html").select("html").limit(most).collect()]
 
 
