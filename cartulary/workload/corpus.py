@@ -83,6 +83,7 @@ _SHAPE = {
     "has_depth": "doc_id % 5 = 0",
     "citation": "CASE WHEN doc_id % 7 = 0 THEN 'Unpublished Data' "
     "WHEN doc_id % 23 = 0 THEN 'C' || person_1 || ', G., et al. (2020). ' || title "
+    "WHEN doc_id % 43 = 0 THEN 'C' || person_1 || ', G., et al., in press' "
     "WHEN doc_id % 29 = 0 THEN 'C' || person_1 || ' and others' "
     f"WHEN doc_id % 12 = 5 THEN {_PEOPLE} || 'and Poe, B., Roe, D., Coe, E. 2020. ' || title "
     f"ELSE {_PEOPLE} || '(2020). ' || title END",

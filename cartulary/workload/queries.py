@@ -478,6 +478,19 @@ def _flat_records(records: DataFrame) -> DataFrame:
         F.col("timeFirstPublished").alias("time_first_published"),
         F.col("verticalExtentMax").alias("vertical_extent_max"),
         F.col("verticalExtentMin").alias("vertical_extent_min"),
+        F.col("verticalExtentDirection").alias("vertical_extent_direction"),
+        "category",
+        F.col("metadataScope").alias("metadata_scope"),
+        F.concat("lastEditedBy.displayName", "lastEditedBy.email").alias("last_edited_by"),
+        F.size("projects").alias("projects"),
+        F.size("history").alias("history"),
+        F.size("distribution").alias("distribution"),
+        F.size("vertical").alias("vertical"),
+        F.size("keywords.fr").alias("keywords_fr"),
+        F.col("noTaxa").alias("no_taxa"),
+        F.col("noVerticalExtent").alias("no_vertical_extent"),
+        F.col("map.polygon").alias("polygon"),
+        F.col("datePublished").alias("date_published"),
         *[column for column in ("comments_en", "resource_code", "organization") if column in records.columns],
     )
 
@@ -583,10 +596,10 @@ def translate_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def translate_memory_update(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Translations come back for every key up to ``c``, some of which are known already."""
+    """Translations come back for every key from ``4`` on, some of which are known already."""
     returned = (
         _texts(spark, sf_dir)
-        .where((F.col("cache_key") >= "4") & (F.col("cache_key") < "c"))
+        .where(F.col("cache_key") >= "4")
         .select("cache_key", F.concat(F.lit("[new] "), "text").alias("translated"))
     )
     return translation.update_memory(_memory(spark, sf_dir), returned)
