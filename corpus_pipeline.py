@@ -8,6 +8,9 @@ from cartulary.llm import decontamination, jaccard, language, packing, suffixes
 from cartulary.llm.common import package_on_workers, stored
 
 TOKENIZER = "word_bpe_49k.json"
+#: Bytes of a repeated string: passages of over fifty words are longer.
+REPEATED_BYTES = 240
+ANCHOR_BYTES = 48
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,7 +28,7 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 def remove_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the bytes that long repeated strings cover."""
     package_on_workers(spark)
-    return suffixes.without_repeats(docs)
+    return suffixes.without_repeats(docs, window=REPEATED_BYTES, anchor=ANCHOR_BYTES)
 
 
 def remove_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
