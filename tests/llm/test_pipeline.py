@@ -65,7 +65,7 @@ def test_pipeline_equals_its_stages_in_plain_python(spark, folder):
     first = {key: component for (key, _, component), n in groups(known, 5, 80).items() for _ in range(n)}
     single = [(k, t) for k, t in known if first[k] == k]
     assert len(single) < len(known) < len(texts)
-    spans = removed([t for _, t in single], 400)
+    spans = removed([t for _, t in single], corpus_pipeline.REPEATED_BYTES)
     assert any(gone for _, gone, _, _ in spans)
     stages = dict(corpus_pipeline.STAGES)
     docs = spark.read.parquet(f"{path}/documents.parquet")
