@@ -37,20 +37,24 @@ def look_up(
 def pending(
     keyed: DataFrame,
     memory: DataFrame,
+    locate: Sequence[str],
     source: str = "en",
     target: str = "fr",
     terminology: str | None = None,
 ) -> DataFrame:
     """Each distinct text the memory lacks, once.
 
-    Duplicates go before the shuffle; the exchange by key serves the anti join too.
+    ``locate`` names the columns that tell rows apart. Keys and a place for each are all that meet
+    the memory; then the text is fetched from that one place.
     """
-    return (
-        keyed.where(F.col("cache_key").isNotNull())
-        .groupBy("cache_key")
-        .agg(F.first("text").alias("text"))
+    placed = keyed.where(F.col("cache_key").isNotNull()).withColumn("_place", F.xxhash64(*locate))
+    missing = (
+        placed.groupBy("cache_key")
+        .agg(F.min("_place").alias("_place"))
         .join(memory.select("cache_key"), "cache_key", "left_anti")
-        .select(
+    )
+    return (
+        placed.join(missing, ["cache_key", "_place"], "left_semi").select(
             "cache_key",
             "text",
             F.lit(source).alias("source"),

@@ -100,7 +100,7 @@ def convert(
         shares = grants(records, settings)
         if memory is not None:
             texts = translation.field_texts(records, fields)
-            pending = translation.pending(translation.with_keys(texts), memory)
+            pending = translation.pending(translation.with_keys(texts), memory, ("recordKey", "field"))
             records = translation.translate_records(records, memory, fields=fields)
         if append_to is not None:
             old_records, old_shares = append_to

@@ -591,7 +591,7 @@ def translate_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def translate_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
     return translation.pending(
-        _texts(spark, sf_dir), _memory(spark, sf_dir), terminology="marine terms"
+        _texts(spark, sf_dir), _memory(spark, sf_dir), ("doc_id",), terminology="marine terms"
     )
 
 

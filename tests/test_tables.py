@@ -231,7 +231,7 @@ def test_translation_memory(spark):
         assert rows(found.select("id", "translated")) == Counter(
             (i, known.get(text)) for i, text in enumerate(texts)
         )
-    missing = translation.pending(keyed, memory, terminology="t")
+    missing = translation.pending(keyed, memory, ("id",), terminology="t")
     assert rows(missing) == Counter(
         [(_key(text), text, "en", "fr", "t") for text in ("two", "three")]
     )
