@@ -26,7 +26,7 @@ from cartulary.llm.common import RangeHash, byte_values, documents_of, slices, s
 
 END_ID = 0
 CAPACITY = 2048
-_CACHED_WORDS = 1_500_000
+_CACHED_WORDS = 700_000
 
 # Classes of characters below U+0250, where NFC changes nothing and case maps to one character.
 _SPACE, _LETTER, _NUMBER, _OTHER = range(4)
