@@ -57,17 +57,24 @@ def is_empty(table: DataFrame) -> bool:
 def documents_of(table: DataFrame, id_column: str = "doc_id", text_column: str = "text", carry: bool = False) -> DataFrame:
     """Only ``doc_id``, ``text`` (null: empty) and ``_row``, a hash of both.
 
-    Other columns are left out, whatever their names; with ``carry`` the whole row is kept as
-    ``_carried``. ``_row`` tells rows apart that share an id; rows equal in id and text stay equal,
+    Other columns are left out, whatever their names; with ``carry`` they are kept in ``_carried``,
+    from which ``restored`` makes the row again. ``_row`` tells rows apart that share an id; rows equal in id and text stay equal,
     and each gives its own, equal, result row.
     """
     text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
     own = [F.col(id_column).alias("doc_id"), text.alias("text")]
     if carry:
-        own.append(F.struct(*[F.col(f"`{name}`") for name in table.columns]).alias("_carried"))
+        others = [F.col(f"`{name}`") for name in table.columns if name != text_column]
+        own.append(F.struct(*others, F.col(text_column).isNull().alias("_no_text")).alias("_carried"))
     return table.select(*own).withColumn("_row", F.xxhash64(F.col("doc_id"), F.col("text")))
 
 
+def restored(carried: DataFrame, columns: list[str], **new: Column) -> DataFrame:
+    """The rows that ``documents_of(..., carry=True)`` carried, some columns with new values."""
+    values = {"text": F.when(~F.col("_carried._no_text"), F.col("text"))} | new
+    return carried.select(*[values.get(name, F.col(f"_carried.`{name}`")).alias(name) for name in columns])
+
+
 def slices(batch: pa.RecordBatch, column: str, most_bytes: int) -> Iterator[tuple[int, int]]:
     """Ranges of a batch's rows whose texts hold about ``most_bytes`` together, one row at least."""
     offsets = batch.column(column)
@@ -102,28 +109,29 @@ def mixed(x: np.ndarray) -> np.ndarray:
 class RangeHash:
     """Hashes of any ranges of one sequence of 64-bit values, by polynomial prefix sums.
 
-    Equal ranges have equal hashes wherever they stand. ``salt`` picks one of many functions.
+    Equal ranges have equal hashes wherever they stand. Other values for the same symbols make
+    another function.
     """
 
-    _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    _powers: list[tuple[np.ndarray, np.ndarray]] = []  # shared by all: the values tell functions apart
 
-    def __init__(self, values: np.ndarray, salt: int) -> None:
-        up, self.down = self._table(salt, len(values) + 1)
+    def __init__(self, values: np.ndarray) -> None:
+        up, self.down = self._table(len(values) + 1)
         self.sums = np.zeros(len(values) + 1, np.uint64)
         np.cumsum(values * up[: len(values)], out=self.sums[1:])
 
     @classmethod
-    def _table(cls, salt: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-        if salt not in cls._powers or len(cls._powers[salt][0]) < size:
-            base = (int(mixed(np.array([salt + 1], np.uint64))[0]) << 3 | 5) % 2**64
+    def _table(cls, size: int) -> tuple[np.ndarray, np.ndarray]:
+        if not cls._powers or len(cls._powers[0][0]) < size:
+            base = (int(mixed(np.array([1], np.uint64))[0]) << 3 | 5) % 2**64
             size = 1 << max(20, size.bit_length())
             tables = []
             for factor in (base, pow(base, -1, 2**64)):
                 powers = np.full(size, factor, np.uint64)
                 powers[0] = 1
                 tables.append(np.multiply.accumulate(powers))
-            cls._powers[salt] = (tables[0], tables[1])
-        return cls._powers[salt]
+            cls._powers[:] = [(tables[0], tables[1])]
+        return cls._powers[0]
 
     def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         return mixed((self.sums[ends] - self.sums[starts]) * self.down[starts] + (ends - starts).astype(np.uint64))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartulary.llm.common import KeyFilter, documents_of, stored
+from cartulary.llm.common import KeyFilter, documents_of, restored, stored
 
 WORDS = 5
 #: Containment in per cent of the item's shingles.
@@ -116,7 +116,8 @@ def without_contaminated(documents: DataFrame, benchmark: DataFrame, words: int
     clean = told.where("_passes").join(
         found, (F.col("_row") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_doc")), "left_anti"
     )
-    return told.where("not _passes").select("_carried").unionByName(clean.select("_carried")).select("_carried.*")
+    kept = told.where("not _passes").select("_carried", "text").unionByName(clean.select("_carried", "text"))
+    return restored(kept, documents.columns)
 
 
 #: Exact containment by joining all shingles.

@@ -1,10 +1,12 @@
 """Documents linked by the Jaccard similarity of their word n-grams, and the groups they form.
 
-Equal sets are one class from the start. Classes that can reach the threshold are found without
-pairs: a set is cut into one part more than two linked sets of its size can differ in elements, so
-linked sets have an equal part (for every size that a partner can have). Classes with equal parts
-form blocks; within a block, the product of its sparse incidence matrix (class by n-gram) with its
-transpose gives the overlaps, and overlaps below the bound that follows from the two sizes go.
+Equal sets are one class from the start. Candidates are found without pairs, in two steps that lose
+no link. The incidence matrix is dealt over tasks by columns (n-grams), and a class in which too few
+n-grams are held by any other class is out: its overlaps cannot reach the bound of its size. The
+sets that are left are cut into one part more than two linked sets of their size can differ in
+elements, so linked sets have an equal part (for every size that a partner can have). Classes with
+equal parts form blocks; within a block, the product of its sparse incidence matrix (class by
+n-gram) with its transpose gives the overlaps, and those below the bound of the two sizes go.
 """
 
 from __future__ import annotations
@@ -17,15 +19,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartulary.llm.common import RangeHash, byte_values, documents_of, is_empty, mixed, signed, slices, stored
+from cartulary.llm.common import KeyFilter, RangeHash, byte_values, documents_of, is_empty, mixed, restored, signed, slices, stored
 from cartulary.llm.components import connected_components
 
 WORDS = 3
 PER_CENT = 90
 #: N-grams in one block of the matrix product at most (unless one document has more).
 BLOCK_NGRAMS = 4_000_000
-#: Rows of a list of documents that may be broadcast; longer lists are joined by shuffling.
-BROADCAST_ROWS = 500_000
 _FLUSH = 1_500_000
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -47,7 +47,7 @@ def shingle_sets(texts: list[str], words: int = WORDS) -> list[np.ndarray]:
     inside = np.concatenate([[False], ~_SPACE[raw], [False]])
     turns = np.flatnonzero(inside[1:] != inside[:-1])
     first, last = turns[::2], turns[1::2]
-    word = RangeHash(byte_values(2)[_LOWER[raw]], 2).of(first, last)
+    word = RangeHash(byte_values(2)[_LOWER[raw]]).of(first, last)
     borders = np.concatenate([[0], np.searchsorted(first, ends)])
     grams = np.zeros(max(0, len(word) - words + 1), np.uint64)
     for k in range(words):
@@ -104,9 +104,10 @@ class Parts:
             first, empty = self._cut(grams, edges, band)
             found.append(first[~empty])
             if empty.any():
-                # An empty part says little: it counts together with each part of a second cut.
-                other, _ = self._cut(np.sort(mixed(grams + np.uint64(11))), edges, band + 100_000)
-                found += [mixed(other + part) for part in first[empty]]
+                # An empty part says little. Sets that share one share a part of a second cut too,
+                # or, if that is empty again, both.
+                other, none = self._cut(np.sort(mixed(grams + np.uint64(11))), edges, band + 100_000)
+                found += [other[~none], mixed(other[none][:, None] + first[empty][None]).ravel()]
         return np.concatenate(found) if found else np.zeros(0, np.uint64)
 
     @staticmethod
@@ -120,7 +121,7 @@ class Parts:
 
 def _per_text(batches: Iterable[pa.RecordBatch], words: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
     for batch in batches:
-        for first, last in slices(batch, "text", 1 << 21):
+        for first, last in slices(batch, "text", 1 << 20):
             part = batch.slice(first, last - first)
             yield part, shingle_sets(part.column("text").to_pylist(), words)
 
@@ -144,6 +145,81 @@ def classes_of(documents: DataFrame, words: int = WORDS) -> DataFrame:
     return documents.mapInArrow(run, f"doc_id {kind}, _row long, n_shingles long, class long")
 
 
+def _by_bucket(bucket: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
+    """The places of each bucket that has any."""
+    order = np.argsort(bucket, kind="stable")
+    cut = np.searchsorted(bucket[order], np.arange(buckets + 1))
+    for k, (a, b) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)):
+        if b > a:
+            yield k, order[a:b]
+
+
+def shared_counts(documents: DataFrame, words: int, buckets: int) -> DataFrame:
+    """``class, shared``: how many of a class's n-grams some other class has too, at least.
+
+    Tasks send the entries of the incidence matrix packed by blocks of columns. An n-gram is told by
+    its block and 32 bits more; taking two for one can only make a count larger.
+    """
+    names, kinds = ["bucket", "grams", "holder", "classes"], [pa.int32(), *[pa.binary()] * 3]
+
+    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[int, int] = {}
+        held: list[np.ndarray] = []
+
+        def flush() -> pa.RecordBatch:
+            grams = np.concatenate(held)
+            holder = np.repeat(np.arange(len(held)), [len(x) for x in held]).astype(np.uint16)
+            classes = np.fromiter(seen, np.int64, len(seen))
+            rows = []
+            for k, at in _by_bucket(((grams >> np.uint64(33)) * np.uint64(buckets) >> np.uint64(31)).astype(np.int32), buckets):
+                own, place = np.unique(holder[at], return_inverse=True)
+                rows.append((k, grams[at].astype(np.uint32).tobytes(), place.astype(np.uint16).tobytes(), classes[own].tobytes()))
+            return pa.RecordBatch.from_arrays([pa.array([r[n] for r in rows], t) for n, t in enumerate(kinds)], names)
+
+        size = 0
+        for _, sets in _per_text(batches, words):
+            for grams in sets:
+                if not len(grams) or (node := class_of(grams)) in seen:
+                    continue
+                seen[node] = len(held)
+                held.append(grams)
+                size += len(grams)
+                if size > 2 * _FLUSH or len(held) > 65_000:
+                    yield flush()
+                    seen, held, size = {}, [], 0
+        if held:
+            yield flush()
+
+    def meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _runs(batches, ["bucket"]):
+            lists = [np.frombuffer(x, np.int64) for x in rows["classes"]]
+            classes, place = np.unique(np.concatenate(lists), return_inverse=True)
+            borders = np.cumsum([0, *map(len, lists)])
+            entries = [
+                np.frombuffer(g, np.uint32).astype(np.uint64) << np.uint64(32) | place[first + np.frombuffer(h, np.uint16).astype(np.int64)].astype(np.uint64)
+                for g, h, first in zip(rows["grams"], rows["holder"], borders.tolist(), strict=False)
+            ]
+            entries = np.unique(np.concatenate(entries))  # a class comes from every task that has copies of it
+            gram = entries >> np.uint64(32)
+            alike = np.zeros(len(gram), bool)
+            alike[1:] = gram[1:] == gram[:-1]
+            alike[:-1] |= alike[1:].copy()
+            many = np.bincount((entries[alike] & np.uint64(0xFFFFFFFF)).astype(np.int64), minlength=len(classes))
+            yield pa.RecordBatch.from_arrays([pa.array(classes[many > 0]), pa.array(many[many > 0].astype(np.int64))], ["class", "shared"])
+
+    packed = documents.mapInArrow(cut, "bucket int, grams binary, holder binary, classes binary")
+    return packed.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(meet, "class long, shared long").groupBy(
+        "class"
+    ).agg(F.sum("shared").alias("shared"))
+
+
+def _documents_of_classes(documents: DataFrame, classes: DataFrame, name: str) -> DataFrame:
+    """The first document of each class of ``classes(class, doc_id, _row, ...)``, with their columns."""
+    wanted = classes.withColumnsRenamed({"doc_id": "_doc", "_row": "_key"})
+    marked = KeyFilter(wanted, "_key", name).mark(documents, "_row").where("_passes").drop("_passes")
+    return marked.join(wanted, (F.col("_row") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_doc"))).drop("_doc", "_key")
+
+
 def _stars(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """For each key its smallest node, and edges from that to the key's other nodes."""
     order = np.lexsort((nodes, keys))
@@ -322,12 +398,13 @@ def keep_one(
         F.count("*").alias("copies"), F.bool_or(leading).alias("leads")
     )
     marked = stored(marked.where("copies > 1 or not leads"), "marked")
-    if marked.count() <= BROADCAST_ROWS:
-        marked = F.broadcast(marked)
     same = (F.col("_row") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_doc"))
-    single = keyed.join(marked, same, "left_anti").select("_carried.*")
-    copies = keyed.join(marked.where("leads"), same).dropDuplicates(["doc_id", "_row"]).select("_carried.*")
-    return single.unionByName(copies)
+    told = KeyFilter(marked, "_key", "marked-keys").mark(keyed, "_row")
+    single = told.where("not _passes").select("_carried", "text").unionByName(
+        told.where("_passes").join(marked, same, "left_anti").select("_carried", "text")
+    )
+    copies = told.where("_passes").join(marked.where("leads"), same).dropDuplicates(["doc_id", "_row"])
+    return restored(single.unionByName(copies.select("_carried", "text")), table.columns)
 
 
 def _grouped(spark: SparkSession, documents: DataFrame, words: int, per_cent: int, block_ngrams: int) -> DataFrame:
@@ -339,10 +416,14 @@ def _grouped(spark: SparkSession, documents: DataFrame, words: int, per_cent: in
         ).select("class", F.col("first.doc_id").alias("doc_id"), F.col("first._row").alias("_row"), "size"),
         "classes",
     )
-    total = classes.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
-    expected = total * 5 * (100 - per_cent) // (100 + per_cent)
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(expected / _FLUSH))
-    candidates = stored(candidate_edges(documents, words, per_cent, buckets).distinct(), "candidates")
+    able = stored(
+        shared_counts(documents, words, _buckets(spark, classes)).withColumnRenamed("class", "_class").join(
+            classes, F.col("class") == F.col("_class")
+        ).where(F.col("shared") * 100 >= F.col("size") * per_cent).select(*classes.columns),
+        "able",
+    )
+    chosen = _documents_of_classes(documents, able, "able-keys").select("doc_id", "_row", "text")
+    candidates = stored(candidate_edges(chosen, words, per_cent, _buckets(spark, able)).distinct(), "candidates")
     if is_empty(candidates):
         joined = classes.select("class", F.col("class").alias("root"))
     else:
@@ -366,6 +447,12 @@ def _grouped(spark: SparkSession, documents: DataFrame, words: int, per_cent: in
     )
 
 
+def _buckets(spark: SparkSession, classes: DataFrame) -> int:
+    """Into how many blocks of a task's memory the n-grams of these classes go."""
+    total = classes.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / (2 * _FLUSH)))
+
+
 def _verified(
     documents: DataFrame, classes: DataFrame, groups: DataFrame, words: int, per_cent: int, block_ngrams: int
 ) -> DataFrame:
@@ -376,12 +463,7 @@ def _verified(
         F.ceil(F.sum("size") / block_ngrams).alias("chunks"), F.min("class").alias("centre")
     )
     members = stored(members.join(weights, "root"), "weighed")
-    wanted = members.select(
-        "root", "class", "chunks", "centre", F.col("doc_id").alias("_doc"), F.col("_row").alias("_key")
-    )
-    if members.count() <= BROADCAST_ROWS:
-        wanted = F.broadcast(wanted)
-    chosen = documents.join(wanted, (F.col("_row") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_doc")))
+    chosen = _documents_of_classes(documents, members.drop("size"), "member-keys")
 
     def grams(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, sets in _per_text(batches, words):

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from cartulary.llm.common import documents_of, slices
+from cartulary.llm.common import documents_of, restored, slices
 
 UNKNOWN = "und"
 WINDOW = 256
@@ -221,7 +221,7 @@ def identify(table: DataFrame) -> DataFrame:
 def keep_known(table: DataFrame, least_score: float = 0.5) -> DataFrame:
     """The rows of ``table`` whose language is recognised with at least this score, all columns kept."""
     found = _learned(table, documents_of(table, carry=True))
-    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score)).select("_carried.*")
+    return restored(found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score)), table.columns)
 
 
 def _learned(table: DataFrame, documents: DataFrame) -> DataFrame:

@@ -137,7 +137,7 @@ class WordCachedTokenizer:
         if not len(buffer):
             return []
         first, end = self._words(buffer)
-        hashes = RangeHash(self.values[buffer], 1).of(first, end)
+        hashes = RangeHash(self.values[buffer]).of(first, end)
         code, different = pd.factorize(hashes)
         sample = np.empty(len(different), np.int64)
         sample[code[::-1]] = np.arange(len(code) - 1, -1, -1)
@@ -183,7 +183,7 @@ def pieces(documents: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = WordCachedTokenizer.of(tokenizer_path)
         for batch in batches:
-            for first, last in slices(batch, "text", 1 << 21):
+            for first, last in slices(batch, "text", 1 << 20):
                 part = batch.slice(first, last - first)
                 row, out = [], defaultdict(list)
                 for k, ids in enumerate(tokenizer.ids(part.column("text").to_pylist())):

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cartulary.llm.common import KeyFilter, RangeHash, byte_values, documents_of, is_empty, joined_bytes, signed, slices, stored
+from cartulary.llm.common import KeyFilter, RangeHash, byte_values, documents_of, is_empty, joined_bytes, restored, signed, slices, stored
 
 WINDOW = 400
 ANCHOR = 64
@@ -55,7 +55,7 @@ def runs_of(texts: list[str], window: int, anchor: int) -> dict[str, np.ndarray]
     raw, borders = joined_bytes(texts)
     if len(raw) < window:
         return {}
-    hashes = RangeHash(byte_values(3)[raw], 3)
+    hashes = RangeHash(byte_values(3)[raw])
     starts = np.arange(len(raw) - anchor + 1)
     grams = hashes.of(starts, starts + anchor)
     chosen = sliding_argmin(grams, window - anchor + 1)
@@ -71,7 +71,7 @@ def runs_of(texts: list[str], window: int, anchor: int) -> dict[str, np.ndarray]
     many = np.diff(np.append(at, len(begin)))
     first, owner, chosen = begin[at], owner[at], chosen[at]
     end = first + many - 1 + window
-    again = RangeHash(byte_values(4)[raw], 4)
+    again = RangeHash(byte_values(4)[raw])
     return {
         "owner": owner,
         "first": first - borders[owner],
@@ -334,7 +334,7 @@ def _sharded(documents: DataFrame, chosen: DataFrame, window: int, kind: str) ->
                 at = at[np.unique(number[at], return_index=True)[1]]
                 packed = np.zeros(len(at), _PACKED)
                 for name, salt in (("one", 3), ("two", 4)):
-                    packed[name] = RangeHash(byte_values(salt)[text], salt).of(at, at + window)
+                    packed[name] = RangeHash(byte_values(salt)[text]).of(at, at + window)
                 packed["run"] = np.array(block["run"], np.int64)[owner[at]]
                 packed["first"], packed["settled"] = at - starts[owner[at]], again[at] | known[owner[at]]
                 bucket = (packed["one"] % np.uint64(parts)).astype(np.int64)
@@ -442,9 +442,10 @@ def without_repeats(table: DataFrame, window: int = WINDOW, anchor: int = ANCHOR
     it is there. Null text stays null.
     """
     found = _removed(documents_of(table, carry=True), window, anchor, shard_runs)
-    new = {"text": F.when(F.col("_carried.text").isNotNull(), F.col("kept"))}
-    new["n_chars"] = F.when(F.col("_carried.text").isNotNull(), F.length("kept").cast("long"))
-    return found.select(*[new[name].alias(name) if name in new else F.col(f"_carried.`{name}`") for name in table.columns])
+    there = ~F.col("_carried._no_text")
+    return restored(
+        found, table.columns, text=F.when(there, F.col("kept")), n_chars=F.when(there, F.length("kept").cast("long"))
+    )
 
 
 def _removed(documents: DataFrame, window: int, anchor: int, shard_runs: int) -> DataFrame:
