@@ -12,6 +12,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from cartulary.llm import decontamination, jaccard, language, packing, suffixes
+from cartulary.llm.common import documents_of
 from cartulary.llm.components import connected_components
 
 TOKENIZER = str(public_tokenizers.path("word_bpe_49k.json"))
@@ -205,6 +206,13 @@ def test_sets_with_an_equal_part_meet():
             assert set(parts.of(a).tolist()) & set(parts.of(b).tolist())
 
 
+def test_very_many_classes(spark):
+    """More classes in a block than a task packs at once."""
+    table = spark.range(70_000).selectExpr("id AS doc_id", "concat('a', id div 2, ' b', id div 2, ' c', id div 2, ' d', id) AS text")
+    found = jaccard.shared_counts(documents_of(table.coalesce(1)), 3, 1)
+    assert found.count() == 70_000 and found.where("shared != 1").count() == 0
+
+
 def test_components(spark):
     draw = np.random.default_rng(7)
     edges = [(int(a), int(b)) for a, b in draw.integers(0, 400, (260, 2)) if a != b] + [(1000 + k, 1001 + k) for k in range(30)]
