@@ -210,7 +210,8 @@ def test_very_many_classes(spark):
     """More classes in a block than a task packs at once."""
     table = spark.range(70_000).selectExpr("id AS doc_id", "concat('a', id div 2, ' b', id div 2, ' c', id div 2, ' d', id) AS text")
     found = jaccard.shared_counts(documents_of(table.coalesce(1)), 3, 1)
-    assert found.count() == 70_000 and found.where("shared != 1").count() == 0
+    assert found.count() == 70_000 and found.where("shared < 1").count() == 0
+    assert found.where("shared > 1").count() < 20  # 32 bits tell n-grams of a block apart
 
 
 def test_components(spark):
