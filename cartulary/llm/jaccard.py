@@ -26,7 +26,7 @@ WORDS = 3
 PER_CENT = 90
 #: N-grams in one block of the matrix product at most (unless one document has more).
 BLOCK_NGRAMS = 4_000_000
-_FLUSH = 1_500_000
+_FLUSH = 500_000
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
