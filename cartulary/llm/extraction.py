@@ -3,7 +3,8 @@
 A page is a sequence of words and tags. Words score by where they stand (in a link, a heading, a
 paragraph, ...), tags score negative, both by weights learned from labelled pages; one linear scan
 finds the best region. What is never content (menus, adverts, forms, scripts, comments of readers,
-...) scores nothing and is left out, wherever it stands.
+...) scores nothing and is left out, wherever it stands; but an element that holds most of the
+page's words, or its marked content, is a wrapper around the page, whatever its name.
 """
 
 from __future__ import annotations
@@ -34,6 +35,8 @@ BLOCKS = frozenset(
 NEVER = frozenset(
     "nav aside footer form head menu button select input label fieldset dialog search audio video canvas".split()
 )
+#: Those that are no wrapper, however many words they hold.
+SMALL = NEVER - {"form", "fieldset", "aside"}
 CONTENT = frozenset(("article", "main"))
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
@@ -56,17 +59,21 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 _NAME = re.compile(r"[a-z]+")
+#: A name that tells what the page has or lacks, as in ``no-sidebar``.
+_STATE = re.compile(r"(?:no|not|with|without|has|have)[^a-z]")
 
 
 def _left_out(tag: str, attributes: str, in_content: bool) -> str | None:
-    """Why an element is never content: ``reader`` for comments of readers, or ``other``."""
+    """Why an element is not content, unless it is a wrapper: ``reader`` for comments of readers,
+    ``name`` if a whole name says so, or ``other``."""
     if attributes and tag not in ("html", "body"):
         found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)}
-        names = set(_NAME.findall(f"{found.get('class', '')} {found.get('id', '')}".lower()))
+        tokens = [x for x in f"{found.get('class', '')} {found.get('id', '')}".lower().split() if not _STATE.match(x)]
+        names = set(_NAME.findall(" ".join(tokens)))
         if names & READERS and not (tag == "main" or tag == "article" and "comment" not in names and "reply" not in names):
             return "reader"
         if tag not in CONTENT and (names & HINTS or found.get("role", "").lower() in ROLES):
-            return "other"
+            return "name" if not names & HINTS or any(HINTS.issuperset(_NAME.findall(x) or [""]) for x in tokens) else "other"
         if "header" in names and tag not in CONTENT and tag not in HEADINGS and not in_content:
             return "other"
     if tag in NEVER or tag == "header" and not in_content:
@@ -83,10 +90,13 @@ class Page:
     def __init__(self, source: str) -> None:
         lowered = source.lower()
         self.pieces: list[tuple[str, str | None, str]] = []
+        # Elements in the order of their start tags: name, attributes, number of the one around it.
+        self.elements: list[tuple[str, str, int]] = [("", "", 0)]
+        self.places: list[int] = []  # the element that each piece counts to
         self.has_content = "<article" in lowered or "<main" in lowered
         self.unclosed = {t for t in (*NEVER, "div", "section", "header", "ul") if lowered.count(f"</{t}") < lowered.count(f"<{t}")}
-        # Open elements: name, why left out (inherited), whether within content.
-        self.open: list[tuple[str, str | None, bool]] = []
+        # Open elements: name, why left out (inherited; wrappers too), whether within content, number.
+        self.open: list[tuple[str, str | None, bool, int]] = []
         at = 0
         for match in _TOKEN.finditer(source):
             if match.start() > at:
@@ -100,25 +110,24 @@ class Page:
                     self._start(name, match[4])
         if at < len(source):
             self._text(source[at:])
+        self._settle()
 
     def _state(self) -> tuple[str | None, bool]:
         return (self.open[-1][1], self.open[-1][2]) if self.open else (None, False)
 
+    def _add(self, kind: str, where: str, text: str, element: int) -> None:
+        self.pieces.append((kind, where, text))
+        self.places.append(element)
+
     def _text(self, text: str) -> None:
-        out, inside = self._state()
-        if out:
-            self.pieces.append(("", None, text))
-            return
         names = {x[0] for x in self.open}
-        if self.has_content:
-            where = "inside" if inside else "outside"
-        elif "a" in names:
+        if "a" in names:
             where = "link"
         elif names & HEADINGS:
             where = "heading"
         else:
             where = "p" if "p" in names or "blockquote" in names else "li" if "li" in names else "td" if "td" in names else "other"
-        self.pieces.append(("", where, text))
+        self._add("", where, text, self.open[-1][3] if self.open else 0)
 
     def _start(self, name: str, attributes: str) -> None:
         if name in BLOCKS and any(x[0] in PARAGRAPHS for x in self.open):
@@ -133,24 +142,79 @@ class Page:
                     del self.open[place:]
                     break
         out, inside = self._state()
-        if out == "other" and name in CONTENT:
+        if out in ("name", "other") and name in CONTENT:
             # A menu or an advert that is never closed ends where content begins.
             place = next(k for k, x in enumerate(self.open) if x[1])
             if self.open[place][0] in self.unclosed:
                 del self.open[place:]
                 out, inside = self._state()
         why = out or _left_out(name, attributes, inside)
-        self.pieces.append((name, None if why else "tag", ""))
+        self.elements.append((name, attributes, self.open[-1][3] if self.open else 0))
+        number = len(self.elements) - 1
+        self._add(name, "tag", "", number)
         if name not in VOID and not attributes.endswith("/"):
-            self.open.append((name, why, inside or name in CONTENT and not why))
+            self.open.append((name, why, inside or name in CONTENT and not why, number))
 
     def _end(self, name: str) -> None:
-        self.pieces.append((name, None if self._state()[0] else "tag", ""))
+        self._add(name, "tag", "", self.open[-1][3] if self.open else 0)
         for place in range(len(self.open) - 1, -1, -1):
             if self.open[place][0] == name:
                 del self.open[place:]
                 return
 
+    def _settle(self) -> None:
+        """What is left out, now that all elements' words are known."""
+        size = len(self.elements)
+        titled = [name in ("main", "h1") for name, _, _ in self.elements]
+        for k in range(size - 1, 0, -1):
+            titled[self.elements[k][2]] |= titled[k]
+        # Words outside links: all but readers' and those of small elements; marked by main; by article.
+        reader, small, marked = [False] * size, [False] * size, [""] * size
+        for k in range(1, size):
+            name, attributes, around = self.elements[k]
+            reader[k] = reader[around] or not titled[k] and _left_out(name, attributes, False) == "reader"
+            small[k] = small[around] or name in SMALL
+            marked[k] = "main" if "main" in (name, marked[around]) else "article" if name == "article" else marked[around]
+        words, by_main, by_article = [0] * size, [0] * size, [0] * size
+        for (kind, where, text), k in zip(self.pieces, self.places, strict=True):
+            if not kind and where != "link" and not reader[k]:
+                many = len(text.split())
+                words[k] += 0 if small[k] else many
+                by_main[k] += many if marked[k] == "main" else 0
+                by_article[k] += many if marked[k] else 0
+        for held in (words, by_main, by_article):
+            for k in range(size - 1, 0, -1):
+                held[self.elements[k][2]] += held[k]
+        by_mark = by_main if by_main[0] else by_article
+
+        def wraps(k: int, why: str) -> bool:
+            if why == "reader":
+                return titled[k]
+            if 2 * by_mark[k] > by_mark[0] and (by_main[0] or 4 * by_mark[k] >= words[0] - words[k]):
+                return True
+            return self.elements[k][0] not in SMALL and words[k] * (10 if why == "name" else 2) > words[0] * (9 if why == "name" else 1)
+
+        out, inside = [None] * size, [0] * size  # the content element that each is in
+        for k in range(1, size):
+            name, attributes, around = self.elements[k]
+            why = _left_out(name, attributes, inside[around] > 0)
+            out[k] = out[around] or (why if why and not wraps(k, why) else None)
+            inside[k] = inside[around] or (k if name in CONTENT and not out[k] else 0)
+        self.pieces = [(kind, None if out[k] else where, text) for (kind, where, text), k in zip(self.pieces, self.places, strict=True)]
+        self.inside = [inside[k] > 0 for k in self.places]
+        self.marked = self.has_content
+
+    def scores(self, weights: Weights) -> list[float]:
+        found = []
+        for (kind, where, text), inside in zip(self.pieces, self.inside, strict=True):
+            if not where:
+                found.append(0.0)
+            elif kind:
+                found.append(weights.tags.get(kind, weights.other_tag))
+            else:
+                found.append(weights.words[("inside" if inside else "outside") if self.marked else where] * len(text.split()))
+        return found
+
 
 class Weights:
     """Scores of a word by its place and of a tag by its name; learned, or these before learning."""
@@ -170,15 +234,17 @@ class Weights:
         for source in pages:
             marked, plain = Page(source), Page(re.sub(r"(?i)<(/?)(?:article|main)\b", r"<\1div", source))
             # Both have the same pieces, once with the label and once with the plain places.
+            if not marked.marked:
+                continue
             inside = False
-            for (kind, label, text), (_, place, _) in zip(marked.pieces, plain.pieces, strict=True):
-                if label in ("inside", "outside"):
-                    inside = label == "inside"
+            for (kind, where, text), label, (_, place, _) in zip(marked.pieces, marked.inside, plain.pieces, strict=True):
+                if where and not kind:
+                    inside = label
                     many = len(text.split())
-                    words[inside][label] += many
+                    words[inside]["inside" if inside else "outside"] += many
                     if place:
                         words[inside][place] += many
-                elif kind and label:
+                elif where:
                     tags[inside][kind] += 1
         for place in words[True] | words[False]:
             odds = math.log((words[True][place] + 1) / (words[False][place] + 1))
@@ -206,12 +272,9 @@ def best_region(scores: list[float]) -> tuple[int, int]:
 
 def main_text(source: str, weights: Weights) -> str:
     """The blocks of the best region, parted by an empty line."""
-    pieces = Page(source).pieces
-    scores = [
-        0.0 if not where else weights.tags.get(kind, weights.other_tag) if kind else weights.words[where] * len(text.split())
-        for kind, where, text in pieces
-    ]
-    first, end = best_region(scores)
+    page = Page(source)
+    pieces = page.pieces
+    first, end = best_region(page.scores(weights))
     # Blocks are kept whole: a link at a block's end scores negative, but belongs to it.
     while first < end and first and pieces[first - 1][0] not in BLOCKS:
         first -= 1

@@ -36,6 +36,32 @@ def test_main_text():
     assert extraction.main_text(replies, weights) == "Story"
 
 
+SENTENCES = [f"Story sentence number {k} with some words in it." for k in range(6)]
+STORY = "".join(f"<p>{x}</p>" for x in SENTENCES)
+ASIDE = '<div class="sidebar widget"><p>Buy our things</p></div><footer><p>the small print</p></footer>'
+
+
+@pytest.mark.parametrize("story", [f"<article>{STORY}</article>", f"<div>{STORY}</div>"])
+@pytest.mark.parametrize(
+    "wrapper",
+    [
+        'div class="layout no-sidebar"', 'div id="page" class="with-sidebar"', 'div class="page has-comments"', 'div id="site-widget-wrapper"',
+        'div class="social-site"', 'section class="related-stories"', 'div class="widget"', 'form action="x" id="aspnetForm"',
+    ],
+)
+def test_wrapper_around_the_page_is_kept(wrapper, story):
+    page = f"<body><nav><a>Home</a></nav><{wrapper}><div class='menu'><a>Menu</a></div>{story}{ASIDE}</{wrapper.split()[0]}></body>"
+    assert extraction.main_text(page, extraction.Weights()).split("\n\n") == SENTENCES
+
+
+def test_what_holds_little_of_a_page_is_left_out():
+    cards = "<article><p>Read this too</p></article>" * 3
+    for part in (f"<aside class='related'>{cards}</aside>", "<form><p>Your name and address</p></form>", "<div class='page-notice'><p>We moved</p></div>"):
+        for page in (f"<main>{STORY}{part}</main>", f"<main>{STORY}</main>{part}", f"<div>{part}{STORY}</div>"):
+            if "article" not in page or "main" in page:
+                assert extraction.main_text(page, extraction.Weights()).split("\n\n") == SENTENCES
+
+
 def test_weights_come_from_labelled_pages():
     page = "<body><div><a>x y z</a></div><p>not content at all</p><article><p>one two three four</p></article></body>"
     weights = extraction.Weights().learn([page] * 50)
