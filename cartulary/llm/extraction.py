@@ -93,7 +93,6 @@ class Page:
         # Elements in the order of their start tags: name, attributes, number of the one around it.
         self.elements: list[tuple[str, str, int]] = [("", "", 0)]
         self.places: list[int] = []  # the element that each piece counts to
-        self.has_content = "<article" in lowered or "<main" in lowered
         self.unclosed = {t for t in (*NEVER, "div", "section", "header", "ul") if lowered.count(f"</{t}") < lowered.count(f"<{t}")}
         # Open elements: name, why left out (inherited; wrappers too), whether within content, number.
         self.open: list[tuple[str, str | None, bool, int]] = []
@@ -163,7 +162,7 @@ class Page:
                 return
 
     def _settle(self) -> None:
-        """What is left out, now that all elements' words are known."""
+        """What is left out, now that all elements' words are known; and whether marks can be trusted."""
         size = len(self.elements)
         titled = [name in ("main", "h1") for name, _, _ in self.elements]
         for k in range(size - 1, 0, -1):
@@ -202,7 +201,15 @@ class Page:
             inside[k] = inside[around] or (k if name in CONTENT and not out[k] else 0)
         self.pieces = [(kind, None if out[k] else where, text) for (kind, where, text), k in zip(self.pieces, self.places, strict=True)]
         self.inside = [inside[k] > 0 for k in self.places]
-        self.marked = self.has_content
+        # Marks count if kept elements with words have them, and no cards beside a longer text.
+        held = Counter()
+        for (kind, where, text), k in zip(self.pieces, self.places, strict=True):
+            if not kind and where:
+                held[inside[k]] += len(text.split()) if where != "link" or inside[k] else 0
+        beside = held.pop(0, 0)
+        cards = [k for k in held if held[k]]
+        main = any(self.elements[k][0] == "main" for k in cards)
+        self.marked = bool(cards) and (main or (4 if len(cards) == 1 else 1) * sum(held.values()) >= beside)
 
     def scores(self, weights: Weights) -> list[float]:
         found = []
@@ -212,7 +219,11 @@ class Page:
             elif kind:
                 found.append(weights.tags.get(kind, weights.other_tag))
             else:
-                found.append(weights.words[("inside" if inside else "outside") if self.marked else where] * len(text.split()))
+                # A card beside a text that isn't marked scores as a link does.
+                score = weights.words[where] if self.marked or not inside else weights.words["link"]
+                if self.marked:
+                    score += weights.words["inside" if inside else "outside"]
+                found.append(score * len(text.split()))
         return found
 
 

@@ -62,6 +62,26 @@ def test_what_holds_little_of_a_page_is_left_out():
                 assert extraction.main_text(page, extraction.Weights()).split("\n\n") == SENTENCES
 
 
+@pytest.mark.parametrize("learned", [False, True])
+def test_articles_that_are_not_the_story(learned):
+    weights = extraction.Weights()
+    if learned:
+        weights.learn([f"<body><p>not content</p><article>{STORY}</article></body>"] * 50)
+    cards = "".join(f"<article><h3><a href=x>Card {k}</a></h3><p>Teaser text {k}</p></article>" for k in range(2))
+    for page in (
+        f"<div>{STORY}</div><section class='comments'><article class='comment-body'><p>I am a reader</p></article></section>",
+        f"<div>{STORY}</div><div><article class='comment-body'><p>I am a reader</p></article></div>",
+        f"<div class='cards'>{cards}</div><div>{STORY}</div>",
+        f"<aside class='related'>{cards}</aside><div>{STORY}</div>",
+        f"<div>{STORY}</div><div class='cards'>{cards}</div>",
+        f"<!-- <article> --><script>var a = '<main>'</script><div>{STORY}</div>",
+        f"<main></main><div>{STORY}</div>",
+    ):
+        assert extraction.main_text(page, weights).split("\n\n") == SENTENCES
+    short = "<div><p>Some words that stand beside it, more than it has.</p></div><article><p>One short story here.</p></article>"
+    assert extraction.main_text(short, weights) == "One short story here."
+
+
 def test_weights_come_from_labelled_pages():
     page = "<body><div><a>x y z</a></div><p>not content at all</p><article><p>one two three four</p></article></body>"
     weights = extraction.Weights().learn([page] * 50)
