@@ -33,26 +33,53 @@ ANCHOR = 64
 SHARD_RUNS = 1024
 #: Bytes over which a suffix array is built at once, a few large anchors apart.
 SHARD_BYTES = 600_000
+#: Bits of a byte's place in a stretch of text, and bytes of a stretch (no more than these bits count).
+PLACE_BITS = 24
+STRETCH = 1 << 22
 
 
-def sliding_argmin(keys: np.ndarray, width: int) -> np.ndarray:
+def sliding_argmin(keys: np.ndarray, width: int, place_bits: int = PLACE_BITS) -> np.ndarray:
     """Where the smallest of each ``width`` neighbouring keys stands (the first of equal ones).
 
-    The low 24 bits of a key are replaced by its place.
+    The low ``place_bits`` bits of a key are replaced by its place, so there may be no more keys.
     """
-    tagged = (keys & ~np.uint64(0xFFFFFF)) | np.arange(len(keys), dtype=np.uint64)
+    low = np.uint64((1 << place_bits) - 1)
+    if len(keys) > 1 << place_bits:
+        raise ValueError(f"{len(keys)} keys for places of {place_bits} bits")
+    tagged = (keys & ~low) | np.arange(len(keys), dtype=np.uint64)
     span = 1
     while 2 * span <= width:
         tagged = np.minimum(tagged[:-span], tagged[span:])
         span *= 2
     if span < width:
         tagged = np.minimum(tagged[: len(tagged) - (width - span)], tagged[width - span :])
-    return (tagged & np.uint64(0xFFFFFF)).astype(np.int64)
+    return (tagged & low).astype(np.int64)
 
 
-def runs_of(texts: list[str], window: int, anchor: int) -> dict[str, np.ndarray]:
-    """The runs of each text: its place in the list, first byte, number of windows, and hashes."""
+def stretches(size: int, window: int, most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of at most ``most`` bytes that overlap by ``window - 1``: each window is in exactly one."""
+    step = most - (window - 1)
+    if step < 1:
+        raise ValueError(f"windows of {window} bytes in stretches of {most}")
+    for first in range(0, max(size - (window - 1), 1), step):
+        yield first, min(first + most, size)
+
+
+def runs_of(texts: list[str], window: int, anchor: int, most: int = STRETCH) -> Iterator[dict[str, np.ndarray]]:
+    """The runs of each text: its place in the list, first byte, number of windows, and hashes.
+
+    Stretches of at most ``most`` bytes are worked on one after another. A run that goes over the
+    end of one is two runs: their windows have the same anchor, and still meet all that they equal.
+    """
     raw, borders = joined_bytes(texts)
+    for first, end in stretches(len(raw), window, min(most, 1 << PLACE_BITS)):
+        found = _stretch_runs(raw[first:end], borders - first, window, anchor)
+        if found:
+            yield found
+
+
+def _stretch_runs(raw: np.ndarray, borders: np.ndarray, window: int, anchor: int) -> dict[str, np.ndarray]:
+    """The runs of a stretch of joined texts, whose borders are counted from the stretch's start."""
     if len(raw) < window:
         return {}
     hashes = RangeHash(byte_values(3)[raw])
@@ -60,7 +87,7 @@ def runs_of(texts: list[str], window: int, anchor: int) -> dict[str, np.ndarray]
     grams = hashes.of(starts, starts + anchor)
     chosen = sliding_argmin(grams, window - anchor + 1)
     begin = np.arange(len(chosen))
-    owner = np.repeat(np.arange(len(texts)), np.diff(borders))[: len(chosen)]
+    owner = np.repeat(np.arange(len(borders) - 1), np.diff(np.clip(borders, 0, len(raw))))[: len(chosen)]
     whole = begin + window <= borders[owner + 1]  # windows never cross documents
     begin, chosen, owner = begin[whole], chosen[whole], owner[whole]
     if not len(begin):
@@ -214,8 +241,7 @@ def find_spans(documents: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
         for batch in batches:
             for a, b in slices(batch, "text", 1 << 19):
                 part = batch.slice(a, b - a)
-                found = runs_of(part.column("text").to_pylist(), window, anchor)
-                if found:
+                for found in runs_of(part.column("text").to_pylist(), window, anchor):
                     owner = pa.array(found["owner"])
                     yield pa.RecordBatch.from_arrays(
                         [

@@ -112,6 +112,47 @@ def test_repeated_windows_are_exact():
         assert (expected == again).all()
 
 
+def anchors_of(texts, window, anchor, **sizes):
+    """The anchor of every window, by text and first byte."""
+    found = {}
+    for runs in suffixes.runs_of(texts, window, anchor, **sizes):
+        for owner, first, many, key in zip(*(runs[x].tolist() for x in ("owner", "first", "many", "anchor")), strict=True):
+            for place in range(first, first + many):
+                assert (owner, place) not in found  # each window is in one run
+                found[owner, place] = key
+    return found
+
+
+@pytest.mark.parametrize("most", [20, 33, 64, 1000])
+def test_stretches_change_no_anchor(most):
+    draw = np.random.default_rng(4)
+    texts = ["".join(draw.choice(list("abc é"), int(draw.integers(0, 300)))) for _ in range(12)]
+    found = anchors_of(texts, 20, 6, most=most)
+    assert found == anchors_of(texts, 20, 6)
+    assert found.keys() == {(k, i) for k, t in enumerate(texts) for i in range(len(t.encode()) - 19)}
+
+
+def test_places_have_room():
+    keys = np.random.default_rng(6).integers(0, 2**63, 256).astype(np.uint64)
+    expected = [k + int((keys[k : k + 9] >> np.uint64(8)).argmin()) for k in range(248)]
+    assert suffixes.sliding_argmin(keys, 9, place_bits=8).tolist() == expected
+    with pytest.raises(ValueError, match="places of 8 bits"):
+        suffixes.sliding_argmin(np.append(keys, keys[:1]), 9, place_bits=8)
+
+
+def test_repeats_far_behind_in_a_long_text(spark):
+    draw = np.random.default_rng(8)
+    passage = " ".join(f"passage{k}" for k in range(60))
+    long = draw.integers(97, 123, (1 << 24) + 50_000).astype(np.uint8).tobytes().decode() + "  " + passage
+    other = "other begin " + passage + " different"
+    table = spark.createDataFrame([(1, long), (2, other)], "doc_id long, text string")
+    found = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffixes.deduplicate(table).collect()}
+    for key, text in ((1, long), (2, other)):
+        # The blank before the passage repeats too.
+        kept = text.replace(" " + passage, "")
+        assert found[key] == (len(text), len(passage) + 1, 1, hashlib.sha256(kept.encode()).hexdigest())
+
+
 @pytest.mark.parametrize("shard_runs", [1, 1024])
 def test_deduplication_of_awkward_rows(awkward, nothing, shard_runs):
     window = 100
