@@ -7,6 +7,7 @@ text's probabilities are its windows' average, weighted by their bytes.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
@@ -21,12 +22,15 @@ from cartulary.llm.common import documents_of, restored, slices
 
 UNKNOWN = "und"
 WINDOW = 256
-#: The training sample: documents of a language, windows of a document, languages (most frequent first).
+#: The training sample: documents of a language at most and at least, of all (if that leaves the least), windows of a document.
 DOCUMENTS_PER_LANGUAGE = 300
+FEWEST_DOCUMENTS = 8
+DOCUMENTS = 19_200
 WINDOWS_PER_DOCUMENT = 6
-LANGUAGES = 64
 _SYMBOLS = 64
 _GAP = 8
+#: Windows by languages that are held at once.
+_CELLS = 1 << 20
 
 
 def _symbols() -> np.ndarray:
@@ -151,12 +155,19 @@ def probabilities(network: ByteNetwork, tables: list[tuple[int, list[np.ndarray]
         for n, table in enumerate(looked[1:], 1):
             response += table.take(pair[2 * n : 2 * n + total])
         hidden[k] = response.reshape(-1, WINDOW).max(1)
-    found = _softmax(np.maximum(hidden.T, 0) @ network.weights["o"] + network.weights["c"])
     first = np.cumsum(counts) - counts
     held = np.full(int(counts.sum()), WINDOW, np.float64)
     held[first + counts - 1] = np.array([len(x) for x in raw]) - (counts - 1) * WINDOW
     held = np.maximum(held, 1e-3)
-    return np.add.reduceat(found * held[:, None], first) / np.add.reduceat(held, first)[:, None]
+    owner = np.repeat(np.arange(len(raw)), counts)
+    total = np.zeros((len(raw), len(network.languages)))
+    step = max(1, _CELLS // len(network.languages))
+    for at in range(0, len(held), step):  # so many windows at once that all languages fit
+        part = slice(at, at + step)
+        found = _softmax(np.maximum(hidden[:, part].T, 0) @ network.weights["o"] + network.weights["c"])
+        texts, starts = np.unique(owner[part], return_index=True)
+        total[texts] += np.add.reduceat(found * held[part, None], starts)
+    return total / np.add.reduceat(held, first)[:, None]
 
 
 def held_out(id_column: Column) -> Column:
@@ -165,15 +176,21 @@ def held_out(id_column: Column) -> Column:
 
 
 def training_sample(labelled: DataFrame) -> list[tuple[str, bytes]]:
-    """At most the bounded sample of ``labelled(_row, text, lang)``: windows with their languages."""
-    counts = {
-        r["lang"]: r["n"]
-        for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
-    }
+    """The bounded sample of ``labelled(_row, text, lang)``: windows with their languages, all of them.
+
+    The more languages there are, the fewer documents are of each, but some always are.
+    """
+    counts = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return []
-    share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, 2 * DOCUMENTS_PER_LANGUAGE / n))])
-    drawn = labelled.where(F.pmod(F.xxhash64("_row", F.lit(5)), F.lit(1 << 20)) < F.element_at(share, F.col("lang")) * (1 << 20))
+    each = min(DOCUMENTS_PER_LANGUAGE, max(FEWEST_DOCUMENTS, DOCUMENTS // len(counts)))
+    # The share of a language's documents that a hash picks is twice as many, and all of a few.
+    shares = labelled.sparkSession.createDataFrame(
+        [(k, min(1.0, max(2 * each, 100) / n)) for k, n in sorted(counts.items())], "_lang string, _share double"
+    )
+    drawn = labelled.join(F.broadcast(shares), F.col("lang") == F.col("_lang")).where(
+        F.pmod(F.xxhash64("_row", F.lit(5)), F.lit(1 << 20)) < F.col("_share") * (1 << 20)
+    ).drop("_lang", "_share")
     drawn = drawn.withColumn("_n", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("_row", F.lit(6)), "_row")))
     # Windows at even distances over the whole text.
     last = F.greatest(F.length("text") - WINDOW, F.lit(0))
@@ -181,17 +198,20 @@ def training_sample(labelled: DataFrame) -> list[tuple[str, bytes]]:
         F.sequence(F.lit(0), F.lit(WINDOWS_PER_DOCUMENT - 1)),
         lambda k: F.substring(F.col("text"), (last * k / (WINDOWS_PER_DOCUMENT - 1)).cast("int") + 1, F.lit(WINDOW)),
     )
-    drawn = drawn.where(F.col("_n") <= DOCUMENTS_PER_LANGUAGE).select("lang", F.explode(F.array_distinct(cut)).alias("text"))
+    drawn = drawn.where(F.col("_n") <= each).select("lang", F.explode(F.array_distinct(cut)).alias("text"))
     return sorted((r["lang"], r["text"].encode()[:WINDOW]) for r in drawn.collect())
 
 
 def fit(sample: list[tuple[str, bytes]], seed: int = 0) -> ByteNetwork:
     """The network for a sample; some windows are shortened, so that short texts are known too."""
-    network = ByteNetwork(sorted({lang for lang, _ in sample}))
-    if len(network.languages) < 2:
+    by_language: dict[str, list[bytes]] = {}
+    for lang, x in sample:
+        by_language.setdefault(lang, []).append(x)
+    many = len(by_language)
+    network = ByteNetwork(sorted(by_language), filters=max(10, math.ceil(1.25 * many**0.5)))  # 10 for 64 languages
+    if many < 2:
         return network
     draw = np.random.default_rng(seed)
-    by_language = {lang: [x for own, x in sample if own == lang] for lang in network.languages}
     most = max(map(len, by_language.values()))
     rows, answers = [], []
     for n, lang in enumerate(network.languages):
@@ -202,7 +222,7 @@ def fit(sample: list[tuple[str, bytes]], seed: int = 0) -> ByteNetwork:
             rows.append(own[start : start + keep].ljust(WINDOW + _GAP, b" "))
             answers.append(n)
     symbols = SYMBOL[np.frombuffer(b"".join(rows), np.uint8)].reshape(len(rows), -1)
-    network.train(symbols, np.array(answers), seed=seed)
+    network.train(symbols, np.array(answers), steps=max(500, 8 * many), seed=seed)
     return network
 
 

@@ -335,6 +335,29 @@ def test_languages_of_held_out_documents(two_languages):
     assert all(0 <= r.score <= 1 for r in found)
 
 
+def test_every_language_is_learned(spark):
+    draw = np.random.default_rng(12)
+    syllables = [a + b for a in "bcdfghjklmnprstvwz" for b in "aeiou"]
+    rows = []
+    for k in range(70):
+        own = draw.choice(syllables, 14, replace=False)
+        words = ["".join(draw.choice(own, int(draw.integers(1, 4)))) for _ in range(120)]
+        rows += [(f"lang{k}", " ".join(draw.choice(words, 60))) for _ in range(16 if k else 400)]
+    table = spark.createDataFrame([(n, text, lang) for n, (lang, text) in enumerate(rows)], "doc_id long, text string, lang string")
+    found = {r.doc_id: r.lang_pred for r in language.identify(table).collect()}
+    assert len(set(found.values())) == 70
+    assert sum(found[n] == lang for n, (lang, _) in enumerate(rows)) > 0.97 * len(rows)
+
+
+def test_windows_by_blocks(monkeypatch):
+    network = language.ByteNetwork(["x", "y", "z"])
+    network.start(0)
+    raw = [b"some words " * k for k in (1, 300, 2, 90)]
+    whole = language.probabilities(network, network.tables(), raw)
+    monkeypatch.setattr(language, "_CELLS", 12)
+    assert np.allclose(language.probabilities(network, network.tables(), raw), whole)
+
+
 def test_languages_of_awkward_rows(awkward, nothing):
     found = language.identify(awkward)
     rows = Counter((r.doc_id, r.lang_pred) for r in found.collect())
