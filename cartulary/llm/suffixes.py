@@ -12,6 +12,9 @@ n-gram are all that can share a window, and form a shard:
 3. Anchors with very many different runs are dealt over several shards. Each sends one fingerprint
    for every different window, and binary search in the sorted fingerprints finds those that two
    shards have.
+
+A passage of a number of words may be wanted too, if its words are so short that it is no window.
+Such passages have few bytes, and meet by fingerprint.
 """
 
 from __future__ import annotations
@@ -305,6 +308,99 @@ def find_spans(documents: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
     return found.unionByName(across)
 
 
+#: Bytes that part words: ASCII white space.
+_SPACE = np.isin(np.arange(256), (9, 10, 11, 12, 13, 32))
+
+
+def short_passages(texts: list[str], words: int, window: int) -> dict[str, np.ndarray]:
+    """Every passage of so many words that is shorter than a window: text, first byte, end, fingerprints."""
+    raw, borders = joined_bytes(texts)
+    space = _SPACE[raw]
+    edge = np.zeros(len(raw) + 1, bool)
+    edge[borders] = True
+    starts = np.flatnonzero(~space & (edge[:-1] | np.append(True, space[:-1])[: len(raw)]))
+    ends = np.flatnonzero(~space & (edge[1:] | np.append(space[1:], True)[: len(raw)])) + 1
+    first, end = starts[: max(len(starts) - words + 1, 0)], ends[words - 1 :]
+    short = end - first < window
+    first, end = first[short], end[short]
+    owner = np.searchsorted(borders, first, "right") - 1
+    whole = end <= borders[owner + 1]  # passages never cross documents
+    first, end, owner = first[whole], end[whole], owner[whole]
+    one, two = np.empty(len(first), np.uint64), np.empty(len(first), np.uint64)
+    for at in range(0, len(raw), STRETCH):
+        a, b = np.searchsorted(first, (at, at + STRETCH)).tolist()
+        if a < b:
+            part = raw[at : at + STRETCH + window]
+            for found, salt in ((one, 3), (two, 4)):
+                found[a:b] = RangeHash(byte_values(salt)[part]).of(first[a:b] - at, end[a:b] - at)
+    return {"owner": owner, "first": first - borders[owner], "end": end - borders[owner], "one": one, "two": two}
+
+
+def _met_passages(found: dict[str, np.ndarray]) -> tuple[tuple[np.ndarray, ...], np.ndarray, np.ndarray]:
+    """Ranges (text, first byte, end) of passages that occur twice in these texts; one place of each
+    different passage; and whether these occur twice."""
+    order = np.lexsort((found["two"], found["one"]))
+    one, two = found["one"][order], found["two"][order]
+    new = np.ones(len(order), bool)
+    new[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
+    at = np.flatnonzero(new)
+    many = np.diff(np.append(at, len(order)))
+    again = np.empty(len(order), bool)
+    again[order] = np.repeat(many > 1, many)
+    owner, first, end = (found[x][again] for x in ("owner", "first", "end"))
+    apart = np.ones(len(owner), bool)
+    apart[1:] = (owner[1:] != owner[:-1]) | (first[1:] > end[:-1])
+    begin = np.flatnonzero(apart)
+    last = np.append(begin[1:], len(owner)) - 1 if len(begin) else begin
+    return (owner[begin], first[begin], end[last]), order[at], many > 1
+
+
+def find_passages(documents: DataFrame, words: int, window: int) -> DataFrame:
+    """``doc_id, _row, first, end``: byte ranges that repeated passages of ``words`` words cover, of those
+    that are shorter than ``window`` bytes. Longer ones are covered by repeated windows.
+
+    A task settles those that it has twice, and sends one of each different passage.
+    """
+    kind = documents.schema["doc_id"].dataType.simpleString()
+
+    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b in slices(batch, "text", 1 << 19):
+                part = batch.slice(a, b - a)
+                found = short_passages(part.column("text").to_pylist(), words, window)
+                if not len(found["owner"]):
+                    continue
+                ranges, sent, known = _met_passages(found)
+                owner, first, end = (
+                    np.concatenate([x, found[name][sent]]) for x, name in zip(ranges, ("owner", "first", "end"), strict=True)
+                )
+                none = np.arange(len(owner)) < len(ranges[0])
+                pad = np.zeros(len(ranges[0]), np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("doc_id").take(pa.array(owner)),
+                        part.column("_row").take(pa.array(owner)),
+                        pa.array(first, pa.int64()),
+                        pa.array(end, pa.int64()),
+                        *[pa.array(np.concatenate([pad, signed(found[x])[sent]]), mask=none) for x in ("one", "two")],
+                        pa.array(np.concatenate([pad > 0, known])),
+                    ],
+                    ["doc_id", "_row", "first", "end", "one", "two", "known"],
+                )
+
+    rows = stored(
+        documents.mapInArrow(cut, f"doc_id {kind}, _row long, first long, end long, one long, two long, known boolean"), "passages"
+    )
+    sent = rows.where("one is not null")
+    common = stored(
+        sent.groupBy("one", "two").agg(F.count("*").alias("n")).where("n > 1").select(F.col("one").alias("_one"), F.col("two").alias("_two")),
+        "common-passages",
+    )
+    across = sent.where("not known").join(common, (F.col("one") == F.col("_one")) & (F.col("two") == F.col("_two")))
+    names = ["doc_id", "_row", "first", "end"]
+    return rows.where("one is null").select(*names).unionByName(across.select(*names))
+
+
 def _run_texts(documents: DataFrame, chosen: DataFrame, window: int, kind: str) -> DataFrame:
     """Adds the text of each chosen run, from its document."""
     runs = chosen.groupBy("_doc", "_key").agg(
@@ -461,21 +557,28 @@ def deduplicate(table: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, sh
     return _removed(documents_of(table), window, anchor, shard_runs).drop("kept")
 
 
-def without_repeats(table: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, shard_runs: int = SHARD_RUNS) -> DataFrame:
+def without_repeats(
+    table: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, shard_runs: int = SHARD_RUNS, words: int | None = None
+) -> DataFrame:
     """The rows of ``table`` with all columns, ``text`` without its repeated bytes.
 
+    With ``words``, a repeated passage of so many words (parted by ASCII white space) goes too if it
+    is shorter than a window.
     What is left of a character that a removed range cuts goes too. ``n_chars`` is counted anew if
     it is there. Null text stays null.
     """
-    found = _removed(documents_of(table, carry=True), window, anchor, shard_runs)
+    found = _removed(documents_of(table, carry=True), window, anchor, shard_runs, words)
     there = ~F.col("_carried._no_text")
     return restored(
         found, table.columns, text=F.when(there, F.col("kept")), n_chars=F.when(there, F.length("kept").cast("long"))
     )
 
 
-def _removed(documents: DataFrame, window: int, anchor: int, shard_runs: int) -> DataFrame:
-    spans = find_spans(documents.select("doc_id", "text", "_row"), window, anchor, shard_runs)
+def _removed(documents: DataFrame, window: int, anchor: int, shard_runs: int, words: int | None = None) -> DataFrame:
+    plain = documents.select("doc_id", "text", "_row")
+    spans = find_spans(plain, window, anchor, shard_runs)
+    if words:
+        spans = spans.unionByName(find_passages(plain, words, window))
     by_document = stored(
         spans.groupBy("doc_id", "_row").agg(F.collect_set(F.struct("first", "end")).alias("spans")), "spans"
     ).select(F.col("doc_id").alias("_doc"), F.col("_row").alias("_key"), "spans")

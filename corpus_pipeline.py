@@ -8,8 +8,9 @@ from cartulary.llm import decontamination, jaccard, language, packing, suffixes
 from cartulary.llm.common import package_on_workers, stored
 
 TOKENIZER = "word_bpe_49k.json"
-#: Bytes of a repeated string: passages of over fifty words are longer.
+#: Bytes of a repeated string; words of a repeated passage that may have fewer bytes.
 REPEATED_BYTES = 240
+REPEATED_WORDS = 51
 ANCHOR_BYTES = 48
 
 
@@ -26,9 +27,9 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def remove_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the bytes that long repeated strings cover."""
+    """Texts without the bytes that long repeated strings cover, or repeated passages of over fifty words."""
     package_on_workers(spark)
-    return suffixes.without_repeats(docs, window=REPEATED_BYTES, anchor=ANCHOR_BYTES)
+    return suffixes.without_repeats(docs, window=REPEATED_BYTES, anchor=ANCHOR_BYTES, words=REPEATED_WORDS)
 
 
 def remove_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -92,6 +92,16 @@ def test_pipeline_equals_its_stages_in_plain_python(spark, folder):
     assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in packed) == expected
 
 
+def test_repeated_passage_of_short_words(spark):
+    draw = np.random.default_rng(31)
+    passage = " ".join("".join(draw.choice(list("abcdefgh"), 1 + k % 3)) for k in range(51))
+    assert len(passage) < corpus_pipeline.REPEATED_BYTES
+    rows = [(k, " ".join(f"own{k}word{n}" for n in range(60)) + f" before{k} {passage} after{k}") for k in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = corpus_pipeline.remove_repeated_strings(spark, docs, "").collect()
+    assert {r.doc_id: r.text for r in left} == {k: t.replace(passage, "") for k, t in rows}
+
+
 def test_pipeline_of_no_documents(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")

@@ -173,6 +173,42 @@ def test_text_without_repeats_keeps_columns(awkward):
     assert texts[11] == "one-word"
 
 
+def cut_passages(texts, words, window):
+    """Texts without repeated passages of so many words that are shorter than a window."""
+    raw = [t.encode() for t in texts]
+    places = {}
+    for k, x in enumerate(raw):
+        found = [m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", x)]
+        for (first, _), (_, end) in zip(found, found[words - 1 :], strict=False):
+            if end - first < window:
+                places.setdefault(x[first:end], []).append((k, first, end))
+    keep = [np.ones(len(x), bool) for x in raw]
+    for at in places.values():
+        for k, first, end in at if len(at) > 1 else ():
+            keep[k][first:end] = False
+    return [bytes(b for b, stays in zip(x, own, strict=True) if stays).decode("utf-8", "ignore") for x, own in zip(raw, keep, strict=True)]
+
+
+def test_passages_of_short_words(spark, monkeypatch):
+    draw = np.random.default_rng(14)
+    short = ["".join(draw.choice(list("abcdefgh"), int(draw.integers(1, 4)))) for _ in range(400)]
+    passage = " ".join(short[:51])
+    assert len(passage) < 240
+    texts = [f"{' '.join(draw.choice(short, 30))} {passage} {' '.join(draw.choice(short, 30))}" for _ in range(4)]
+    texts += ["lone " + " ".join(short[200:260]), " ".join(short[:50]), "a " * 700, "", " \n ", "é\tü " * 40, passage.replace(" ", "\n")]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    wide = 10_000  # so that only passages go
+    for parts in (1, 11):
+        found = suffixes.without_repeats(table.repartition(parts), wide, 48, words=51)
+        expected = cut_passages(texts, 51, wide)
+        assert passage not in " ".join(expected)
+        assert {r.doc_id: r.text for r in found.collect()} == dict(enumerate(expected))
+    whole = suffixes.short_passages(texts, 51, wide)
+    monkeypatch.setattr(suffixes, "STRETCH", 64)
+    again = suffixes.short_passages(texts, 51, wide)
+    assert all((whole[x] == again[x]).all() for x in whole)
+
+
 # Similarity
 
 
