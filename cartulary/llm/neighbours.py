@@ -14,6 +14,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -129,14 +130,17 @@ def usable(table: DataFrame) -> DataFrame:
 
 
 def fit(vectors: DataFrame, sample: int = SAMPLE, parts: int = PARTS, seed: int = 0) -> Router | None:
-    """The router, learned on at most ``sample`` different vectors; none if there are too few for parts."""
-    total = vectors.count()
-    drawn = vectors.select("embedding").where(
+    """The router, learned on at most ``sample`` different vectors of the most frequent length (of
+    equally frequent ones the smallest); none if there are too few for parts."""
+    lengths = vectors.groupBy(F.size("embedding").alias("long")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "long").take(1)
+    if not lengths:
+        return None
+    total = lengths[0]["n"]
+    drawn = vectors.select("embedding").where(F.size("embedding") == lengths[0]["long"]).where(
         F.pmod(F.xxhash64("embedding", "vec_id"), F.lit(1 << 20)) < (1 << 20) * min(1.0, 2 * sample / max(total, 1))
     )
     rows = drawn.orderBy(F.xxhash64("embedding")).limit(2 * sample).collect()
-    lengths = {len(r["embedding"]) for r in rows}
-    if len(lengths) != 1:
+    if not rows:
         return None
     known = np.unique(np.array([r["embedding"] for r in rows]), axis=0)
     if len(known) > sample:
@@ -152,20 +156,27 @@ def fit(vectors: DataFrame, sample: int = SAMPLE, parts: int = PARTS, seed: int
 
 
 def _routed(vectors: DataFrame, router: Router | None, probes: int, mass: float, id_name: str) -> DataFrame:
-    """Adds ``part``: the most probable one, or for queries one row for each that it is sent to."""
+    """Adds ``part``: the most probable one, or for queries one row for each that it is sent to.
+
+    Vectors of another length than the router's are in a part of their own length.
+    """
     kind = vectors.schema["vec_id"].dataType.simpleString()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, parts = np.arange(len(batch)), np.zeros(len(batch), np.int64)
             if router and len(batch):
-                column = batch.column("embedding")
-                chance = router.probabilities(column.flatten().to_numpy(zero_copy_only=False).reshape(len(batch), -1))
+                long = np.asarray(pc.list_value_length(batch.column("embedding")))
+                fits = np.flatnonzero(long == len(router.middle))
+                others = np.flatnonzero(long != len(router.middle))
+                column = batch.column("embedding").take(pa.array(fits))
+                chance = router.probabilities(column.flatten().to_numpy(zero_copy_only=False).reshape(len(fits), len(router.middle)))
                 order = np.argsort(-chance, axis=1)
                 before = np.cumsum(np.take_along_axis(chance, order, 1), 1) - np.take_along_axis(chance, order, 1)
                 sent = (np.arange(order.shape[1]) < probes) | ((before < mass) & (probes > 1))
                 rows, place = np.nonzero(sent)
-                parts = order[rows, place]
+                parts = np.concatenate([order[rows, place], -1 - long[others].astype(np.int64)])
+                rows = np.concatenate([fits[rows], others])
             at = pa.array(rows)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("vec_id").take(at), batch.column("embedding").take(at), pa.array(parts, pa.int64())], names
@@ -184,8 +195,8 @@ def search(
     ``table`` and ``queries`` have ``vec_id`` and ``embedding``. Vectors without id, null, zero, or that
     hold null or non-finite components take no part; a query's own id is no candidate. Equal
     distances: smaller id first. Rows that repeat an id and vector count once. Without a router
-    (too few vectors for parts, or vectors of different lengths) all vectors are one part; those
-    of another length than the query are never near it. Other columns are ignored; empty tables
+    (too few vectors for parts) all vectors are one part; with one, those of another length than
+    its own are parts by length. Vectors of another length than the query are never near it. Other columns are ignored; empty tables
     give no rows.
     """
     vectors = _routed(usable(table).distinct(), router, 1, 0.0, "vec_id")
@@ -193,7 +204,7 @@ def search(
     asked = stored(_routed(usable(queries).distinct(), router, probes, mass, "query_id"), "queries")
     # A part is compared in blocks, so that one that very many vectors are in is dealt over tasks.
     counts = stored(vectors.groupBy("part").agg(F.ceil(F.count("*") / block).alias("blocks")), "parts")
-    blocks = F.broadcast(counts.select(F.col("part").alias("_part"), "blocks"))  # a row for each part
+    blocks = F.broadcast(counts.select(F.col("part").alias("_part"), "blocks"))  # a row for each part, and for each other length
     held = vectors.join(blocks, F.col("part") == F.col("_part")).select(
         "part", F.pmod(F.xxhash64("vec_id", "embedding"), F.col("blocks")).alias("block"), F.lit(None).cast(
             vectors.schema["vec_id"].dataType

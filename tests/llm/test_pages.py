@@ -189,6 +189,22 @@ def test_awkward_vectors(spark):
     assert neighbours.search(spark, table.limit(0), table).count() == neighbours.search(spark, table, table.limit(0)).count() == 0
 
 
+def test_a_few_vectors_of_other_lengths(spark):
+    draw = np.random.default_rng(2)
+    rows = [(k, draw.normal(0, 1, 8).tolist()) for k in range(1500)]
+    rows += [(2000 + k, draw.normal(0, 1, 6 if k % 2 else 10).tolist()) for k in range(24)]  # 8 on average
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    router = neighbours.fit(neighbours.usable(table), sample=400, parts=12)
+    assert router
+    queries = [r for r in rows if r[0] % 100 == 0 or r[0] >= 2000]
+    asked = table.where("vec_id % 100 = 0 or vec_id >= 2000").coalesce(1)
+    found = {}
+    for r in neighbours.search(spark, table, asked, router=router, probes=12).collect():
+        found.setdefault(r.query_id, []).append((r.rank, r.vec_id))
+    truth = exact(rows, queries)
+    assert {q: [v for _, v in sorted(x)] for q, x in found.items()} == {q: [v for _, v in x] for q, x in truth.items()}
+
+
 def test_parts_are_balanced():
     draw = np.random.default_rng(4)
     vectors = draw.normal(0, 1, (1000, 8))
