@@ -154,8 +154,29 @@ def _by_bucket(bucket: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarr
             yield k, order[a:b]
 
 
+def _shared(entries: list[np.ndarray], classes: int) -> np.ndarray:
+    """How many n-grams of each class another one has too, or more: entries are 32 bits of an n-gram
+    and the class, a list from each task, and a class comes from every task that has copies of it.
+
+    N-grams of a class that these bits don't tell apart all count, as they may all be shared.
+    """
+    merged = np.zeros(classes, np.int64)
+    for own in entries:
+        own.sort()
+        twice = own[1:][own[1:] == own[:-1]] & np.uint64(0xFFFFFFFF)
+        if len(twice):
+            found, many = np.unique(twice.astype(np.int64), return_counts=True)
+            merged[found] = np.maximum(merged[found], many)
+    every = np.unique(np.concatenate(entries))
+    gram = every >> np.uint64(32)
+    alike = np.zeros(len(gram), bool)
+    alike[1:] = gram[1:] == gram[:-1]
+    alike[:-1] |= alike[1:].copy()
+    return merged + np.bincount((every[alike] & np.uint64(0xFFFFFFFF)).astype(np.int64), minlength=classes)
+
+
 def shared_counts(documents: DataFrame, words: int, buckets: int) -> DataFrame:
-    """``class, shared``: how many of a class's n-grams some other class has too, at least.
+    """``class, shared``: how many of a class's n-grams some other class has too, or more.
 
     Tasks send the entries of the incidence matrix packed by blocks of columns. An n-gram is told by
     its block and 32 bits more; taking two for one can only make a count larger.
@@ -199,12 +220,7 @@ def shared_counts(documents: DataFrame, words: int, buckets: int) -> DataFrame:
                 np.frombuffer(g, np.uint32).astype(np.uint64) << np.uint64(32) | place[first + np.frombuffer(h, np.uint16).astype(np.int64)].astype(np.uint64)
                 for g, h, first in zip(rows["grams"], rows["holder"], borders.tolist(), strict=False)
             ]
-            entries = np.unique(np.concatenate(entries))  # a class comes from every task that has copies of it
-            gram = entries >> np.uint64(32)
-            alike = np.zeros(len(gram), bool)
-            alike[1:] = gram[1:] == gram[:-1]
-            alike[:-1] |= alike[1:].copy()
-            many = np.bincount((entries[alike] & np.uint64(0xFFFFFFFF)).astype(np.int64), minlength=len(classes))
+            many = _shared(entries, len(classes))
             yield pa.RecordBatch.from_arrays([pa.array(classes[many > 0]), pa.array(many[many > 0].astype(np.int64))], ["class", "shared"])
 
     packed = documents.mapInArrow(cut, "bucket int, grams binary, holder binary, classes binary")

@@ -283,6 +283,16 @@ def test_sets_with_an_equal_part_meet():
             assert set(parts.of(a).tolist()) & set(parts.of(b).tolist())
 
 
+def test_ngrams_taken_for_one_all_count():
+    def sent(*pairs):
+        return np.array([gram << 32 | owner for gram, owner in pairs], np.uint64)
+
+    # Class 0 has two n-grams whose bits are 5, as class 1 has; class 2 shares nothing; class 0 is sent twice.
+    first = [(5, 0), (7, 0), (5, 0)]
+    found = jaccard._shared([sent(*first, (9, 2)), sent((5, 1), (5, 1), (7, 1)), sent(*first)], 3)
+    assert found.tolist() == [3, 3, 0]
+
+
 def test_very_many_classes(spark):
     """More classes in a block than a task packs at once."""
     table = spark.range(70_000).selectExpr("id AS doc_id", "concat('a', id div 2, ' b', id div 2, ' c', id div 2, ' d', id) AS text")
