@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cartulary.llm import counting, decontamination, extraction, jaccard, language, neighbours, packing, suffixes, toxicity, warc
+from cartulary.llm import (
+    counting, decontamination, extraction, jaccard, language, licences, negatives, neighbours, packing, suffixes, toxicity, warc, whitening,
+)
 from cartulary.llm.common import package_on_workers
 
 
@@ -66,6 +69,20 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(spark, _read(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark, _read(spark, sf_dir, "embeddings"))
+
+
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(spark, _read(spark, sf_dir, "embeddings").withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+def op13_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licences.scan(_read(spark, sf_dir, "documents"))
+    return found.withColumn("n_spans", F.size("spans")).drop("spans")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_extraction": op1_extraction,
     "op2_neighbours": op2_neighbours,
@@ -77,9 +94,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard": op8_jaccard,
     "op9_decontamination": op9_decontamination,
     "op10_packing": op10_packing,
+    "op11_whitening": op11_whitening,
+    "op12_negatives": op12_negatives,
+    "op13_licences": op13_licences,
 }
 
 ORACLES: dict[str, str] = {
     "op7_warc": warc.ORACLE,
     "op9_decontamination": decontamination.ORACLE,
+    "op12_negatives": negatives.ORACLE,
 }
