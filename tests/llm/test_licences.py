@@ -102,7 +102,7 @@ def test_scan_of_awkward_rows(awkward, nothing):
 def test_scan_reports_places(spark):
     text = "Intro. Released under the MIT license; cc-by, CC BY NC. Again: the mit LICENSE"
     row = licences.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
-    assert (row.n_words, row.n_base, row.first_word, row.last_word) == (14, 4, 4, 12)
+    assert (row.n_words, row.n_base, row.first_word, row.last_word) == (15, 4, 4, 13)
     assert (row.base_labels, row.labels, row.score) == ("cc-by,mit", "cc-by,mit", 1.0)
     span = row.spans[0]
     assert (span.label, span.first_word, span.n_words, span.edits, span.text) == ("mit", 1, 5, 0, "released under the mit license")
