@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -99,6 +101,19 @@ def joined_bytes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(raw), np.uint8), borders
 
 
+def lean(run: Callable[[Iterable], Iterator]) -> Callable[[Iterable], Iterator]:
+    """A task's function that gives freed memory back at its end: workers are used again, and
+    keep what the allocator keeps."""
+
+    def task(batches: Iterable) -> Iterator:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # not on every system
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return task
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """Spreads every bit of 64-bit values over all bits (a bijection)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -124,7 +139,7 @@ class RangeHash:
     def _table(cls, size: int) -> tuple[np.ndarray, np.ndarray]:
         if not cls._powers or len(cls._powers[0][0]) < size:
             base = (int(mixed(np.array([1], np.uint64))[0]) << 3 | 5) % 2**64
-            size = 1 << max(20, size.bit_length())
+            size = 1 << max(18, size.bit_length())
             tables = []
             for factor in (base, pow(base, -1, 2**64)):
                 powers = np.full(size, factor, np.uint64)

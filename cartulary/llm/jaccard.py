@@ -1,8 +1,8 @@
 """Documents linked by the Jaccard similarity of their word n-grams, and the groups they form.
 
 Equal sets are one class from the start. Candidates are found without pairs, in two steps that lose
-no link. The incidence matrix is dealt over tasks by columns (n-grams), and a class in which too few
-n-grams are held by any other class is out: its overlaps cannot reach the bound of its size. The
+no link. A share of the incidence matrix's columns (n-grams) is dealt over tasks; a class with more
+n-grams there that no other class holds than a linked set may lack is out. The
 sets that are left are cut into one part more than two linked sets of their size can differ in
 elements, so linked sets have an equal part (for every size that a partner can have). Classes with
 equal parts form blocks; within a block, the product of its sparse incidence matrix (class by
@@ -16,46 +16,69 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartulary.llm.common import KeyFilter, RangeHash, byte_values, documents_of, is_empty, mixed, restored, signed, slices, stored
+from cartulary.llm.common import (
+    KeyFilter, RangeHash, byte_values, documents_of, is_empty, joined_bytes, lean, mixed, restored, signed, slices, stored,
+)
 from cartulary.llm.components import connected_components
 
 WORDS = 3
 PER_CENT = 90
 #: N-grams in one block of the matrix product at most (unless one document has more).
-BLOCK_NGRAMS = 4_000_000
-_FLUSH = 500_000
+BLOCK_NGRAMS = 1_000_000
+#: Columns that are looked at first, as a multiple of the share that a linked set may lack. Classes go
+#: that hold more than the first part of them alone; more columns cost more and rule out more.
+COLUMNS = 2.5
+#: Bytes of texts that are hashed at once.
+STRETCH = 1 << 18
+_FLUSH = 400_000
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
-def shingle_sets(texts: list[str], words: int = WORDS) -> list[np.ndarray]:
+def _word_hashes(raw: np.ndarray, stretch: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where words start and their hashes, from bytes worked on a stretch at a time."""
+    starts, hashes, begin = [], [], 0
+    while begin < len(raw):
+        end = min(begin + stretch, len(raw))
+        while end < len(raw):  # to the next white space: no word is cut
+            spaces = np.flatnonzero(_SPACE[raw[end : end + 4096]])
+            if len(spaces):
+                end += int(spaces[0])
+                break
+            end = min(end + 4096, len(raw))
+        part = raw[begin:end]
+        inside = np.concatenate([[False], ~_SPACE[part], [False]])
+        turns = np.flatnonzero(inside[1:] != inside[:-1])
+        starts.append(turns[::2] + begin)
+        hashes.append(RangeHash(byte_values(2)[_LOWER[part]]).of(turns[::2], turns[1::2]))
+        begin = end
+    return np.concatenate(starts), np.concatenate(hashes)
+
+
+def shingle_sets(texts: list[str], words: int = WORDS, stretch: int = STRETCH) -> list[np.ndarray]:
     """Each text's sorted set of 64-bit n-gram hashes.
 
     Words are what stands between ASCII white space, A-Z in lower case. A text with fewer words
-    than an n-gram has one element, its whole sequence; one without words has none.
+    than an n-gram has one element, its whole sequence; one without words has none. Beyond a
+    stretch of bytes, memory holds words and n-grams only.
     """
-    joined = b"".join(text.encode("utf-8", "surrogatepass") + b"\n" for text in texts)
-    if not joined:
+    raw, ends = joined_bytes([text + "\n" for text in texts])
+    if not len(raw):
         return []
-    raw = np.frombuffer(joined, np.uint8)
-    ends = np.cumsum([len(text.encode("utf-8", "surrogatepass")) + 1 for text in texts])
-    inside = np.concatenate([[False], ~_SPACE[raw], [False]])
-    turns = np.flatnonzero(inside[1:] != inside[:-1])
-    first, last = turns[::2], turns[1::2]
-    word = RangeHash(byte_values(2)[_LOWER[raw]]).of(first, last)
-    borders = np.concatenate([[0], np.searchsorted(first, ends)])
-    grams = np.zeros(max(0, len(word) - words + 1), np.uint64)
-    for k in range(words):
-        grams = mixed(grams + word[k : k + len(grams)])
+    first, word = _word_hashes(raw, stretch)
+    borders = np.searchsorted(first, ends)
     found = []
     for a, b in zip(borders[:-1].tolist(), borders[1:].tolist(), strict=True):
         if b - a >= words:
-            found.append(np.unique(grams[a : b - words + 1]))
+            grams = np.zeros(b - a - words + 1, np.uint64)
+            for k in range(words):
+                grams = mixed(grams + word[a + k : a + k + len(grams)])
+            found.append(np.unique(grams))
         else:
             one = np.zeros(min(1, b - a), np.uint64)
             for k in range(a, b):
@@ -126,8 +149,16 @@ def _per_text(batches: Iterable[pa.RecordBatch], words: int) -> Iterator[tuple[p
             yield part, shingle_sets(part.column("text").to_pylist(), words)
 
 
-def classes_of(documents: DataFrame, words: int = WORDS) -> DataFrame:
-    """``doc_id, _row, n_shingles, class`` (null without words) of each document."""
+def _first_columns(per_cent: int) -> np.uint64:
+    """N-grams with a smaller hash are the columns that are looked at first."""
+    share = min(1.0, COLUMNS * (100 - per_cent) / 100)
+    return np.uint64(min(int(share * 2.0**64), 2**64 - 1))
+
+
+def classes_of(documents: DataFrame, words: int = WORDS, per_cent: int = PER_CENT) -> DataFrame:
+    """``doc_id, _row, n_shingles, class`` (null without words) of each document, and of its n-grams
+    the number ``looked`` in the first columns."""
+    columns = _first_columns(per_cent)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, sets in _per_text(batches, words):
@@ -137,12 +168,13 @@ def classes_of(documents: DataFrame, words: int = WORDS) -> DataFrame:
                     part.column("_row"),
                     pa.array([len(x) for x in sets], pa.int64()),
                     pa.array([class_of(x) if len(x) else None for x in sets], pa.int64()),
+                    pa.array([int(np.searchsorted(x, columns)) for x in sets], pa.int64()),
                 ],
-                ["doc_id", "_row", "n_shingles", "class"],
+                ["doc_id", "_row", "n_shingles", "class", "looked"],
             )
 
     kind = documents.schema["doc_id"].dataType.simpleString()
-    return documents.mapInArrow(run, f"doc_id {kind}, _row long, n_shingles long, class long")
+    return documents.mapInArrow(lean(run), f"doc_id {kind}, _row long, n_shingles long, class long, looked long")
 
 
 def _by_bucket(bucket: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -175,13 +207,16 @@ def _shared(entries: list[np.ndarray], classes: int) -> np.ndarray:
     return merged + np.bincount((every[alike] & np.uint64(0xFFFFFFFF)).astype(np.int64), minlength=classes)
 
 
-def shared_counts(documents: DataFrame, words: int, buckets: int) -> DataFrame:
-    """``class, shared``: how many of a class's n-grams some other class has too, or more.
+def shared_counts(documents: DataFrame, words: int, per_cent: int, buckets: int, class_buckets: int) -> DataFrame:
+    """``class, shared``: how many of a class's n-grams in the first columns some other class has too, or more.
 
     Tasks send the entries of the incidence matrix packed by blocks of columns. An n-gram is told by
-    its block and 32 bits more; taking two for one can only make a count larger.
+    its block and 32 bits more; taking two for one can only make a count larger. Counts of a block
+    travel packed too, by buckets of classes, where they are added up.
     """
     names, kinds = ["bucket", "grams", "holder", "classes"], [pa.int32(), *[pa.binary()] * 3]
+    columns = _first_columns(per_cent)
+    wide = np.uint64((int(columns) >> 33) + 1)
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[int, int] = {}
@@ -192,7 +227,7 @@ def shared_counts(documents: DataFrame, words: int, buckets: int) -> DataFrame:
             holder = np.repeat(np.arange(len(held)), [len(x) for x in held]).astype(np.uint16)
             classes = np.fromiter(seen, np.int64, len(seen))
             rows = []
-            for k, at in _by_bucket(((grams >> np.uint64(33)) * np.uint64(buckets) >> np.uint64(31)).astype(np.int32), buckets):
+            for k, at in _by_bucket(((grams >> np.uint64(33)) * np.uint64(buckets) // wide).astype(np.int32), buckets):
                 own, place = np.unique(holder[at], return_inverse=True)
                 rows.append((k, grams[at].astype(np.uint32).tobytes(), place.astype(np.uint16).tobytes(), classes[own].tobytes()))
             return pa.RecordBatch.from_arrays([pa.array([r[n] for r in rows], t) for n, t in enumerate(kinds)], names)
@@ -200,11 +235,12 @@ def shared_counts(documents: DataFrame, words: int, buckets: int) -> DataFrame:
         size = 0
         for _, sets in _per_text(batches, words):
             for grams in sets:
-                if not len(grams) or (node := class_of(grams)) in seen:
+                first = grams[: np.searchsorted(grams, columns)]
+                if not len(first) or (node := class_of(grams)) in seen:
                     continue
                 seen[node] = len(held)
-                held.append(grams)
-                size += len(grams)
+                held.append(first.copy())
+                size += len(first)
                 if size > 2 * _FLUSH or len(held) > 65_000:
                     yield flush()
                     seen, held, size = {}, [], 0
@@ -221,12 +257,36 @@ def shared_counts(documents: DataFrame, words: int, buckets: int) -> DataFrame:
                 for g, h, first in zip(rows["grams"], rows["holder"], borders.tolist(), strict=False)
             ]
             many = _shared(entries, len(classes))
-            yield pa.RecordBatch.from_arrays([pa.array(classes[many > 0]), pa.array(many[many > 0].astype(np.int64))], ["class", "shared"])
+            classes, many = classes[many > 0], many[many > 0].astype(np.int32)
+            found = [
+                (k, classes[at].tobytes(), many[at].tobytes())
+                for k, at in _by_bucket(mixed(classes.view(np.uint64)) % np.uint64(class_buckets), class_buckets)
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[n] for r in found], t) for n, t in enumerate((pa.int32(), pa.binary(), pa.binary()))],
+                ["of", "classes", "shared"],
+            )
+
+    def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, classes, many = None, np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for batch in batches:
+            columns = batch.to_pydict()
+            for of, names, counts in zip(columns["of"], columns["classes"], columns["shared"], strict=True):
+                if of != now:
+                    yield _counted(classes, many)
+                    now, classes, many = of, np.zeros(0, np.int64), np.zeros(0, np.int64)
+                classes, place = np.unique(np.concatenate([classes, np.frombuffer(names, np.int64)]), return_inverse=True)
+                each = np.concatenate([many, np.frombuffer(counts, np.int32)])
+                many = np.bincount(place, each, len(classes)).astype(np.int64)
+        yield _counted(classes, many)
+
+    packed = documents.mapInArrow(lean(cut), "bucket int, grams binary, holder binary, classes binary")
+    met = packed.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(lean(meet), "of int, classes binary, shared binary")
+    return met.repartition(class_buckets, "of").sortWithinPartitions("of").mapInArrow(lean(add), "class long, shared long")
+
 
-    packed = documents.mapInArrow(cut, "bucket int, grams binary, holder binary, classes binary")
-    return packed.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(meet, "class long, shared long").groupBy(
-        "class"
-    ).agg(F.sum("shared").alias("shared"))
+def _counted(classes: np.ndarray, many: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(classes), pa.array(many)], ["class", "shared"])
 
 
 def _documents_of_classes(documents: DataFrame, classes: DataFrame, name: str) -> DataFrame:
@@ -297,8 +357,8 @@ def candidate_edges(documents: DataFrame, words: int, per_cent: int, buckets: in
             _, _, c, d = _stars(keys, nodes)
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([a, c])), pa.array(np.concatenate([b, d]))], ["a", "b"])
 
-    cut_up = documents.mapInArrow(cut, schema)
-    return cut_up.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(meet, "a long, b long")
+    cut_up = documents.mapInArrow(lean(cut), schema)
+    return cut_up.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(lean(meet), "a long, b long")
 
 
 def _runs(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[dict[str, list]]:
@@ -377,7 +437,7 @@ def _blocks(rows: DataFrame, keys: list[str], edges_of: Callable[[dict[str, list
             )
 
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(parts, *keys).sortWithinPartitions(*keys).mapInArrow(run, "a long, b long")
+    return rows.repartition(parts, *keys).sortWithinPartitions(*keys).mapInArrow(lean(run), "a long, b long")
 
 
 def _sets(block: dict[str, list]) -> list[np.ndarray]:
@@ -424,18 +484,22 @@ def keep_one(
 
 
 def _grouped(spark: SparkSession, documents: DataFrame, words: int, per_cent: int, block_ngrams: int) -> DataFrame:
-    nodes = stored(classes_of(documents, words), "nodes")
+    nodes = stored(classes_of(documents, words, per_cent), "nodes")
     classes = stored(
         nodes.where("class is not null").groupBy("class").agg(
             F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")).alias("first"),
-            F.max("n_shingles").alias("size"),
-        ).select("class", F.col("first.doc_id").alias("doc_id"), F.col("first._row").alias("_row"), "size"),
+            F.max("n_shingles").alias("size"), F.max("looked").alias("looked"),
+        ).select("class", F.col("first.doc_id").alias("doc_id"), F.col("first._row").alias("_row"), "size", "looked"),
         "classes",
     )
+    looked = _buckets(spark, classes, "looked")
+    shared = shared_counts(documents, words, per_cent, looked, _buckets(spark, classes, F.lit(1)))
+    # N-grams that no other class has are more than a linked set may lack, or else the class stays.
+    alone = F.col("looked") - F.coalesce("shared", F.lit(0))
     able = stored(
-        shared_counts(documents, words, _buckets(spark, classes)).withColumnRenamed("class", "_class").join(
-            classes, F.col("class") == F.col("_class")
-        ).where(F.col("shared") * 100 >= F.col("size") * per_cent).select(*classes.columns),
+        classes.join(shared.withColumnRenamed("class", "_class"), F.col("class") == F.col("_class"), "left").where(
+            alone * 100 <= F.col("size") * (100 - per_cent)
+        ).select(*classes.columns),
         "able",
     )
     chosen = _documents_of_classes(documents, able, "able-keys").select("doc_id", "_row", "text")
@@ -463,9 +527,9 @@ def _grouped(spark: SparkSession, documents: DataFrame, words: int, per_cent: in
     )
 
 
-def _buckets(spark: SparkSession, classes: DataFrame) -> int:
-    """Into how many blocks of a task's memory the n-grams of these classes go."""
-    total = classes.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+def _buckets(spark: SparkSession, classes: DataFrame, weight: str | Column = "size") -> int:
+    """Into how many blocks of a task's memory so much of these classes goes."""
+    total = classes.agg(F.coalesce(F.sum(weight), F.lit(0))).first()[0]
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / (2 * _FLUSH)))
 
 
@@ -491,7 +555,7 @@ def _verified(
 
     # A row that is in the table several times gives the same class as often; one is enough.
     rows = chosen.select("root", "class", "chunks", "centre", "text").mapInArrow(
-        grams, "root long, class long, chunks long, centre long, size long, grams binary"
+        lean(grams), "root long, class long, chunks long, centre long, size long, grams binary"
     )
     rows = stored(rows, "incidence")
 

@@ -253,6 +253,26 @@ def test_links_lose_nothing(spark, block):
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in found) == groups(texts, 3, 90)
 
 
+def test_first_columns_rule_out_most_and_lose_no_partner(spark):
+    draw = np.random.default_rng(13)
+    texts = [" ".join(draw.choice(5000, 150).astype(str)) for _ in range(60)]
+    texts += [text.rsplit(" ", 4)[0] for text in texts[:20]]  # linked with the first 20
+    documents = documents_of(spark.createDataFrame([*enumerate(texts)], "doc_id long, text string"))
+    rows = {r["class"]: r for r in jaccard.classes_of(documents).collect()}
+    shared = {r["class"]: r.shared for r in jaccard.shared_counts(documents, 3, 90, 5, 3).collect()}
+    able = {r.doc_id for c, r in rows.items() if (r.looked - shared.get(c, 0)) * 100 <= r.n_shingles * 10}
+    assert able == {*range(20), *range(60, 80)}
+    assert sum(r.looked for r in rows.values()) < 0.3 * sum(r.n_shingles for r in rows.values())
+
+
+@pytest.mark.parametrize("stretch", [1, 7, 5000])
+def test_long_texts_are_hashed_in_stretches(stretch):
+    long = " ".join(f"word{k * 7919 % 10007} filler{k % 13}" for k in range(3000))
+    texts = ["", "one two", long, " \t", "x" * 9000 + " y z x y z", "Ünï cödé " * 40, long[:333]]
+    for ours, whole in zip(jaccard.shingle_sets(texts, 3, stretch), jaccard.shingle_sets(texts), strict=True):
+        assert (ours == whole).all()
+
+
 def test_links_of_awkward_rows(spark, awkward, nothing):
     found = jaccard.links(spark, awkward).collect()
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in found) == groups(plain(awkward), 3, 90)
@@ -296,7 +316,7 @@ def test_ngrams_taken_for_one_all_count():
 def test_very_many_classes(spark):
     """More classes in a block than a task packs at once."""
     table = spark.range(70_000).selectExpr("id AS doc_id", "concat('a', id div 2, ' b', id div 2, ' c', id div 2, ' d', id) AS text")
-    found = jaccard.shared_counts(documents_of(table.coalesce(1)), 3, 1)
+    found = jaccard.shared_counts(documents_of(table.coalesce(1)), 3, 50, 1, 2)  # all columns
     assert found.count() == 70_000 and found.where("shared < 1").count() == 0
     assert found.where("shared > 1").count() < 20  # 32 bits tell n-grams of a block apart
 
