@@ -24,10 +24,14 @@ _OPTIONS = {
 # The root elements of the dialects.
 ROOTS = {"iso": "MD_Metadata", "fgdc": "metadata"}
 
-#: What may stand around a root element.
-_MISC = r"(?:\s|<!--.*?-->|<\?.*?\?>)*"
+#: Comments, processing instructions and character data; of what is never closed, and of character
+#: data, the opening mark stays (groups 1 and 2), so that it still counts as content.
+_ASIDE = r"(?s)<!--.*?-->|<\?.*?\?>|(<!\[CDATA\[).*?\]\]>|(<!--|<\?|<!\[CDATA\[).*+\z"
+#: White space of XML, and how much of a text's end is looked at before all of it is.
+_BLANK = " \t\r\n"
+_END = 256
 _ROOT_NAME = (
-    r"(?s)\A\s*(?:<\?.*?\?>\s*|<!--.*?-->\s*|<!DOCTYPE[^\[>]*(?:\[.*?\]\s*)?>\s*)*+<(?:[^\s<>/:]+:)?([^\s<>/:]+)"
+    r"(?s)\A\s*+(?:<\?.*?\?>\s*+|<!--.*?-->\s*+|<!DOCTYPE[^\[>]*+(?:\[.*?\]\s*+)?>\s*+)*+<(?:[^\s<>/:]+:)?([^\s<>/:!?][^\s<>/:]*)"
 )
 
 
@@ -82,19 +86,33 @@ def read_documents(spark: SparkSession, path: str, dialect: str) -> DataFrame:
     return as_documents(files, dialect, path)
 
 
+def _occurrences(value: Column, part: str) -> Column:
+    """How often a literal stands in a text, without a pattern."""
+    return (F.length(value) - F.length(F.replace(value, F.lit(part), F.lit("")))) / len(part)
+
+
 def _outer(value: Column, dialect: str) -> Column:
-    """Why a text is no single document of the dialect: ``wrong_dialect``, ``malformed_xml``, or null."""
+    """Why a text is no single document of the dialect: ``wrong_dialect``, ``malformed_xml``, or null.
+
+    A plain document ends with its root's end tag and has one: that is seen at its end and by
+    counting literals. Only others lose their comments, instructions and character data in one pass
+    and are looked at as a whole. No pattern goes back over what it has read, so the time is linear
+    whatever stands around the root.
+    """
     root = ROOTS[dialect]
     closing = rf"</(?:[^\s<>/:]+:)?{root}\s*>"
-    whole = value.rlike(rf"(?s){closing}{_MISC}\z") | value.rlike(
-        rf"(?s)<(?:[^\s<>/:]+:)?{root}(?:\s[^<>]*)?/>{_MISC}\z"
+    end = F.rtrim(value, F.lit(_BLANK))
+    bare_name, prefixed = _occurrences(value, f"/{root}"), _occurrences(value, f":{root}")
+    plain = F.right(end, F.lit(_END)).rlike(rf"{closing}\z") & (
+        ((bare_name <= 1) & (prefixed == 0)) | ((bare_name == 0) & (prefixed <= 2))
     )
-    # A second end tag is none if it stands in a comment or in character data.
-    bare = F.regexp_replace(value, r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>", "")
-    twice = F.when(F.regexp_count(value, F.lit(closing)) > 1, F.regexp_count(bare, F.lit(closing)) > 1).otherwise(F.lit(False))
+    rest = F.rtrim(F.regexp_replace(value, _ASIDE, "$1$2"), F.lit(_BLANK))
+    ends = F.regexp_count(rest, F.lit(closing))
+    alone = rest.rlike(rf"<(?:[^\s<>/:]+:)?{root}(?:\s[^<>]*+)?/>\z") & (ends == 0)
+    whole = F.when(plain, F.lit(True)).otherwise((rest.rlike(rf"{closing}\z") & (ends == 1)) | alone)
     name = F.regexp_extract(value, _ROOT_NAME, 1)
     return F.when((name != "") & (name != root), F.lit("wrong_dialect")).when(
-        value.isNull() | (name == "") | ~whole | twice, F.lit("malformed_xml")
+        value.isNull() | (name == "") | ~whole, F.lit("malformed_xml")
     )
 
 

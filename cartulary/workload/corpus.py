@@ -315,6 +315,8 @@ TEMPLATES = {"iso": ISO_TEMPLATE, "fgdc": FGDC_TEMPLATE}
 
 # Faulty documents: which rows have one (by remainder of their id by 20), and its text.
 FAULTY_EVERY = 20
+# Which good rows have very much around their root.
+SURROUNDED_EVERY = 5000
 FAULTS = {
     "cut": (0, "<${root}><title>${text}"),
     "trailing": (7, "<${root}><title>${text}</title></${root}>\n<more/>"),
@@ -327,12 +329,20 @@ def fault_template(kind: str, dialect: str) -> str:
     return FAULTS[kind][1].replace("${root}", ROOTS[dialect])
 
 
+def _surrounded(value: Column) -> Column:
+    """Some documents with a megabyte of blanks and 20,000 comments before and behind their root."""
+    around = F.concat(F.repeat(F.lit(" \n"), 500_000), F.repeat(F.lit("<!-- a note -->\n"), 20_000))
+    head = F.regexp_extract(value, r"\A(?:<\?[^>]*\?>)?", 0)
+    body = F.substring(value, F.length(head) + 1, F.length(value))
+    return F.when(F.expr(f"doc_id % {SURROUNDED_EVERY} = 3"), F.concat(head, around, body, around)).otherwise(value)
+
+
 def corpus(spark: SparkSession, sf_dir: str, dialect: str) -> DataFrame:
     """``(file_name, value)`` for every document, and the faulty ones beside them."""
     table = documents(spark, sf_dir)
     found = shape(table).select(
         F.expr(f"record_id || '_{dialect}.xml'").alias("file_name"),
-        _fill(TEMPLATES[dialect]).alias("value"),
+        _surrounded(_fill(TEMPLATES[dialect])).alias("value"),
     )
     for kind, (remainder, _) in FAULTS.items():
         faulty = table.where(F.col("doc_id") % FAULTY_EVERY == remainder).select(

@@ -1,5 +1,7 @@
 """Whole documents of both dialects, expected values derived by hand."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -226,6 +228,38 @@ def test_what_stands_around_a_document(spark):
     assert [rows[str(i)].revised for i in range(8)] == ["2021"] * 3 + [None] * 4 + ["2021"]
 
 
+AROUND = [" \n" * 2_500_000, "<!-- a note -->\n" * 20_000, "<?a step?>" * 20_000, "\n" * 2_000, "<!--" + "x" * 5_000_000 + "-->"]
+
+
+@pytest.mark.parametrize("dialect", ["iso", "fgdc"])
+def test_much_white_space_and_many_comments_around_the_root(spark, dialect):
+    """Five million characters before, behind and on both sides of a root: good records, in linear time."""
+    text = getattr(made, dialect)()
+    declared = text.startswith("<?xml")
+    head, body = (text[: text.index("?>") + 2], text[text.index("?>") + 2 :]) if declared else ("", text)
+    texts = [text] + [t for around in AROUND for t in (head + around + body, text + around, head + around + body + around)]
+    rows = [(str(i), t) for i, t in enumerate(texts)]
+    table = spark.createDataFrame(rows, "record_id string, value string").withColumn("file_name", F.col("record_id")).repartition(4)
+    started = time.monotonic()
+    found = {r.record_id: (r.problem, r.document) for r in sources.parse(table, dialect, ("title",)).collect()}
+    assert time.monotonic() - started < 60
+    assert [found[str(i)] for i in range(len(texts))] == [(None, found["0"][1])] * len(texts)
+
+
+def test_hostile_texts_are_set_aside_in_linear_time(spark):
+    good = "<metadata><idinfo/></metadata>"
+    texts = [
+        "<!--" * 300_000, good + "<!--" * 300_000, good + "</metadata>" * 100_000, "<?" * 300_000 + good, good + "<![CDATA[" * 100_000,
+        "</metadata><!--" * 60_000, "<metadata>" + "<" * 500_000 + "</metadata>x", good + "<![CDATA[x]]>", good + "<!-- open </metadata>",
+        "<!DOCTYPE metadata [" * 50_000, "<metadata" + " a='b'" * 100_000 + "/>", "<metadata/><!-- </metadata> --> ",
+    ]
+    table = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "record_id string, value string")
+    started = time.monotonic()
+    reasons = table.select("record_id", sources._outer(F.col("value"), "fgdc").alias("problem")).collect()
+    assert time.monotonic() - started < 30
+    assert [r.problem for r in sorted(reasons, key=lambda r: int(r.record_id))] == ["malformed_xml"] * 10 + [None] * 2
+
+
 def _rules(findings):
     return sorted((row.record_id, row.rule, row.detail) for row in findings.collect())
 
