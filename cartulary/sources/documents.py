@@ -108,7 +108,7 @@ def _outer(value: Column, dialect: str) -> Column:
     )
     rest = F.rtrim(F.regexp_replace(value, _ASIDE, "$1$2"), F.lit(_BLANK))
     ends = F.regexp_count(rest, F.lit(closing))
-    alone = rest.rlike(rf"<(?:[^\s<>/:]+:)?{root}(?:\s[^<>]*+)?/>\z") & (ends == 0)
+    alone = rest.rlike(rf"<(?:[^\s<>/:]+:)?{root}(?:\s[^<>]*)?/>\z") & (ends == 0)
     whole = F.when(plain, F.lit(True)).otherwise((rest.rlike(rf"{closing}\z") & (ends == 1)) | alone)
     name = F.regexp_extract(value, _ROOT_NAME, 1)
     return F.when((name != "") & (name != root), F.lit("wrong_dialect")).when(
