@@ -28,7 +28,8 @@ def local_id(uri: Column) -> Column:
 
 
 def record_id(file_name: Column, dialect: str) -> Column:
-    return F.replace(file_name, F.lit(f"_{dialect}.xml"), F.lit(""))
+    """A file's path without its ending, ``_iso.xml`` or ``_fgdc.xml`` as the dialect has it, or else ``.xml``."""
+    return F.regexp_replace(file_name, rf"(?:_{dialect})?\.xml\z", "")
 
 
 def file_name(record_id: Column, dialect: str) -> Column:

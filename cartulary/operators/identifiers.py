@@ -43,3 +43,20 @@ def resolve_dois(
     """
     found = adaptive_lookup(records, best_dois(registry, prefixes), "local_id", "record_id")
     return found.withColumn("doi_url", F.coalesce("doi_url", F.lit("")))
+
+
+def resolve_stored_dois(
+    records: DataFrame, located: DataFrame, registry: DataFrame, prefixes: Sequence[str] = DOI_PREFIXES
+) -> DataFrame:
+    """Add ``doi_url`` to records of a stored table, as ``resolve_dois`` does, without moving them.
+
+    ``located`` holds ``record_id`` and ``local_id`` of the same table, read a second time: these two
+    go to the registry, and what is found comes back by ``record_id``, by which the table should be
+    bucketed.
+    """
+    answers = (
+        adaptive_lookup(located.select("record_id", "local_id"), best_dois(registry, prefixes), "local_id", "record_id")
+        .where(F.col("doi_url").isNotNull())
+        .select("record_id", "doi_url")
+    )
+    return records.join(answers, "record_id", "left").withColumn("doi_url", F.coalesce("doi_url", F.lit("")))

@@ -6,7 +6,7 @@ distinct texts it does not have; translations that come back become memory rows.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +17,8 @@ from cartulary.operators.lookup import HOT_ROWS, salted_lookup
 from cartulary.settings import MACHINE_TRANSLATION_NOTICE
 
 TRANSLATED_FIELDS = ("title", "abstract", "limitations", "comments")
+# Texts inside an array of structs, as ``array.member``.
+TRANSLATED_DISTRIBUTION = ("distribution.description", "distribution.name")
 
 
 def with_keys(texts: DataFrame, source: str = "en", target: str = "fr") -> DataFrame:
@@ -82,14 +84,43 @@ def _notice() -> Column:
     )
 
 
+def _addressed(fields: Sequence[str], last: Callable[[Column], Column], name: str) -> Column:
+    """An array of ``(field, position, name)`` for every localised text: fields, and members of
+    arrays with their position."""
+    entries = []
+    for field in fields:
+        array, _, member = field.partition(".")
+        if member:
+            texts = F.transform(F.col(array), _addresser(field, member, last, name))
+            entries.append(F.coalesce(texts, F.array().cast(f"array<struct<field:string,position:int,{name}:string>>")))
+        else:
+            entries.append(
+                F.array(
+                    F.struct(
+                        F.lit(field).alias("field"), F.lit(None).cast("int").alias("position"), last(F.col(field)["en"]).alias(name)
+                    )
+                )
+            )
+    return F.concat(*entries)
+
+
+def _addresser(
+    field: str, member: str, last: Callable[[Column], Column], name: str
+) -> Callable[[Column, Column], Column]:
+    def address(entry: Column, at: Column) -> Column:
+        return F.struct(F.lit(field).alias("field"), at.cast("int").alias("position"), last(entry[member]["en"]).alias(name))
+
+    return address
+
+
 def field_texts(
     records: DataFrame, fields: Sequence[str] = TRANSLATED_FIELDS, key: str = "recordKey"
 ) -> DataFrame:
-    """``(key, field, text)``: the English text of each localised field."""
-    entries = [
-        F.struct(F.lit(name).alias("field"), F.col(name)["en"].alias("text")) for name in fields
-    ]
-    return records.select(key, F.inline(F.array(*entries)))
+    """``(key, field, position, text)``: the English text of each localised field.
+
+    ``array.member`` names a member of an array of structs; its texts have their position there.
+    """
+    return records.select(key, F.inline(_addressed(fields, lambda text: text, "text")))
 
 
 def with_field_keys(
@@ -98,24 +129,23 @@ def with_field_keys(
     source: str = "en",
     target: str = "fr",
 ) -> DataFrame:
-    """Add ``translationKeys``, the ``(field, cache_key)`` of every field that has a text.
+    """Add ``translationKeys``, the ``(field, position, cache_key)`` of every text that is not empty.
 
     Stored with the records, the keys save later steps from reading the texts.
     """
-    entries = [
-        F.struct(
-            F.lit(name).alias("field"),
-            F.when(
-                F.col(name)["en"] != "",
-                translation_key(F.col(name)["en"], F.lit(source), F.lit(target)),
-            ).alias("cache_key"),
-        )
-        for name in fields
-    ]
-    keyed = F.filter(F.array(*entries), lambda entry: entry["cache_key"].isNotNull())
+
+    def key(text: Column) -> Column:
+        return F.when(text != "", translation_key(text, F.lit(source), F.lit(target)))
+
+    keyed = F.filter(_addressed(fields, key, "cache_key"), lambda entry: entry["cache_key"].isNotNull())
     return records.withColumn("translationKeys", keyed)
 
 
+def _translated(text: Column, address: Column) -> Column:
+    french = F.element_at("_french", address)
+    return F.when(french.isNotNull(), localised(text["en"], french, _notice())).otherwise(text).cast(LOCALISED)
+
+
 def translate_records(
     records: DataFrame,
     memory: DataFrame,
@@ -125,25 +155,41 @@ def translate_records(
 ) -> DataFrame:
     """Fill ``fr`` and the machine-translation notice of the localised fields.
 
-    Only keys travel to the lookup and only translations travel back; the records are
-    shuffled once, when the translations of all fields join them. A field without English
-    text, and one the memory lacks, stays as it is.
+    Only keys travel to the lookup and only translations travel back; the records move once, when
+    the translations of all fields join them, and not at all if they are bucketed by ``key``. A text
+    without English, and one the memory lacks, stays as it is.
 
-    The records come from ``with_field_keys``. Their keys are read twice and all else once,
-    so they should be a stored table.
+    The records come from ``with_field_keys`` with the same ``fields``. Their keys are read twice
+    and all else once, so they should be a stored table.
     """
     keyed = records.select(key, F.inline("translationKeys"))
     found = look_up(keyed, memory, key, hot_rows).where(F.col("translated").isNotNull())
+    address = F.concat_ws("/", "field", F.col("position").cast("string"))
     per_record = found.groupBy(key).agg(
-        F.map_from_entries(F.collect_list(F.struct("field", "translated"))).alias("_french")
+        F.map_from_entries(F.collect_list(F.struct(address, "translated"))).alias("_french")
     )
     result = records.join(per_record, key, "left")
-    for name in fields:
-        french = F.element_at("_french", F.lit(name))
-        result = result.withColumn(
-            name,
-            F.when(french.isNotNull(), localised(F.col(name)["en"], french, _notice()))
-            .otherwise(F.col(name))
-            .cast(LOCALISED),
-        )
+    members: dict[str, list[str]] = {}
+    for field in fields:
+        array, _, member = field.partition(".")
+        if member:
+            members.setdefault(array, []).append(member)
+        else:
+            result = result.withColumn(field, _translated(F.col(field), F.lit(field)))
+    for array, named in members.items():
+        every = records.schema[array].dataType.elementType.fieldNames()
+        result = result.withColumn(array, F.transform(F.col(array), _entry_translator(array, named, every)))
     return result.drop("_french", "translationKeys")
+
+
+def _entry_translator(array: str, named: Sequence[str], every: Sequence[str]) -> Callable[[Column, Column], Column]:
+    """Writes translations back into an entry of an array of structs, by its position."""
+
+    def entry_with_french(entry: Column, at: Column) -> Column:
+        values = [
+            _translated(entry[name], F.concat(F.lit(f"{array}.{name}/"), at.cast("string"))) if name in named else entry[name]
+            for name in every
+        ]
+        return F.when(entry.isNotNull(), F.struct(*[v.alias(n) for v, n in zip(values, every, strict=True)]))
+
+    return entry_with_french

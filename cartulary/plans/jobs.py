@@ -44,10 +44,10 @@ def report_harvest(statuses: DataFrame, target: str) -> None:
 def harmonise(
     landed: DataFrame, dialect: str, settings: JobSettings, registry: DataFrame | None = None
 ) -> DataFrame:
-    """Output records of a landed corpus."""
+    """Output records of a landed corpus: a stored table, bucketed by ``record_id``."""
     usable = landed_records(landed)
     if dialect == "iso":
-        return plans.harmonise_iso(usable, settings, registry)
+        return plans.harmonise_iso(usable, settings, registry, stored=True)
     return plans.harmonise_fgdc(usable, settings)
 
 
@@ -84,24 +84,26 @@ def convert(
     records and grants of an earlier export; when any key is on both sides, or twice among the new
     records, the job stops before it writes anything.
 
-    The corpus is parsed once, into a staged table that every later step reads. Staged tables are
-    removed at the end.
+    The corpus is parsed once, into a staged table that every later step reads. It is bucketed by
+    record, and so are the records made of it: identifiers and translations come to them by joins
+    that move keys and answers only. Staged tables are removed at the end.
     """
     with staging(spark) as keep:
-        landed = keep(land(read_documents(spark, source, dialect), dialect))
+        landed = keep(land(read_documents(spark, source, dialect), dialect), by="record_id")
         records = harmonise(landed, dialect, settings, registry)
         fields = [name for name in translation.TRANSLATED_FIELDS if name in records.columns]
+        fields += translation.TRANSLATED_DISTRIBUTION
         if memory is not None:
             if returned is not None:
                 memory = keep(translation.update_memory(memory, returned))
             records = translation.with_field_keys(records, fields)
-        records = keep(records)
+        records = keep(records, by="recordID", dealt=True)
         appending.refuse_repeated_keys(records, "recordKey")
         shares = grants(records, settings)
         if memory is not None:
             texts = translation.field_texts(records, fields)
-            pending = translation.pending(translation.with_keys(texts), memory, ("recordKey", "field"))
-            records = translation.translate_records(records, memory, fields=fields)
+            pending = translation.pending(translation.with_keys(texts), memory, ("recordKey", "field", "position"))
+            records = translation.translate_records(records, memory, key="recordID", fields=fields)
         if append_to is not None:
             old_records, old_shares = append_to
             records = appending.append_records(old_records, records, key="recordKey")

@@ -118,10 +118,12 @@ def harmonise_iso(
     settings: JobSettings,
     registry: DataFrame | None = None,
     distribution: Column | None = None,
+    stored: bool = False,
 ) -> DataFrame:
     """Output records from extracted records of the first dialect.
 
-    Everything is row-local but the DOI lookup, which is left out without a ``registry``.
+    Everything is row-local but the DOI lookup, which is left out without a ``registry``. Records of
+    a ``stored`` table are read twice, and only their ids go to the registry.
     """
     keyed = (
         records.withColumn(
@@ -133,6 +135,9 @@ def harmonise_iso(
     merged = contacts.merge_contacts(keyed)
     if registry is None:
         resolved = merged.withColumn("doi_url", F.lit(""))
+    elif stored:
+        located = records.select("record_id", keys.local_id(F.col("uri")).alias("local_id"))
+        resolved = identifiers.resolve_stored_dois(merged, located, registry, settings.doi_prefixes)
     else:
         resolved = identifiers.resolve_dois(merged, registry, settings.doi_prefixes)
     stamped = normalise_date(F.col("date_stamp"))

@@ -217,12 +217,12 @@ def quarantine(documents: DataFrame, dialect: str) -> DataFrame:
 
 
 def present_records(spark: SparkSession, path: str, dialect: str) -> DataFrame:
-    """Ids of the records that a folder already holds; file contents are not read."""
+    """Ids of the records that a folder already holds, as ingest gives them; file contents are not read."""
     try:
         files = spark.read.format("binaryFile").options(**file_options(path, dialect)).load(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], "record_id string")
-    names = files.select(F.substring_index("path", "/", -1).alias("file_name"))
+    names = files.select(_relative(F.col("path"), path).alias("file_name"))
     return identify(names, dialect).select("record_id")

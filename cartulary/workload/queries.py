@@ -552,6 +552,17 @@ def export_json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def harmonise_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole records again, from a landed corpus that is bucketed by record: only ids meet the registry."""
+    landed = stage(sources.land(_documents(spark, sf_dir, "iso"), "iso"), by="record_id")
+    records = plans.harmonise_iso(sources.landed_records(landed), SETTINGS, _registry(spark, sf_dir), stored=True)
+    return _flat_records(
+        records.withColumn("comments_en", F.col("comments.en")).withColumn(
+            "resource_code", F.get("associated_resources", F.lit(0))["code"]
+        )
+    )
+
+
 def doi_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     located = _iso(spark, sf_dir, "uri").select("record_id", keys.local_id(F.col("uri")).alias("local_id"))
     return identifiers.resolve_dois(
@@ -606,12 +617,26 @@ def translate_memory_update(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def translate_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Abstracts that the memory knows get their French text; other fields stay."""
-    records = plans.harmonise_iso(_iso(spark, sf_dir), SETTINGS)
-    narrow = records.select("recordKey", *translation.TRANSLATED_FIELDS)
-    keyed = stage(translation.with_field_keys(narrow))
-    translated = translation.translate_records(keyed, _memory(spark, sf_dir))
+    """Texts that the memory knows get their French, in fields and in ways to get the data; others stay.
+
+    The records are bucketed by their key, so only keys and translations move.
+    """
+    ways = F.array(
+        distribution(F.col("abstract"), F.col("title"), F.col("uri")), distribution(F.col("title"), F.col("abstract"), F.col("uri"))
+    )
+    records = plans.harmonise_iso(_iso(spark, sf_dir), SETTINGS, distribution=ways)
+    narrow = records.select("recordKey", "distribution", *translation.TRANSLATED_FIELDS)
+    fields = translation.TRANSLATED_FIELDS + translation.TRANSLATED_DISTRIBUTION
+    keyed = stage(translation.with_field_keys(narrow, fields), by="recordKey")
+    translated = translation.translate_records(keyed, _memory(spark, sf_dir), fields=fields)
+    first, second = (F.get("distribution", F.lit(n)) for n in (0, 1))
     return translated.select(
+        first["description"]["fr"].alias("first_description_fr"),
+        first["name"]["fr"].alias("first_name_fr"),
+        second["name"]["en"].alias("second_name_en"),
+        second["name"]["fr"].alias("second_name_fr"),
+        second["name"]["translations"]["fr"]["message"].alias("second_notice"),
+        second["url"]["en"].alias("second_url_en"),
         F.col("recordKey").alias("record_key"),
         F.col("title.fr").alias("title_fr"),
         F.col("abstract.en").alias("abstract_en"),
@@ -785,6 +810,7 @@ QUERIES: dict[str, Query] = {
         fgdc_contacts,
         fgdc_keywords,
         export_json_lines,
+        harmonise_stored,
         doi_resolve,
         translation_keys,
         translate_lookup,

@@ -1,6 +1,7 @@
 """Jobs over files: ingest, conversion, export and append, incremental runs."""
 
 import json
+import re
 import subprocess
 import sys
 from pathlib import Path
@@ -8,12 +9,13 @@ from pathlib import Path
 import documents as made
 import pytest
 
-from cartulary.operators import appending
+from cartulary.operators import appending, translation
 from cartulary.operators.appending import KeyCollision
 from cartulary.plans import jobs
 from cartulary.settings import JobSettings
 from cartulary.sources import exports, lists
 from cartulary.sources.documents import land, present_records, read_documents
+from cartulary.staging import staging
 from cartulary.streaming.incremental import ingest_new
 
 SETTINGS = JobSettings(
@@ -37,7 +39,7 @@ def test_read_documents(spark, folder):
     found = {row.record_id: row for row in read_documents(spark, str(folder), "iso").collect()}
     assert sorted(found) == ["1", "3", "deep/2"] and found["1"].value == made.iso()
     assert [r.record_id for r in read_documents(spark, str(folder), "fgdc").collect()] == ["4"]
-    assert sorted(r.record_id for r in present_records(spark, str(folder), "iso").collect()) == ["1", "2", "3"]
+    assert sorted(r.record_id for r in present_records(spark, str(folder), "iso").collect()) == ["1", "3", "deep/2"]
     assert present_records(spark, str(folder / "absent"), "iso").count() == 0
 
 
@@ -69,7 +71,7 @@ def test_patterns_and_equal_names(spark, folder):
     (folder / "plain.xml").write_text(made.iso())
     found = [row.record_id for row in read_documents(spark, str(folder), "iso").collect()]
     assert sorted(found) == ["1", "3", "deep/1", "deep/2"]
-    for pattern, ids in (("*.xml", ["1", "3", "4_fgdc.xml", "plain.xml"]), ("*/*.xml", ["deep/1", "deep/2"]), ("plain.xml", ["plain.xml"])):
+    for pattern, ids in (("*.xml", ["1", "3", "4_fgdc", "plain"]), ("*/*.xml", ["deep/1", "deep/2"]), ("plain.xml", ["plain"])):
         rows = read_documents(spark, f"{folder}/{pattern}", "iso").collect()
         assert sorted(row.record_id for row in rows) == ids
 
@@ -106,6 +108,37 @@ def test_convert_and_append(spark, folder, tmp_path):
     assert [r.organization for r in both.where("recordID = '4'").collect()] == ["Vale College"]
 
 
+def _moved(table):
+    """The columns that each exchange of a plan moves."""
+    text = table._sc._jvm.PythonSQLUtils.explainString(table._jdf.queryExecution(), "formatted")
+    parts = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[(.*?)\]\n", text)
+    return [{name.split("#")[0].strip() for name in re.sub(r"\(.*?\)", "", part).split(",")} for part in parts]
+
+
+def test_records_stay_where_they_are(spark, folder):
+    """With tables too large to broadcast, ids, keys and answers move; contacts and texts don't."""
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with staging(spark) as keep:
+            landed = keep(land(read_documents(spark, str(folder), "iso"), "iso"), by="record_id")
+            registry = spark.createDataFrame([("10.21963/7",)], "doi string")
+            records = jobs.harmonise(landed, "iso", SETTINGS, registry)
+            exchanges = _moved(records)
+            assert len(exchanges) >= 3
+            assert set().union(*exchanges) <= {"record_id", "local_id", "doi_url", "_bucket", "priority", "min"}
+            fields = ("title", "abstract", "distribution.name")
+            stored = keep(translation.with_field_keys(records, fields), by="recordID", dealt=True)
+            memory = spark.createDataFrame([("k", "t")], "cache_key string, translated string")
+            done = translation.translate_records(stored, memory, key="recordID", fields=fields)
+            exchanges = _moved(done)
+            assert exchanges and not set().union(*exchanges) & {"title", "abstract", "contacts", "distribution", "keywords", "map"}
+            assert done.count() == 2
+        assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("cartulary_")]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
 def test_convert_with_translation(spark, folder, tmp_path):
     memory_file = tmp_path / "memory.json"
     assert exports.read_memory(spark, str(memory_file)).count() == 0

@@ -266,6 +266,40 @@ def test_translated_records(spark):
     assert second.title.fr is None and second.limitations is None and second.other == 2
 
 
+def test_translated_members_of_arrays(spark):
+    localised = "struct<en:string,fr:string,translations:struct<fr:struct<message:string,verified:boolean>>>"
+    way = f"struct<name:{localised},url:{localised},count:int>"
+
+    def text(en):
+        return (en, None, None)
+
+    records = spark.createDataFrame(
+        [
+            ("k1", text("one"), [(text("two"), text("one"), 1), None, (text("one"), text("one"), 2), (None, None, None)]),
+            ("k2", text(""), []), ("k3", None, None), ("k4", text("two"), [(text("nowhere"), text("two"), 3)]),
+        ],
+        f"recordKey string, title {localised}, distribution array<{way}>",
+    )
+    memory = spark.createDataFrame([(_key("one"), "un"), (_key("two"), "deux")], "cache_key string, translated string")
+    fields = ("title", "distribution.name")
+    texts = translation.field_texts(records, fields).where("text <> ''")
+    assert rows(texts) == Counter(
+        [
+            ("k1", "title", None, "one"), ("k1", "distribution.name", 0, "two"), ("k1", "distribution.name", 2, "one"),
+            ("k4", "title", None, "two"), ("k4", "distribution.name", 0, "nowhere"),
+        ]
+    )
+    done = translation.translate_records(translation.with_field_keys(records, fields), memory, fields=fields)
+    assert done.schema["distribution"].dataType == records.schema["distribution"].dataType
+    found = {row.recordKey: row for row in done.collect()}
+    first = found["k1"].distribution
+    assert [way and way.name and way.name.fr for way in first] == ["deux", None, "un", None] and first[1] is None
+    assert [way.url.fr for way in (first[0], first[2])] == [None, None] and first[0]["count"] == 1
+    assert first[0].name.translations.fr.verified is False and found["k1"].title.fr == "un"
+    assert found["k2"].distribution == [] and found["k3"].distribution is None and found["k3"].title is None
+    assert found["k4"].distribution[0].name == ("nowhere", None, None) and found["k4"].title.fr == "deux"
+
+
 # Harvest and lists
 
 
