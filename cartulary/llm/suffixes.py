@@ -112,51 +112,67 @@ def _stretch_runs(raw: np.ndarray, borders: np.ndarray, window: int, anchor: int
     }
 
 
-def suffix_array(text: np.ndarray, ends: np.ndarray, depth: int) -> np.ndarray:
+def suffix_array(text: np.ndarray, ends: np.ndarray, depth: int, pack: bool = True) -> np.ndarray:
     """Suffixes in order; a suffix stops at its text's end, and equal ones stand by place.
 
     ``ends`` has, for every byte, the end of the text that it is in; ``depth`` is the length of the
-    longest text (a smaller one would break Kasai's rule). Starts with the order by eight
-    bytes; each step doubles the length, and sorts only the groups that aren't settled, by the
-    ranks that stand a length further on.
+    longest text (a smaller one would break Kasai's rule). Starts with the order by a few bytes; each
+    step doubles the length, and sorts only the groups that aren't settled, by the ranks that stand a
+    length further on. As long as two ranks and a place fit into 64 bits, plain numbers are sorted.
     """
     size = len(text)
-    padded = np.concatenate([text, np.zeros(8, np.uint8)]).astype(np.uint64)
+    bits = np.uint64((size + 1).bit_length())
+    packs = pack and 3 * int(bits) <= 64
+    length = (60 - int(bits)) // 8 if packs else 8
+    padded = np.concatenate([text, np.zeros(length, np.uint8)]).astype(np.uint64)
     key = np.zeros(size, np.uint64)
     place = np.arange(size)
-    for k in range(8):
+    for k in range(length):
         inside = place + k < ends
         key = key << np.uint64(8) | np.where(inside, padded[k : k + size], np.uint64(0))
-    left = np.minimum(ends - place, 8).astype(np.uint64)
-    order = np.lexsort((left, key))
-    key, left = key[order], left[order]
+    left = np.minimum(ends - place, length).astype(np.uint64)
     new = np.ones(size, bool)
-    new[1:] = (key[1:] != key[:-1]) | (left[1:] != left[:-1])
+    if packs:
+        mask = (np.uint64(1) << bits) - np.uint64(1)
+        packed = (key << np.uint64(4) | left) << bits | place.astype(np.uint64)
+        packed.sort()
+        order = (packed & mask).astype(np.int64)
+        packed >>= bits
+        new[1:] = packed[1:] != packed[:-1]
+    else:
+        order = np.lexsort((left, key))
+        key, left = key[order], left[order]
+        new[1:] = (key[1:] != key[:-1]) | (left[1:] != left[:-1])
     rank = np.empty(size + 1, np.int64)
     rank[size] = -1
-    group = np.maximum.accumulate(np.where(new, place, 0))
-    rank[order] = group
-    length = 8
+    rank[order] = np.maximum.accumulate(np.where(new, place, 0))
+    at = place
     while length < depth:
         # Groups of more than one suffix, if these reach beyond what is compared.
-        open_ = np.ones(size, bool)
-        open_[:-1] = ~new[1:]
-        open_ |= ~new
-        open_ &= ends[order] - order >= length
-        at = np.flatnonzero(open_)
+        single = new[at] & np.append(new, True)[at + 1]
+        at = at[~single]
+        at = at[ends[order[at]] - order[at] >= length]
         if not len(at):
             break
         suffix = order[at]
         further = np.where(suffix + length < ends[suffix], suffix + length, size)
-        sort = np.lexsort((rank[further], rank[suffix]))
-        suffix, further = suffix[sort], further[sort]
+        if packs:
+            own, beyond = rank[suffix].astype(np.uint64), (rank[further] + 1).astype(np.uint64)
+            packed = (own << bits | beyond) << bits | suffix.astype(np.uint64)
+            packed.sort()
+            suffix = (packed & mask).astype(np.int64)
+            packed >>= bits  # both ranks
+            split = np.ones(len(at), bool)
+            split[1:] = packed[1:] != packed[:-1]
+        else:
+            sort = np.lexsort((rank[further], rank[suffix]))
+            suffix, further = suffix[sort], further[sort]
+            own, beyond = rank[suffix], rank[further]
+            split = np.ones(len(at), bool)
+            split[1:] = (own[1:] != own[:-1]) | (beyond[1:] != beyond[:-1])
         order[at] = suffix
-        own, beyond = rank[suffix], rank[further]
-        split = np.ones(len(at), bool)
-        split[1:] = (own[1:] != own[:-1]) | (beyond[1:] != beyond[:-1])
         new[at] |= split
-        ranks = np.maximum.accumulate(np.where(split, at, 0))
-        rank[suffix] = ranks
+        rank[suffix] = np.maximum.accumulate(np.where(split, at, 0))
         length *= 2
     return order
 
@@ -178,7 +194,6 @@ def common_prefixes(
     run = np.zeros(len(starts), np.int64)
     words = np.lib.stride_tricks.sliding_window_view(np.concatenate([text, np.zeros(8, np.uint8)]), 8)
     words = np.ascontiguousarray(words).view(np.uint64)[:, 0]
-    low = (np.uint64(1) << (np.arange(9, dtype=np.uint64) * np.uint64(8) % np.uint64(64))) - np.uint64(1)
     for step in range(int((ends - starts).max())):
         lane = np.flatnonzero(starts + step < ends)
         at = starts[lane] + step
@@ -188,11 +203,8 @@ def common_prefixes(
         live = np.flatnonzero(have < most)
         while len(live):
             differ = words[at[live] + have[live]] ^ words[other[live] + have[live]]
-            same = np.where(differ == 0, 8, 0)
-            odd = np.flatnonzero(differ)
-            if len(odd):
-                d = differ[odd]
-                same[odd] = sum((d & low[k] == 0).astype(np.int64) for k in range(1, 8))
+            # Bytes below the lowest bit that differs; all eight, if none does.
+            same = (np.bitwise_count((differ & (~differ + np.uint64(1))) - np.uint64(1)) >> 3).astype(np.int64)
             have[live] = np.minimum(have[live] + same, most[live])
             live = live[(same == 8) & (have[live] < most[live])]
         run[lane] = have
@@ -460,7 +472,7 @@ def _sharded(documents: DataFrame, chosen: DataFrame, window: int, kind: str) ->
                 packed["run"] = np.array(block["run"], np.int64)[owner[at]]
                 packed["first"], packed["settled"] = at - starts[owner[at]], again[at] | known[owner[at]]
                 bucket = (packed["one"] % np.uint64(parts)).astype(np.int64)
-                order = np.argsort(bucket, kind="stable")
+                order = np.lexsort((packed["two"], packed["one"], bucket))
                 cut = np.searchsorted(bucket[order], np.arange(parts + 1))
                 out += [
                     (None, None, None, None, k, packed[order[a:b]].tobytes())
@@ -506,8 +518,8 @@ def _held(batches: Iterable[pa.RecordBatch]) -> Iterator[dict[str, list]]:
 def _merged(split: DataFrame) -> DataFrame:
     """``run, first, last``: ranges of windows of a run that another shard has too, and theirs not.
 
-    Every packed part is sorted by fingerprint; binary search finds a fingerprint's neighbours in the
-    merged order. A fingerprint comes from each shard once at most, so none is common.
+    A packed part holds fingerprints of one shard in order, each once. Parts of a bucket are merged two
+    by two: binary search finds the fingerprints of the one in the other.
     """
 
     def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -526,14 +538,39 @@ def _merged(split: DataFrame) -> DataFrame:
     )
 
 
+def _meet(low: np.ndarray, high: np.ndarray, found: list[np.ndarray]) -> np.ndarray:
+    """Looks the sorted fingerprints of one part up in those of another by binary search.
+
+    Rows that both have, and that aren't settled, are added to ``found``. The two parts as one, each
+    fingerprint once.
+    """
+    if len(high) > len(low):
+        low, high = high, low
+    at = np.searchsorted(low["one"], high["one"], "left")
+    new = np.ones(len(high), bool)
+    open_ = np.arange(len(high))
+    while len(open_):  # more than once only where a first half is equal and the second is not
+        open_ = open_[at[open_] < len(low)]
+        open_ = open_[low["one"][at[open_]] == high["one"][open_]]
+        same = low["two"][at[open_]] == high["two"][open_]
+        new[open_[same]] = False
+        open_ = open_[~same]
+        at[open_] += 1
+    theirs, ours = high[~new], at[~new]
+    found += [theirs[~theirs["settled"]], low[ours][~low["settled"][ours]]]
+    low["settled"][ours] = True
+    both = np.concatenate([low, high[new]])
+    return both[np.argsort(both["one"], kind="stable")]
+
+
 def _found(packed: list[bytes]) -> pa.RecordBatch:
-    rows = np.frombuffer(b"".join(packed), _PACKED)
-    rows = rows[np.lexsort((rows["two"], rows["one"]))]
-    low, high = np.searchsorted(rows["one"], rows["one"], "left"), np.searchsorted(rows["one"], rows["one"], "right")
-    place = np.arange(len(rows))
-    before, after = np.maximum(place - 1, low), np.minimum(place + 1, high - 1)
-    shared = ((before < place) & (rows["two"][before] == rows["two"])) | ((after > place) & (rows["two"][after] == rows["two"]))
-    rows = rows[shared & ~rows["settled"]]
+    """Ranges of windows that several parts have; parts are sorted, and merged two by two."""
+    parts = [np.frombuffer(part, _PACKED).copy() for part in packed]
+    found = [np.zeros(0, _PACKED)]
+    while len(parts) > 1:
+        pairs = [(parts[k], parts[k + 1]) for k in range(0, len(parts) - 1, 2)]
+        parts = [_meet(*pair, found) for pair in pairs] + parts[2 * len(pairs) :]
+    rows = np.concatenate(found)
     rows = rows[np.lexsort((rows["first"], rows["run"]))]
     new = np.ones(len(rows), bool)
     new[1:] = (rows["run"][1:] != rows["run"][:-1]) | (rows["first"][1:] != rows["first"][:-1] + 1)
@@ -546,15 +583,15 @@ def _found(packed: list[bytes]) -> pa.RecordBatch:
 
 
 def deduplicate(table: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, shard_runs: int = SHARD_RUNS) -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` for each row of ``table(doc_id, text)``.
+    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, text`` for each row of ``table(doc_id, text)``.
 
     Texts are judged as UTF-8 bytes: every byte that a repeated window covers goes, the first
-    occurrence too. Null text is empty; texts shorter than a window lose nothing. Rows equal in id
+    occurrence too; ``text`` is what is left, without the rest of a character that a range cuts. Null text is empty; texts shorter than a window lose nothing. Rows equal in id
     and text are two documents that repeat each other; rows that share an id are judged each for
     itself. Null ids are kept. Other columns are ignored; an empty table gives no rows. Strings are
     compared by 128 bits where they are not compared byte by byte.
     """
-    return _removed(documents_of(table), window, anchor, shard_runs).drop("kept")
+    return _removed(documents_of(table), window, anchor, shard_runs).withColumnRenamed("kept", "text")
 
 
 def without_repeats(

@@ -123,6 +123,42 @@ def anchors_of(texts, window, anchor, **sizes):
     return found
 
 
+def test_sorted_parts_meet_by_binary_search():
+    draw = np.random.default_rng(17)
+    for _ in range(60):
+        parts, held = [], Counter()
+        for part in range(int(draw.integers(1, 8))):
+            rows = np.zeros(int(draw.integers(0, 30)), suffixes._PACKED)
+            # Few different first halves: equal ones with other second halves.
+            rows["one"], rows["two"] = draw.integers(0, 12, len(rows)), draw.integers(0, 3, len(rows))
+            rows = np.unique(rows[["one", "two"]]).astype([("one", "<u8"), ("two", "<u8")])
+            full = np.zeros(len(rows), suffixes._PACKED)
+            full["one"], full["two"], full["run"], full["first"] = rows["one"], rows["two"], part, 2 * np.arange(len(rows))
+            full["settled"] = draw.random(len(rows)) < 0.2
+            held.update(map(tuple, rows.tolist()))
+            parts.append(full)
+        found = suffixes._found([x.tobytes() for x in parts]).to_pylist()
+        expected = sorted((r["run"], r["first"]) for x in parts for r in x if held[r["one"].item(), r["two"].item()] > 1 and not r["settled"])
+        assert sorted((r["run"], r["first"]) for r in found) == expected and all(r["first"] == r["last"] for r in found)
+
+
+def test_sorted_suffixes_and_common_prefixes():
+    """Against sorting the suffixes themselves, with numbers that hold two ranks and a place, and without."""
+    draw = np.random.default_rng(4)
+    for k in range(60):
+        texts = [bytes(draw.integers(97, 98 + k % 3, int(draw.integers(1, 60))).astype(np.uint8)) for _ in range(1 + k % 8)]
+        text, sizes = np.frombuffer(b"".join(texts), np.uint8), np.array([len(x) for x in texts])
+        ends = np.cumsum(sizes)
+        limit, raw = np.repeat(ends, sizes), text.tobytes()
+        expected = sorted(range(len(raw)), key=lambda i: (raw[i : limit[i]], i))  # noqa: B023
+        order = suffixes.suffix_array(text, limit, int(sizes.max()), pack=k % 2 == 0)
+        assert order.tolist() == expected
+        shared = suffixes.common_prefixes(text, order, ends - sizes, ends, 9)
+        for i, j in zip(expected[1:], expected, strict=False):
+            ours, other = raw[i : min(limit[i], i + 9)], raw[j : min(limit[j], j + 9)]
+            assert shared[i] == next((n for n, (x, y) in enumerate(zip(ours, other, strict=False)) if x != y), min(len(ours), len(other)))
+
+
 @pytest.mark.parametrize("most", [20, 33, 64, 1000])
 def test_stretches_change_no_anchor(most):
     draw = np.random.default_rng(4)
@@ -157,6 +193,9 @@ def test_repeats_far_behind_in_a_long_text(spark):
 def test_deduplication_of_awkward_rows(awkward, nothing, shard_runs):
     window = 100
     found = suffixes.deduplicate(awkward, window, 16, shard_runs).collect()
+    for row in found:
+        if row.text.isascii():
+            assert hashlib.sha256(row.text.encode()).hexdigest() == row.kept_sha256
     texts = plain(awkward)
     expected = Counter((key, *x) for (key, _), x in zip(texts, removed([t for _, t in texts], window), strict=True))
     assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found) == expected
