@@ -3,8 +3,9 @@
 A page is a sequence of words and tags. Words score by where they stand (in a link, a heading, a
 paragraph, ...), tags score negative, both by weights learned from labelled pages; one linear scan
 finds the best region. What is never content (menus, adverts, forms, scripts, comments of readers,
-...) scores nothing and is left out, wherever it stands; but an element that holds most of the
-page's words, or its marked content, is a wrapper around the page, whatever its name.
+...) scores nothing and is left out, wherever it stands; but an element that holds the marked
+content, or else most of a page's words with nothing that reads like a story beside it, is a wrapper
+around the page, whatever its name.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from __future__ import annotations
 import html
 import math
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -47,14 +48,18 @@ HINTS = READERS | frozenset(
     "cookie cookies consent gdpr notice notices notification alert alerts popup modal overlay newsletter subscribe signup "
     "login share sharing social related recommended recommendations widget widgets toolbar pagination pager skip copyright".split()
 )
+#: Words of paragraphs that make a story, beside which nothing is a wrapper for its size alone.
+STORY_WORDS = 8
 #: Closed by a start tag of a block.
 PARAGRAPHS = frozenset(("p",))
 #: A start tag closes an open element of its own kind, up to the nearest list or table.
+PLACES = (("p", ("p", "blockquote")), ("li", ("li",)), ("td", ("td",)))
 SIBLINGS = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table"), "option": ("select",)}
 
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<({RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*+>.*?(?:</\1\s*>|\Z)|<[!?][^>]*+(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*+)>",
+    # A tag that is never closed goes up to the end, as in browsers.
+    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*+)(?:>|\Z)",
     re.S | re.I,
 )
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
@@ -96,12 +101,16 @@ class Page:
         self.unclosed = {t for t in (*NEVER, "div", "section", "header", "ul") if lowered.count(f"</{t}") < lowered.count(f"<{t}")}
         # Open elements: name, why left out (inherited; wrappers too), whether within content, number.
         self.open: list[tuple[str, str | None, bool, int]] = []
+        # Where open elements stand in it: by name, those of blocks, those that are left out.
+        self.spots: dict[str, list[int]] = defaultdict(list)
+        self.blocks: list[int] = []
+        self.out: list[int] = []
         at = 0
         for match in _TOKEN.finditer(source):
             if match.start() > at:
                 self._text(source[at : match.start()])
             at = match.end()
-            if match[3]:
+            if match[3] and match[0][-1] == ">":
                 name = match[3].lower()
                 if match[2]:
                     self._end(name)
@@ -118,48 +127,61 @@ class Page:
         self.pieces.append((kind, where, text))
         self.places.append(element)
 
+    def _within(self, names: Iterable[str]) -> int:
+        """Where the innermost open element of one of these names stands; -1 if there is none."""
+        return max((self.spots[name][-1] for name in names if self.spots.get(name)), default=-1)
+
+    def _push(self, name: str, why: str | None, inside: bool, number: int) -> None:
+        place = len(self.open)
+        self.open.append((name, why, inside, number))
+        self.spots[name].append(place)
+        if name in BLOCKS:
+            self.blocks.append(place)
+        if why:
+            self.out.append(place)
+
+    def _cut(self, place: int) -> None:
+        """Closes all open elements from ``place`` on."""
+        while len(self.open) > place:
+            name, why, _, _ = self.open.pop()
+            self.spots[name].pop()
+            if name in BLOCKS:
+                self.blocks.pop()
+            if why:
+                self.out.pop()
+
     def _text(self, text: str) -> None:
-        names = {x[0] for x in self.open}
-        if "a" in names:
+        if self.spots.get("a"):
             where = "link"
-        elif names & HEADINGS:
+        elif self._within(HEADINGS) >= 0:
             where = "heading"
         else:
-            where = "p" if "p" in names or "blockquote" in names else "li" if "li" in names else "td" if "td" in names else "other"
+            where = next((w for w, names in PLACES if self._within(names) >= 0), "other")
         self._add("", where, text, self.open[-1][3] if self.open else 0)
 
     def _start(self, name: str, attributes: str) -> None:
-        if name in BLOCKS and any(x[0] in PARAGRAPHS for x in self.open):
-            place = max(k for k, x in enumerate(self.open) if x[0] in PARAGRAPHS)
-            if not any(x[0] in BLOCKS for x in self.open[place + 1 :]):
-                del self.open[place:]
+        if name in BLOCKS and (place := self._within(PARAGRAPHS)) >= 0 and self.blocks[-1] <= place:
+            self._cut(place)
         if name in SIBLINGS:
-            for place in range(len(self.open) - 1, -1, -1):
-                if self.open[place][0] in SIBLINGS[name]:
-                    break
-                if self.open[place][0] == name or name in ("dt", "dd") and self.open[place][0] in ("dt", "dd"):
-                    del self.open[place:]
-                    break
+            place = self._within(("dt", "dd") if name in ("dt", "dd") else (name,))
+            if place > self._within(SIBLINGS[name]):
+                self._cut(place)
         out, inside = self._state()
-        if out in ("name", "other") and name in CONTENT:
+        if out in ("name", "other") and name in CONTENT and self.open[self.out[0]][0] in self.unclosed:
             # A menu or an advert that is never closed ends where content begins.
-            place = next(k for k, x in enumerate(self.open) if x[1])
-            if self.open[place][0] in self.unclosed:
-                del self.open[place:]
-                out, inside = self._state()
+            self._cut(self.out[0])
+            out, inside = self._state()
         why = out or _left_out(name, attributes, inside)
         self.elements.append((name, attributes, self.open[-1][3] if self.open else 0))
         number = len(self.elements) - 1
         self._add(name, "tag", "", number)
         if name not in VOID and not attributes.endswith("/"):
-            self.open.append((name, why, inside or name in CONTENT and not why, number))
+            self._push(name, why, inside or name in CONTENT and not why, number)
 
     def _end(self, name: str) -> None:
         self._add(name, "tag", "", self.open[-1][3] if self.open else 0)
-        for place in range(len(self.open) - 1, -1, -1):
-            if self.open[place][0] == name:
-                del self.open[place:]
-                return
+        if self.spots.get(name):
+            self._cut(self.spots[name][-1])
 
     def _settle(self) -> None:
         """What is left out, now that all elements' words are known; and whether marks can be trusted."""
@@ -169,10 +191,14 @@ class Page:
             titled[self.elements[k][2]] |= titled[k]
         # Words outside links: all but readers' and those of small elements; marked by main; by article.
         reader, small, marked = [False] * size, [False] * size, [""] * size
+        # Under anything that may be left out; within a paragraph.
+        doubtful, told = [False] * size, [False] * size
         for k in range(1, size):
             name, attributes, around = self.elements[k]
             reader[k] = reader[around] or not titled[k] and _left_out(name, attributes, False) == "reader"
             small[k] = small[around] or name in SMALL
+            doubtful[k] = doubtful[around] or bool(_left_out(name, attributes, False))
+            told[k] = told[around] or name in ("p", "blockquote")
             marked[k] = "main" if "main" in (name, marked[around]) else "article" if name == "article" else marked[around]
         words, by_main, by_article = [0] * size, [0] * size, [0] * size
         for (kind, where, text), k in zip(self.pieces, self.places, strict=True):
@@ -185,13 +211,23 @@ class Page:
             for k in range(size - 1, 0, -1):
                 held[self.elements[k][2]] += held[k]
         by_mark = by_main if by_main[0] else by_article
+        # A story beside all that is in doubt, and a first heading there.
+        plain = [k for (kind, where, _), k in zip(self.pieces, self.places, strict=True) if not kind and where != "link" and told[k]]
+        plain = {k for k in plain if not doubtful[k] and not marked[k]}
+        beside = sum(len(text.split()) for (kind, _, text), k in zip(self.pieces, self.places, strict=True) if not kind and k in plain)
+        headed = any(name == "h1" and not doubtful[k] for k, (name, _, _) in enumerate(self.elements))
 
         def wraps(k: int, why: str) -> bool:
             if why == "reader":
                 return titled[k]
             if 2 * by_mark[k] > by_mark[0] and (by_main[0] or 4 * by_mark[k] >= words[0] - words[k]):
                 return True
-            return self.elements[k][0] not in SMALL and words[k] * (10 if why == "name" else 2) > words[0] * (9 if why == "name" else 1)
+            if self.elements[k][0] in SMALL or words[k] * (10 if why == "name" else 2) <= words[0] * (9 if why == "name" else 1):
+                return False
+            # Size alone says nothing beside a story or marked content: a long notice is longer than both.
+            if beside >= STORY_WORDS:
+                return titled[k] and not headed
+            return titled[k] or not by_mark[0]
 
         out, inside = [None] * size, [0] * size  # the content element that each is in
         for k in range(1, size):
@@ -206,10 +242,10 @@ class Page:
         for (kind, where, text), k in zip(self.pieces, self.places, strict=True):
             if not kind and where:
                 held[inside[k]] += len(text.split()) if where != "link" or inside[k] else 0
-        beside = held.pop(0, 0)
+        unmarked = held.pop(0, 0)
         cards = [k for k in held if held[k]]
         main = any(self.elements[k][0] == "main" for k in cards)
-        self.marked = bool(cards) and (main or (4 if len(cards) == 1 else 1) * sum(held.values()) >= beside)
+        self.marked = bool(cards) and (main or (4 if len(cards) == 1 else 1) * sum(held.values()) >= unmarked)
 
     def scores(self, weights: Weights) -> list[float]:
         found = []

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 
 import numpy as np
 import public_tokenizers
@@ -54,6 +55,37 @@ def test_wrapper_around_the_page_is_kept(wrapper, story):
     assert extraction.main_text(page, extraction.Weights()).split("\n\n") == SENTENCES
 
 
+NOTICE = "".join(f"<p>We and our {k} partners keep data on your device and ask you to agree to that.</p>" for k in range(14))
+BRIEF = "<p>Short news of the day, told in a few plain words and no more than that.</p>"
+
+
+@pytest.mark.parametrize("first", [False, True])
+@pytest.mark.parametrize("head", ["", "<h1>News</h1>"])
+@pytest.mark.parametrize("content", ["article", "main", "div", "section class='text'"])
+@pytest.mark.parametrize(
+    "box", ['div class="site-cookie-wall"', "aside", 'div class="page-sidebar-left"', 'div class="cookie"', 'form action="/agree"', 'div role="dialog"'],
+)
+def test_a_notice_longer_than_the_story_is_left_out(box, content, head, first):
+    """Five shapes of boxes, before or behind a story of a few words, marked or not."""
+    story = f"<{content}>{head}{BRIEF}</{content.split()[0]}>"
+    notice = f"<{box}>{NOTICE}</{box.split()[0]}>"
+    page = f"<body><nav><a>Home</a></nav>{notice + story if first else story + notice}<footer><p>the small print</p></footer></body>"
+    text = extraction.main_text(page, extraction.Weights())
+    assert text.split("\n\n") == [x for x in (head and "News", BRIEF[3:-4]) if x]
+
+
+def test_nested_and_broken_tags_take_linear_time():
+    weights = extraction.Weights()
+    started = time.monotonic()
+    assert extraction.main_text("<div>" * 40_000 + "<p>deep text</p>" + "</div>" * 40_000, weights) == "deep text"
+    assert extraction.main_text("<p>text</p>" + "<a" * 100_000, weights) == "text"
+    assert extraction.main_text("<p>text</p>" + "</b>" * 100_000, weights) == "text"
+    assert len(extraction.main_text("<ul>" + "<li>x" * 40_000, weights)) == 40_000 * 3 - 2
+    extraction.main_text("<div class='widget'>" * 20_000 + "<article>" * 20_000 + "x", weights)
+    extraction.main_text("<p>" + "<b>" * 40_000 + "<div>" * 10 + "<script " * 20_000 + "'" * 20_001, weights)
+    assert time.monotonic() - started < 8
+
+
 def test_what_holds_little_of_a_page_is_left_out():
     cards = "<article><p>Read this too</p></article>" * 3
     for part in (f"<aside class='related'>{cards}</aside>", "<form><p>Your name and address</p></form>", "<div class='page-notice'><p>We moved</p></div>"):
