@@ -15,7 +15,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -30,6 +30,10 @@ PROBES, MASS = 6, 0.995
 HIDDEN = 48
 #: Vectors of a part that are compared in one task.
 BLOCK = 20_000
+#: Queries of a part that one task compares.
+QUERIES = 4_096
+#: Sampled vectors with larger components would overflow where they are squared; they teach nothing.
+LARGEST = 1e60
 
 
 def neighbour_graph(vectors: np.ndarray, many: int) -> np.ndarray:
@@ -111,7 +115,8 @@ class Router:
                     value -= rate * (held[k] / (1 - 0.9**step)) / (np.sqrt(square[k] / (1 - 0.999**step)) + 1e-8)
 
     def probabilities(self, vectors: np.ndarray) -> np.ndarray:
-        hidden = np.maximum((vectors - self.middle) / self.scale @ self.w[0] + self.b[0], 0)
+        x = np.clip(vectors / self.scale - self.middle / self.scale, -1e9, 1e9)
+        hidden = np.maximum(x @ self.w[0] + self.b[0], 0)
         return _softmax(hidden @ self.w[1] + self.b[1])
 
 
@@ -143,6 +148,7 @@ def fit(vectors: DataFrame, sample: int = SAMPLE, parts: int = PARTS, seed: int
     if not rows:
         return None
     known = np.unique(np.array([r["embedding"] for r in rows]), axis=0)
+    known = known[np.abs(known).max(1) < LARGEST]
     if len(known) > sample:
         known = known[np.sort(np.random.default_rng(seed).choice(len(known), sample, replace=False))]
     if len(known) < 4 * parts:
@@ -186,9 +192,21 @@ def _routed(vectors: DataFrame, router: Router | None, probes: int, mass: float,
     return vectors.mapInArrow(run, f"{id_name} {kind}, embedding array<double>, part long")
 
 
+def distances(rows: np.ndarray, vector: np.ndarray) -> np.ndarray:
+    """Euclidean distances, also where squares of finite components overflow or vanish."""
+    with np.errstate(over="ignore"):
+        found = np.sqrt(((rows - vector) ** 2).sum(1))
+        odd = np.flatnonzero(~np.isfinite(found) | (found < 1e-140))
+        if len(odd):
+            half = rows[odd] / 2 - vector / 2
+            most = np.abs(half).max(1)
+            found[odd] = 2 * (most * np.sqrt(((half / np.where(most > 0, most, 1.0)[:, None]) ** 2).sum(1)))
+    return found
+
+
 def search(
     spark: SparkSession, table: DataFrame, queries: DataFrame, nearest: int = 10, router: Router | None = None,
-    probes: int = PROBES, mass: float = MASS, block: int = BLOCK,
+    probes: int = PROBES, mass: float = MASS, block: int = BLOCK, asks: int = QUERIES,
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: the nearest vectors found for each query, by Euclidean distance.
 
@@ -202,17 +220,24 @@ def search(
     vectors = _routed(usable(table).distinct(), router, 1, 0.0, "vec_id")
     vectors = stored(vectors, "vectors")
     asked = stored(_routed(usable(queries).distinct(), router, probes, mass, "query_id"), "queries")
-    # A part is compared in blocks, so that one that very many vectors are in is dealt over tasks.
-    counts = stored(vectors.groupBy("part").agg(F.ceil(F.count("*") / block).alias("blocks")), "parts")
-    blocks = F.broadcast(counts.select(F.col("part").alias("_part"), "blocks"))  # a row for each part, and for each other length
+    # Vectors of a part are compared in blocks, and its queries in shares, so that one that very many
+    # are in is dealt over tasks. A row for each part, and for each other length of vectors.
+    sizes = vectors.groupBy("part").agg(F.ceil(F.count("*") / block).alias("blocks"))
+    shares = asked.groupBy(F.col("part").alias("_part")).agg(F.ceil(F.count("*") / asks).alias("shares"))
+    counts = stored(sizes.join(shares, F.col("part") == F.col("_part")).select("_part", "blocks", "shares"), "parts")
+    blocks = F.broadcast(counts)
+
+    def each(many: str) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(many) - 1))
+
+    nobody = F.lit(None).cast(vectors.schema["vec_id"].dataType)
     held = vectors.join(blocks, F.col("part") == F.col("_part")).select(
-        "part", F.pmod(F.xxhash64("vec_id", "embedding"), F.col("blocks")).alias("block"), F.lit(None).cast(
-            vectors.schema["vec_id"].dataType
-        ).alias("query_id"), "vec_id", "embedding",
+        "part", F.pmod(F.xxhash64("vec_id", "embedding"), F.col("blocks")).alias("block"), each("shares").alias("share"),
+        nobody.alias("query_id"), "vec_id", "embedding",
     )
     sent = asked.join(blocks, F.col("part") == F.col("_part")).select(
-        "part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), "query_id",
-        F.lit(None).cast(vectors.schema["vec_id"].dataType).alias("vec_id"), "embedding",
+        "part", each("blocks").alias("block"), F.pmod(F.xxhash64("query_id", "embedding"), F.col("shares")).alias("share"),
+        "query_id", nobody.alias("vec_id"), "embedding",
     )
 
     def compare(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
@@ -223,25 +248,29 @@ def search(
             if not len(ask) or not len(have):
                 continue
             base, ids = np.stack(have["embedding"].to_numpy()), have["vec_id"].to_numpy(np.int64)
-            square = (base**2).sum(1)
             names, wanted = ask["query_id"].to_numpy(np.int64), np.stack(ask["embedding"].to_numpy())
+            # Squares neither overflow nor vanish: what is compared roughly has components of about one.
+            top = max(np.abs(base).max(), np.abs(wanted).max())
+            small = base / top
+            square = (small**2).sum(1)
             for first in range(0, len(names), 64):
                 rows = slice(first, first + 64)
-                rough = square[None] - 2 * wanted[rows] @ base.T
+                own = wanted[rows] / top
+                rough = square[None] - 2 * own @ small.T
                 rough[names[rows][:, None] == ids[None]] = np.inf
                 many = min(nearest, len(ids)) - 1
                 # Rounding in the product must not lose one: exact distances decide.
-                slack = 1e-9 * (square.max() + (wanted[rows] ** 2).sum(1))
+                slack = 1e-9 * (square.max() + (own**2).sum(1))
                 bound = np.partition(rough, many, axis=1)[:, many] + slack
                 for query, vector, row, most in zip(names[rows], wanted[rows], rough, bound, strict=True):
                     keep = np.flatnonzero((row <= most) & (row < np.inf))
-                    distance = np.sqrt(((base[keep] - vector) ** 2).sum(1))
+                    distance = distances(base[keep], vector)
                     order = np.lexsort((ids[keep], distance))[:nearest]
                     found.append(pd.DataFrame({"query_id": query, "vec_id": ids[keep[order]], "score": distance[order]}))
         return pd.concat(found) if found else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
 
     kind = vectors.schema["vec_id"].dataType.simpleString()
-    found = held.unionByName(sent).groupBy("part", "block").applyInPandas(
+    found = held.unionByName(sent).groupBy("part", "block", "share").applyInPandas(
         compare, f"query_id {kind}, vec_id {kind}, score double"
     ).distinct()
     place = Window.partitionBy("query_id").orderBy("score", "vec_id")

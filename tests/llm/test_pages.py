@@ -1,6 +1,7 @@
 """Pages, archives, vectors, toxicity and token counts against plain Python and exact searches."""
 
 import hashlib
+import math
 import random
 import time
 
@@ -221,6 +222,29 @@ def test_awkward_vectors(spark):
     assert neighbours.search(spark, table.limit(0), table).count() == neighbours.search(spark, table, table.limit(0)).count() == 0
 
 
+def test_huge_and_tiny_components(spark):
+    """Finite components whose squares overflow or vanish: all candidates come, in order."""
+    rows = [
+        (0, [1e160, 0.0]), (1, [1e160, 1e158]), (2, [-1e200, 1.0]), (3, [1e-200, 2e-200]), (4, [0.0, 1e-200]), (5, [1.0, 1.0]),
+        (6, [1.7e308, -1.7e308]), (7, [1.0, 1.0 + 1e-9]),
+    ]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = {}
+    for row in neighbours.search(spark, table, table).collect():
+        found.setdefault(row.query_id, []).append((row["rank"], row.vec_id, row.score))
+    for query, vector in rows:
+        exact = sorted(
+            (math.hypot(*[a / 4 - b / 4 for a, b in zip(x, vector, strict=True)]), key) for key, x in rows if key != query
+        )
+        ours = sorted(found[query])
+        assert [key for _, key, _ in ours] == [key for _, key in exact]
+        assert all(math.isclose(score / 4, e, rel_tol=1e-12) or score == math.inf for (_, _, score), (e, _) in zip(ours, exact, strict=True))
+    many = [(k, [float(k % 7), float(k % 11), k / 100]) for k in range(400)] + [(500, [1e300, 0.0, 0.0])]
+    table = spark.createDataFrame(many, "vec_id long, embedding array<double>")
+    router = neighbours.fit(neighbours.usable(table), parts=6)
+    assert neighbours.search(spark, table, table.where("vec_id % 100 = 0"), router=router, probes=6, asks=2).count() == 4 * 10  # 0 is a zero vector
+
+
 def test_a_few_vectors_of_other_lengths(spark):
     draw = np.random.default_rng(2)
     rows = [(k, draw.normal(0, 1, 8).tolist()) for k in range(1500)]
