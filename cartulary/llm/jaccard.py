@@ -5,7 +5,8 @@ no link. A share of the incidence matrix's columns (n-grams) is dealt over tasks
 n-grams there that no other class holds than a linked set may lack is out. The
 sets that are left are cut into one part more than two linked sets of their size can differ in
 elements, so linked sets have an equal part (for every size that a partner can have). Classes with
-equal parts form blocks; within a block, the product of its sparse incidence matrix (class by
+equal parts form blocks (or else, at a loose threshold, classes that share one of their rarest
+n-grams); within a block, the product of its sparse incidence matrix (class by
 n-gram) with its transpose gives the overlaps, and those below the bound of the two sizes go.
 """
 
@@ -362,6 +363,94 @@ def candidate_edges(documents: DataFrame, words: int, per_cent: int, buckets: in
     return cut_up.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(lean(meet), "a long, b long")
 
 
+def prefix_edges(documents: DataFrame, words: int, per_cent: int, buckets: int) -> DataFrame:
+    """``a, b``: classes that share one of their rarest n-grams, as stars around the smallest class.
+
+    With n-grams in one order for all, rarest first, two linked sets share one of the first
+    ``size - least overlap + 1`` of each. N-grams are counted by blocks of columns, their counts go
+    back to the sets packed, and only n-grams of such a beginning that another class has too are sent
+    on. Passages that very many documents share are at the sets' ends, so they bring none together;
+    a looser threshold's short parts would.
+    """
+
+    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        size = 0
+        for _, sets in _per_text(batches, words):
+            for grams in sets:
+                if len(grams) and (node := class_of(grams)) not in held:
+                    held[node] = grams
+                    size += len(grams)
+                    if size > _FLUSH:
+                        yield _packed(*_entries(held), buckets, grams_bucket)
+                        held, size = {}, 0
+        if held:
+            yield _packed(*_entries(held), buckets, grams_bucket)
+
+    def grams_bucket(grams: np.ndarray, nodes: np.ndarray) -> np.ndarray:
+        return ((grams >> np.uint64(33)) * np.uint64(buckets) >> np.uint64(31)).astype(np.int64)
+
+    def nodes_bucket(grams: np.ndarray, nodes: np.ndarray) -> np.ndarray:
+        return (mixed(nodes.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _runs(batches, ["bucket"]):
+            grams, nodes = (np.concatenate([np.frombuffer(x, t) for x in rows[n]]) for n, t in (("grams", np.uint64), ("nodes", np.int64)))
+            order = np.lexsort((nodes, grams))
+            grams, nodes = grams[order], nodes[order]
+            new = np.ones(len(grams), bool)  # a class comes from every task that has copies of it
+            new[1:] = (grams[1:] != grams[:-1]) | (nodes[1:] != nodes[:-1])
+            grams, nodes = grams[new], nodes[new]
+            _, place, many = np.unique(grams, return_inverse=True, return_counts=True)
+            yield _packed(grams, nodes, np.minimum(many, 65_535)[place].astype(np.uint16), buckets, nodes_bucket)
+
+    def choose(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _runs(batches, ["bucket"]):
+            grams, nodes, many = (
+                np.concatenate([np.frombuffer(x, t) for x in rows[n]])
+                for n, t in (("grams", np.uint64), ("nodes", np.int64), ("many", np.uint16))
+            )
+            order = np.lexsort((grams, many, nodes))
+            grams, nodes, many = grams[order], nodes[order], many[order]
+            first = np.flatnonzero(np.append(True, nodes[1:] != nodes[:-1]))
+            size = np.diff(np.append(first, len(nodes)))
+            # Of `size` n-grams, at least (size * p / 100) are shared with any partner.
+            begin = size - -(-size * per_cent // 100) + 1
+            place = np.arange(len(nodes)) - np.repeat(first, size)
+            sent = (place < np.repeat(begin, size)) & (many > 1)
+            yield _packed(grams[sent], nodes[sent], many[sent], buckets, grams_bucket)
+
+    def meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _runs(batches, ["bucket"]):
+            grams, nodes = (np.concatenate([np.frombuffer(x, t) for x in rows[n]]) for n, t in (("grams", np.uint64), ("nodes", np.int64)))
+            _, _, a, b = _stars(grams, nodes)
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    schema = "bucket int, grams binary, nodes binary, many binary"
+    rows = documents.mapInArrow(lean(cut), schema)
+    for step in (count, choose):
+        rows = rows.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(lean(step), schema)
+    return rows.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(lean(meet), "a long, b long")
+
+
+def _entries(held: dict[int, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The entries of these rows of the incidence matrix: n-grams, classes, and no counts yet."""
+    grams = np.concatenate([*held.values()])
+    nodes = np.repeat(np.fromiter(held, np.int64, len(held)), [len(x) for x in held.values()])
+    return grams, nodes, np.zeros(len(grams), np.uint16)
+
+
+def _packed(
+    grams: np.ndarray, nodes: np.ndarray, many: np.ndarray, buckets: int, bucket_of: Callable[[np.ndarray, np.ndarray], np.ndarray]
+) -> pa.RecordBatch:
+    """Entries as one row a bucket, by class in each: equal classes side by side pack well."""
+    order = np.argsort(nodes, kind="stable")
+    grams, nodes, many = grams[order], nodes[order], many[order]
+    rows = [(k, grams[at].tobytes(), nodes[at].tobytes(), many[at].tobytes()) for k, at in _by_bucket(bucket_of(grams, nodes), buckets)]
+    kinds = (pa.int32(), *[pa.binary()] * 3)
+    return pa.RecordBatch.from_arrays([pa.array([r[n] for r in rows], t) for n, t in enumerate(kinds)], ["bucket", "grams", "nodes", "many"])
+
+
 def _runs(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[dict[str, list]]:
     """The columns of each run of rows that are equal in ``keys``; rows come sorted by them."""
     now, rows = None, {}
@@ -383,6 +472,10 @@ def _runs(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[dict[s
         yield rows
 
 
+#: How candidates are found: of documents, words, per cent and buckets, edges ``a, b``.
+Candidates = Callable[[DataFrame, int, int, int], DataFrame]
+
+
 class BlockProduct:
     """Rows of the product of a block's incidence matrix with its transpose."""
 
@@ -446,27 +539,30 @@ def _sets(block: dict[str, list]) -> list[np.ndarray]:
 
 
 def links(
-    spark: SparkSession, table: DataFrame, words: int = WORDS, per_cent: int = PER_CENT, block_ngrams: int = BLOCK_NGRAMS
+    spark: SparkSession, table: DataFrame, words: int = WORDS, per_cent: int = PER_CENT, block_ngrams: int = BLOCK_NGRAMS,
+    candidates: Candidates = candidate_edges,
 ) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``table(doc_id, text)``.
 
     Null or empty text, or one without words: 0 n-grams, linked with nothing. Rows equal in id and
     text are one document twice and are linked by their equal sets. Null ids come last when the
     smallest id of a component is chosen. Other columns are ignored; an empty table gives no rows.
-    N-grams and whole sets are compared by 64-bit hashes.
+    N-grams and whole sets are compared by 64-bit hashes. ``candidates`` may be ``candidate_edges``
+    or ``prefix_edges``, with equal results.
     """
-    return _grouped(spark, documents_of(table), words, per_cent, block_ngrams).select("doc_id", "n_shingles", "component_id")
+    return _grouped(spark, documents_of(table), words, per_cent, block_ngrams, candidates).select("doc_id", "n_shingles", "component_id")
 
 
 def keep_one(
-    spark: SparkSession, table: DataFrame, words: int = WORDS, per_cent: int = PER_CENT, block_ngrams: int = BLOCK_NGRAMS
+    spark: SparkSession, table: DataFrame, words: int = WORDS, per_cent: int = PER_CENT, block_ngrams: int = BLOCK_NGRAMS,
+    candidates: Candidates = prefix_edges,
 ) -> DataFrame:
     """One row of each group of linked documents, with all its columns: that with the smallest id.
 
     Rows without words are in no group and stay.
     """
     keyed = documents_of(table, carry=True)
-    rows = stored(_grouped(spark, keyed.select("doc_id", "text", "_row"), words, per_cent, block_ngrams).where("root is not null"), "grouped")
+    rows = stored(_grouped(spark, keyed.select("doc_id", "text", "_row"), words, per_cent, block_ngrams, candidates).where("root is not null"), "grouped")
     key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")
     first = rows.groupBy("root").agg(F.min(key).alias("kept"), F.count("*").alias("n")).where("n > 1")
     groups = stored(rows.join(stored(first, "first").withColumnRenamed("root", "_root"), F.col("root") == F.col("_root")), "larger")
@@ -484,7 +580,9 @@ def keep_one(
     return restored(single.unionByName(copies.select("_carried", "text")), table.columns)
 
 
-def _grouped(spark: SparkSession, documents: DataFrame, words: int, per_cent: int, block_ngrams: int) -> DataFrame:
+def _grouped(
+    spark: SparkSession, documents: DataFrame, words: int, per_cent: int, block_ngrams: int, candidates: Candidates
+) -> DataFrame:
     nodes = stored(classes_of(documents, words, per_cent), "nodes")
     classes = stored(
         nodes.where("class is not null").groupBy("class").agg(
@@ -504,11 +602,11 @@ def _grouped(spark: SparkSession, documents: DataFrame, words: int, per_cent: in
         "able",
     )
     chosen = _documents_of_classes(documents, able, "able-keys").select("doc_id", "_row", "text")
-    candidates = stored(candidate_edges(chosen, words, per_cent, _buckets(spark, able)).distinct(), "candidates")
-    if is_empty(candidates):
+    near = stored(candidates(chosen, words, per_cent, _buckets(spark, able)).distinct(), "candidates")
+    if is_empty(near):
         joined = classes.select("class", F.col("class").alias("root"))
     else:
-        groups = stored(connected_components(candidates), "groups")
+        groups = stored(connected_components(near), "groups")
         edges = _verified(documents, classes, groups, words, per_cent, block_ngrams)
         roots = connected_components(edges).select(F.col("node").alias("class"), "root")
         joined = classes.select("class").join(stored(roots, "roots"), "class", "left").select(

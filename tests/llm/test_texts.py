@@ -284,12 +284,26 @@ def near_copies():
     return texts
 
 
-@pytest.mark.parametrize("block", [4_000_000, 900])
-def test_links_lose_nothing(spark, block):
+@pytest.mark.parametrize(
+    ("block", "per_cent", "candidates"),
+    [(4_000_000, 90, jaccard.candidate_edges), (900, 90, jaccard.candidate_edges), (4_000_000, 90, jaccard.prefix_edges), (900, 80, jaccard.prefix_edges)],
+)
+def test_links_lose_nothing(spark, block, per_cent, candidates):
     texts = near_copies()
-    table = spark.createDataFrame(texts, "doc_id long, text string")
-    found = jaccard.links(spark, table, block_ngrams=block).collect()
-    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in found) == groups(texts, 3, 90)
+    table = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    found = jaccard.links(spark, table, per_cent=per_cent, block_ngrams=block, candidates=candidates).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in found) == groups(texts, 3, per_cent)
+
+
+def test_rarest_ngrams_meet_and_common_passages_do_not(spark):
+    draw = np.random.default_rng(19)
+    passage = " ".join(f"shared{k}" for k in range(40))
+    own = [" ".join(draw.choice(9000, 60).astype(str)) for _ in range(40)]
+    texts = [f"{text} {passage}" for text in own] + [f"{text} {passage} end" for text in own[:15]]
+    documents = documents_of(spark.createDataFrame([*enumerate(texts)], "doc_id long, text string").repartition(2))
+    names = {r["class"]: r.doc_id for r in jaccard.classes_of(documents).collect()}
+    edges = {frozenset((names[r.a], names[r.b])) for r in jaccard.prefix_edges(documents, 3, 80, 3).collect()}
+    assert edges == {frozenset((k, 40 + k)) for k in range(15)}
 
 
 def test_first_columns_rule_out_most_and_lose_no_partner(spark):
