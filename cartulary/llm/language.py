@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from cartulary.llm.common import documents_of, restored, slices
+from cartulary.llm.common import documents_of, lean, restored, slices
 
 UNKNOWN = "und"
 WINDOW = 256
@@ -281,4 +281,4 @@ def predict(documents: DataFrame, network: ByteNetwork) -> DataFrame:
                     [*columns, pa.array(names[best].tolist(), pa.string()), pa.array(score)], [*fields.names, "lang_pred", "score"]
                 )
 
-    return documents.mapInArrow(run, schema)
+    return documents.mapInArrow(lean(run), schema)

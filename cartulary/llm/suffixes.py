@@ -28,14 +28,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cartulary.llm.common import KeyFilter, RangeHash, byte_values, documents_of, is_empty, joined_bytes, restored, signed, slices, stored
+from cartulary.llm.common import KeyFilter, RangeHash, byte_values, documents_of, is_empty, joined_bytes, lean, restored, signed, slices, stored
 
 WINDOW = 400
 ANCHOR = 64
 #: Different runs of an anchor in one shard.
 SHARD_RUNS = 1024
 #: Bytes over which a suffix array is built at once, a few large anchors apart.
-SHARD_BYTES = 600_000
+SHARD_BYTES = 400_000
 #: Bits of a byte's place in a stretch of text, and bytes of a stretch (no more than these bits count).
 PLACE_BITS = 24
 STRETCH = 1 << 22
@@ -254,7 +254,7 @@ def find_spans(documents: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b in slices(batch, "text", 1 << 19):
+            for a, b in slices(batch, "text", 1 << 18):
                 part = batch.slice(a, b - a)
                 for found in runs_of(part.column("text").to_pylist(), window, anchor):
                     owner = pa.array(found["owner"])
@@ -270,7 +270,7 @@ def find_spans(documents: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
                     )
 
     runs = documents.mapInArrow(
-        cut, f"doc_id {kind}, _row long, first long, many int, anchor long, one long, two long"
+        lean(cut), f"doc_id {kind}, _row long, first long, many int, anchor long, one long, two long"
     )
     runs = stored(runs, "runs")
     common = stored(
@@ -377,7 +377,7 @@ def find_passages(documents: DataFrame, words: int, window: int) -> DataFrame:
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b in slices(batch, "text", 1 << 19):
+            for a, b in slices(batch, "text", 1 << 18):
                 part = batch.slice(a, b - a)
                 found = short_passages(part.column("text").to_pylist(), words, window)
                 if not len(found["owner"]):
@@ -401,7 +401,7 @@ def find_passages(documents: DataFrame, words: int, window: int) -> DataFrame:
                 )
 
     rows = stored(
-        documents.mapInArrow(cut, f"doc_id {kind}, _row long, first long, end long, one long, two long, known boolean"), "passages"
+        documents.mapInArrow(lean(cut), f"doc_id {kind}, _row long, first long, end long, one long, two long, known boolean"), "passages"
     )
     sent = rows.where("one is not null")
     common = stored(
@@ -438,7 +438,7 @@ def _run_texts(documents: DataFrame, chosen: DataFrame, window: int, kind: str)
                 )
 
     return found.mapInArrow(
-        cut,
+        lean(cut),
         f"doc_id {kind}, _row long, anchor long, shard long, split boolean, known boolean, first long, run long, bytes binary",
     )
 
@@ -482,7 +482,7 @@ def _sharded(documents: DataFrame, chosen: DataFrame, window: int, kind: str) ->
             yield pa.RecordBatch.from_arrays([pa.array([r[n] for r in out], t) for n, t in enumerate(kinds)], names)
 
     return rows.repartition(parts, "anchor", "shard").sortWithinPartitions("anchor", "shard").mapInArrow(
-        solve, f"doc_id {kind}, _row long, first long, end long, bucket long, packed binary"
+        lean(solve), f"doc_id {kind}, _row long, first long, end long, bucket long, packed binary"
     )
 
 
@@ -534,7 +534,7 @@ def _merged(split: DataFrame) -> DataFrame:
 
     parts = int(split.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return split.select("bucket", "packed").repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(
-        search, "run long, first long, last long"
+        lean(search), "run long, first long, last long"
     )
 
 
@@ -642,7 +642,7 @@ def _removed(documents: DataFrame, window: int, anchor: int, shard_runs: int, wo
                 columns = [pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)]
                 yield pa.RecordBatch.from_arrays([*[batch.column(x) for x in passing.names], *columns], schema.names)
 
-    return joined.mapInArrow(keep, schema)
+    return joined.mapInArrow(lean(keep), schema)
 
 
 def _kept(raw: bytes, spans: list[tuple[int, int]]) -> tuple[int, int, int, str, str]:
