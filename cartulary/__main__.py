@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import argparse
-from dataclasses import replace
 
 from cartulary.plans import jobs
 from cartulary.session import builder
@@ -74,11 +73,6 @@ def main() -> None:
             shares=args.shares.split(","),
             house_names={name: [name, ""] for name in args.house_name},
         )
-        if args.vocabulary:
-            terms: dict[str, list[str]] = {}
-            for row in read_table(spark, args.vocabulary).select("category", "term").distinct().collect():
-                terms.setdefault(row.category, []).extend([row.term] if row.term is not None else [])
-            settings = replace(settings, vocabulary=terms)
         earlier = read_export(spark, args.append_to, jobs.record_schema(spark, args.dialect)) if args.append_to else None
         jobs.convert(
             spark,
@@ -90,6 +84,7 @@ def main() -> None:
             memory=read_memory(spark, args.memory) if args.memory else None,
             append_to=earlier,
             returned=read_memory(spark, args.returned) if args.returned else None,
+            vocabulary=read_table(spark, args.vocabulary) if args.vocabulary else None,
         )
     else:
         with staging(spark) as keep:

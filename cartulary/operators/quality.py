@@ -147,7 +147,10 @@ def iso_findings(
     house_names: Mapping[str, Sequence[str]],
     vocabulary: Mapping[str, Sequence[str]] = CATEGORIES,
 ) -> DataFrame:
-    """Findings of extracted records of the first dialect."""
+    """Findings of extracted records of the first dialect.
+
+    A column ``matched`` holds the categories of records that were classified by a table.
+    """
     staged = records.withColumn("_themes", subjects.theme_keywords()).withColumn(
         "_authors", F.size(citations.citation_authors(F.col("citation")))
     )
@@ -155,7 +158,9 @@ def iso_findings(
     published = citations.is_published(citation)
     shortened = citations.abbreviates_authors(citation)
     unlisted = published & ~citations.lists_authors(citation)
-    unmatched = F.size(subjects.matched_categories(themes, vocabulary)) == 0
+    by_table = "matched" in records.columns
+    matched = F.when(themes.isNotNull(), F.col("matched")) if by_table else subjects.matched_categories(themes, vocabulary)
+    unmatched = F.size(matched) == 0
 
     def role_finding(party: Column) -> Column:
         return _finding(

@@ -78,7 +78,8 @@ def keywords_long(records: DataFrame) -> DataFrame:
     return records.select("record_id", F.inline(words))
 
 
-def _or_default(categories: Column) -> Column:
+def or_default(categories: Column) -> Column:
+    """Sorted categories; ``["other"]`` for none."""
     return F.when(F.size(categories) > 0, F.array_sort(categories)).otherwise(
         text_array([DEFAULT_CATEGORY])
     )
@@ -107,13 +108,14 @@ def categories(
     keywords: Column, vocabulary: Mapping[str, Sequence[str]] = CATEGORIES
 ) -> Column:
     """Categories of a keyword array by exact match, sorted; ``["other"]`` for none."""
-    return _or_default(matched_categories(keywords, vocabulary))
+    return or_default(matched_categories(keywords, vocabulary))
 
 
-def classify_by_table(
+def matched_by_table(
     records: DataFrame, vocabulary: DataFrame, keywords: str = "keywords"
 ) -> DataFrame:
-    """Classification against a ``(category, term)`` table of any size.
+    """``(record_id, matched)``: categories by a ``(category, term)`` table of any size, without order;
+    none for none.
 
     Popular keywords are hot join keys. The vocabulary side is distinct, and adaptive
     execution splits their partitions. The result has one row per ``record_id``.
@@ -123,9 +125,15 @@ def classify_by_table(
         "record_id", F.explode_outer(F.array_distinct(keywords)).alias("term")
     )
     hits = adaptive_lookup(mentions, terms, "term", "record_id")
-    return hits.groupBy("record_id").agg(
-        _or_default(F.collect_set("category")).alias("categories")
-    )
+    return hits.groupBy("record_id").agg(F.collect_set("category").alias("matched"))
+
+
+def classify_by_table(
+    records: DataFrame, vocabulary: DataFrame, keywords: str = "keywords"
+) -> DataFrame:
+    """Classification against a ``(category, term)`` table of any size; ``["other"]`` for none."""
+    matched = matched_by_table(records, vocabulary, keywords)
+    return matched.select("record_id", or_default(F.col("matched")).alias("categories"))
 
 
 def term_usage(records: DataFrame, vocabulary: DataFrame, keywords: str = "keywords") -> DataFrame:

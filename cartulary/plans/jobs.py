@@ -75,6 +75,7 @@ def convert(
     append_to: tuple[DataFrame, DataFrame] | None = None,
     share_mode: str = "replace",
     returned: DataFrame | None = None,
+    vocabulary: DataFrame | None = None,
 ) -> None:
     """Convert a folder of XML files into the tables of an export below ``target``.
 
@@ -82,7 +83,9 @@ def convert(
     ``rejected``; with a translation ``memory`` also ``pending``, the texts it lacks, and with
     ``returned`` translations ``memory``, the memory that has them too. ``append_to`` holds the
     records and grants of an earlier export; when any key is on both sides, or twice among the new
-    records, the job stops before it writes anything.
+    records, the job stops before it writes anything. A ``vocabulary`` table of ``category, term``, of
+    any size, replaces the one of the settings: keywords go to it, and categories come back to the
+    records (first dialect; the second has no categories).
 
     The corpus is parsed once, into a staged table that every later step reads. It is bucketed by
     record, and so are the records made of it: identifiers and translations come to them by joins
@@ -90,6 +93,10 @@ def convert(
     """
     with staging(spark) as keep:
         landed = keep(land(read_documents(spark, source, dialect), dialect), by="record_id")
+        if vocabulary is not None and dialect == "iso":
+            themes = landed_records(landed).select("record_id", subjects.theme_keywords().alias("keywords"))
+            matched = keep(subjects.matched_by_table(themes, vocabulary), by="record_id")
+            landed = landed.join(matched, "record_id", "left")
         records = harmonise(landed, dialect, settings, registry)
         fields = [name for name in translation.TRANSLATED_FIELDS if name in records.columns]
         fields += translation.TRANSLATED_DISTRIBUTION

@@ -123,7 +123,8 @@ def harmonise_iso(
     """Output records from extracted records of the first dialect.
 
     Everything is row-local but the DOI lookup, which is left out without a ``registry``. Records of
-    a ``stored`` table are read twice, and only their ids go to the registry.
+    a ``stored`` table are read twice, and only their ids go to the registry. A column ``matched``
+    holds the categories of records that were classified by a table; it replaces the vocabulary.
     """
     keyed = (
         records.withColumn(
@@ -156,6 +157,8 @@ def harmonise_iso(
         "edition": edition(),
         "eov": text_array(settings.categories)
         if settings.categories
+        else subjects.or_default(F.col("matched"))
+        if "matched" in records.columns
         else subjects.categories(subjects.theme_keywords(), settings.vocabulary),
         "identifier": keys.identifier(F.col("recordKey")),
         "keywords": F.struct(

@@ -4,12 +4,13 @@ import json
 import re
 import subprocess
 import sys
+from dataclasses import replace
 from pathlib import Path
 
 import documents as made
 import pytest
 
-from cartulary.operators import appending, translation
+from cartulary.operators import appending, subjects, translation
 from cartulary.operators.appending import KeyCollision
 from cartulary.plans import jobs
 from cartulary.settings import JobSettings
@@ -108,6 +109,32 @@ def test_convert_and_append(spark, folder, tmp_path):
     assert [r.organization for r in both.where("recordID = '4'").collect()] == ["Vale College"]
 
 
+@pytest.mark.parametrize("limit", ["10m", "-1"])
+def test_vocabulary_as_a_table(spark, folder, tmp_path, limit):
+    """The same records and findings as with the mapping, whether the table is broadcast or not."""
+    landed = land(read_documents(spark, str(folder), "iso"), "iso")
+    themes = {w for row in landed.where("not malformed").select(subjects.theme_keywords().alias("w")).collect() for w in row.w}
+    pairs = [("first", min(themes)), ("first", min(themes)), ("second", min(themes)), ("third", None), ("fourth", "unheard of")]
+    table = spark.createDataFrame(pairs, "category string, term string")
+    mapping = {"first": [min(themes)], "second": [min(themes)], "third": [], "fourth": ["unheard of"]}
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        for vocabulary in (table, table.limit(0)):
+            terms = mapping if vocabulary is table else {}
+            target = str(tmp_path / f"out{len(terms)}")
+            jobs.convert(spark, str(folder), f"{target}a", "iso", replace(SETTINGS, vocabulary=terms))
+            jobs.convert(spark, str(folder), f"{target}b", "iso", SETTINGS, vocabulary=vocabulary)
+            for name in ("records", "findings", "rejected"):
+                left, right = (spark.read.parquet(f"{target}{x}/{name}") for x in "ab")
+                assert left.columns == right.columns
+                assert sorted(map(repr, left.collect())) == sorted(map(repr, right.collect()))
+            found = {tuple(r.eov) for r in spark.read.parquet(f"{target}b/records").collect()}
+            assert (("first", "second") in found) == bool(terms)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def _moved(table):
     """The columns that each exchange of a plan moves."""
     text = table._sc._jvm.PythonSQLUtils.explainString(table._jdf.queryExecution(), "formatted")
