@@ -154,6 +154,11 @@ def test_records_stay_where_they_are(spark, folder):
             exchanges = _moved(records)
             assert len(exchanges) >= 3
             assert set().union(*exchanges) <= {"record_id", "local_id", "doi_url", "_bucket", "priority", "min"}
+            themes = landed.select("record_id", subjects.theme_keywords().alias("keywords"))
+            terms = spark.createDataFrame([("c", "t")], "category string, term string")
+            matched = keep(subjects.matched_by_table(themes, terms), by="record_id")
+            classified = _moved(jobs.harmonise(landed.join(matched, "record_id", "left"), "iso", SETTINGS, registry))
+            assert sorted(map(sorted, classified)) == sorted(map(sorted, exchanges))
             fields = ("title", "abstract", "distribution.name")
             stored = keep(translation.with_field_keys(records, fields), by="recordID", dealt=True)
             memory = spark.createDataFrame([("k", "t")], "cache_key string, translated string")
