@@ -40,6 +40,9 @@ def _arguments() -> argparse.Namespace:
     convert.add_argument("--vocabulary", help="table of category, term; else the built-in one")
     convert.add_argument("--append-to", help="an earlier export: its folder, or a JSON envelope")
 
+    convert.add_argument("--share-mode", choices=("replace", "merge"), default="replace")
+    convert.add_argument("--extend", action="store_true", help="write the output's next version, with its earlier records")
+
     inspect = commands.add_parser("inspect", help="profile an attribute")
     inspect.add_argument("--files", required=True)
     inspect.add_argument("--attribute", default="keywords")
@@ -49,7 +52,10 @@ def _arguments() -> argparse.Namespace:
         command.add_argument("--dialect", choices=("iso", "fgdc"), default="iso")
     for command in (harvest, report, convert, inspect):
         command.add_argument("--output", required=True)
-    return parser.parse_args()
+    args = parser.parse_args()
+    if args.command == "convert" and args.extend and args.append_to:
+        parser.error("--extend appends to the output's own earlier version; leave --append-to out")
+    return args
 
 
 def main() -> None:
@@ -73,19 +79,18 @@ def main() -> None:
             shares=args.shares.split(","),
             house_names={name: [name, ""] for name in args.house_name},
         )
-        earlier = read_export(spark, args.append_to, jobs.record_schema(spark, args.dialect)) if args.append_to else None
-        jobs.convert(
-            spark,
-            args.files,
-            args.output,
-            args.dialect,
-            settings,
-            registry=read_table(spark, args.registry) if args.registry else None,
-            memory=read_memory(spark, args.memory) if args.memory else None,
-            append_to=earlier,
-            returned=read_memory(spark, args.returned) if args.returned else None,
-            vocabulary=read_table(spark, args.vocabulary) if args.vocabulary else None,
-        )
+        options = {
+            "registry": read_table(spark, args.registry) if args.registry else None,
+            "memory": read_memory(spark, args.memory) if args.memory else None,
+            "returned": read_memory(spark, args.returned) if args.returned else None,
+            "vocabulary": read_table(spark, args.vocabulary) if args.vocabulary else None,
+            "share_mode": args.share_mode,
+        }
+        if args.extend:
+            jobs.extend_export(spark, args.files, args.output, args.dialect, settings, **options)
+        else:
+            earlier = read_export(spark, args.append_to, jobs.record_schema(spark, args.dialect)) if args.append_to else None
+            jobs.convert(spark, args.files, args.output, args.dialect, settings, append_to=earlier, **options)
     else:
         with staging(spark) as keep:
             landed = keep(land(read_documents(spark, args.files, args.dialect), args.dialect))

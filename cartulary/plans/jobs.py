@@ -11,8 +11,10 @@ from pyspark.sql.types import StructType
 from cartulary.operators import appending, harvest, profile, quality, sharing, subjects, translation
 from cartulary.plans import records as plans
 from cartulary.settings import JobSettings
+from cartulary.sinks import versions
 from cartulary.sinks.exports import write_record_lines, write_table
 from cartulary.sources.documents import land, landed_records, present_records, read_documents
+from cartulary.sources.exports import read_export
 from cartulary.staging import staging
 
 log = logging.getLogger(__name__)
@@ -128,6 +130,24 @@ def convert(
                 write_table(memory, f"{target}/memory")
 
 
+def extend_export(
+    spark: SparkSession,
+    source: str,
+    export: str,
+    dialect: str = "iso",
+    settings: JobSettings = JobSettings(),
+    **options: DataFrame | str | None,
+) -> None:
+    """Convert a folder into the next version of an export, which holds the earlier records too.
+
+    All tables of the version come into sight together, after the last is written; until then, and
+    if the job fails, readers see the version before. ``options`` are those of ``convert``.
+    """
+    with versions.next_version(spark, export) as version:
+        earlier = read_export(spark, version.before, record_schema(spark, dialect)) if version.before else None
+        convert(spark, source, version.folder, dialect, settings, append_to=earlier, **options)
+
+
 def findings(landed: DataFrame, dialect: str, settings: JobSettings) -> DataFrame:
     """Data-quality findings of a landed corpus, malformed documents included."""
     if dialect == "iso":

@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from cartulary.sinks import versions
+
 MEMORY_SCHEMA = "cache_key string, translated string"
 
 _GRANTS = "map<string,map<string,map<string,struct<shared:boolean>>>>"
@@ -56,8 +58,11 @@ def typed_records(lines: DataFrame, schema: StructType) -> DataFrame:
 
 
 def read_export(spark: SparkSession, path: str, schema: StructType) -> tuple[DataFrame, DataFrame]:
-    """Records and grants of an earlier export: its folder of tables, or its JSON envelope."""
+    """Records and grants of an earlier export: its folder of tables, the last committed version of a
+    versioned one, or its JSON envelope.
+    """
     if not path.endswith(".json"):
+        path = versions.current(spark, path) or path
         return spark.read.parquet(f"{path}/records"), spark.read.parquet(f"{path}/shares")
     return typed_records(read_envelope_records(spark, path), schema), read_envelope_shares(spark, path)
 
