@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 class KeyCollision(ValueError):
@@ -27,3 +28,14 @@ def append_records(existing: DataFrame, new: DataFrame, key: str = "record_key")
     if not colliding_keys(existing, new, key).isEmpty():
         raise KeyCollision("records with the same key already exist in the export")
     return existing.unionByName(new, allowMissingColumns=True)
+
+
+def latest(table: DataFrame, key: str, number: str) -> DataFrame:
+    """The rows of each key's highest run number; rows without a key or a number stay.
+
+    Only keys that stand in several runs meet the rows, so with few changes no row moves: the
+    optimizer broadcasts the list while it is small.
+    """
+    runs = table.groupBy(F.col(key).alias("_key")).agg(F.max(number).alias("_last"), F.min(number).alias("_first"))
+    changed = runs.where(F.col("_first") < F.col("_last")).select("_key", "_last")
+    return table.join(changed, (F.col(key) == F.col("_key")) & (F.col(number) < F.col("_last")), "left_anti")

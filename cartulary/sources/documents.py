@@ -86,6 +86,14 @@ def read_documents(spark: SparkSession, path: str, dialect: str) -> DataFrame:
     return as_documents(files, dialect, path)
 
 
+def listed(spark: SparkSession, path: str, dialect: str) -> DataFrame:
+    """``(file_name, path, modified, length)`` of the files that ``read_documents`` reads; contents are not read."""
+    files = spark.read.format("binaryFile").options(**file_options(path, dialect)).load(path)
+    return files.select(
+        _relative(F.col("path"), path).alias("file_name"), "path", F.col("modificationTime").alias("modified"), "length"
+    )
+
+
 def _occurrences(value: Column, part: str) -> Column:
     """How often a literal stands in a text, without a pattern."""
     return (F.length(value) - F.length(F.replace(value, F.lit(part), F.lit("")))) / len(part)

@@ -696,6 +696,14 @@ def append_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return appending.colliding_keys(_old(export), export.where(F.col("day") >= OVERLAP_FROM))
 
 
+def latest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders landed in a first run, and those from a day on again, changed, in a second one."""
+    export = _export(spark, sf_dir)
+    first = export.select("record_key", "person", F.lit(1).alias("run"))
+    again = export.where(F.col("day") >= OVERLAP_FROM).select("record_key", F.lower("person").alias("person"), F.lit(2).alias("run"))
+    return appending.latest(first.unionByName(again), "record_key", "run")
+
+
 def append_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     export = _export(spark, sf_dir)
     return sharing.append_shares(_old(export), export.where(F.col("day") >= OVERLAP_FROM))
@@ -821,6 +829,7 @@ QUERIES: dict[str, Query] = {
         share_grants,
         append_records,
         append_collisions,
+        latest_rows,
         append_shares,
         append_shares_merge,
         inspect_set,

@@ -208,11 +208,44 @@ def test_envelopes(spark, tmp_path):
     assert exports.read_envelope_shares(spark, str(bare)).count() == 0
 
 
+def test_memories_of_every_layout(spark, tmp_path):
+    """One entry a line is split over tasks; any other layout gives the same entries."""
+    entries = {"a": "x, y", "b": 'quote " and \\ and {', "c": "", "d": "line\nend", '},"e': "}", "f": "é" * 3}
+    by_line = {"lines": json.dumps(entries, indent=2), "returns": json.dumps(entries, indent=1).replace("\n", "\r\n"), "none": "{\n}"}
+    whole = {
+        "compact": json.dumps(entries),
+        "number": json.dumps({**entries, "g": 1}, indent=2),
+        "nested": json.dumps({**entries, "g": {"h": "i"}}, indent=2),
+        "listed": json.dumps({**entries, "g": ["h", "i"]}, indent=2),
+    }
+    for name, text in {**by_line, **whole}.items():
+        path = tmp_path / f"{name}.json"
+        path.write_bytes(text.encode())
+        assert (exports._entry_lines(spark, str(path)) is not None) == (name in by_line), name
+        found = {row.cache_key: row.translated for row in exports.read_memory(spark, str(path)).collect()}
+        found.pop("g", None)
+        assert found == ({} if name == "none" else entries), name
+    (tmp_path / "twice.json").write_text('{\n"a": "x",\n"a": "y"\n}')
+    assert exports._entry_lines(spark, str(tmp_path / "twice.json")) is None
+    large = tmp_path / "large.json"
+    large.write_text(json.dumps({f"{i:032}": "text" * 10 for i in range(20_000)}, indent=2))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200k")
+    try:
+        memory = exports.read_memory(spark, str(large))
+        assert memory.rdd.getNumPartitions() > 4 and memory.count() == 20_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_cut_off_json_fails(spark, tmp_path):
     (tmp_path / "cut.json").write_text('{"records": {"k1": {"title"')
     for read in (exports.read_envelope_records, exports.read_envelope_shares, exports.read_memory):
         with pytest.raises(Exception, match="(?i)malformed|parse"):
             read(spark, str(tmp_path / "cut.json")).collect()
+    (tmp_path / "cut_line.json").write_text('{\n  "a": "b",\n  "c": "d"\n')
+    with pytest.raises(Exception, match="(?i)malformed|parse"):
+        exports.read_memory(spark, str(tmp_path / "cut_line.json")).collect()
 
 
 def test_append_to_an_envelope(spark, folder, tmp_path):

@@ -1,15 +1,18 @@
 """Exports and ingests that are committed as a whole."""
 
+import os
 from pathlib import Path
 
 import documents as made
 import pytest
 
+from cartulary.operators import appending
 from cartulary.operators.appending import KeyCollision
 from cartulary.plans import jobs
 from cartulary.settings import JobSettings
 from cartulary.sinks import versions
 from cartulary.sources import exports
+from cartulary.streaming import incremental
 
 SETTINGS = JobSettings(user="keeper", shares=("ana",), as_of="2024-01-01T00:00:00Z")
 
@@ -71,3 +74,45 @@ def test_one_of_two_writers_is_refused(spark, tmp_path):
     assert spark.read.parquet(f"{versions.current(spark, root)}/t").count() == 2
     assert not Path(slow.folder).exists()
     assert sorted(path.name for path in Path(root, "commits").iterdir() if not path.name.endswith(".crc")) == [f"{1:012}"]
+
+
+def test_changed_files_replace_their_rows(spark, tmp_path):
+    source, target = tmp_path / "xml", str(tmp_path / "landed")
+    (source / "deep").mkdir(parents=True)
+
+    def put(name, text, at):
+        (source / name).write_text(text)
+        os.utime(source / name, (at, at))
+
+    def run():
+        count = incremental.ingest_changed(spark, str(source), target, "iso")
+        rows = incremental.landed_files(spark, target)
+        return count, rows and {row.file_name: row.purpose or row.problem for row in rows.collect()}
+
+    assert run() == (0, None)
+    put("1_iso.xml", made.iso(), 1000)
+    put("deep/1_iso.xml", made.iso(), 2000)
+    put("2_iso.xml", made.iso()[:-10], 3000)
+    first = {"1_iso.xml": "Why", "deep/1_iso.xml": "Why", "2_iso.xml": "malformed_xml"}
+    assert run() == (3, first) and run() == (0, first)
+
+    # Mended; changed to the same length; new, but older than everything landed.
+    put("2_iso.xml", made.iso(), 4000)
+    put("1_iso.xml", made.iso().replace("Why", "Yes"), 1001)
+    put("3_iso.xml", made.iso(), 5)
+    second = {"1_iso.xml": "Yes", "deep/1_iso.xml": "Why", "2_iso.xml": "Why", "3_iso.xml": "Why"}
+    assert run() == (3, second) and run() == (0, second)
+
+    # Back to what it was at first; another one is gone.
+    put("1_iso.xml", made.iso(), 1000)
+    (source / "3_iso.xml").unlink()
+    assert run() == (1, {**second, "1_iso.xml": "Why"})
+    assert len(versions.committed(spark, target)) == 3
+
+
+def test_latest_rows(spark):
+    rows = [("a", 1, "x"), ("a", 2, "y"), ("a", 2, "z"), ("b", 1, "x"), (None, 1, "x"), (None, 2, "y"), ("c", None, "x"), ("c", 1, "y")]
+    table = spark.createDataFrame(rows, "k string, n int, text string")
+    found = appending.latest(table, "k", "n")
+    assert sorted(map(repr, map(tuple, found.collect()))) == sorted(map(repr, rows[1:]))
+    assert appending.latest(table.limit(0), "k", "n").count() == 0
