@@ -28,8 +28,14 @@ def local_id(uri: Column) -> Column:
 
 
 def record_id(file_name: Column, dialect: str) -> Column:
-    """A file's path without its ending, ``_iso.xml`` or ``_fgdc.xml`` as the dialect has it, or else ``.xml``."""
-    return F.regexp_replace(file_name, rf"(?:_{dialect})?\.xml\z", "")
+    """A file's path without its dialect's ending, ``_iso.xml`` or ``_fgdc.xml``; others stay as they are."""
+    return F.regexp_replace(file_name, rf"_{dialect}\.xml\z", "")
+
+
+def document_id(file_name: Column, dialect: str) -> Column:
+    """The id of the record in a file: its path without the dialect's ending, or else without ``.xml``."""
+    own = F.endswith(file_name, F.lit(f"_{dialect}.xml"))
+    return F.when(own, record_id(file_name, dialect)).otherwise(F.regexp_replace(file_name, r"\.xml\z", ""))
 
 
 def file_name(record_id: Column, dialect: str) -> Column:

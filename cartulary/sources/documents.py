@@ -30,6 +30,8 @@ _ASIDE = r"(?s)<!--.*?-->|<\?.*?\?>|(<!\[CDATA\[).*?\]\]>|(<!--|<\?|<!\[CDATA\[)
 #: White space of XML, and how much of a text's end is looked at before all of it is.
 _BLANK = " \t\r\n"
 _END = 256
+#: Bytes at a text's ends that hold what is looked for there, as a rule.
+_WINDOW = 4 * _END
 _ROOT_NAME = (
     r"(?s)\A\s*+(?:<\?.*?\?>\s*+|<!--.*?-->\s*+|<!DOCTYPE[^\[>]*+(?:\[.*?\]\s*+)?>\s*+)*+<(?:[^\s<>/:]+:)?([^\s<>/:!?][^\s<>/:]*)"
 )
@@ -37,7 +39,7 @@ _ROOT_NAME = (
 
 def identify(files: DataFrame, dialect: str) -> DataFrame:
     """Add the record id that a file name carries."""
-    return files.withColumn("record_id", keys.record_id(F.col("file_name"), dialect))
+    return files.withColumn("record_id", keys.document_id(F.col("file_name"), dialect))
 
 
 def _is_pattern(path: str) -> bool:
@@ -95,8 +97,38 @@ def listed(spark: SparkSession, path: str, dialect: str) -> DataFrame:
 
 
 def _occurrences(value: Column, part: str) -> Column:
-    """How often a literal stands in a text, without a pattern."""
-    return (F.length(value) - F.length(F.replace(value, F.lit(part), F.lit("")))) / len(part)
+    """How often a literal without signs of patterns stands in a text.
+
+    It mostly stands in the last bytes only: what comes before is searched, and counted if it holds one.
+    """
+    last, content = _last_bytes(value), value.cast("binary")
+    before = F.substring(content, F.lit(1), F.octet_length(value) - _WINDOW + len(part) - 1).cast("string")
+    more = F.when(F.contains(before, F.lit(part)), F.regexp_count(before, F.lit(part))).otherwise(0)
+    return F.regexp_count(last, F.lit(part)) + more
+
+
+def _last_bytes(value: Column) -> Column:
+    return F.substring(value.cast("binary"), -_WINDOW, _WINDOW).cast("string")
+
+
+def _tail(value: Column) -> Column:
+    """The last ``_END`` characters before the blanks at a text's end.
+
+    Trimming and counting characters go through a whole text, and cost more than parsing it. A text's
+    last bytes are enough, unless so much of them is blank that too few characters stay; of a
+    character that they cut, up to three bytes count as one each.
+    """
+    last = _last_bytes(value)
+    trimmed = F.when(F.endswith(last, F.lit(">")), last).otherwise(F.rtrim(last, F.lit(_BLANK)))
+    enough = (F.octet_length(value) <= _WINDOW) | (F.length(trimmed) >= _END + 3)
+    return F.right(F.when(enough, trimmed).otherwise(F.rtrim(value, F.lit(_BLANK))), F.lit(_END))
+
+
+def _root_name(value: Column) -> Column:
+    """The local name of the root element, from a text's first bytes if they hold all of it."""
+    head = F.substring(value.cast("binary"), 1, _WINDOW).cast("string")
+    near = F.regexp_extract(head, rf"{_ROOT_NAME}(?=[\s<>/])", 1)
+    return F.when(near != "", near).otherwise(F.regexp_extract(value, _ROOT_NAME, 1))
 
 
 def _outer(value: Column, dialect: str) -> Column:
@@ -109,16 +141,15 @@ def _outer(value: Column, dialect: str) -> Column:
     """
     root = ROOTS[dialect]
     closing = rf"</(?:[^\s<>/:]+:)?{root}\s*>"
-    end = F.rtrim(value, F.lit(_BLANK))
     bare_name, prefixed = _occurrences(value, f"/{root}"), _occurrences(value, f":{root}")
-    plain = F.right(end, F.lit(_END)).rlike(rf"{closing}\z") & (
+    plain = _tail(value).rlike(rf"{closing}\z") & (
         ((bare_name <= 1) & (prefixed == 0)) | ((bare_name == 0) & (prefixed <= 2))
     )
     rest = F.rtrim(F.regexp_replace(value, _ASIDE, "$1$2"), F.lit(_BLANK))
     ends = F.regexp_count(rest, F.lit(closing))
     alone = rest.rlike(rf"<(?:[^\s<>/:]+:)?{root}(?:\s[^<>]*)?/>\z") & (ends == 0)
     whole = F.when(plain, F.lit(True)).otherwise((rest.rlike(rf"{closing}\z") & (ends == 1)) | alone)
-    name = F.regexp_extract(value, _ROOT_NAME, 1)
+    name = _root_name(value)
     return F.when((name != "") & (name != root), F.lit("wrong_dialect")).when(
         value.isNull() | (name == "") | ~whole, F.lit("malformed_xml")
     )

@@ -36,8 +36,12 @@ PROGRESS = ["completed", "ongoing", "planned", "underDevelopment", "obsolete"]
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents, dealt over the tasks of a shuffle: rendering and parsing are bound by the processor."""
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").repartition("doc_id")
+    """The documents, dealt over the tasks of a shuffle: rendering and parsing are bound by the processor.
+
+    The number of tasks is given, as adaptive execution goes by bytes and would leave cores idle.
+    """
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    return spark.read.parquet(f"{sf_dir}/documents.parquet").repartition(tasks, "doc_id")
 
 
 def _pick(values: list[str], index: str) -> str:
@@ -121,10 +125,13 @@ def _when(condition: str, template: str, otherwise: str = "") -> str:
 
 
 def _value(sql: str) -> str:
-    """A value as XML text."""
-    for plain, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ("\\r", "&#13;")):
-        sql = f"replace({sql}, '{plain}', '{entity}')"
-    return "${" + sql + "}"
+    """A value as XML text; most hold no sign that needs an entity, and to look for one is quick."""
+    signs = {"&": "&amp;", "<": "&lt;", ">": "&gt;", "\\r": "&#13;"}
+    escaped = sql
+    for plain, entity in signs.items():
+        escaped = f"replace({escaped}, '{plain}', '{entity}')"
+    held = " OR ".join(f"contains({sql}, '{plain}')" for plain in signs)
+    return "${" + f"if({held}, {escaped}, {sql})" + "}"
 
 
 def _characters(tag: str, text: str) -> str:
@@ -338,16 +345,18 @@ def _surrounded(value: Column) -> Column:
 
 
 def corpus(spark: SparkSession, sf_dir: str, dialect: str) -> DataFrame:
-    """``(file_name, value)`` for every document, and the faulty ones beside them."""
-    table = documents(spark, sf_dir)
-    found = shape(table).select(
-        F.expr(f"record_id || '_{dialect}.xml'").alias("file_name"),
-        _surrounded(_fill(TEMPLATES[dialect])).alias("value"),
-    )
-    for kind, (remainder, _) in FAULTS.items():
-        faulty = table.where(F.col("doc_id") % FAULTY_EVERY == remainder).select(
-            F.expr(f"doc_id || '-{kind}_{dialect}.xml'").alias("file_name"),
-            _fill(fault_template(kind, dialect).replace("${text}", _value("text"))).alias("value"),
-        )
-        found = found.unionByName(faulty)
-    return found
+    """``(file_name, value)`` for every document, and the faulty ones beside them.
+
+    All are rendered in one pass over the table, by kind: null is a document's own.
+    """
+    doc_id, kind = F.col("doc_id"), F.col("kind")
+    faults = [F.when(doc_id % FAULTY_EVERY == remainder, F.lit(name)) for name, (remainder, _) in FAULTS.items()]
+    kinds = F.concat(F.array(F.lit(None).cast("string")), F.array_compact(F.array(*faults)))
+    table = shape(documents(spark, sf_dir).select("*", F.explode(kinds).alias("kind")))
+    file_name = F.expr(f"record_id || '_{dialect}.xml'")
+    value = _surrounded(_fill(TEMPLATES[dialect]))
+    for name in FAULTS:
+        template = fault_template(name, dialect).replace("${text}", _value("text"))
+        file_name = F.when(kind == name, F.expr(f"doc_id || '-{name}_{dialect}.xml'")).otherwise(file_name)
+        value = F.when(kind == name, _fill(template)).otherwise(value)
+    return table.select(file_name.alias("file_name"), value.alias("value"))
