@@ -34,12 +34,28 @@ def shared_folder(spark: SparkSession) -> str:
 
 def package_on_workers(spark: SparkSession) -> None:
     """Lets Python workers import this package where it isn't installed but lies at the same path."""
+    small_batches(spark)
     top = str(Path(__file__).resolve().parents[2])
     environment = spark.sparkContext.environment
     if top not in environment.get("PYTHONPATH", "").split(":"):
         environment["PYTHONPATH"] = ":".join(filter(None, [top, environment.get("PYTHONPATH", "")]))
 
 
+#: Bytes of one batch between the JVM and a Python worker. Both sides hold it, some steps several times.
+BATCH_BYTES = 4 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lets batches for Python tasks hold ``BATCH_BYTES`` at most, or one row; a smaller setting stays.
+
+    Spark's own bound is 10,000 rows or 64 MB, which whole texts and packed arrays do reach.
+    """
+    now = int(spark.conf.get(_BATCH_SETTING).rstrip("b"))
+    if now <= 0 or now > BATCH_BYTES:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """An unused path in the shared folder."""
     return f"{shared_folder(spark)}/llm-{name}-{uuid.uuid4().hex}"
