@@ -11,7 +11,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from cartulary.llm import decontamination, jaccard, language, packing, suffixes
+from cartulary.llm import decontamination, jaccard, language, packing, queries, suffixes
 from cartulary.llm.common import documents_of
 from cartulary.llm.components import connected_components
 
@@ -248,6 +248,76 @@ def test_passages_of_short_words(spark, monkeypatch):
     assert all((whole[x] == again[x]).all() for x in whole)
 
 
+def without_both(texts, words, window):
+    """Bytes that only passages take, and the text without repeated windows and repeated short passages."""
+    raw = [t.encode() for t in texts]
+    seen = Counter(x[k : k + window] for x in raw for k in range(len(x) - window + 1))
+    spans = [[m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", x)] for x in raw]
+    passages = [[(a, b) for (a, _), (_, b) in zip(s, s[words - 1 :], strict=False) if b - a < window] for s in spans]
+    met = Counter(x[a:b] for x, own in zip(raw, passages, strict=True) for a, b in own)
+    result = []
+    for x, own in zip(raw, passages, strict=True):
+        windows, both = np.zeros(len(x), bool), np.zeros(len(x), bool)
+        for k in range(len(x) - window + 1):
+            if seen[x[k : k + window]] > 1:
+                windows[k : k + window] = True
+        for a, b in own:
+            both[a:b] |= met[x[a:b]] > 1
+        both |= windows
+        result.append((int((both & ~windows).sum()), bytes(b for b, gone in zip(x, both, strict=True) if not gone).decode("utf-8", "ignore")))
+    return result
+
+
+@pytest.mark.parametrize("shard_runs", [1, 2, 1024])
+def test_short_passages_go_from_the_text_only(spark, shard_runs):
+    draw = np.random.default_rng(21)
+    vocabulary = ["".join(draw.choice(list("abcdeé"), int(draw.integers(1, 9)))) for _ in range(300)]
+    some = [[*draw.choice(vocabulary, int(draw.integers(6, 14)))] for _ in range(8)]  # passages around 6 words
+    texts = []
+    for k in range(60):
+        parts = [word for _ in range(int(draw.integers(0, 4))) for word in [*draw.choice(vocabulary, 9), *some[int(draw.integers(8))]]]
+        texts.append(str(draw.choice(["", " "])) + str(draw.choice([" ", "\n"], p=[0.9, 0.1])).join(map(str, parts)))
+    texts += ["", " ", "a " * 80, "a\tb " * 30, texts[1], texts[2] + " end", "x" * 300 + " y z " + "x" * 300, "one " + " ".join(some[0])]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    found = {r.doc_id: r for r in suffixes.deduplicate(table, 60, 12, shard_runs, words=6).collect()}
+    expected, both = removed(texts, 60), without_both(texts, 6, 60)
+    assert sum(n for n, _ in both) > 500
+    for key, r in found.items():
+        assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == expected[key]
+        assert (r.n_passage_bytes, r.text) == both[key]
+    assert len(found) == len(texts)
+
+
+def test_passages_of_over_fifty_words_go_from_the_querys_text(spark, tmp_path):
+    draw = np.random.default_rng(22)
+    word = lambda: "".join(draw.choice(list("abcdefghij"), int(draw.integers(2, 9))))
+    passage = " ".join(word() for _ in range(51))
+    assert len(passage) < 400
+    texts = [" ".join([*(word() for _ in range(70)), passage, *(word() for _ in range(70))]) for _ in range(3)]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    for r in queries.op4_suffixes(spark, str(tmp_path)).collect():
+        text = texts[r.doc_id]
+        assert (r.n_bytes, r.n_removed, r.n_spans) == (len(text), 0, 0)
+        assert r.kept_sha256 == hashlib.sha256(text.encode()).hexdigest()
+        assert r.text == text.replace(passage, "") and r.n_passage_bytes == len(passage)
+
+
+def test_runs_hold_every_short_passage(monkeypatch):
+    draw = np.random.default_rng(23)
+    texts = [" ".join("".join(draw.choice(list("abé"), int(draw.integers(1, 12)))) for _ in range(int(draw.integers(0, 90)))) for _ in range(20)]
+    texts.append("a " * 70)
+    runs, single = suffixes.passage_runs(texts, 9, 50), suffixes.short_passages(texts, 9, 50)
+    raw = [t.encode() for t in texts]
+    covered = Counter()
+    for owner, first, size in zip(*(runs[x].tolist() for x in ("owner", "first", "size")), strict=True):
+        own = suffixes.short_passages([raw[owner][first : first + size].decode()], 9, 50)
+        covered.update((owner, first + a, first + b) for a, b in zip(own["first"].tolist(), own["end"].tolist(), strict=True))
+    assert covered == Counter(zip(*(single[x].tolist() for x in ("owner", "first", "end")), strict=True))
+    monkeypatch.setattr(suffixes, "STRETCH", 64)
+    again = suffixes.passage_runs(texts, 9, 50)
+    assert all((runs[x] == again[x]).all() for x in runs)
+
+
 # Similarity
 
 
